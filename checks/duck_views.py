@@ -71,22 +71,22 @@ VIEWS: dict[str, str] = {
         FROM contract_core c LEFT JOIN customers k USING (customerid)""",
     "event_day": f"""
         SELECT event_id, event_type, user_id, value, (event_id // 8) * 11 + event_id % 2 AS pawnid,
-               ts - to_days({P.EVENT_SHIFT_DAYS}) AS at
+               ts - to_days({P.EVENT_SHIFT_DAYS}) AS happened
         FROM events""",
     "chip_events": """
         SELECT event_id AS chip_id, pawnid, 'SN' || event_id AS chipserial,
-               CASE WHEN event_id % 5 <> 0 THEN 1 ELSE 0 END AS isginno, at AS created
+               CASE WHEN event_id % 5 <> 0 THEN 1 ELSE 0 END AS isginno, happened AS created
         FROM event_day WHERE event_type IN ('click', 'view')""",
     "alerts": f"""
         SELECT event_id AS alert_id, 'HDCC/' || pawnid AS codeno,
-               CAST(date_trunc('hour', at) AS TIMESTAMP) AS warningcreated,
+               CAST(date_trunc('hour', happened) AS TIMESTAMP) AS warningcreated,
                CASE WHEN event_id % 9 <> 0 THEN event_id % 200 END AS dpd,
                1 + event_id % 4 AS warningnumber, event_id % 15 AS numberday,
                CASE event_type {_CASE_CONTENT} END AS warningcontent,
                CASE event_id % 3 WHEN 1 THEN '' WHEN 2 THEN 'cat' || (event_id % 4) END AS commentcat,
                'note ' || event_id AS commentcontent,
                CASE WHEN event_id % 3 = 2
-                    THEN CAST(date_trunc('hour', at) AS TIMESTAMP) + to_days(CAST(event_id % 5 AS INTEGER)) END AS commentcreated,
+                    THEN CAST(date_trunc('hour', happened) AS TIMESTAMP) + to_days(CAST(event_id % 5 AS INTEGER)) END AS commentcreated,
                CASE WHEN event_id % 2 = 0 THEN 'open' ELSE 'done' END AS processstatus,
                value AS distance
         FROM event_day WHERE event_type NOT IN ('click', 'view')""",
@@ -104,7 +104,7 @@ VIEWS: dict[str, str] = {
                format('{:,}', 1000 + s_suppkey * 7) AS traffic_target
         FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
     "cash_counts": f"""
-        SELECT event_id AS count_id, CAST(date_trunc('second', at) AS TIMESTAMP) AS created, n_name AS shop,
+        SELECT event_id AS count_id, CAST(date_trunc('second', happened) AS TIMESTAMP) AS created, n_name AS shop,
                CAST(CAST(value AS DECIMAL(18,2)) * 1000 AS DECIMAL(18,2)) AS net,
                CAST(CAST(value AS DECIMAL(18,2)) * 1000 - (event_id % 41 - 20) * 1000 AS DECIMAL(18,2)) AS moneyred,
                CAST((event_id % 41 - 20) * 1000 AS DECIMAL(18,2)) AS diff,
@@ -117,8 +117,8 @@ VIEWS: dict[str, str] = {
         FROM nation WHERE n_nationkey <> 7""",
     "fund_counts": """
         SELECT CAST(user_id % 25 AS INTEGER) AS shop_id, n_name AS shop_name,
-               CAST(CAST(at AS DATE) AS TIMESTAMP) + to_hours(8)
-                   + to_minutes((hour(at) * 60 + minute(at)) * 5 // 12) + to_seconds(second(at)) AS created
+               CAST(CAST(happened AS DATE) AS TIMESTAMP) + to_hours(8)
+                   + to_minutes((hour(happened) * 60 + minute(happened)) * 5 // 12) + to_seconds(second(happened)) AS created
         FROM event_day LEFT JOIN nation ON user_id % 25 = n_nationkey""",
     "contract_times": """
         SELECT codeno, openhour, closehour, categorycode, fromdate AS extrac_date,

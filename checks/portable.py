@@ -15,7 +15,7 @@ def portable(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             col = col.cast("string")
         elif isinstance(kind, T.DecimalType):
-            col = col.cast("double")
+            col = F.round(col.cast("double"), digits)
         elif isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
             col = col.cast("long")
         elif isinstance(kind, T.DoubleType):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ def millions(value: Column) -> Column:
     return value.cast("double") / F.lit(float(MILLION))
 
 
+def exact_millions(value: Column) -> Column:
+    """Money in millions, kept as a decimal so that sums stay exact."""
+    return value.cast("decimal(18,2)") * F.lit(Decimal("0.000001"))
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole as a double; null when the whole is zero or missing."""
     return F.try_divide(part.cast("double"), whole.cast("double"))
