@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import alert_queries, flow_queries
+from . import alert_queries, flow_queries, rule_queries
 from .portable import portable
 
-MODULES = [flow_queries, alert_queries]
+MODULES = [flow_queries, alert_queries, rule_queries]
 
 
 def _as_portable(fn):
