@@ -155,9 +155,9 @@ VIEWS: dict[str, str] = {
     "predicted_scores": """
         SELECT n_name AS shopname, CAST(n_nationkey * 20 AS DOUBLE) AS ols_pred_score
         FROM nation WHERE n_nationkey % 4 <> 0""",
-    "categorical_card": "SELECT * FROM (VALUES " + P.sql_values(P.CATEGORICAL_CARD)
+    "categorical_card": "SELECT * REPLACE (CAST(risk_score AS DOUBLE) AS risk_score) FROM (VALUES " + P.sql_values(P.CATEGORICAL_CARD)
                         + ") t(categoryname, field_check, value, risk_score)",
-    "numeric_card": "SELECT * FROM (VALUES " + P.sql_values(P.NUMERIC_CARD)
+    "numeric_card": "SELECT * REPLACE (CAST(risk_score AS DOUBLE) AS risk_score) FROM (VALUES " + P.sql_values(P.NUMERIC_CARD)
                     + ") t(categoryname, field_check, min_value, max_value, package_name, risk_score)",
     "thresholds": "SELECT * FROM (VALUES " + P.sql_values(P.THRESHOLDS)
                   + ") t(category_name, lower_threshold, upper_threshold)",

@@ -63,4 +63,4 @@ def crosstab_long(
 def crosstab_wide(long: DataFrame, index: list[str], col_keys: list[str], measure: str = "n") -> DataFrame:
     """Spread ``col_key`` over columns; empty cells are 0."""
     wide = long.groupBy(*index).pivot("col_key", col_keys).agg(F.first(measure))
-    return wide.na.fill(0, subset=col_keys)
+    return wide.select(*index, *[F.coalesce(F.col(f"`{k}`"), F.lit(0)).alias(k) for k in col_keys])

@@ -82,3 +82,28 @@ def previous_row(
 def last_value_per_key(df: DataFrame, keys: list[str], order: list[Column], value: str, output: str) -> DataFrame:
     """The value on the last row of each key, as one row per key."""
     return df.groupBy(*keys).agg(F.max_by(F.col(value), F.struct(*order)).alias(output))
+
+
+def previous_since(
+    rows: DataFrame,
+    older: DataFrame,
+    keys: list[str],
+    order: list[str],
+    payload: list[str],
+    output: str,
+    slice_by: Column | None = None,
+) -> DataFrame:
+    """``previous_row`` for ``rows`` that continue an ``older`` history.
+
+    All older rows precede all rows. They enter as one aggregated row per key,
+    and only for keys that occur in ``rows``, so a daily run neither sorts nor
+    shuffles the full history.
+    """
+    from .lookups import keep_matching
+
+    slim = older.select(*dict.fromkeys([*keys, *order, *payload]))
+    carried = keep_matching(slim, rows.select(*keys), keys).groupBy(*keys).agg(
+        F.max_by(F.struct(*payload), F.struct(*order)).alias("__older")
+    )
+    ranked = previous_row(rows, keys, order, payload, output, slice_by)
+    return ranked.join(carried, keys, "left").withColumn(output, F.coalesce(output, "__older")).drop("__older")

@@ -11,15 +11,16 @@ def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def quota_sample(df: DataFrame, stratum: Column, quotas: dict[str, int], *order: Column) -> DataFrame:
-    """The best ``quotas[s]`` rows of each stratum.
+def quota_sample(df: DataFrame, stratum: Column, quotas: dict[str, int], *order: Column,
+                 per: list[str] | None = None) -> DataFrame:
+    """The best ``quotas[s]`` rows of each stratum (and of each value of the ``per`` columns).
 
     The literal bound on the rank lets Spark cut every map partition to the
     largest quota before the shuffle, so a stratum with most of the rows costs
     no more than a small one. End ``order`` with a unique column.
     """
     quota = F.coalesce(*[F.when(F.col("stratum") == name, F.lit(size)) for name, size in quotas.items()])
-    ranking = W.partitionBy("stratum").orderBy(*order)
+    ranking = W.partitionBy(*(per or []), "stratum").orderBy(*order)
     return (
         df.withColumn("stratum", stratum)
         .where(F.col("stratum").isin(list(quotas)))

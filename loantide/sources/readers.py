@@ -52,9 +52,9 @@ def snapshot_at(panel: DataFrame, created: dt.date | str) -> DataFrame:
     return panel.where(F.col("created") == F.lit(as_date(created)))
 
 
-def run_sql(spark: SparkSession, query: str, **parameters) -> DataFrame:
-    """SQL with named parameter markers (``:name``); values are bound, never pasted into the text."""
-    return spark.sql(query, args=parameters)
+def run_sql(spark: SparkSession, query: str, tables: dict[str, DataFrame] | None = None, **parameters) -> DataFrame:
+    """SQL over ``{named}`` frames with ``:named`` parameters; values are bound, never pasted into the text."""
+    return spark.sql(query, args=parameters, **(tables or {}))
 
 
 def _csv_rows(spark: SparkSession, path: str, columns: list[str], skip_rows: int) -> DataFrame:
