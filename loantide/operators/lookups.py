@@ -39,12 +39,17 @@ def left_lookup(fact: DataFrame, dim: DataFrame, keys: dict[str, str] | list[str
     return fact.join(dim, keys, "left")
 
 
+def _distinct_keys(other: DataFrame, keys: list[str] | str) -> DataFrame:
+    """Key list of a membership test: a key with very many rows shrinks to one row per map task."""
+    return other.select(*([keys] if isinstance(keys, str) else keys)).dropDuplicates()
+
+
 def keep_matching(fact: DataFrame, other: DataFrame, keys: list[str] | str) -> DataFrame:
-    return fact.join(other, keys, "left_semi")
+    return fact.join(_distinct_keys(other, keys), keys, "left_semi")
 
 
 def drop_matching(fact: DataFrame, other: DataFrame, keys: list[str] | str) -> DataFrame:
-    return fact.join(other, keys, "left_anti")
+    return fact.join(_distinct_keys(other, keys), keys, "left_anti")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -69,11 +74,15 @@ def bin_lookup(
     range as residual test. Without it every row is tested against the few
     global bins in place. ``bins`` must be a checked, bounded table.
     """
-    equal = equal or {}
-    renamed = bins.withColumnsRenamed(
-        {low: "__low", high: "__high", **{right: f"__key_{i}" for i, right in enumerate(equal.values())}}
-    )
-    tests = [fact[left] == renamed[f"__key_{i}"] for i, left in enumerate(equal)]
-    tests += [value >= renamed["__low"], value < renamed["__high"]]
-    joined = fact.join(F.broadcast(renamed), reduce(lambda a, b: a & b, tests), how)
-    return joined.drop("__low", "__high", *[f"__key_{i}" for i in range(len(equal))])
+    helpers, test, renamed = bin_test(bins, value, equal or {}, "bin", low, high)
+    return fact.join(F.broadcast(renamed), test, how).drop(*helpers)
+
+
+def bin_test(bins: DataFrame, value: Column, equal: dict[str, str], tag: str, low: str = "min_value",
+             high: str = "max_value") -> tuple[list[str], Column, DataFrame]:
+    """Helper column names, join test and renamed bins; distinct tags allow many look-ups in a row."""
+    names = {low: f"__{tag}_low", high: f"__{tag}_high"}
+    names |= {right: f"__{tag}_key{i}" for i, right in enumerate(equal.values())}
+    tests = [F.col(left) == F.col(names[right]) for left, right in equal.items()]
+    tests += [value >= F.col(names[low]), value < F.col(names[high])]
+    return list(names.values()), reduce(lambda a, b: a & b, tests), bins.withColumnsRenamed(names)

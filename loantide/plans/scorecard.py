@@ -6,57 +6,66 @@ join inside one stage: scoring adds no shuffle however many contracts there are.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions.numbers import millions
 from ..functions.text import blank_to_null
-from ..operators.lookups import bin_lookup, bounded
+from ..operators.lookups import LookupTooLarge, bin_test, bounded
 
 MAX_CARD_ROWS = 10_000
 FIELDS = fv.CATEGORICAL_FIELDS + fv.GLOBAL_NUMERIC_FIELDS + fv.CATEGORY_NUMERIC_FIELDS
+NUMERIC = "categoryname string, field_check string, min_value double, max_value double, package_name string, risk_score double"
+CATEGORICAL = "categoryname string, field_check string, value string, risk_score double"
 
 
 class OverlappingBins(ValueError):
     """Two bins of one field cover the same value; a contract would be counted twice."""
 
 
+def _card_rows(card: DataFrame) -> list[Row]:
+    """The lines of a card: a small configuration table, refused when it is not."""
+    rows = card.limit(MAX_CARD_ROWS + 1).collect()
+    if len(rows) > MAX_CARD_ROWS:
+        raise LookupTooLarge(f"score-card exceeds {MAX_CARD_ROWS} lines")
+    return rows
+
+
+def _as_float(value) -> float | None:
+    return None if value is None else float(value)
+
+
 def prepare_numeric(card: DataFrame) -> DataFrame:
-    """Fill the open bin ends and the missing package, then check size and overlaps."""
-    low, high = F.col("min_value"), F.col("max_value")
-    for name, (floor, ceiling) in fv.OPEN_BIN_ENDS.items():
-        here = F.col("field_check") == name
-        if floor is not None:
-            low = F.when(here & F.col("min_value").isNull(), F.lit(floor)).otherwise(low)
-        if ceiling is not None:
-            high = F.when(here & F.col("max_value").isNull(), F.lit(ceiling)).otherwise(high)
-    package = F.when(F.col("field_check") == "processing_minute", F.coalesce("package_name", F.lit(fv.ORDINARY_LOAN)))
-    filled = bounded(card, MAX_CARD_ROWS).select(
-        "categoryname", "field_check", low.alias("min_value"), high.alias("max_value"), package.alias("package_name"),
-        "risk_score",
-    )
-    neighbours = W.partitionBy("field_check", "categoryname", "package_name").orderBy("min_value", "max_value")
-    clashes = filled.withColumn("reach", F.max("max_value").over(neighbours.rowsBetween(W.unboundedPreceding, -1))).where(
-        F.col("reach") > F.col("min_value")
-    )
-    clash = clashes.limit(1).collect()
-    if clash:
-        raise OverlappingBins(f"{clash[0]['field_check']} / {clash[0]['categoryname']}: {clash[0]['min_value']}")
-    return filled
+    """Numeric card with its open bin ends and missing packages filled; overlapping bins are refused."""
+    lines, groups = [], defaultdict(list)
+    for row in _card_rows(card):
+        floor, ceiling = fv.OPEN_BIN_ENDS.get(row["field_check"], (None, None))
+        low = floor if row["min_value"] is None else float(row["min_value"])
+        high = ceiling if row["max_value"] is None else float(row["max_value"])
+        package = (row["package_name"] or fv.ORDINARY_LOAN) if row["field_check"] == "processing_minute" else None
+        lines.append((row["categoryname"], row["field_check"], low, high, package, _as_float(row["risk_score"])))
+        if low is not None and high is not None:
+            groups[row["field_check"], row["categoryname"], package].append((low, high))
+    for group, bins in groups.items():
+        bins.sort()
+        if any(reach > start for (_, reach), (start, _) in zip(bins, bins[1:])):
+            raise OverlappingBins(f"overlapping bins in {group}")
+    return card.sparkSession.createDataFrame(lines, NUMERIC)
 
 
 def prepare_categorical(card: DataFrame) -> DataFrame:
-    """One score per value; only the term range is kept per category."""
-    category = F.when(F.col("field_check") == "package_time_range", F.col("categoryname"))
-    return (
-        bounded(card, MAX_CARD_ROWS)
-        .groupBy(category.alias("categoryname"), "field_check", "value")
-        .agg(F.max("risk_score").alias("risk_score"))
-    )
+    """One score per value, the highest when lines repeat; only the term range is kept per category."""
+    best: dict[tuple, float | None] = {}
+    for row in _card_rows(card):
+        category = row["categoryname"] if row["field_check"] == "package_time_range" else None
+        key, score = (category, row["field_check"], row["value"]), _as_float(row["risk_score"])
+        known = best.get(key)
+        best[key] = score if known is None else max(known, score if score is not None else known)
+    return card.sparkSession.createDataFrame([(*key, score) for key, score in best.items()], CATEGORICAL)
 
 
 def _score_name(field: str) -> str:
@@ -64,30 +73,28 @@ def _score_name(field: str) -> str:
 
 
 def _categorical(rows: DataFrame, card: DataFrame, field: str) -> DataFrame:
+    value, category = f"__{field}_value", f"__{field}_category"
     scores = card.where(F.col("field_check") == field).select(
-        F.col("categoryname").alias("__category"), F.col("value").alias("__value"), F.col("risk_score").alias(_score_name(field))
+        F.col("categoryname").alias(category), F.col("value").alias(value), F.col("risk_score").alias(_score_name(field))
     )
     # Null-safe: a blank line of the card scores contracts without a value.
-    tests = [rows[field].eqNullSafe(scores["__value"])]
+    test = F.col(field).eqNullSafe(F.col(value))
     if field == "package_time_range":
-        tests.append(rows["category_name"] == scores["__category"])
-    return rows.join(F.broadcast(scores), reduce(lambda a, b: a & b, tests), "left").drop("__category", "__value")
+        test = test & (F.col("category_name") == F.col(category))
+    return rows.join(F.broadcast(scores), test, "left")
 
 
 def _numeric(rows: DataFrame, card: DataFrame, field: str, value: Column) -> DataFrame:
-    bins = card.where(F.col("field_check") == field).select(
-        "categoryname", F.col("package_name").alias("__package"), "min_value", "max_value",
-        F.col("risk_score").alias(_score_name(field)),
-    )
-    if field in fv.GLOBAL_NUMERIC_FIELDS:
-        bins = bins.where(F.col("categoryname") == fv.ALL_CATEGORIES).drop("categoryname", "__package")
-        return bin_lookup(rows, bins, value)
-    equal = {"category_name": "categoryname"}
+    everywhere = field in fv.GLOBAL_NUMERIC_FIELDS
+    lines = card.where((F.col("field_check") == field) & ((F.col("categoryname") == fv.ALL_CATEGORIES) == everywhere))
+    equal = {} if everywhere else {"category_name": "categoryname"}
     if field == "processing_minute":
-        equal["package_name"] = "__package"
-    else:
-        bins = bins.drop("__package")
-    return bin_lookup(rows, bins, value, equal)
+        equal["package_name"] = "package"
+    columns = ["min_value", "max_value", F.col("risk_score").alias(_score_name(field))]
+    columns += ["categoryname"] if equal else []
+    columns += [F.col("package_name").alias("package")] if len(equal) == 2 else []
+    _, test, bins = bin_test(lines.select(*columns), value, equal, field)
+    return rows.join(F.broadcast(bins), test)
 
 
 def scorecard(features: DataFrame, categorical: DataFrame, numeric: DataFrame, focus_packages: DataFrame,
@@ -119,4 +126,5 @@ def scorecard(features: DataFrame, categorical: DataFrame, numeric: DataFrame, f
     titled = F.when(name == fv.BIKE_TITLE, blank_to_null(F.col("packagecode")))
     rows = rows.join(packages, titled == F.col("package_code"), "left")
     total = reduce(lambda a, b: a + b, [F.coalesce(_score_name(f), F.lit(0.0)) for f in FIELDS])
-    return rows.withColumn("total_score", total)
+    kept = [F.col(c) for c in rows.columns if not c.startswith("__")]
+    return rows.select(*kept, total.alias("total_score"))
