@@ -22,7 +22,7 @@ def previous_contracts(spark, sf):
     """Previous contract of every contract: code and status, days since it closed."""
     c = V.contract_core(spark, sf).select("pawnid", "customerid", "codeno", "status", "fromdate", "closedate")
     rows = latest.previous_row(c, ["customerid"], ["fromdate", "pawnid"], ["codeno", "status", "closedate"], "previous",
-                               slice_by=F.date_trunc("MONTH", "fromdate"))
+                               slice_by=latest.dated_slice("fromdate", "pawnid"))
     before = F.col("previous")
     return rows.select(
         "pawnid", "customerid", before["codeno"].alias("previous_codeno"), before["status"].alias("previous_status"),
@@ -138,6 +138,7 @@ def text_functions(spark, sf):
         text.joined_lower(F.col("lang"), F.when(F.col("doc_id") % 3 == 0, F.col("source"))).alias("joined"),
         F.upper("source").alias("upper_source"),
         text.has_any(t, ["the", "een", "qu"]).cast("int").alias("any_mark"),
+        text.matches_any(t, ["[0-9]{3}", "qu"]).cast("int").alias("any_pattern"),
         text.has_all_of(t, ["e", "a", "r"]).cast("int").alias("all_marks"),
         text.has_none_of(t, ["tion", "http"]).cast("int").alias("no_mark"),
         text.blank_to_null(F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.col("lang"))).alias("lang_or_null"),
@@ -276,6 +277,7 @@ SQL = {
                regexp_replace(lower(text), '[^\\p{L}\\p{N}_\\s\\p{Z}]', '', 'g') AS stripped, substr(source, 4) AS source_no,
                lower(concat(lang, ' ', CASE WHEN doc_id % 3 = 0 THEN source END)) AS joined, upper(source) AS upper_source,
                CAST(regexp_matches(text, 'the|een|qu') AS BIGINT) AS any_mark,
+               CAST(regexp_matches(text, '[0-9]{3}|qu') AS BIGINT) AS any_pattern,
                CAST(text LIKE '%e%' AND text LIKE '%a%' AND text LIKE '%r%' AS BIGINT) AS all_marks,
                CAST(text NOT LIKE '%tion%' AND text NOT LIKE '%http%' AS BIGINT) AS no_mark,
                CASE WHEN doc_id % 2 <> 0 THEN lang END AS lang_or_null

@@ -40,6 +40,14 @@ def descending_nulls_last(value: Column) -> Column:
     return F.coalesce(-value.cast("long"), F.lit(LONG_MAX))
 
 
+ID_BLOCK = 1_000_000
+
+
+def dated_slice(date: str, unique_id: str, block: int = ID_BLOCK) -> Column:
+    """Slice for rows ordered by (date, id): one day and one block of ids, so at most ``block`` rows of a key."""
+    return F.struct(F.col(date), F.floor(F.col(unique_id) / block))
+
+
 def previous_row(
     df: DataFrame,
     keys: list[str],
@@ -47,14 +55,16 @@ def previous_row(
     payload: list[str],
     output: str,
     slice_by: Column | None = None,
+    tails_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add struct ``output`` holding ``payload`` of the preceding row of the key.
 
     ``order`` must be unique inside a key. ``slice_by`` is a non-decreasing
-    function of the order (such as the month of the date): rows are ranked
+    function of the order (see ``dated_slice``): rows are ranked
     inside (key, slice), and only the last row of each slice is carried over to
     the next slice of that key. Without it this is a plain lag. Rows whose key
-    is null form one group, as in a window.
+    is null form one group, as in a window. ``tails_of`` names a leaner frame
+    with the same rows to take the last rows from.
     """
     packed = F.struct(*payload)
     if slice_by is None:
@@ -63,8 +73,9 @@ def previous_row(
     sliced = df.withColumn("__slice", slice_by)
     within = W.partitionBy(*keys, "__slice").orderBy(*order)
     ranked = sliced.withColumn("__previous", F.lag(packed).over(within))
+    tails = sliced if tails_of is None else tails_of.withColumn("__slice", slice_by)
     carried = (
-        sliced.groupBy(*keys, "__slice")
+        tails.groupBy(*keys, "__slice")
         .agg(F.max_by(packed, F.struct(*order)).alias("__tail"))
         .withColumn("__carried", F.lag("__tail").over(W.partitionBy(*keys).orderBy("__slice")))
         .where(F.col("__carried").isNotNull())
@@ -92,6 +103,7 @@ def previous_since(
     payload: list[str],
     output: str,
     slice_by: Column | None = None,
+    tails_of: DataFrame | None = None,
 ) -> DataFrame:
     """``previous_row`` for ``rows`` that continue an ``older`` history.
 
@@ -102,8 +114,9 @@ def previous_since(
     from .lookups import keep_matching
 
     slim = older.select(*dict.fromkeys([*keys, *order, *payload]))
-    carried = keep_matching(slim, rows.select(*keys), keys).groupBy(*keys).agg(
+    wanted = rows if tails_of is None else tails_of
+    carried = keep_matching(slim, wanted.select(*keys), keys).groupBy(*keys).agg(
         F.max_by(F.struct(*payload), F.struct(*order)).alias("__older")
     )
-    ranked = previous_row(rows, keys, order, payload, output, slice_by)
+    ranked = previous_row(rows, keys, order, payload, output, slice_by, tails_of)
     return ranked.join(carried, keys, "left").withColumn(output, F.coalesce(output, "__older")).drop("__older")

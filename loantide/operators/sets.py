@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
@@ -24,3 +24,12 @@ def reindex(df: DataFrame, columns: list[str], types: dict[str, DataType] | None
     return df.select(
         [F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(types.get(c, StringType())).alias(c) for c in columns]
     )
+
+
+def with_costly_column(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    The optimizer copies a plain projected expression into every filter that
+    reads it; a generated column is left where it is.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))

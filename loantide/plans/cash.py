@@ -11,7 +11,7 @@ from ..functions import fixed_values as fv
 from ..functions import rules
 from ..functions.dates import day, day_offset
 from ..functions.text import has_any, joined_lower, strip_punctuation, word_count
-from ..operators.sets import reindex
+from ..operators.sets import reindex, with_costly_column
 
 
 def cash_counts_between(counts: DataFrame, first: dt.date | str, last: dt.date | str) -> DataFrame:
@@ -21,14 +21,15 @@ def cash_counts_between(counts: DataFrame, first: dt.date | str, last: dt.date |
         [(F.col("diff") < -fv.CASH_TOLERANCE, fv.CASH_SURPLUS), (F.col("diff") > fv.CASH_TOLERANCE, fv.CASH_SHORTAGE)],
         fv.OK,
     )
-    return counts.where((F.col("created") >= day(first)) & (F.col("created") < day_offset(last, 1))).select(
+    counted = counts.where((F.col("created") >= day(first)) & (F.col("created") < day_offset(last, 1)))
+    return with_costly_column(counted, "stripped", strip_punctuation(reason)).select(
         F.to_date("created").alias("ext_date"),
         F.col("created").alias("last_count_time"),
         "shop",
         F.col("net").alias("pos_cash_amt"),
         F.col("moneyred").alias("actual_count_amt"),
         "diff",
-        strip_punctuation(reason).alias("diff_reason"),
+        F.col("stripped").alias("diff_reason"),
         difference.alias("diff_type"),
         word_count(reason).alias("reason_length"),
     )

@@ -16,6 +16,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    # Call-site capture costs several driver round trips per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
