@@ -106,7 +106,8 @@ _HISTORY = f"""
 
 _FOCUS = f"""
     SELECT shop, shop_focus_level
-    FROM (SELECT *, row_number() OVER (PARTITION BY shop ORDER BY shop_update_date DESC) AS rn FROM focus_shops
+    FROM (SELECT *, row_number() OVER (PARTITION BY shop ORDER BY shop_update_date DESC, shop_to_date DESC,
+                                                       shop_focus_level DESC) AS rn FROM focus_shops
           WHERE DATE '{AS_OF}' BETWEEN shop_update_date AND shop_to_date) WHERE rn = 1"""
 
 _NET = "(loanmoneyorg - insurrancemoney)"

@@ -148,10 +148,14 @@ VIEWS: dict[str, str] = {
                CASE WHEN pawnid % 2 = 0 THEN 'Tuân thủ' ELSE 'Gian lận' END AS risk_type
         FROM contracts""",
     "focus_shops": """
-        SELECT DATE '2000-01-01' + CAST(n_nationkey * 10 + lag AS INTEGER) AS shop_update_date,
-               DATE '2000-01-01' + CAST(n_nationkey * 10 + lag + 120 AS INTEGER) AS shop_to_date,
-               'Active' AS shop_active_stt, n_name AS shop, level AS shop_focus_level
-        FROM nation, (VALUES (0, 'Low'), (60, 'High')) v(lag, level)""",
+        SELECT DATE '2000-01-01' + CAST(s_suppkey % 200 AS INTEGER) AS shop_update_date,
+               DATE '2000-01-01' + CAST(s_suppkey % 200 + s_suppkey % 5 * 40 AS INTEGER) AS shop_to_date,
+               'Active' AS shop_active_stt, n_name AS shop,
+               CASE s_suppkey % 3 WHEN 0 THEN 'High' WHEN 1 THEN 'Low' ELSE 'Medium' END AS shop_focus_level
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+    "shop_sheet": """
+        SELECT CASE WHEN s_suppkey % 7 = 0 THEN '' WHEN s_suppkey % 7 <> 1 THEN 'S' || s_nationkey END AS shopcode,
+               s_name AS shopname FROM supplier""",
     "predicted_scores": """
         SELECT n_name AS shopname, CAST(n_nationkey * 20 AS DOUBLE) AS ols_pred_score
         FROM nation WHERE n_nationkey % 4 <> 0""",

@@ -79,8 +79,7 @@ def global_summary(spark, sf):
 
 
 def active_shops(spark, sf):
-    sheet = V.shop_info(spark, sf).withColumn("shopcode", F.when(F.col("opened_month") == 3, "").otherwise(F.col("shopcode")))
-    return kpi.active_shops(sheet)
+    return kpi.active_shops(V.shop_sheet(spark, sf))
 
 
 def union_and_reindex(spark, sf):
@@ -243,7 +242,7 @@ SQL = {
     "global_summary": query("""
         SELECT CAST(max(fromdate) AS VARCHAR) AS newest, CAST(max(strftime(fromdate, '%Y%m')) AS BIGINT) AS newest_month,
                round(CAST(sum(currentmoney) AS DOUBLE) / count(*), 6) AS mean_balance, count(pawnid) AS n FROM contract_core"""),
-    "active_shops": query("SELECT * FROM shop_info WHERE opened_month <> 3"),
+    "active_shops": query("SELECT * FROM shop_sheet WHERE shopcode <> ''"),
     "union_and_reindex": query("""
         SELECT alert_id AS id, codeno, CAST(NULL AS VARCHAR) AS chipserial, warningcontent, CAST(NULL AS VARCHAR) AS remark
         FROM alerts UNION ALL SELECT chip_id, NULL, chipserial, NULL, NULL FROM chip_events"""),

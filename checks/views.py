@@ -391,17 +391,27 @@ def checking_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def focus_shops(spark: SparkSession, sf: str) -> DataFrame:
-    """Two validity ranges per shop."""
-    nation = table(spark, sf, "nation")
-    start = F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("n_nationkey") * 10).cast("int"))
-    part = lambda lag, level: nation.select(
-        F.date_add(start, lag).alias("shop_update_date"),
-        F.date_add(start, lag + 120).alias("shop_to_date"),
+    """Focus sheet: one validity range per supplier, many per shop, some starting on the same day."""
+    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("shop"))
+    sup = table(spark, sf, "supplier")
+    start = F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("s_suppkey") % 200).cast("int"))
+    return sup.join(nation, sup.s_nationkey == nation.n_nationkey).select(
+        start.alias("shop_update_date"),
+        F.date_add(start, (F.col("s_suppkey") % 5 * 40).cast("int")).alias("shop_to_date"),
         F.lit("Active").alias("shop_active_stt"),
-        F.col("n_name").alias("shop"),
-        F.lit(level).alias("shop_focus_level"),
+        "shop",
+        F.element_at(F.array(F.lit("High"), F.lit("Low"), F.lit("Medium")), (F.col("s_suppkey") % 3 + 1).cast("int"))
+        .alias("shop_focus_level"),
+    )
+
+
+def shop_sheet(spark: SparkSession, sf: str) -> DataFrame:
+    """Shop sheet with rows that carry no code."""
+    key = F.col("s_suppkey")
+    return table(spark, sf, "supplier").select(
+        F.when(key % 7 == 0, "").when(key % 7 != 1, F.concat(F.lit("S"), F.col("s_nationkey").cast("string"))).alias("shopcode"),
+        F.col("s_name").alias("shopname"),
     )
-    return part(0, "Low").unionByName(part(60, "High"))
 
 
 def predicted_scores(spark: SparkSession, sf: str) -> DataFrame:

@@ -40,26 +40,34 @@ def _value_counts(df: DataFrame, group: list[str], value: str) -> DataFrame:
     )
 
 
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+SUMMARY = ["count", "mean", "std", "min", *QUARTILES, "max"]
+
+
+def weighted_summary(value: Column, freq: Column) -> dict[str, Column]:
+    """count, mean, std, min, 25/50/75 %, max of ``value`` repeated ``freq`` times; null values add nothing."""
+    n = F.when(value.isNotNull(), freq)
+    total, first, second = F.sum(n), F.sum(value * n), F.sum(value * value * n)
+    spread = F.greatest(second - first * first / total, F.lit(0.0))
+    points = F.percentile(value, F.array(*[F.lit(p) for p in QUARTILES.values()]), F.coalesce(n, F.lit(0)))
+    return {
+        "count": total,
+        "mean": first / total,
+        "std": F.sqrt(F.try_divide(spread, (total - 1).cast("double"))),
+        "min": F.min(value),
+        **{name: points[i] for i, name in enumerate(QUARTILES)},
+        "max": F.max(value),
+    }
+
+
 def describe(df: DataFrame, group: list[str], value: str) -> DataFrame:
-    """count, mean, std, min, 25/50/75 %, max per group.
+    """Distribution summary per group.
 
     Meant for whole days or minutes: the percentile buffer holds one entry per
     distinct value, however many rows carry it.
     """
-    n, v = F.col("__n"), F.col("__v")
-    total = F.sum(n)
-    mean = F.sum(v * n) / total
-    spread = F.sum(v * v * n) - F.sum(v * n) * F.sum(v * n) / total
-    stats = _value_counts(df, group, value).groupBy(*group).agg(
-        total.alias("count"),
-        mean.alias("mean"),
-        F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), (total - 1).cast("double"))).alias("std"),
-        F.min(v).alias("min"),
-        F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), n).alias("__q"),
-        F.max(v).alias("max"),
-    )
-    q = F.col("__q")
-    return stats.select(*group, "count", "mean", "std", "min", q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), "max")
+    summary = weighted_summary(F.col("__v"), F.col("__n"))
+    return _value_counts(df, group, value).groupBy(*group).agg(*[c.alias(name) for name, c in summary.items()])
 
 
 def outlier_fence(df: DataFrame, group: list[str], value: str, reach: float = 1.5) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions.dates import as_date
 from ..functions.numbers import ratio
-from ..operators.aggregates import describe
+from ..operators.aggregates import SUMMARY, describe, weighted_summary
 from ..operators.crosstab import ALL, SEPARATOR, crosstab_long, crosstab_wide
 from .alerts import in_alert_month
 
@@ -128,13 +128,11 @@ def _stacked_cells(base: DataFrame, as_of: dt.date | str) -> DataFrame:
     known = conditions(as_of)
     entries = []
     for number, name in enumerate(SECTIONS, start=1):
-        if name == RESPONSE_DAYS:
-            continue
-        spec = TABS[name]
-        keys = [F.col(c) for c in [*spec.index, *spec.columns]]
+        # The response-day section counts contracts per day; its summary is taken from those counts.
+        spec = TABS.get(name, Tab(["warningcontent"], ["last_warning_response_day"], [MONTH, RESPONDED_ONLY]))
         complete = _test(spec, known)
-        for key in keys:
-            complete = complete & key.isNotNull()
+        for key in [*spec.index, *spec.columns]:
+            complete = complete & F.col(key).isNotNull()
         entry = F.struct(
             F.lit(number).alias("section_no"),
             F.concat_ws(SEPARATOR, *[F.col(c).cast("string") for c in spec.index]).alias("row_key"),
@@ -147,50 +145,50 @@ def _stacked_cells(base: DataFrame, as_of: dt.date | str) -> DataFrame:
     )
 
 
+def _sections(test) -> list[int]:
+    return [n for n, name in enumerate(SECTIONS, start=1) if name in TABS and test(TABS[name])]
+
+
 def alert_report(base: DataFrame, as_of: dt.date | str) -> DataFrame:
     """All report sections in long form: section, as-of, row key, column key, measure, value."""
-    numbered = list(enumerate(SECTIONS, start=1))
-    with_margins = [n for n, name in numbered if name != RESPONSE_DAYS and TABS[name].margins]
-    with_count = [n for n, name in numbered if name != RESPONSE_DAYS and TABS[name].count]
-    with_amount = [n for n, name in numbered if name != RESPONSE_DAYS and TABS[name].amount]
-    section, row, col = F.col("section_no"), F.col("row_key"), F.col("col_key")
-    row_total, col_total = F.grouping("row_key"), F.grouping("col_key")
-    cells = (
+    section, measure = F.col("section_no"), F.col("measure")
+    in_summary = section == SECTIONS.index(RESPONSE_DAYS) + 1
+    row_total, col_total = F.col("row_total") == 1, F.col("col_total") == 1
+    summary = weighted_summary(F.col("days"), F.col("pawn_count"))
+    totals = (
         _stacked_cells(base, as_of)
+        .withColumn("days", F.when(in_summary, F.col("col_key").cast("double")))
         .groupingSets(
             [["section_no", "row_key", "col_key"], ["section_no", "row_key"], ["section_no", "col_key"], ["section_no"]],
             "section_no", "row_key", "col_key",
         )
-        .agg(F.sum("pawn_count").cast("double").alias("pawn_count"), F.sum("balance").cast("double").alias("balance"),
-             row_total.alias("row_total"), col_total.alias("col_total"))
-        .where(((F.col("row_total") + F.col("col_total")) == 0) | section.isin(with_margins))
-        .select(
-            section,
-            F.when(F.col("row_total") == 1, F.lit(ALL)).otherwise(row).alias("row_key"),
-            F.when(F.col("col_total") == 1, F.lit(ALL)).otherwise(col).alias("col_key"),
-            "pawn_count",
-            "balance",
-        )
-        .unpivot(["section_no", "row_key", "col_key"], ["pawn_count", "balance"], "measure", "value")
-        .where(
-            ((F.col("measure") == "pawn_count") & section.isin(with_count))
-            | ((F.col("measure") == "balance") & section.isin(with_amount))
+        .agg(
+            F.grouping("row_key").alias("row_total"),
+            F.grouping("col_key").alias("col_total"),
+            F.sum("pawn_count").cast("double").alias("pawn_count"),
+            F.sum("balance").cast("double").alias("balance"),
+            *[c.cast("double").alias(name) for name, c in summary.items()],
         )
     )
-    stats = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    summary = response_days(base, as_of).select(
-        F.lit(SECTIONS.index(RESPONSE_DAYS) + 1).alias("section_no"),
-        F.col("warningcontent").alias("row_key"),
-        F.lit("last_warning_response_day").alias("col_key"),
-        *[F.col(s).cast("double").alias(s) for s in stats],
-    ).unpivot(["section_no", "row_key", "col_key"], stats, "measure", "value")
-    title = F.element_at(F.array(*[F.lit(name) for name in SECTIONS]), F.col("section_no"))
-    return cells.unionByName(summary).select(
-        "section_no",
-        title.alias("section_title"),
-        F.lit(as_date(as_of).strftime("%d-%m-%Y")).alias("as_of"),
-        "row_key",
-        "col_key",
-        "measure",
-        "value",
+    measures = ["pawn_count", "balance", *SUMMARY]
+    plain = (~row_total & ~col_total) | section.isin(_sections(lambda t: t.margins))
+    wanted = (
+        (plain & (measure == "pawn_count") & section.isin(_sections(lambda t: t.count)))
+        | (plain & (measure == "balance") & section.isin(_sections(lambda t: t.amount)))
+        | (in_summary & ~row_total & col_total & measure.isin(SUMMARY))
+    )
+    title = F.element_at(F.array(*[F.lit(name) for name in SECTIONS]), section)
+    return (
+        totals.unpivot(["section_no", "row_key", "col_key", "row_total", "col_total"], measures, "measure", "value")
+        .where(wanted)
+        .select(
+            "section_no",
+            title.alias("section_title"),
+            F.lit(as_date(as_of).strftime("%d-%m-%Y")).alias("as_of"),
+            F.when(row_total, F.lit(ALL)).otherwise(F.col("row_key")).alias("row_key"),
+            F.when(in_summary, F.lit("last_warning_response_day")).when(col_total, F.lit(ALL))
+            .otherwise(F.col("col_key")).alias("col_key"),
+            "measure",
+            "value",
+        )
     )
