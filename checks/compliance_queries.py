@@ -274,8 +274,9 @@ SQL = {
     "car_title_features": query(
         f"SELECT * REPLACE ({_TEXT_DATES}) FROM features WHERE category_name = 'Đăng ký Ô tô'", features=_FEATURES),
     "scorecard": query(
-        f"SELECT * REPLACE ({_TEXT_DATES}, CAST(package_from_date AS VARCHAR) AS package_from_date, "
+        f"SELECT * REPLACE ({_TEXT_DATES.rsplit(', round', 1)[0]}, CAST(package_from_date AS VARCHAR) AS package_from_date, "
         "CAST(package_to_date AS VARCHAR) AS package_to_date, round(customer_score, 6) AS customer_score, "
+        "CAST(round(CAST(net_disbur AS DECIMAL(18,8)), 6) AS DOUBLE) AS net_disbur, "
         "round(shop_checked_rate, 6) AS shop_checked_rate, round(average_nums_checked_pawn, 6) AS average_nums_checked_pawn, "
         "round(total_score, 6) AS total_score) FROM scored", **_CTES),
     "audit_sample": query(_AUDIT, **_CTES),

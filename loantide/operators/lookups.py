@@ -74,15 +74,9 @@ def bin_lookup(
     range as residual test. Without it every row is tested against the few
     global bins in place. ``bins`` must be a checked, bounded table.
     """
-    helpers, test, renamed = bin_test(bins, value, equal or {}, "bin", low, high)
-    return fact.join(F.broadcast(renamed), test, how).drop(*helpers)
-
-
-def bin_test(bins: DataFrame, value: Column, equal: dict[str, str], tag: str, low: str = "min_value",
-             high: str = "max_value") -> tuple[list[str], Column, DataFrame]:
-    """Helper column names, join test and renamed bins; distinct tags allow many look-ups in a row."""
-    names = {low: f"__{tag}_low", high: f"__{tag}_high"}
-    names |= {right: f"__{tag}_key{i}" for i, right in enumerate(equal.values())}
+    equal = equal or {}
+    names = {low: "__low", high: "__high"} | {right: f"__key{i}" for i, right in enumerate(equal.values())}
     tests = [F.col(left) == F.col(names[right]) for left, right in equal.items()]
-    tests += [value >= F.col(names[low]), value < F.col(names[high])]
-    return list(names.values()), reduce(lambda a, b: a & b, tests), bins.withColumnsRenamed(names)
+    tests += [value >= F.col("__low"), value < F.col("__high")]
+    joined = fact.join(F.broadcast(bins.withColumnsRenamed(names)), reduce(lambda a, b: a & b, tests), how)
+    return joined.drop(*names.values())

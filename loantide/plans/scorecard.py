@@ -1,7 +1,8 @@
-"""Risk score-card: categorical and numeric bins per field, looked up and summed.
+"""Risk score-card: categorical and numeric lines per field, looked up and summed.
 
-The cards are small checked tables, so each of the 15 look-ups is a broadcast
-join inside one stage: scoring adds no shuffle however many contracts there are.
+The cards are small checked tables. They are laid out as one row per category
+that holds the lines of all 15 fields, so scoring is a single broadcast join and
+a projection: no shuffle, however many contracts there are.
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions.numbers import millions
 from ..functions.text import blank_to_null
-from ..operators.lookups import LookupTooLarge, bin_test, bounded
+from ..operators.lookups import LookupTooLarge, bounded
+from ..operators.sets import with_costly_column
 
 MAX_CARD_ROWS = 10_000
-FIELDS = fv.CATEGORICAL_FIELDS + fv.GLOBAL_NUMERIC_FIELDS + fv.CATEGORY_NUMERIC_FIELDS
-NUMERIC = "categoryname string, field_check string, min_value double, max_value double, package_name string, risk_score double"
-CATEGORICAL = "categoryname string, field_check string, value string, risk_score double"
+NUMERIC_FIELDS = fv.GLOBAL_NUMERIC_FIELDS + fv.CATEGORY_NUMERIC_FIELDS
+FIELDS = fv.CATEGORICAL_FIELDS + NUMERIC_FIELDS
+# Columns the score of a field is looked up with, where they are named differently.
+VALUE_OF = {"cus_score": "customer_score", "package_money_range": "net_disbur"}
 
 
 class OverlappingBins(ValueError):
@@ -39,62 +42,65 @@ def _as_float(value) -> float | None:
     return None if value is None else float(value)
 
 
-def prepare_numeric(card: DataFrame) -> DataFrame:
-    """Numeric card with its open bin ends and missing packages filled; overlapping bins are refused."""
-    lines, groups = [], defaultdict(list)
+def numeric_lines(card: DataFrame) -> dict[tuple[str, str], list[tuple]]:
+    """(low, high, package, score) lines per field and category, open ends filled; overlaps are refused."""
+    lines, bins = defaultdict(list), defaultdict(list)
     for row in _card_rows(card):
-        floor, ceiling = fv.OPEN_BIN_ENDS.get(row["field_check"], (None, None))
+        field, category = row["field_check"], row["categoryname"]
+        floor, ceiling = fv.OPEN_BIN_ENDS.get(field, (None, None))
         low = floor if row["min_value"] is None else float(row["min_value"])
         high = ceiling if row["max_value"] is None else float(row["max_value"])
-        package = (row["package_name"] or fv.ORDINARY_LOAN) if row["field_check"] == "processing_minute" else None
-        lines.append((row["categoryname"], row["field_check"], low, high, package, _as_float(row["risk_score"])))
+        package = (row["package_name"] or fv.ORDINARY_LOAN) if field == "processing_minute" else None
+        lines[field, category].append((low, high, package, _as_float(row["risk_score"])))
         if low is not None and high is not None:
-            groups[row["field_check"], row["categoryname"], package].append((low, high))
-    for group, bins in groups.items():
-        bins.sort()
-        if any(reach > start for (_, reach), (start, _) in zip(bins, bins[1:])):
+            bins[field, category, package].append((low, high))
+    for group, spans in bins.items():
+        spans.sort()
+        if any(reach > start for (_, reach), (start, _) in zip(spans, spans[1:])):
             raise OverlappingBins(f"overlapping bins in {group}")
-    return card.sparkSession.createDataFrame(lines, NUMERIC)
+    return lines
 
 
-def prepare_categorical(card: DataFrame) -> DataFrame:
-    """One score per value, the highest when lines repeat; only the term range is kept per category."""
+def categorical_lines(card: DataFrame) -> dict[tuple[str, str | None], list[tuple]]:
+    """(value, score) lines per field, the highest score when a value repeats; the term range keeps its category."""
     best: dict[tuple, float | None] = {}
     for row in _card_rows(card):
         category = row["categoryname"] if row["field_check"] == "package_time_range" else None
-        key, score = (category, row["field_check"], row["value"]), _as_float(row["risk_score"])
+        key, score = (row["field_check"], category, row["value"]), _as_float(row["risk_score"])
         known = best.get(key)
         best[key] = score if known is None else max(known, score if score is not None else known)
-    return card.sparkSession.createDataFrame([(*key, score) for key, score in best.items()], CATEGORICAL)
-
-
-def _score_name(field: str) -> str:
-    return f"{field}_risk_score"
-
-
-def _categorical(rows: DataFrame, card: DataFrame, field: str) -> DataFrame:
-    value, category = f"__{field}_value", f"__{field}_category"
-    scores = card.where(F.col("field_check") == field).select(
-        F.col("categoryname").alias(category), F.col("value").alias(value), F.col("risk_score").alias(_score_name(field))
-    )
-    # Null-safe: a blank line of the card scores contracts without a value.
-    test = F.col(field).eqNullSafe(F.col(value))
-    if field == "package_time_range":
-        test = test & (F.col("category_name") == F.col(category))
-    return rows.join(F.broadcast(scores), test, "left")
-
-
-def _numeric(rows: DataFrame, card: DataFrame, field: str, value: Column) -> DataFrame:
-    everywhere = field in fv.GLOBAL_NUMERIC_FIELDS
-    lines = card.where((F.col("field_check") == field) & ((F.col("categoryname") == fv.ALL_CATEGORIES) == everywhere))
-    equal = {} if everywhere else {"category_name": "categoryname"}
-    if field == "processing_minute":
-        equal["package_name"] = "package"
-    columns = ["min_value", "max_value", F.col("risk_score").alias(_score_name(field))]
-    columns += ["categoryname"] if equal else []
-    columns += [F.col("package_name").alias("package")] if len(equal) == 2 else []
-    _, test, bins = bin_test(lines.select(*columns), value, equal, field)
-    return rows.join(F.broadcast(bins), test)
+    lines = defaultdict(list)
+    for (field, category, value), score in best.items():
+        lines[field, category].append((value, score))
+    return lines
+
+
+def card_table(categorical: DataFrame, numeric: DataFrame) -> DataFrame:
+    """One row per category of the numeric card with the lines of every field."""
+    values, bins = categorical_lines(categorical), numeric_lines(numeric)
+    rows = []
+    for name in sorted({c for _, c in bins if c != fv.ALL_CATEGORIES}):
+        lines = [values[f, name if f == "package_time_range" else None] for f in fv.CATEGORICAL_FIELDS]
+        lines += [bins[f, fv.ALL_CATEGORIES] for f in fv.GLOBAL_NUMERIC_FIELDS]
+        lines += [bins[f, name] for f in fv.CATEGORY_NUMERIC_FIELDS]
+        rows.append((name, *lines))
+    kinds = {f: "array<struct<value:string,score:double>>" for f in fv.CATEGORICAL_FIELDS}
+    kinds |= {f: "array<struct<low:double,high:double,package:string,score:double>>" for f in NUMERIC_FIELDS}
+    schema = ["category_name string", *[f"{f}_lines {kinds[f]}" for f in FIELDS]]
+    return numeric.sparkSession.createDataFrame(rows, ", ".join(schema))
+
+
+def _hit(field: str) -> Column:
+    """The line of the field that the contract falls on, or null."""
+    value = VALUE_OF.get(field, field)
+    if field in fv.CATEGORICAL_FIELDS:
+        # Null-safe: a blank line of the card scores contracts without a value.
+        test = f"l.value <=> {value}"
+    else:
+        test = f"{value} >= l.low AND {value} < l.high"
+        if field == "processing_minute":
+            test += " AND l.package = package_name"
+    return F.expr(f"get(filter({field}_lines, l -> {test}), 0)").alias(field)
 
 
 def scorecard(features: DataFrame, categorical: DataFrame, numeric: DataFrame, focus_packages: DataFrame,
@@ -115,16 +121,17 @@ def scorecard(features: DataFrame, categorical: DataFrame, numeric: DataFrame, f
         "net_disbur": millions(F.col("net_disbur")),
         "nums_day_in_month": F.coalesce("nums_day_in_month", F.dayofmonth("extract_date")),
     })
-    categorical, numeric = prepare_categorical(categorical), prepare_numeric(numeric)
-    for field in fv.CATEGORICAL_FIELDS:
-        rows = _categorical(rows, categorical, field)
-    source = {"cus_score": "customer_score", "package_money_range": "net_disbur"}
-    for field in fv.GLOBAL_NUMERIC_FIELDS + fv.CATEGORY_NUMERIC_FIELDS:
-        rows = _numeric(rows, numeric, field, F.col(source.get(field, field)))
-    packages = bounded(focus_packages, MAX_CARD_ROWS).drop("package_name")
+    facts = rows.columns
+    rows = rows.join(F.broadcast(card_table(categorical, numeric)), "category_name")
+    rows = with_costly_column(rows, "hits", F.struct(*[_hit(f) for f in FIELDS]))
+    rows = rows.where(reduce(lambda a, b: a & b, [F.col(f"hits.{f}").isNotNull() for f in NUMERIC_FIELDS]))
     # Focus packages are attached to motorbike titles only.
+    packages = bounded(focus_packages, MAX_CARD_ROWS).drop("package_name")
     titled = F.when(name == fv.BIKE_TITLE, blank_to_null(F.col("packagecode")))
-    rows = rows.join(packages, titled == F.col("package_code"), "left")
-    total = reduce(lambda a, b: a + b, [F.coalesce(_score_name(f), F.lit(0.0)) for f in FIELDS])
-    kept = [F.col(c) for c in rows.columns if not c.startswith("__")]
-    return rows.select(*kept, total.alias("total_score"))
+    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"hits.{f}.score"), F.lit(0.0)) for f in FIELDS])
+    return rows.join(packages, titled == F.col("package_code"), "left").select(
+        *facts,
+        *[F.col(f"hits.{f}.score").alias(f"{f}_risk_score") for f in FIELDS],
+        *packages.columns,
+        total.alias("total_score"),
+    )
