@@ -70,23 +70,22 @@ def previous_row(
     if slice_by is None:
         return df.withColumn(output, F.lag(packed).over(W.partitionBy(*keys).orderBy(*order)))
 
-    sliced = df.withColumn("__slice", slice_by)
-    within = W.partitionBy(*keys, "__slice").orderBy(*order)
-    ranked = sliced.withColumn("__previous", F.lag(packed).over(within))
-    tails = sliced if tails_of is None else tails_of.withColumn("__slice", slice_by)
+    # As a struct the key is never null, so window, aggregate and join share one partitioning.
+    def sliced(frame: DataFrame) -> DataFrame:
+        return frame.withColumns({"__key": F.struct(*keys), "__slice": slice_by})
+
+    ranked = sliced(df).withColumn("__previous", F.lag(packed).over(W.partitionBy("__key", "__slice").orderBy(*order)))
     carried = (
-        tails.groupBy(*keys, "__slice")
+        sliced(df if tails_of is None else tails_of)
+        .groupBy("__key", "__slice")
         .agg(F.max_by(packed, F.struct(*order)).alias("__tail"))
-        .withColumn("__carried", F.lag("__tail").over(W.partitionBy(*keys).orderBy("__slice")))
+        .select("__key", "__slice", F.lag("__tail").over(W.partitionBy("__key").orderBy("__slice")).alias("__carried"))
         .where(F.col("__carried").isNotNull())
-        .select(*[F.col(k).alias(f"__key_{k}") for k in keys], F.col("__slice").alias("__key_slice"), "__carried")
     )
-    same_slice = [ranked[k].eqNullSafe(carried[f"__key_{k}"]) for k in keys]
-    same_slice.append(ranked["__slice"] == carried["__key_slice"])
     return (
-        ranked.join(carried, same_slice, "left")
+        ranked.join(carried, ["__key", "__slice"], "left")
         .withColumn(output, F.coalesce("__previous", "__carried"))
-        .drop("__slice", "__previous", "__carried", "__key_slice", *[f"__key_{k}" for k in keys])
+        .drop("__key", "__slice", "__previous", "__carried")
     )
 
 

@@ -30,7 +30,7 @@ def append_log(df: DataFrame, path: str, columns: list[str], keys: list[str] | N
     keys = keys or LOG_KEYS
     (
         reindex(df, columns)
-        .repartition(*keys)
+        .hint("rebalance", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
@@ -43,12 +43,13 @@ def append_rows(df: DataFrame, path: str, columns: list[str]) -> None:
     reindex(df, columns).write.mode("append").parquet(path)
 
 
-def write_snapshot(df: DataFrame, path: str, files_per_day: int = 1) -> None:
-    """Add days to the snapshot table, partitioned by day and spread over files by contract."""
+def write_snapshot(df: DataFrame, path: str) -> None:
+    """Add days to the snapshot table, partitioned by day.
+
+    Rebalancing packs small days into few files and splits large ones over many tasks.
+    """
     (
-        df.withColumn("__file", F.pmod(F.xxhash64("pawnid"), F.lit(files_per_day)))
-        .repartition("created", "__file")
-        .drop("__file")
+        df.hint("rebalance", "created")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("created")
@@ -71,7 +72,7 @@ def write_snapshot_table(df: DataFrame, name: str, buckets: int) -> None:
 def write_report(report: DataFrame, path: str) -> None:
     """A long report, one directory per section."""
     (
-        report.repartition("section_no")
+        report.hint("rebalance", "section_no")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("section_no")

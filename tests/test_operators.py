@@ -37,6 +37,18 @@ def test_previous_row_matches_brute_force(spark, slices):
     assert dict(tuple(r) for r in got.collect()) == brute_previous(data)
 
 
+def test_sliced_previous_row_shuffles_rows_once(spark):
+    df = spark.createDataFrame(history(), "k string, d date, id long, code string")
+    got = latest.previous_row(df, ["k"], ["d", "id"], ["code"], "p", latest.dated_slice("d", "id")).hint("merge")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # rows by (key, slice); tails by (key, slice), then by key, then back to (key, slice)
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
 def test_previous_since_looks_back(spark):
     data = [r for r in history() if r[0] is not None]
     df = spark.createDataFrame(data, "k string, d date, id long, code string")

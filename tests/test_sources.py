@@ -42,7 +42,7 @@ def test_snapshot_days_are_partitions(spark, folder):
     path = f"{folder}/snap"
     days = [dt.date(2020, 6, d) for d in (1, 2, 3)]
     panel = spark.createDataFrame([(d, i) for d in days for i in range(10)], "created date, pawnid long")
-    writers.write_snapshot(panel, path, files_per_day=2)
+    writers.write_snapshot(panel, path)
     writers.write_snapshot(panel.where(F.col("created") == days[2]).limit(4), path)
     stored = readers.read_parquet(spark, path)
     assert stored.count() == 24
