@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 100_000
+MAX_GLOBAL_BINS = 1_000
 
 
 class LookupTooLarge(ValueError):
@@ -59,6 +60,15 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, reduce(lambda a, b: a & b, tests), how).drop(*[f"__key_{key}" for key in keys])
 
 
+def _as_array(bins: DataFrame) -> Column:
+    """The lines of a small table as an array constant; a larger table is refused."""
+    rows = bins.limit(MAX_GLOBAL_BINS + 1).collect()
+    if len(rows) > MAX_GLOBAL_BINS:
+        raise LookupTooLarge(f"more than {MAX_GLOBAL_BINS} global bins")
+    lines = [F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in bins.schema]) for row in rows]
+    return F.array(*lines)
+
+
 def bin_lookup(
     fact: DataFrame,
     bins: DataFrame,
@@ -68,13 +78,18 @@ def bin_lookup(
     low: str = "min_value",
     high: str = "max_value",
 ) -> DataFrame:
-    """Join each row to the bin with low <= value < high.
+    """Join each row to the bins with low <= value < high.
 
     With ``equal`` (fact column -> bin column) the plan is a hash join with the
-    range as residual test. Without it every row is tested against the few
-    global bins in place. ``bins`` must be a checked, bounded table.
+    range as residual test. Without it the few global bins become one array
+    constant and each row picks its own in place, so there is no nested-loop join.
+    ``bins`` must be a checked, bounded table.
     """
-    equal = equal or {}
+    if not equal:
+        fitting = F.filter(_as_array(bins), lambda line: (value >= line[low]) & (value < line[high]))
+        explode = F.explode if how == "inner" else F.explode_outer
+        outputs = [F.col(f"__line.{c}").alias(c) for c in bins.columns if c not in (low, high)]
+        return fact.withColumn("__line", explode(fitting)).select(*fact.columns, *outputs)
     names = {low: "__low", high: "__high"} | {right: f"__key{i}" for i, right in enumerate(equal.values())}
     tests = [F.col(left) == F.col(names[right]) for left, right in equal.items()]
     tests += [value >= F.col("__low"), value < F.col("__high")]

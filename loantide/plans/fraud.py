@@ -143,10 +143,14 @@ def processing_time(processing: DataFrame, thresholds: DataFrame) -> DataFrame:
     judged = processing.where(name.isNull() | ~name.isin(fv.CAR_TITLE, fv.CAR, fv.BIKE, fv.TRACKER)).join(
         thresholds, "category_name", "left"
     )
-    # A row may break both bounds when the thresholds cross; it is then listed once per bound.
-    too_fast = judged.where(minutes <= F.col("lower_threshold")).withColumn("pawn_fraud_group", F.lit(fv.OPENED_TOO_FAST))
-    too_slow = judged.where(minutes >= F.col("upper_threshold")).withColumn("pawn_fraud_group", F.lit(fv.OPENED_TOO_SLOW))
-    return union_all(too_fast, too_slow).withColumn("year_month", yearmonth_text(F.col("extract_date")))
+    # A row breaks both bounds when the thresholds cross; it is then listed once per bound.
+    broken = F.array_compact(F.array(
+        F.when(minutes <= F.col("lower_threshold"), F.lit(fv.OPENED_TOO_FAST)),
+        F.when(minutes >= F.col("upper_threshold"), F.lit(fv.OPENED_TOO_SLOW)),
+    ))
+    return judged.withColumns({
+        "pawn_fraud_group": F.explode(broken), "year_month": yearmonth_text(F.col("extract_date")),
+    })
 
 
 def quick_close(contracts: DataFrame, shops: DataFrame, customers: DataFrame, categories: DataFrame,
