@@ -16,13 +16,13 @@ from ..operators.sets import reindex, with_costly_column
 
 def cash_counts_between(counts: DataFrame, first: dt.date | str, last: dt.date | str) -> DataFrame:
     """Counts of the days with the sign of their difference; words are counted before punctuation goes."""
-    reason = joined_lower(F.col("not_minus"), F.col("note_add"))
     difference = rules.first_match(
         [(F.col("diff") < -fv.CASH_TOLERANCE, fv.CASH_SURPLUS), (F.col("diff") > fv.CASH_TOLERANCE, fv.CASH_SHORTAGE)],
         fv.OK,
     )
     counted = counts.where((F.col("created") >= day(first)) & (F.col("created") < day_offset(last, 1)))
-    return with_costly_column(counted, "stripped", strip_punctuation(reason)).select(
+    worded = with_costly_column(counted, "reason", joined_lower(F.col("not_minus"), F.col("note_add")))
+    return with_costly_column(worded, "stripped", strip_punctuation(F.col("reason"))).select(
         F.to_date("created").alias("ext_date"),
         F.col("created").alias("last_count_time"),
         "shop",
@@ -31,7 +31,7 @@ def cash_counts_between(counts: DataFrame, first: dt.date | str, last: dt.date |
         "diff",
         F.col("stripped").alias("diff_reason"),
         difference.alias("diff_type"),
-        word_count(reason).alias("reason_length"),
+        word_count(F.col("reason")).alias("reason_length"),
     )
 
 
@@ -43,19 +43,16 @@ def cash_count_check(counts: DataFrame, limits: DataFrame, first: dt.date | str,
     """
     checked = cash_counts_between(counts, first, last or first).join(limits.select("shop", "limit_amt"), "shop", "left")
     reason, length = F.col("diff_reason"), F.col("reason_length")
-    flagged = checked.withColumns({
-        "limit_check": rules.flag(
-            F.col("actual_count_amt") > F.col("limit_amt") + F.lit(allowance), fv.OVER_CASH_LIMIT, fv.OK
-        ),
-        "diff_reason_check": rules.last_match(
-            [
-                ((length < fv.REASON_MIN_WORDS) & (F.col("diff_type") != fv.OK), fv.REASON_MISSING),
-                (has_any(reason, fv.UNCLEAR_WORDS) | (length >= fv.REASON_MAX_WORDS), fv.REASON_UNCLEAR),
-                (has_any(reason, fv.UNKNOWN_WORDS), fv.REASON_UNKNOWN),
-            ],
-            fv.OK,
-        ),
-    })
+    over = rules.flag(F.col("actual_count_amt") > F.col("limit_amt") + F.lit(allowance), fv.OVER_CASH_LIMIT, fv.OK)
+    explanation = rules.last_match(
+        [
+            ((length < fv.REASON_MIN_WORDS) & (F.col("diff_type") != fv.OK), fv.REASON_MISSING),
+            (has_any(reason, fv.UNCLEAR_WORDS) | (length >= fv.REASON_MAX_WORDS), fv.REASON_UNCLEAR),
+            (has_any(reason, fv.UNKNOWN_WORDS), fv.REASON_UNKNOWN),
+        ],
+        fv.OK,
+    )
+    flagged = with_costly_column(checked.withColumn("limit_check", over), "diff_reason_check", explanation)
     return reindex(
         flagged.where((F.col("diff_reason_check") != fv.OK) | (F.col("limit_check") != fv.OK)), fv.TREASURY_COLUMNS
     )
