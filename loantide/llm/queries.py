@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, licenses, sharding
+from . import bpe, chat, decontamination, extraction, licenses, sharding, toxicity
 from .common import map_arrow
 
 #: Fixed rows that the chat query adds to its table.
@@ -74,6 +74,19 @@ def bpe_digest(docs: DataFrame, vocabulary: str) -> DataFrame:
     )
 
 
+def op4_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    pages = extraction.extract(table(spark, sf, "pages"), ["page_id", "url"])
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    scored = toxicity.score(docs, ["doc_id"], toxicity.train(docs, table(spark, sf, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), ["doc_id"])
     return found.select("doc_id", "n_words", decontamination.n_hit().alias("n_hit"), "item_ids").select(
@@ -91,6 +104,8 @@ QUERIES = {
     "op1_chat": op1_chat,
     "op2_license": op2_license,
     "op3_bpe": op3_bpe,
+    "op4_extraction": op4_extraction,
+    "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
 }
