@@ -16,15 +16,16 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import map_arrow
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 120_000
 WIDEST = 128
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 NO_RANK = np.int32(2**31 - 1)
 
 #: Character classes of the pattern below U+0100, where the standard module gives the same matches and is faster.
@@ -169,8 +170,8 @@ class Encoder:
             if not width:
                 cache.update((w, self.vocabulary.merge_long(w.encode())) for w in words)
                 continue
-            for k in range(0, len(words), 20_000):
-                part = words[k : k + 20_000]
+            for k in range(0, len(words), 4_000):
+                part = words[k : k + 4_000]
                 cache.update(zip(part, self.vocabulary.merge_matrix([w.encode() for w in part]), strict=True))
         return [b"".join(map(cache.__getitem__, words)) for words in cut]
 
@@ -193,16 +194,16 @@ def _encoder(rank_file: bytes, pattern: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def blocks_of(texts: Sequence[str], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of at most ``limit`` characters, or of one longer text."""
+def blocks_of(sizes: Sequence[int], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most ``limit`` bytes in all, or of one longer row."""
     start, held = 0, 0
-    for k, text in enumerate(texts):
-        if held and held + len(text) > limit:
+    for k, size in enumerate(sizes):
+        if held and held + size > limit:
             yield start, k
             start, held = k, 0
-        held += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def encode(df: DataFrame, keys: list[str], text: str, vocabulary: str, pattern: str = GPT_PATTERN) -> DataFrame:
@@ -218,10 +219,10 @@ def encode(df: DataFrame, keys: list[str], text: str, vocabulary: str, pattern:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(keys)).to_pylist()]
-            for a, b in blocks_of(texts):
-                ids = pa.array(encoder.encode(texts[a:b]), pa.binary())
+            sizes = pc.fill_null(pc.binary_length(batch.column(len(keys))), 0).to_pylist()
+            for a, b in blocks_of(sizes):  # a block at a time becomes Python objects
                 part = batch.slice(a, b - a)
+                ids = pa.array(encoder.encode([t or "" for t in part.column(len(keys)).to_pylist()]), pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keys)], ids], names=[*keys, "ids"])
 
     schema = T.StructType([*(df.schema[k] for k in keys), T.StructField("ids", T.BinaryType())])
@@ -236,8 +237,11 @@ def decode(df: DataFrame, keys: list[str], vocabulary: str, ids: str = "ids") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, GPT_PATTERN)
         for batch in batches:
-            decoded = pa.array([encoder.decode(x) for x in batch.column(len(keys)).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*keys, ids, "decoded"])
+            sizes = pc.fill_null(pc.binary_length(batch.column(len(keys))), 0).to_pylist()
+            for a, b in blocks_of(sizes):
+                part = batch.slice(a, b - a)
+                decoded = pa.array([encoder.decode(x) for x in part.column(len(keys)).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*keys, ids, "decoded"])
 
     schema = T.StructType([*(df.schema[k] for k in keys), T.StructField(ids, T.BinaryType()), T.StructField("decoded", T.BinaryType())])
     return map_arrow(df.select(*keys, ids), run, schema)
