@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, extraction, licenses, sharding, toxicity
+from . import bpe, chat, decontamination, extraction, licenses, sharding, substrings, toxicity
 from .common import map_arrow
 
 #: Fixed rows that the chat query adds to its table.
@@ -100,6 +100,11 @@ def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.place(table(spark, sf, "documents").select("doc_id"), "doc_id", SHARDS).select("doc_id", "slot", "shard")
 
 
+def op10_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    left = substrings.remove_repeats(table(spark, sf, "documents"), ["doc_id"])
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_license": op2_license,
@@ -108,6 +113,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op10_substrings": op10_substrings,
 }
 
 
@@ -178,6 +184,17 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
 
 
+_SUBSTRINGS_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, p, md5(array_to_string(w[p:p + {substrings.WINDOW - 1}], ' ')) AS h
+      FROM (SELECT r, w, unnest(range(1, len(w) - {substrings.WINDOW - 2})) AS p FROM d)),
+again AS (SELECT h FROM s GROUP BY h HAVING count(*) > 1),
+hit AS (SELECT r, list_sort(list_distinct(flatten(list(range(p, p + {substrings.WINDOW}))))) AS gone FROM s JOIN again USING (h) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(gone, k)), lambda k: w[k]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN hit USING (r)"""
+
+
 def _sharding_sql() -> str:
     slots = ",".join(map(str, sharding.fill_table(SHARDS)))
     return f"""
@@ -191,4 +208,5 @@ SQL = {
     "op2_license": _license_sql(),
     "op6_decontamination": _DECONTAMINATION_SQL,
     "op7_sharding": _sharding_sql(),
+    "op10_substrings": _SUBSTRINGS_SQL,
 }
