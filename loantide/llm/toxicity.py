@@ -27,7 +27,7 @@ from .common import map_arrow
 
 ORDER, SPAN, DECAY = 4, 7, 0.6
 #: Bounds of the training sample, in documents: taken in order of a hash, so the sample is the same in every run.
-TOXIC_ROWS, CLEAN_ROWS = 1_000, 2_000
+TOXIC_ROWS, CLEAN_ROWS = 1_000, 1_500
 LANDMARKS = 160
 THRESHOLD = 0.7
 CACHE_ENTRIES = 500_000
@@ -86,8 +86,8 @@ def _by_length(words: Iterable[str]) -> Iterator[list[str]]:
         if len(w) >= ORDER:
             groups.setdefault(len(w), []).append(w)
     for group in groups.values():
-        for k in range(0, len(group), 5_000):
-            yield group[k : k + 5_000]
+        for k in range(0, len(group), 1_000):
+            yield group[k : k + 1_000]
 
 
 def _norms(codes: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -142,9 +142,9 @@ class Features:
         at, place, row = at[real], place[real], row[real]
         if not len(at):
             return np.empty(0, np.int64), np.empty((0, self.table.shape[1]))
-        which, slot = np.unique(at, return_inverse=True)
-        kernel = np.zeros((len(which), self.table.shape[1]))
-        np.add.at(kernel, slot, self.table[row] * weight[place][:, None])
+        first = np.flatnonzero(np.diff(at, prepend=-1))  # hits come word by word
+        which = at[first]
+        kernel = np.add.reduceat(self.table[row] * weight[place][:, None], first, axis=0)
         return which, kernel / _norms(codes[which], weight)[:, None]
 
 
@@ -252,23 +252,25 @@ def fit(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMARKS
     negative = sorted(close, key=lambda w: (-close[w], w))[: landmarks - len(positive)]
     features = Features([*positive, *negative])
 
-    def vectors(words: Iterable[str]) -> tuple[list[str], np.ndarray]:
+    def vectors(words: Iterable[str], least: float = 0.0) -> tuple[list[str], np.ndarray]:
+        """Kernels of the words that have ``least`` with some positive landmark; below it they count as words without any."""
         names, rows = [], []
         for group in _by_length(sorted(words)):
             which, kernel = features.of(group)
-            names += [group[k] for k in which.tolist()]
-            rows.append(kernel)
+            near = kernel[:, : len(positive)].max(1, initial=0.0) >= least
+            names += [group[k] for k in which[near].tolist()]
+            rows.append(kernel[near])
         return names, np.vstack(rows) if rows else np.empty((0, features.table.shape[1]))
 
     own_names, own = vectors([*positive, *negative])
     gram = own[[own_names.index(w) for w in [*positive, *negative]]]
     values, basis = np.linalg.eigh((gram + gram.T) / 2)
     root = basis @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ basis.T  # inverse square root: Nyström features
-    clean_names, clean_x = vectors(common)
-    if len(clean_names) > 40_000:  # the closest ones decide the margin
-        top = np.argsort(-clean_x[:, : len(positive)].max(1), kind="stable")[:40_000]
-        clean_x = clean_x[top]
-    toxic_names, toxic_x = vectors({w for words in toxic for w in words})
+    # The closest clean words decide the margin.
+    least = max(0.05, sorted(close.values(), reverse=True)[:12_000][-1]) if close else 0.05
+    _, clean_x = vectors(common, least)
+    clean_x = clean_x[:20_000]
+    toxic_names, toxic_x = vectors({w for words in toxic for w in words}, least)
     at = {w: k for k, w in enumerate(toxic_names)}
     z0, z1 = clean_x @ root, toxic_x @ root
     zero = np.zeros((1, z0.shape[1]))
