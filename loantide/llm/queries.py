@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, extraction, licenses, sharding, substrings, toxicity
+from . import bpe, chat, decontamination, extraction, licenses, neardup, sharding, substrings, toxicity, vectors
 from .common import map_arrow
 
 #: Fixed rows that the chat query adds to its table.
@@ -100,9 +100,19 @@ def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.place(table(spark, sf, "documents").select("doc_id"), "doc_id", SHARDS).select("doc_id", "slot", "shard")
 
 
+def op8_neardup(spark: SparkSession, sf: str) -> DataFrame:
+    found = neardup.classes(table(spark, sf, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+def op9_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.link_vectors(table(spark, sf, "embeddings"))
+
+
 def op10_substrings(spark: SparkSession, sf: str) -> DataFrame:
     left = substrings.remove_repeats(table(spark, sf, "documents"), ["doc_id"])
-    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    line = F.trim(F.regexp_replace(F.coalesce("kept", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(line, 256).alias("kept_sha256"))
 
 
 QUERIES = {
@@ -113,6 +123,8 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op8_neardup": op8_neardup,
+    "op9_vectors": op9_vectors,
     "op10_substrings": op10_substrings,
 }
 
@@ -195,6 +207,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_re
 FROM d LEFT JOIN hit USING (r)"""
 
 
+_VECTORS_SQL = f"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+g AS (SELECT r, vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v
+      WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+l AS (SELECT a.r AS a, b.r AS b, a.vec_id AS ida, b.vec_id AS idb FROM g a JOIN g b ON a.r <> b.r AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= {vectors.SIMILARITY}),
+reach AS (SELECT r AS a, r AS b FROM v UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+c AS (SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY reach.a),
+n AS (SELECT a AS r, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c USING (r) LEFT JOIN n USING (r)"""
+
+
 def _sharding_sql() -> str:
     slots = ",".join(map(str, sharding.fill_table(SHARDS)))
     return f"""
@@ -208,5 +232,6 @@ SQL = {
     "op2_license": _license_sql(),
     "op6_decontamination": _DECONTAMINATION_SQL,
     "op7_sharding": _sharding_sql(),
+    "op9_vectors": _VECTORS_SQL,
     "op10_substrings": _SUBSTRINGS_SQL,
 }

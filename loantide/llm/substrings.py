@@ -225,9 +225,10 @@ def _classed(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
 def remove_repeats(
     docs: DataFrame, keys: list[str], text: str = "text", window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP
 ) -> DataFrame:
-    """``keys``, n_words, n_removed and kept (the words left, joined by one space) for each row.
+    """``keys``, n_words, n_removed and kept (the text left) for each row.
 
-    Null and empty texts, and texts of fewer words than the window, lose nothing. Repeated rows are copies of each other and
+    A text that loses nothing comes back as it is, null included; of others the words left are joined by one space. Null and
+    empty texts, and texts of fewer words than the window, lose nothing. Repeated rows are copies of each other and
     lose every word if they reach the window; null keys come back as they are; other columns are not read. Windows are judged
     on the input. Rows of equal text are one class: a task sends them on at most twice.
     """
@@ -262,7 +263,7 @@ def remove_repeats(
                         at = max(at, stop)
                     left += words[at:]
                     removed.append(len(words) - len(left))
-                    kept.append(b" ".join(left).decode())
+                    kept.append(b" ".join(left).decode() if own else value)
                 columns = [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n], *columns], names=[*keys, "n_words", "n_removed", "kept"])
 
