@@ -39,24 +39,14 @@ def focus_shops(spark, sf):
     return compliance.focus_shops(V.focus_shops(spark, sf), AS_OF)
 
 
-def mean_score(spark, sf):
-    """Mean score over the scored contracts, from the few columns it needs."""
-    contracts = V.contract_core(spark, sf).where(
-        F.col("fromdate").between(F.lit(FIRST).cast("date"), F.lit(LAST).cast("date"))
-        & F.col("status").isin(fv.NEW_CONTRACT_STATUSES)
-        & ~F.col("categoryname").isin(fv.CAR_TITLE, fv.CAR)
-    ).select("customerid")
-    latest = compliance.latest_scores(V.customer_scores(spark, sf), contracts, LAST)
-    return contracts.join(latest, "customerid").select(F.avg("customer_score")).scalar()
-
-
 def scored(spark, sf):
     rows = compliance.with_shop_facts(
         features(spark, sf), V.shops(spark, sf), V.shop_info(spark, sf), focus_shops(spark, sf),
         shop_check_history(spark, sf), V.predicted_scores(spark, sf),
     )
     return scorecard.scorecard(rows, V.categorical_card(spark), V.numeric_card(spark),
-                               compliance.focus_packages(V.focus_packages(spark), AS_OF), mean_score(spark, sf))
+                               compliance.focus_packages(V.focus_packages(spark), AS_OF),
+                               compliance.mean_score(V.contract_core(spark, sf), V.customer_scores(spark, sf), FIRST, LAST))
 
 
 def audit_sample(spark, sf):

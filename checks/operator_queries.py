@@ -104,8 +104,8 @@ def line_price_bins(spark, sf):
     discount = V.local(spark, [("A", 0.0, 0.03, 1), ("A", 0.03, 1.0, 2), ("N", 0.0, 0.05, 3), ("N", 0.05, 1.0, 4)],
                        "flag string, min_value double, max_value double, grade int")
     lines = V.table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_returnflag")
-    sized = lookups.bin_lookup(lines, lookups.bounded(quantity), F.col("l_quantity"))
-    graded = lookups.bin_lookup(sized, lookups.bounded(discount), F.col("l_discount"), {"l_returnflag": "flag"})
+    sized = lookups.bin_lookup(lines, quantity, F.col("l_quantity"))
+    graded = lookups.bin_lookup(sized, discount, F.col("l_discount"), {"l_returnflag": "flag"})
     return graded.groupBy("l_returnflag", "size", "grade").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -121,6 +121,16 @@ def describe_balances(spark, sf):
     return aggregates.describe(V.snapshot(spark, sf, P.AS_OF, with_shop=False), ["categoryname"], "tuoino")
 
 
+def describe_money(spark, sf):
+    """Large amounts, where a variance from sums of squares loses its digits."""
+    return aggregates.describe(V.snapshot(spark, sf, P.AS_OF, with_shop=False), ["categoryname"], "currentmoney")
+
+
+def money_fences(spark, sf):
+    """Fences over a nearly continuous column."""
+    return aggregates.outlier_fence(V.contract_core(spark, sf), ["categoryname"], "currentmoney")
+
+
 def group_totals(spark, sf):
     """Every contract with the balance and count of its category and term, joined back."""
     c = V.contract_core(spark, sf).select("pawnid", "categoryname", "frequency", "currentmoney")
@@ -202,7 +212,8 @@ def paper_classes(spark, sf):
 QUERIES = {f.__name__: f for f in (
     previous_contracts, last_contract_per_customer, newest_focus_rows, newest_orders_with_ties, top_balances,
     quota_per_category, parameterised_sql, distinct_values, global_summary, active_shops, union_and_reindex,
-    contracts_without_alert, contracts_with_alert, line_price_bins, chip_by_bucket_wide, describe_balances, group_totals,
+    contracts_without_alert, contracts_with_alert, line_price_bins, chip_by_bucket_wide, describe_balances, describe_money,
+    money_fences, group_totals,
     text_functions, date_functions, number_functions, paper_classes,
 )}
 
@@ -267,6 +278,15 @@ SQL = {
                CAST(min(tuoino) AS DOUBLE) AS min, quantile_cont(tuoino, 0.25) AS p25, quantile_cont(tuoino, 0.5) AS p50,
                quantile_cont(tuoino, 0.75) AS p75, CAST(max(tuoino) AS DOUBLE) AS max
         FROM {snapshot(P.AS_OF, 'contract_core')} GROUP BY categoryname"""),
+    "describe_money": query(f"""
+        SELECT categoryname, count(v) AS count, avg(v) AS mean, stddev_samp(v) AS std, min(v) AS min,
+               quantile_cont(v, 0.25) AS p25, quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.75) AS p75, max(v) AS max
+        FROM (SELECT categoryname, CAST(currentmoney AS DOUBLE) AS v FROM {snapshot(P.AS_OF, 'contract_core')})
+        GROUP BY categoryname"""),
+    "money_fences": query("""
+        SELECT categoryname, q1, q3, q1 - 1.5 * (q3 - q1) AS lower_threshold, q3 + 1.5 * (q3 - q1) AS upper_threshold
+        FROM (SELECT categoryname, quantile_cont(CAST(currentmoney AS DOUBLE), 0.25) AS q1,
+                     quantile_cont(CAST(currentmoney AS DOUBLE), 0.75) AS q3 FROM contract_core GROUP BY categoryname)"""),
     "group_totals": query("""
         SELECT pawnid, categoryname, frequency, CAST(currentmoney AS DOUBLE) AS currentmoney,
                CAST(sum(currentmoney) OVER w AS DOUBLE) AS group_bal, count(pawnid) OVER w AS group_count

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
@@ -42,47 +45,99 @@ def _value_counts(df: DataFrame, group: list[str], value: str) -> DataFrame:
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 SUMMARY = ["count", "mean", "std", "min", *QUARTILES, "max"]
+# Buckets per doubling of the value when a quantile is searched for.
+BUCKETS_PER_OCTAVE = 256
+
 
+def whole_number_summary(value: Column, freq: Column) -> dict[str, Column]:
+    """The summary of whole numbers repeated ``freq`` times, e.g. days; null values add nothing.
 
-def weighted_summary(value: Column, freq: Column) -> dict[str, Column]:
-    """count, mean, std, min, 25/50/75 %, max of ``value`` repeated ``freq`` times; null values add nothing."""
-    n = F.when(value.isNotNull(), freq)
-    total, first, second = F.sum(n), F.sum(value * n), F.sum(value * value * n)
-    spread = F.greatest(second - first * first / total, F.lit(0.0))
-    points = F.percentile(value, F.array(*[F.lit(p) for p in QUARTILES.values()]), F.coalesce(n, F.lit(0)))
+    All sums are exact decimals, so the spread keeps its digits. The quartiles hold one entry per distinct number.
+    """
+    n, v = F.when(value.isNotNull(), freq).cast("decimal(18,0)"), value.cast("decimal(18,0)")
+    total = F.sum(n)
+    first, second = [F.sum(x).cast("decimal(38,0)") for x in (v * n, v * v * n)]
+    spread = (total * second - first * first).cast("double")
+    points = F.percentile(value, F.array(*[F.lit(p) for p in QUARTILES.values()]), F.coalesce(n.cast("long"), F.lit(0)))
     return {
         "count": total,
-        "mean": first / total,
-        "std": F.sqrt(F.try_divide(spread, (total - 1).cast("double"))),
+        "mean": first.cast("double") / total.cast("double"),
+        "std": F.sqrt(F.try_divide(spread, (total * (total - 1)).cast("double"))),
         "min": F.min(value),
         **{name: points[i] for i, name in enumerate(QUARTILES)},
         "max": F.max(value),
     }
 
 
-def describe(df: DataFrame, group: list[str], value: str) -> DataFrame:
-    """Distribution summary per group.
+def _bucket(value: Column) -> Column:
+    """A number that never falls as the value grows; close values share one."""
+    return F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * BUCKETS_PER_OCTAVE)
 
-    Meant for whole days or minutes: the percentile buffer holds one entry per
-    distinct value, however many rows carry it.
+
+def quantiles(counts: DataFrame, group: list[str], points: dict[str, float], value: str = "__v", freq: str = "__n") -> DataFrame:
+    """Exact quantiles with linear interpolation, from one row per (group, value) with its frequency.
+
+    The values are counted into buckets first. Only the buckets that hold a wanted rank are ordered by value, each by itself,
+    so no task sorts or keeps the values of a whole group.
     """
-    summary = weighted_summary(F.col("__v"), F.col("__n"))
-    return _value_counts(df, group, value).groupBy(*group).agg(*[c.alias(name) for name, c in summary.items()])
+    from .lookups import null_safe_join
+
+    # As a struct the group is never null, and an empty list of group columns is one group.
+    keyed = counts.select(F.struct(F.lit(0), *group).alias("__g"), *group, F.col(value).alias("__v"), F.col(freq).alias("__n"))
+    keyed = keyed.withColumn("__b", _bucket(F.col("__v")))
+    cells = keyed.groupBy("__g", "__b").agg(F.sum("__n").alias("__c"))
+    in_order = W.partitionBy("__g").orderBy("__b")
+    cells = cells.select(
+        "__g", "__b", "__c",
+        F.sum("__c").over(in_order.rowsBetween(W.unboundedPreceding, 0)).alias("__to"),
+        F.sum("__c").over(W.partitionBy("__g")).alias("__total"),
+    )
+    ranks = {name: p * (F.col("__total") - 1) for name, p in points.items()}
+    holds = lambda rank: (rank >= F.col("__to") - F.col("__c")) & (rank < F.col("__to"))
+    wanted = reduce(lambda a, b: a | b, [holds(end(rank)) for rank in ranks.values() for end in (F.floor, F.ceil)])
+    picked = cells.where(wanted).select("__g", "__b", (F.col("__to") - F.col("__c")).alias("__before"), "__total")
+    values = null_safe_join(keyed, picked, ["__g", "__b"], "inner")
+    upto = F.sum("__n").over(W.partitionBy("__g", "__b").orderBy("__v").rowsBetween(W.unboundedPreceding, 0))
+    values = values.withColumn("__to", F.col("__before") + upto).withColumn("__c", F.col("__n"))
+    ends = [
+        F.max(F.when(holds(end(rank)), F.col("__v"))).alias(f"{name}_{side}")
+        for name, rank in ranks.items() for side, end in (("low", F.floor), ("high", F.ceil))
+    ]
+    found = values.groupBy("__g", *group, "__total").agg(*ends)
+
+    def between(name: str) -> Column:
+        part = ranks[name] - F.floor(ranks[name])
+        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
+        return F.when(part == 0, low).otherwise((1 - part) * low + part * high)
+
+    return found.select(*group, *[between(name).alias(name) for name in points])
+
+
+def describe(df: DataFrame, group: list[str], value: str) -> DataFrame:
+    """Distribution summary per group; a group without any value has no row."""
+    from .lookups import null_safe_join
+
+    counts = _value_counts(df, group, value)
+    moments = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("__v")).groupBy(*group).agg(
+        F.count("__v").alias("count"), F.avg("__v").alias("mean"), F.stddev_samp("__v").alias("std"),
+        F.min("__v").alias("min"), F.max("__v").alias("max"),
+    )
+    points = quantiles(counts, group, QUARTILES)
+    if not group:
+        raise ValueError("give group columns; a constant one for the whole table")
+    return null_safe_join(moments, points, group).select(*group, *SUMMARY)
 
 
 def outlier_fence(df: DataFrame, group: list[str], value: str, reach: float = 1.5) -> DataFrame:
     """Per group: quartiles and the fences one ``reach`` of the quartile range outside them."""
-    q = F.col("__q")
-    quartiles = _value_counts(df, group, value).groupBy(*group).agg(
-        F.percentile(F.col("__v"), F.array(F.lit(0.25), F.lit(0.75)), F.col("__n")).alias("__q")
-    )
-    spread = q[1] - q[0]
+    quartiles = quantiles(_value_counts(df, group, value), group, {"q1": 0.25, "q3": 0.75})
+    spread = F.col("q3") - F.col("q1")
     return quartiles.select(
         *group,
-        q[0].alias("q1"),
-        q[1].alias("q3"),
-        (q[0] - reach * spread).alias("lower_threshold"),
-        (q[1] + reach * spread).alias("upper_threshold"),
+        "q1",
+        "q3",
+        (F.col("q1") - reach * spread).alias("lower_threshold"),
+        (F.col("q3") + reach * spread).alias("upper_threshold"),
     )
 
 

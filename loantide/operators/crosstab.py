@@ -6,14 +6,27 @@ GROUPING SETS, so the fact rows are neither scanned again nor multiplied.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALL = "All"
 SEPARATOR = "|"
 
 
-def _cells(df: DataFrame, index: list[str], columns: list[str], count: str | None, total: str | None) -> DataFrame:
+def key_text(columns: list[str], margins: bool = True) -> Column:
+    """The key of several columns as one text, different for different values.
+
+    A backslash stands before a bar or backslash of a value where several values are joined, and before a value that reads
+    like the name of the totals; all other values are their own text.
+    """
+    parts = [F.col(c).cast("string") for c in columns]
+    if len(parts) > 1:
+        parts = [F.regexp_replace(p, r"([|\\])", r"\\$1") for p in parts]
+    joined = F.concat_ws(SEPARATOR, *parts)
+    return F.when(joined == ALL, F.lit("\\" + ALL)).otherwise(joined) if margins else joined
+
+
+def _cells(df: DataFrame, index: list[str], columns: list[str], count: str | None, total: str | None, margins: bool) -> DataFrame:
     measures = []
     if count:
         measures.append(F.count(count).alias("n"))
@@ -22,8 +35,8 @@ def _cells(df: DataFrame, index: list[str], columns: list[str], count: str | Non
     return (
         df.dropna(subset=[*index, *columns])
         .groupBy(
-            *[F.col(c).cast("string").alias(f"__i{k}") for k, c in enumerate(index)],
-            F.concat_ws(SEPARATOR, *[F.col(c).cast("string") for c in columns]).alias("col_key"),
+            *[key_text([c], margins).alias(f"__i{k}") for k, c in enumerate(index)],
+            key_text(columns, margins).alias("col_key"),
         )
         .agg(*measures)
     )
@@ -40,9 +53,10 @@ def crosstab_long(
     """One row per non-empty cell: index columns, ``col_key`` and the measures ``n`` / ``amount``.
 
     Rows with a null index or column key count neither in cells nor in totals.
-    Total rows carry ``All`` in the first index column and blanks in the others.
+    Total rows carry ``All`` in the first index column and blanks in the others;
+    see ``key_text`` for values that would read like a total.
     """
-    cells = _cells(df, index, columns, count, total)
+    cells = _cells(df, index, columns, count, total, margins)
     measures = [c for c in ("n", "amount") if c in cells.columns]
     rows = [f"__i{k}" for k in range(len(index))]
     if margins:

@@ -1,8 +1,8 @@
 """First, latest and previous rows per key.
 
-First/latest rows are aggregates rather than ranked windows: each map task
-keeps one candidate per key, so a key holding a third of all rows sends one row
-per task through the shuffle. Previous-row access slices long groups, so no
+First/latest rows are aggregates rather than ranked windows: each map task sorts
+its own rows by key and sends one candidate per key, so a key holding a third of
+all rows sends one row per task through the shuffle. Previous-row access slices long groups, so no
 task has to hold or sort the whole history of one key.
 """
 
@@ -112,10 +112,12 @@ def previous_since(
     """
     from .lookups import keep_matching
 
-    slim = older.select(*dict.fromkeys([*keys, *order, *payload]))
-    wanted = rows if tails_of is None else tails_of
-    carried = keep_matching(slim, wanted.select(*keys), keys).groupBy(*keys).agg(
+    # As a struct a key with nulls is a key like any other, as in a window.
+    keyed = lambda frame: frame.withColumn("__old_key", F.struct(*keys))
+    slim = keyed(older.select(*dict.fromkeys([*keys, *order, *payload])))
+    wanted = keyed((rows if tails_of is None else tails_of).select(*keys))
+    carried = keep_matching(slim, wanted, ["__old_key"]).groupBy("__old_key").agg(
         F.max_by(F.struct(*payload), F.struct(*order)).alias("__older")
     )
-    ranked = previous_row(rows, keys, order, payload, output, slice_by, tails_of)
-    return ranked.join(carried, keys, "left").withColumn(output, F.coalesce(output, "__older")).drop("__older")
+    ranked = keyed(previous_row(rows, keys, order, payload, output, slice_by, tails_of))
+    return ranked.join(carried, "__old_key", "left").withColumn(output, F.coalesce(output, "__older")).drop("__older", "__old_key")

@@ -1,9 +1,8 @@
 """Joins.
 
-No join here carries a blanket broadcast hint: Spark broadcasts a side when its
-measured size is under the session threshold and otherwise shuffles it, with
-adaptive skew splitting of the probe side. Only ``bounded`` marks a side, after
-its row count was checked against a limit.
+No join here carries a broadcast hint: Spark broadcasts a side when its measured
+size is under the session threshold and otherwise shuffles it, with adaptive skew
+splitting of the probe side.
 """
 
 from __future__ import annotations
@@ -13,23 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 100_000
-MAX_GLOBAL_BINS = 1_000
-
-
-class LookupTooLarge(ValueError):
-    """A table declared small has more rows than its limit."""
-
-
-def bounded(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a reference table for broadcast once its size is proven.
-
-    The check reads at most ``max_rows + 1`` rows; a larger table is an error, not a cut.
-    """
-    if table.limit(max_rows + 1).count() > max_rows:
-        raise LookupTooLarge(f"lookup exceeds {max_rows} rows: {table.columns}")
-    return F.broadcast(table)
-
 
 def left_lookup(fact: DataFrame, dim: DataFrame, keys: dict[str, str] | list[str] | str) -> DataFrame:
     """Left equi join; with a mapping fact column -> dim column the dim key is dropped."""
@@ -60,15 +42,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, reduce(lambda a, b: a & b, tests), how).drop(*[f"__key_{key}" for key in keys])
 
 
-def _as_array(bins: DataFrame) -> Column:
-    """The lines of a small table as an array constant; a larger table is refused."""
-    rows = bins.limit(MAX_GLOBAL_BINS + 1).collect()
-    if len(rows) > MAX_GLOBAL_BINS:
-        raise LookupTooLarge(f"more than {MAX_GLOBAL_BINS} global bins")
-    lines = [F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in bins.schema]) for row in rows]
-    return F.array(*lines)
-
-
 def bin_lookup(
     fact: DataFrame,
     bins: DataFrame,
@@ -80,18 +53,19 @@ def bin_lookup(
 ) -> DataFrame:
     """Join each row to the bins with low <= value < high.
 
-    With ``equal`` (fact column -> bin column) the plan is a hash join with the
-    range as residual test. Without it the few global bins become one array
-    constant and each row picks its own in place, so there is no nested-loop join.
-    ``bins`` must be a checked, bounded table.
+    With ``equal`` (fact column -> bin column) the plan is an equi join with the
+    range as residual test. Without it the global bins are gathered into one array
+    by a subquery of the same job, and each row picks its own in place, so there
+    is no nested-loop join.
     """
     if not equal:
-        fitting = F.filter(_as_array(bins), lambda line: (value >= line[low]) & (value < line[high]))
+        lines = bins.select(F.collect_list(F.struct(*bins.columns))).scalar()
+        fitting = F.filter("__lines", lambda line: (value >= line[low]) & (value < line[high]))
         explode = F.explode if how == "inner" else F.explode_outer
         outputs = [F.col(f"__line.{c}").alias(c) for c in bins.columns if c not in (low, high)]
-        return fact.withColumn("__line", explode(fitting)).select(*fact.columns, *outputs)
+        return fact.withColumn("__lines", lines).withColumn("__line", explode(fitting)).select(*fact.columns, *outputs)
     names = {low: "__low", high: "__high"} | {right: f"__key{i}" for i, right in enumerate(equal.values())}
     tests = [F.col(left) == F.col(names[right]) for left, right in equal.items()]
     tests += [value >= F.col("__low"), value < F.col("__high")]
-    joined = fact.join(F.broadcast(bins.withColumnsRenamed(names)), reduce(lambda a, b: a & b, tests), how)
+    joined = fact.join(bins.withColumnsRenamed(names), reduce(lambda a, b: a & b, tests), how)
     return joined.drop(*names.values())

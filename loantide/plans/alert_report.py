@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions.dates import as_date
 from ..functions.numbers import ratio
-from ..operators.aggregates import SUMMARY, describe, weighted_summary
-from ..operators.crosstab import ALL, SEPARATOR, crosstab_long, crosstab_wide
+from ..operators.aggregates import SUMMARY, describe, whole_number_summary
+from ..operators.crosstab import ALL, crosstab_long, crosstab_wide, key_text
 from .alerts import in_alert_month
 
 
@@ -135,8 +135,8 @@ def _stacked_cells(base: DataFrame, as_of: dt.date | str) -> DataFrame:
             complete = complete & F.col(key).isNotNull()
         entry = F.struct(
             F.lit(number).alias("section_no"),
-            F.concat_ws(SEPARATOR, *[F.col(c).cast("string") for c in spec.index]).alias("row_key"),
-            F.concat_ws(SEPARATOR, *[F.col(c).cast("string") for c in spec.columns]).alias("col_key"),
+            key_text(spec.index).alias("row_key"),
+            key_text(spec.columns).alias("col_key"),
         )
         entries.append(F.when(complete, entry))
     exploded = base.select("pawnid", "currentmoney", F.explode(F.array_compact(F.array(*entries))).alias("cell"))
@@ -154,10 +154,10 @@ def alert_report(base: DataFrame, as_of: dt.date | str) -> DataFrame:
     section, measure = F.col("section_no"), F.col("measure")
     in_summary = section == SECTIONS.index(RESPONSE_DAYS) + 1
     row_total, col_total = F.col("row_total") == 1, F.col("col_total") == 1
-    summary = weighted_summary(F.col("days"), F.col("pawn_count"))
+    summary = whole_number_summary(F.col("days"), F.col("pawn_count"))
     totals = (
         _stacked_cells(base, as_of)
-        .withColumn("days", F.when(in_summary, F.col("col_key").cast("double")))
+        .withColumn("days", F.when(in_summary, F.col("col_key").cast("long")))
         .groupingSets(
             [["section_no", "row_key", "col_key"], ["section_no", "row_key"], ["section_no", "col_key"], ["section_no"]],
             "section_no", "row_key", "col_key",

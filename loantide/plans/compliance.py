@@ -55,6 +55,16 @@ def latest_scores(scores: DataFrame, wanted: DataFrame, as_of: dt.date | str) ->
     )
 
 
+def mean_score(contracts: DataFrame, scores: DataFrame, first: dt.date | str, last: dt.date | str) -> Column:
+    """Mean customer score over the contracts that are scored, from the few columns it needs."""
+    scored = contracts.where(
+        F.col("fromdate").between(F.lit(as_date(first)), F.lit(as_date(last)))
+        & F.col("status").isin(fv.NEW_CONTRACT_STATUSES)
+        & ~F.col("categoryname").isin(fv.CAR_TITLE, fv.CAR)
+    ).select("customerid")
+    return scored.join(latest_scores(scores, scored, last), "customerid").select(F.avg("customer_score")).scalar()
+
+
 def with_previous_contracts(contracts: DataFrame, first: dt.date | str, last: dt.date | str) -> DataFrame:
     """Contracts opened on the days with what the customer had before, over all earlier contracts."""
     low, high = F.lit(as_date(first)), F.lit(as_date(last))

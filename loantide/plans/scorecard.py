@@ -1,93 +1,87 @@
 """Risk score-card: categorical and numeric lines per field, looked up and summed.
 
-The cards are small checked tables. They are laid out as one row per category
-that holds the lines of all 15 fields, so scoring is a single broadcast join and
-a projection: no shuffle, however many contracts there are.
+The cards are laid out by Spark as one row per category that holds the lines of
+its fields, so scoring is one join on the category and a projection. How that
+join runs is left to the measured size of the cards.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions.numbers import millions
 from ..functions.text import blank_to_null
-from ..operators.lookups import LookupTooLarge, bounded
 from ..operators.sets import with_costly_column
 
-MAX_CARD_ROWS = 10_000
 NUMERIC_FIELDS = fv.GLOBAL_NUMERIC_FIELDS + fv.CATEGORY_NUMERIC_FIELDS
 FIELDS = fv.CATEGORICAL_FIELDS + NUMERIC_FIELDS
+TERM_RANGE = "package_time_range"
 # Columns the score of a field is looked up with, where they are named differently.
 VALUE_OF = {"cus_score": "customer_score", "package_money_range": "net_disbur"}
 
 
-class OverlappingBins(ValueError):
-    """Two bins of one field cover the same value; a contract would be counted twice."""
+def _gathered(field: str, line: Column) -> Column:
+    """The lines of one field in a group, as an array column named after it."""
+    return F.collect_list(F.when(F.col("field_check") == field, line)).alias(f"{field}_lines")
 
 
-def _card_rows(card: DataFrame) -> list[Row]:
-    """The lines of a card: a small configuration table, refused when it is not."""
-    rows = card.limit(MAX_CARD_ROWS + 1).collect()
-    if len(rows) > MAX_CARD_ROWS:
-        raise LookupTooLarge(f"score-card exceeds {MAX_CARD_ROWS} lines")
-    return rows
+def numeric_lines(card: DataFrame) -> DataFrame:
+    """(field_check, categoryname, low, high, package, score), open ends filled."""
+    field, package = F.col("field_check"), F.coalesce("package_name", F.lit(fv.ORDINARY_LOAN))
+    low, high = F.col("min_value"), F.col("max_value")
+    for name, (floor, ceiling) in fv.OPEN_BIN_ENDS.items():
+        low = F.when((field == name) & low.isNull(), F.lit(floor)).otherwise(low)
+        high = F.when((field == name) & high.isNull(), F.lit(ceiling)).otherwise(high)
+    return card.select(
+        "field_check", "categoryname", low.cast("double").alias("low"), high.cast("double").alias("high"),
+        F.when(field == "processing_minute", package).alias("package"), F.col("risk_score").cast("double").alias("score"),
+    )
 
 
-def _as_float(value) -> float | None:
-    return None if value is None else float(value)
+def categorical_lines(card: DataFrame) -> DataFrame:
+    """(field_check, categoryname, value, score), the highest score when a value repeats; the term range keeps its category."""
+    category = F.when(F.col("field_check") == TERM_RANGE, F.col("categoryname")).alias("categoryname")
+    return card.groupBy("field_check", category, "value").agg(F.max(F.col("risk_score").cast("double")).alias("score"))
 
 
-def numeric_lines(card: DataFrame) -> dict[tuple[str, str], list[tuple]]:
-    """(low, high, package, score) lines per field and category, open ends filled; overlaps are refused."""
-    lines, bins = defaultdict(list), defaultdict(list)
-    for row in _card_rows(card):
-        field, category = row["field_check"], row["categoryname"]
-        floor, ceiling = fv.OPEN_BIN_ENDS.get(field, (None, None))
-        low = floor if row["min_value"] is None else float(row["min_value"])
-        high = ceiling if row["max_value"] is None else float(row["max_value"])
-        package = (row["package_name"] or fv.ORDINARY_LOAN) if field == "processing_minute" else None
-        lines[field, category].append((low, high, package, _as_float(row["risk_score"])))
-        if low is not None and high is not None:
-            bins[field, category, package].append((low, high))
-    for group, spans in bins.items():
-        spans.sort()
-        if any(reach > start for (_, reach), (start, _) in zip(spans, spans[1:])):
-            raise OverlappingBins(f"overlapping bins in {group}")
-    return lines
+def _apart(lines: Column, field: str) -> Column:
+    """The lines of a field; two that cover the same value fail the job, since a contract would be counted twice."""
+    spans = F.array_sort(F.transform(
+        F.filter(lines, lambda x: x["low"].isNotNull() & x["high"].isNotNull()),
+        lambda x: F.struct(x["package"], x["low"], x["high"]),
+    ))
+    pairs = F.zip_with(spans, F.slice(spans, 2, F.greatest(F.size(spans), F.lit(1))), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    clash = F.exists(pairs, lambda p: p["x"]["package"].eqNullSafe(p["y"]["package"]) & (p["x"]["high"] > p["y"]["low"]))
+    return F.when(F.coalesce(clash, F.lit(False)), F.raise_error(F.lit(f"overlapping bins in {field}")).cast(LINES)).otherwise(lines)
 
 
-def categorical_lines(card: DataFrame) -> dict[tuple[str, str | None], list[tuple]]:
-    """(value, score) lines per field, the highest score when a value repeats; the term range keeps its category."""
-    best: dict[tuple, float | None] = {}
-    for row in _card_rows(card):
-        category = row["categoryname"] if row["field_check"] == "package_time_range" else None
-        key, score = (row["field_check"], category, row["value"]), _as_float(row["risk_score"])
-        known = best.get(key)
-        best[key] = score if known is None else max(known, score if score is not None else known)
-    lines = defaultdict(list)
-    for (field, category, value), score in best.items():
-        lines[field, category].append((value, score))
-    return lines
+LINES = "array<struct<low:double,high:double,package:string,score:double>>"
 
 
 def card_table(categorical: DataFrame, numeric: DataFrame) -> DataFrame:
     """One row per category of the numeric card with the lines of every field."""
     values, bins = categorical_lines(categorical), numeric_lines(numeric)
-    rows = []
-    for name in sorted({c for _, c in bins if c != fv.ALL_CATEGORIES}):
-        lines = [values[f, name if f == "package_time_range" else None] for f in fv.CATEGORICAL_FIELDS]
-        lines += [bins[f, fv.ALL_CATEGORIES] for f in fv.GLOBAL_NUMERIC_FIELDS]
-        lines += [bins[f, name] for f in fv.CATEGORY_NUMERIC_FIELDS]
-        rows.append((name, *lines))
-    kinds = {f: "array<struct<value:string,score:double>>" for f in fv.CATEGORICAL_FIELDS}
-    kinds |= {f: "array<struct<low:double,high:double,package:string,score:double>>" for f in NUMERIC_FIELDS}
-    schema = ["category_name string", *[f"{f}_lines {kinds[f]}" for f in FIELDS]]
-    return numeric.sparkSession.createDataFrame(rows, ", ".join(schema))
+    line, span = F.struct("value", "score"), F.struct("low", "high", "package", "score")
+    own = bins.where(F.col("categoryname") != fv.ALL_CATEGORIES).groupBy(F.col("categoryname").alias("category_name")).agg(
+        *[_gathered(f, span) for f in fv.CATEGORY_NUMERIC_FIELDS]
+    )
+    terms = values.where(F.col("field_check") == TERM_RANGE).groupBy(F.col("categoryname").alias("category_name")).agg(_gathered(TERM_RANGE, line))
+    shared = bins.where(F.col("categoryname") == fv.ALL_CATEGORIES).agg(*[_gathered(f, span) for f in fv.GLOBAL_NUMERIC_FIELDS])
+    everywhere = values.agg(*[_gathered(f, line) for f in fv.CATEGORICAL_FIELDS if f != TERM_RANGE])
+    table = own.join(terms, "category_name", "left")
+    # What holds for all categories is one row of a subquery of the same job.
+    for whole in (shared, everywhere):
+        packed = whole.select(F.struct(*whole.columns)).scalar()
+        table = table.withColumn("__packed", packed).withColumns({c: F.col("__packed")[c] for c in whole.columns}).drop("__packed")
+    return table.select(
+        "category_name",
+        *[f"{f}_lines" for f in fv.CATEGORICAL_FIELDS],
+        *[_apart(F.col(f"{f}_lines"), f).alias(f"{f}_lines") for f in NUMERIC_FIELDS],
+    )
 
 
 def _hit(field: str) -> Column:
@@ -108,7 +102,9 @@ def scorecard(features: DataFrame, categorical: DataFrame, numeric: DataFrame, f
     """Score contracts other than car titles and cars.
 
     A contract outside every bin of a numeric field is left out; an unlisted
-    categorical value scores 0. A missing customer score takes the mean of the others.
+    categorical value scores 0. A missing customer score takes the mean of the
+    others; ``compliance.mean_score`` gives that mean without a second pass over
+    all features.
     """
     name = F.col("category_name")
     rows = features.where(name.isNull() | ~name.isin(fv.CAR_TITLE, fv.CAR))
@@ -122,11 +118,11 @@ def scorecard(features: DataFrame, categorical: DataFrame, numeric: DataFrame, f
         "nums_day_in_month": F.coalesce("nums_day_in_month", F.dayofmonth("extract_date")),
     })
     facts = rows.columns
-    rows = rows.join(F.broadcast(card_table(categorical, numeric)), "category_name")
+    rows = rows.join(card_table(categorical, numeric), "category_name")
     rows = with_costly_column(rows, "hits", F.struct(*[_hit(f) for f in FIELDS]))
     rows = rows.where(reduce(lambda a, b: a & b, [F.col(f"hits.{f}").isNotNull() for f in NUMERIC_FIELDS]))
     # Focus packages are attached to motorbike titles only.
-    packages = bounded(focus_packages, MAX_CARD_ROWS).drop("package_name")
+    packages = focus_packages.drop("package_name")
     titled = F.when(name == fv.BIKE_TITLE, blank_to_null(F.col("packagecode")))
     total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"hits.{f}.score"), F.lit(0.0)) for f in FIELDS])
     return rows.join(packages, titled == F.col("package_code"), "left").select(

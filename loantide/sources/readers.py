@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..functions.dates import as_date
 from ..functions.text import blank_to_null
+from .schemas import CHECKING_LOG
 
 
 def read_warehouse(
@@ -58,13 +59,30 @@ def run_sql(spark: SparkSession, query: str, tables: dict[str, DataFrame] | None
 
 
 def _csv_rows(spark: SparkSession, path: str, columns: list[str], skip_rows: int) -> DataFrame:
-    schema = StructType([StructField(c, StringType()) for c in columns])
-    reader = spark.read.option("multiLine", True).schema(schema)
-    if skip_rows <= 1:
-        return reader.option("header", skip_rows == 1).option("enforceSchema", True).csv(path)
-    # Title cells stand above the header of one small staged file: number its records and cut them.
-    numbered = reader.csv(path).coalesce(1).withColumn("__row", F.monotonically_increasing_id())
-    return numbered.where(F.col("__row") >= skip_rows).drop("__row")
+    """The cells below the header as text, one column for each name in ``columns``.
+
+    The header is the last of the ``skip_rows`` rows of each file, blank rows counted; its names say which column is which,
+    and a name that a file lacks is an error. Without a header (``skip_rows`` 0) columns go by position. Every staged file
+    is parsed by one task as a whole, since records may hold line breaks; files are independent of each other.
+    """
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    # Records: a line break outside quotes ends one. Quotes before it are even in number.
+    record = r'([^"\r\n]*+(?:"[^"]*+"[^"\r\n]*+)*+)(?:\r\n|\n|\r|\z)'
+    records = F.regexp_extract_all(F.regexp_replace("value", "^\ufeff", ""), F.lit(record), 1)
+    cell = r',((?:"[^"]*+")++|[^,]*+)'
+    plain = lambda c: F.when(c.startswith('"'), F.regexp_replace(F.regexp_replace(c, '^"|"$', ""), '""', '"')).otherwise(c)
+    cells = lambda r: F.transform(F.regexp_extract_all(F.concat(F.lit(","), r), F.lit(cell), 1), plain)
+    split = files.select("file", cells(F.get(records, F.lit(skip_rows - 1))).alias("names"), F.explode(F.slice(records, skip_rows + 1, F.size(records))).alias("record"))
+    rows = split.where(F.col("record") != "").select("file", "names", cells(F.col("record")).alias("cells"))
+    if not skip_rows:
+        return rows.select([F.coalesce(F.get("cells", F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(columns)])
+
+    def named(name: str) -> Column:
+        at = F.array_position(F.transform("names", F.trim), name)
+        missing = F.raise_error(F.concat(F.lit(f"no column {name} in "), "file"))
+        return F.when(F.coalesce(at, F.lit(0)) == 0, missing.cast("string")).otherwise(F.coalesce(F.get("cells", (at - 1).cast("int")), F.lit("")))
+
+    return rows.select([named(c).alias(c) for c in columns])
 
 
 def read_text_sheet(spark: SparkSession, path: str, columns: list[str], skip_rows: int = 1) -> DataFrame:
@@ -89,5 +107,5 @@ def read_typed_sheet(
 
 
 def read_checking_log(spark: SparkSession, path: str) -> DataFrame:
-    """The append-only log earlier runs wrote."""
-    return spark.read.parquet(path)
+    """The log earlier runs wrote, with the declared types; partition folders alone would turn day texts into dates."""
+    return spark.read.schema(CHECKING_LOG).parquet(path).select(*CHECKING_LOG.fieldNames())

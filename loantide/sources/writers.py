@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,19 +23,23 @@ def write_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def append_log(df: DataFrame, path: str, columns: list[str], keys: list[str] | None = None) -> None:
-    """Append to the log by column name, one partition per run date and risk type.
+def append_log(df: DataFrame, path: str, columns: list[str], run_id: str, keys: list[str] | None = None) -> None:
+    """Add one run to the log, its columns aligned by name.
 
-    Repeating a run replaces the partitions of that run, so the log holds no second copy.
+    ``run_id`` names the product and its day. Every run has a folder of its own, partitioned by run date and risk type:
+    another product of the same day and type stays, and repeating a run replaces exactly what it wrote before, also where it
+    now finds less or nothing.
     """
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"a run id consists of letters, digits, _, . and -: {run_id!r}")
     keys = keys or LOG_KEYS
     (
         reindex(df, columns)
         .hint("rebalance", *keys)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(*keys)
-        .parquet(path)
+        .parquet(f"{path}/run_id={run_id}")
     )
 
 
@@ -58,15 +63,28 @@ def write_snapshot(df: DataFrame, path: str) -> None:
 
 
 def write_snapshot_table(df: DataFrame, name: str, buckets: int) -> None:
-    """Snapshot table bucketed by contract: joins of two days on ``pawnid`` need no shuffle."""
-    (
-        df.repartition(buckets, "pawnid")
-        .write.mode("overwrite")
-        .partitionBy("created")
-        .bucketBy(buckets, "pawnid")
-        .sortBy("pawnid")
-        .saveAsTable(name)
-    )
+    """Add days to a snapshot table bucketed by contract: joins of two days on ``pawnid`` need no shuffle.
+
+    The first call creates the table. Later ones replace the days they bring and leave all others as they are; the number of
+    buckets stays that of the first.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        (
+            df.repartition(buckets, "pawnid")
+            .write.partitionBy("created")
+            .bucketBy(buckets, "pawnid")
+            .sortBy("pawnid")
+            .saveAsTable(name)
+        )
+        return
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).repartition(buckets, "pawnid").write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def write_report(report: DataFrame, path: str) -> None:

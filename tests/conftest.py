@@ -1,8 +1,10 @@
+import os
 import sys
 import tempfile
 from pathlib import Path
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -11,6 +13,8 @@ from loantide.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
+    os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
+    SparkSession.builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="loantide-warehouse-"))
     session = build_session("tests", "4", 4)
     yield session
     session.stop()

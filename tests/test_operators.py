@@ -50,7 +50,8 @@ def test_sliced_previous_row_shuffles_rows_once(spark):
 
 
 def test_previous_since_looks_back(spark):
-    data = [r for r in history() if r[0] is not None]
+    data = history()
+    assert any(r[0] is None for r in data)
     df = spark.createDataFrame(data, "k string, d date, id long, code string")
     cut = F.lit(dt.date(2020, 3, 1))
     got = latest.previous_since(df.where(F.col("d") >= cut), df.where(F.col("d") < cut), ["k"], ["d", "id"], ["code"], "p",
@@ -99,6 +100,32 @@ def test_crosstab_all_value_in_data_is_not_a_margin(spark):
     assert rows(plain) == [("All", "x", 1), ("n", "x", 1)]
 
 
+def test_crosstab_keys_stay_apart(spark):
+    data = [("All", "x|y", "z", 1), ("n", "x", "y|z", 2), ("n", "All", None, 3), ("n", "x\\", "|y", 4), ("n", "x", "\\|y", 5)]
+    df = spark.createDataFrame(data, "area string, a string, b string, pawnid long")
+    long = crosstab.crosstab_long(df, ["area"], ["a", "b"])
+    cells = {(r["area"], r["col_key"]): r["n"] for r in long.collect()}
+    assert len({c for a, c in cells if c != "All"}) == 4 and cells[("All", "All")] == 4
+    assert (cells[("\\All", "All")], cells[("n", "All")]) == (1, 3)
+    wide = crosstab.crosstab_wide(long, ["area"], ["All"])
+    assert rows(wide) == [("All", 4), ("\\All", 1), ("n", 3)]
+    one = crosstab.crosstab_wide(crosstab.crosstab_long(df, ["area"], ["a"]), ["area"], ["\\All", "All"])
+    assert ("n", 1, 4) in rows(one)
+
+
+def test_quantiles_match_numpy(spark):
+    import random
+
+    random.seed(5)
+    data = [("a", random.lognormvariate(3, 4)) for _ in range(700)] + [("b", -random.random()) for _ in range(31)] + [("c", 2.0)] * 9
+    df = spark.createDataFrame([*data, ("a", None)], "k string, v double")
+    got = {r["k"]: r for r in aggregates.outlier_fence(df, ["k"], "v").collect()}
+    np = pytest.importorskip("numpy")
+    for k in "abc":
+        want = np.quantile([v for g, v in data if g == k], [0.25, 0.75])
+        assert [got[k]["q1"], got[k]["q3"]] == pytest.approx(list(want))
+
+
 def test_null_keys_in_joins(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
     right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, w int")
@@ -114,10 +141,12 @@ def test_bin_bounds(spark):
     assert rows(lookups.bin_lookup(df, bins, F.col("x"))) == [(0.0, "low"), (10.0, "high"), (9.9, "low")]
 
 
-def test_bounded_refuses_large_tables(spark):
-    with pytest.raises(lookups.LookupTooLarge):
-        lookups.bounded(spark.range(11), 10)
-    assert lookups.bounded(spark.range(10), 10).count() == 10
+def test_many_keyed_bins(spark):
+    """200,000 bins of one key: no limit on the lines of a look-up."""
+    bins = spark.range(200_000).select(F.lit("k").alias("flag"), F.col("id").cast("double").alias("min_value"),
+                                       (F.col("id") + 1).cast("double").alias("max_value"), F.col("id").alias("n"))
+    df = spark.createDataFrame([("k", 0.0), ("k", 123_456.5), ("k", 199_999.9), ("k", 200_000.0), ("x", 5.0)], "g string, v double")
+    assert rows(lookups.bin_lookup(df, bins, F.col("v"), {"g": "flag"}).select("n")) == [(0,), (123_456,), (199_999,)]
 
 
 def test_group_totals_of_a_hot_group(spark):
@@ -138,6 +167,9 @@ def test_describe_and_fence(spark):
         assert got["a"][label] == pytest.approx(want[name])
     assert got["b"]["std"] is None
     fence = {r["k"]: r for r in aggregates.outlier_fence(df, ["k"], "v").collect()}["a"]
+    large = spark.createDataFrame([(None, 1e9 + k) for k in range(3)], "k string, v double")
+    got = aggregates.describe(large, ["k"], "v").first()
+    assert (got["std"], got["p25"], got["count"]) == (1.0, 1e9 + 0.5, 3)
     assert fence["upper_threshold"] == pytest.approx(want["75%"] + 1.5 * (want["75%"] - want["25%"]))
 
 

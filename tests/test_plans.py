@@ -162,13 +162,22 @@ def test_scorecard_misses(spark):
 
 def test_overlapping_bins_fail_loudly(spark):
     clash = [("Điện thoại", "nums_image", 5.0, 9.0, None, 1.0)]
-    with pytest.raises(scorecard.OverlappingBins):
-        scorecard.scorecard(features(spark), *cards(spark, clash), no_packages(spark))
-
-
-def test_scorecard_has_no_shuffle(spark):
-    scored = scorecard.scorecard(features(spark), *cards(spark), no_packages(spark), F.lit(1.0))
-    assert "Exchange hashpartitioning" not in scored._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="overlapping bins in nums_image"):
+        scorecard.scorecard(features(spark), *cards(spark, clash), no_packages(spark)).collect()
+
+
+def test_scorecard_with_a_large_card(spark):
+    """200,000 lines of one field; each contract still finds its own."""
+    categorical, numeric = cards(spark)
+    many = spark.range(200_000).select(
+        F.lit("Điện thoại").alias("categoryname"), F.lit("nums_image").alias("field_check"), F.col("id").cast("double").alias("min_value"),
+        (F.col("id") + 1).cast("double").alias("max_value"), F.lit(None).cast("string").alias("package_name"),
+        (F.col("id") % 7).cast("double").alias("risk_score"))
+    numeric = numeric.where("field_check <> 'nums_image'").unionByName(many)
+    cases = [{"nums_image": n} for n in (0, 5, 100_000, 199_999, 200_000)]
+    scored = scorecard.scorecard(features(spark, cases=cases), categorical, numeric, no_packages(spark), F.lit(1.0))
+    got = {r["pawnid"]: r["nums_image_risk_score"] for r in scored.collect()}
+    assert got == {0: 0.0, 1: 5.0, 2: float(100_000 % 7), 3: float(199_999 % 7)}
 
 
 def test_audit_quotas():

@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,14 +14,28 @@ def log_rows(spark, day, risk, codes):
                                  schemas.CHECKING_LOG)
 
 
-def test_log_append_is_idempotent_per_run(spark, folder):
+def test_log_append_replaces_exactly_its_run(spark, folder):
     path = f"{folder}/log"
-    writers.append_log(log_rows(spark, "2020-06-01", "Gian lận", ["a", "b"]), path, fv.CHECKING_COLUMNS)
-    writers.append_log(log_rows(spark, "2020-06-02", "Gian lận", ["c"]), path, fv.CHECKING_COLUMNS)
-    writers.append_log(log_rows(spark, "2020-06-02", "Tuân thủ", ["d"]), path, fv.CHECKING_COLUMNS)
-    writers.append_log(log_rows(spark, "2020-06-02", "Gian lận", ["c", "e"]), path, fv.CHECKING_COLUMNS)
-    log = readers.read_checking_log(spark, path)
-    assert rows(log.select("codeno")) == [("a",), ("b",), ("c",), ("d",), ("e",)]
+    add = lambda run, day, risk, codes: writers.append_log(log_rows(spark, day, risk, codes), path, fv.CHECKING_COLUMNS, run)
+    add("fraud-0601", "2020-06-01", "Gian lận", ["a", "b"])
+    add("cash-0601", "2020-06-01", "Gian lận", ["c", "d"])
+    add("fraud-0602", "2020-06-02", "Gian lận", ["e"])
+    add("audit-0602", "2020-06-02", "Tuân thủ", ["f"])
+    log = lambda: readers.read_checking_log(spark, path)
+    assert rows(log().select("codeno")) == [("a",), ("b",), ("c",), ("d",), ("e",), ("f",)]
+    assert dict(log().dtypes)["extrac_date"] == "string" and log().columns == schemas.CHECKING_LOG.fieldNames()
+    add("fraud-0602", "2020-06-02", "Gian lận", ["e", "g"])
+    writers.append_log(log_rows(spark, "2020-06-02", "Tuân thủ", ["f"]).limit(0), path, fv.CHECKING_COLUMNS, "audit-0602")
+    assert rows(log().select("codeno")) == [("a",), ("b",), ("c",), ("d",), ("e",), ("g",)]
+
+
+def test_samples_feed_the_next_days_history(spark, folder):
+    from loantide.plans import compliance
+
+    for day, codes in (("2020-06-01", ["a", "b"]), ("2020-06-02", ["c"])):
+        writers.append_log(log_rows(spark, day, fv.COMPLIANCE, codes), f"{folder}/log", fv.CHECKING_COLUMNS, f"audit-{day}")
+    history = compliance.shop_check_history(readers.read_checking_log(spark, f"{folder}/log"), "2020-06-03")
+    assert rows(history.select("shopname", "shop_nums_checked_day", "total_num_checked_pawn")) == [("S", 2, 3)]
 
 
 def test_plain_append_aligns_columns_by_name(spark, folder):
@@ -53,17 +68,22 @@ def test_snapshot_days_are_partitions(spark, folder):
 
 
 def test_bucketed_snapshots_join_without_shuffle(spark):
-    panel = spark.createDataFrame([(dt.date(2020, 6, d), i, d + i) for d in (1, 2) for i in range(50)],
-                                  "created date, pawnid long, tuoino int")
-    writers.write_snapshot_table(panel, "snap_bucketed", 4)
+    days = [spark.createDataFrame([(dt.date(2020, 6, d), i, d + i) for i in range(50)], "created date, pawnid long, tuoino int")
+            for d in (1, 2)]
+    name = f"snap_{uuid.uuid4().hex}"
     try:
-        stored = readers.read_table(spark, "snap_bucketed")
+        for day in days:
+            writers.write_snapshot_table(day, name, 4)
+        stored = readers.read_table(spark, name)
         a, b = readers.snapshot_at(stored, "2020-06-01"), readers.snapshot_at(stored, "2020-06-02")
         joined = a.hint("merge").join(b.select("pawnid", F.col("tuoino").alias("cb_dpd")), "pawnid", "left")
         assert joined.where(F.col("cb_dpd") == F.col("tuoino") + 1).count() == 50
         assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+        writers.write_snapshot_table(days[1].limit(7), name, 4)
+        counts = readers.read_table(spark, name).groupBy("created").count()
+        assert rows(counts.select("count")) == [(50,), (7,)]
     finally:
-        spark.sql("DROP TABLE snap_bucketed")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def test_report_sections_are_partitions(spark, folder):
@@ -92,6 +112,18 @@ def test_sheets(spark, folder):
     assert rows(text) == [("A, b", "10.5", "2020-01-02"), ("C", "", "bad")]
 
 
+def test_sheets_of_several_files(spark, folder):
+    """Title rows of each file go, blank ones too; columns go by their names; line breaks may stand in quotes."""
+    with open(f"{folder}/a.csv", "w", encoding="utf-8") as out:
+        out.write('title,\n\nshop,n\n"A\nB ""x""",1\n')
+    with open(f"{folder}/b.csv", "w", encoding="utf-8") as out:
+        out.write("title,\r\nnote,\r\nn,shop\r\n2,C\r\n,D\r\n")
+    got = rows(readers.read_text_sheet(spark, folder, ["shop", "n"], skip_rows=3))
+    assert got == [('A\nB "x"', "1"), ("C", "2"), ("D", "")]
+    with pytest.raises(Exception, match="no column area"):
+        readers.read_text_sheet(spark, folder, ["shop", "area"], skip_rows=3).collect()
+
+
 def test_header_row_only(spark, folder):
     path = f"{folder}/sheet.csv"
     with open(path, "w", encoding="utf-8") as out:
