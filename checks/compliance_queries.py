@@ -9,6 +9,7 @@ from loantide.operators.sets import union_distinct
 from loantide.plans import audit, compliance, reminders, scorecard
 
 from . import params as P
+from . import sql_parts
 from . import views as V
 from .duck_views import query
 
@@ -100,53 +101,64 @@ _FOCUS = f"""
                                                        shop_focus_level DESC) AS rn FROM focus_shops
           WHERE DATE '{AS_OF}' BETWEEN shop_update_date AND shop_to_date) WHERE rn = 1"""
 
-_NET = "(loanmoneyorg - insurrancemoney)"
+_CAR_SIZES = {key: sql_parts.text(label) for key, label in fv.CAR_TITLE_SIZE_LABELS.items()}
+# A new contract's own facts, then one aggregate for each thing looked up about it. What the customer had before is the
+# greatest earlier contract by day and number, found by a join on the customer rather than by a window.
 _FEATURES = f"""
-    SELECT fromdate AS extract_date, pod.customer_name, pa.shopcode, pa.packagecode, fromdate, pa.pawnid, pa.codeno,
-           cad.name AS category_name, CASE WHEN packagecode LIKE '%NHANH%' THEN 'Vay nhanh' ELSE 'Vay thường' END AS package_name,
-           pod.papertype, ltv_index, {_NET} AS net_disbur,
-           CASE WHEN pa.categorycode LIKE '%17%' THEN
-                    CASE WHEN {_NET} <= 3000000 THEN '0. <=3tr' WHEN {_NET} <= 10000000 THEN '1. 3-10tr'
-                         WHEN {_NET} <= 15000000 THEN '2. 10-15tr' WHEN {_NET} <= 25000000 THEN '3. 15-25tr' ELSE '4. >25tr' END
-                WHEN pa.categorycode LIKE '%15%' THEN
-                    CASE WHEN {_NET} <= 50000000 THEN '0. <=50tr' WHEN {_NET} <= 100000000 THEN '1. 50-100tr'
-                         WHEN {_NET} <= 200000000 THEN '2. 100-200tr' WHEN packagecode IS NOT NULL THEN '4. >200tr'
-                         WHEN {_NET} <= 300000000 THEN '3. 200-300tr' ELSE '4. >300tr' END END AS package_money_range,
-           CASE WHEN frequency <= 30 THEN '1. Kỳ hạn 1 tháng' WHEN frequency <= 90 THEN '2. Kỳ hạn 3 tháng'
-                WHEN frequency <= 180 THEN '3. Kỳ hạn 6 tháng' WHEN frequency <= 270 THEN '4. Kỳ hạn 9 tháng'
-                WHEN frequency <= 360 THEN '5. Kỳ hạn 12 tháng' ELSE '6. >12 tháng' END AS package_time_range,
-           CASE WHEN previous_pawn IS NULL THEN 'Khách mới' ELSE 'Khách cũ' END AS cus_type,
-           CASE WHEN previous_status IS NULL THEN 'KH mới vay lần đầu' WHEN previous_status IN (77, 88, 99) THEN 'KH đang nợ xấu'
-                WHEN previous_status = 14 THEN '7.Vay thêm'
-                WHEN previous_status = 1 AND previous_close = fromdate THEN '0.Đáo hạn'
-                WHEN sleep_day > 180 THEN '5.Mở lại từ 181 ngày' WHEN sleep_day > 90 THEN '4.Mở lại từ 91-180 ngày'
-                WHEN sleep_day > 60 THEN '3.Mở lại từ 61-90 ngày' WHEN sleep_day > 30 THEN '2.Mở lại từ 31-60 ngày'
-                ELSE '1.Mở lại từ 1-30 ngày' END AS open_type,
-           num_created_pawn, customer_score, nums_image, complete, occ.openhour, hour(occ.openhour) AS open_hour_extracted,
+    WITH fresh AS (
+        SELECT *, currentmoney - insurrancemoney AS net FROM contracts
+        WHERE {sql_parts.one_of('status', fv.NEW_CONTRACT_STATUSES)} AND fromdate BETWEEN DATE '{FIRST}' AND DATE '{LAST}'),
+    earlier AS (
+        SELECT now.pawnid,
+               arg_max({{'status': old.status, 'ended': old.closedate}}, {{'day': old.fromdate, 'no': old.pawnid}}) AS any_loan,
+               arg_max({{'code': old.codeno, 'ended': old.closedate}}, {{'day': old.fromdate, 'no': old.pawnid}})
+                   FILTER (old.categorycode IS NOT DISTINCT FROM now.categorycode) AS same_kind
+        FROM fresh now JOIN contracts old
+          ON old.customerid = now.customerid
+         AND (old.fromdate < now.fromdate OR (old.fromdate = now.fromdate AND old.pawnid < now.pawnid))
+        GROUP BY now.pawnid),
+    rated AS (
+        SELECT customerid, arg_max({{'score': customer_score}}, {{'day': data_date, 'no': score_id}}).score AS customer_score
+        FROM customer_scores WHERE data_date <= DATE '{LAST}' GROUP BY customerid),
+    daily AS (SELECT fromdate, shopcode, count(pawnid) AS num_created_pawn FROM fresh GROUP BY fromdate, shopcode),
+    files AS (
+        SELECT pawnid, count(pawnassetfileid) AS nums_image, min(uploaded) AS first_upload, max(uploaded) AS last_upload
+        FROM images GROUP BY pawnid),
+    payouts AS (
+        SELECT contract_no AS codeno, min(created) AS complete
+        FROM transactions WHERE action_name = {sql_parts.text(fv.DISBURSEMENT)} GROUP BY contract_no),
+    facts AS (
+        SELECT fresh.*, any_loan, same_kind, customer_score, num_created_pawn, nums_image, first_upload, last_upload, complete,
+               contract_times.openhour, category_dim.name AS category_name,
+               date_diff('day', any_loan.ended, fresh.fromdate) AS idle_days
+        FROM fresh
+        JOIN contract_times ON contract_times.codeno = fresh.codeno AND contract_times.openhour IS NOT NULL
+        LEFT JOIN earlier ON earlier.pawnid = fresh.pawnid
+        LEFT JOIN rated ON rated.customerid = fresh.customerid
+        LEFT JOIN daily ON daily.fromdate = fresh.fromdate AND daily.shopcode = fresh.shopcode
+        LEFT JOIN files ON files.pawnid = fresh.pawnid
+        LEFT JOIN payouts ON payouts.codeno = fresh.codeno
+        LEFT JOIN category_dim ON category_dim.code = fresh.categorycode)
+    SELECT fromdate AS extract_date, customername AS customer_name, shopcode, packagecode, fromdate, pawnid, codeno, category_name,
+           if(contains(coalesce(packagecode, ''), '{fv.QUICK_MARK}'), '{fv.QUICK_LOAN}', '{fv.ORDINARY_LOAN}') AS package_name,
+           papertype, CAST(net AS DOUBLE) / nullif(CAST(moneyappraisal AS DOUBLE), 0) AS ltv_index, net AS net_disbur,
+           CASE WHEN contains(categorycode, '{fv.BIKE_TITLE_CODE}') THEN {sql_parts.band('net', fv.BIKE_TITLE_SIZES, inclusive=True)}
+                WHEN NOT contains(categorycode, '{fv.CAR_TITLE_CODE}') THEN NULL
+                WHEN net > 200000000 AND packagecode IS NOT NULL THEN {_CAR_SIZES['over_200']}
+                ELSE ([{_CAR_SIZES['to_50']}, {_CAR_SIZES['to_100']}, {_CAR_SIZES['to_200']}, {_CAR_SIZES['to_300']}, {_CAR_SIZES['over_300']}])
+                     [1 + len(list_filter([50, 100, 200, 300], lambda edge: net > edge * 1000000))] END AS package_money_range,
+           {sql_parts.band('frequency', fv.TERM_RANGES, inclusive=True)} AS package_time_range,
+           if(same_kind IS NULL, '{fv.NEW_CUSTOMER}', '{fv.RETURNING_CUSTOMER}') AS cus_type,
+           CASE WHEN any_loan.status IS NULL THEN '{fv.FIRST_LOAN}'
+                WHEN {sql_parts.one_of('any_loan.status', fv.BAD_DEBT_STATUSES)} THEN '{fv.BAD_DEBT}'
+                WHEN any_loan.status = {fv.TOP_UP_STATUS} THEN '{fv.TOP_UP}'
+                WHEN any_loan.status = {fv.CLOSED_STATUS} AND same_kind.ended = fromdate THEN '{fv.ROLLOVER}'
+                ELSE {sql_parts.band('idle_days', fv.REOPEN_AFTER, inclusive=True)} END AS open_type,
+           num_created_pawn, customer_score, nums_image, complete, openhour, hour(openhour) AS open_hour_extracted,
            date_diff('minute', inittime, complete) AS processing_minute, first_upload, last_upload,
-           date_diff('minute', occ.openhour, first_upload) AS first_upload_to_open,
-           date_diff('minute', occ.openhour, last_upload) AS last_upload_to_open
-    FROM (SELECT *, currentmoney AS loanmoneyorg,
-                 lag(codeno) OVER (PARTITION BY customerid, categorycode ORDER BY fromdate, pawnid) AS previous_pawn,
-                 lag(status) OVER (PARTITION BY customerid ORDER BY fromdate, pawnid) AS previous_status,
-                 lag(closedate) OVER (PARTITION BY customerid, categorycode ORDER BY fromdate, pawnid) AS previous_close,
-                 date_diff('day', lag(closedate) OVER (PARTITION BY customerid ORDER BY fromdate, pawnid), fromdate) AS sleep_day
-          FROM contracts) pa
-    LEFT JOIN category_dim cad ON cad.code = pa.categorycode
-    LEFT JOIN contract_times occ ON occ.codeno = pa.codeno
-    LEFT JOIN (SELECT customerid, customer_score FROM
-               (SELECT *, row_number() OVER (PARTITION BY customerid ORDER BY data_date DESC, score_id DESC) AS rn
-                FROM customer_scores WHERE data_date <= DATE '{LAST}') WHERE rn = 1) csh ON csh.customerid = pa.customerid
-    LEFT JOIN (SELECT fromdate AS day, shopcode, count(pawnid) AS num_created_pawn FROM contracts
-               WHERE status IN (1, 14) GROUP BY ALL) pa2 ON pa2.day = pa.fromdate AND pa2.shopcode = pa.shopcode
-    LEFT JOIN (SELECT pawnid, count(pawnassetfileid) AS nums_image, min(uploaded) AS first_upload, max(uploaded) AS last_upload
-               FROM images GROUP BY pawnid) ima ON ima.pawnid = pa.pawnid
-    LEFT JOIN (SELECT contract_no, min(created) AS complete FROM transactions WHERE action_name = 'Cho vay'
-               GROUP BY contract_no) trans ON trans.contract_no = pa.codeno
-    LEFT JOIN (SELECT pawnid, papertype, customername AS customer_name,
-                      CAST(currentmoney - insurrancemoney AS DOUBLE) / nullif(CAST(moneyappraisal AS DOUBLE), 0) AS ltv_index
-               FROM contracts) pod ON pod.pawnid = pa.pawnid
-    WHERE occ.openhour IS NOT NULL AND pa.status IN (1, 14) AND fromdate BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"""
+           date_diff('minute', openhour, first_upload) AS first_upload_to_open,
+           date_diff('minute', openhour, last_upload) AS last_upload_to_open
+    FROM facts"""
 
 _TEXT_DATES = ("CAST(extract_date AS VARCHAR) AS extract_date, CAST(fromdate AS VARCHAR) AS fromdate, "
                "CAST(complete AS VARCHAR) AS complete, CAST(openhour AS VARCHAR) AS openhour, "

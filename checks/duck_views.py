@@ -118,10 +118,10 @@ VIEWS: dict[str, str] = {
     "fund_counts": """
         SELECT CAST(user_id % 25 AS INTEGER) AS shop_id, n_name AS shop_name,
                CAST(CAST(happened AS DATE) AS TIMESTAMP) + to_hours(8)
-                   + to_minutes((hour(happened) * 60 + minute(happened)) * 5 // 12) + to_seconds(second(happened)) AS created
+                   + to_minutes((hour(happened) * 60 + minute(happened)) // 2) + to_seconds(second(happened)) AS created
         FROM event_day LEFT JOIN nation ON user_id % 25 = n_nationkey""",
     "contract_times": """
-        SELECT codeno, openhour, closehour, categorycode, fromdate AS extrac_date,
+        SELECT codeno, openhour, CASE WHEN pawnid % 3 <> 0 THEN closehour END AS closehour, categorycode, fromdate AS extrac_date,
                'Customer#' || lpad(CAST(customerid AS VARCHAR), 9, '0') AS customer
         FROM contract_core""",
     "lines": """
@@ -193,6 +193,8 @@ def snapshot(day: str, source: str = "contracts") -> str:
 
 def query(body: str, **extra: str) -> str:
     """A full statement: the views the body needs (directly or not), then ``extra`` CTEs, then the body."""
+    if body.lstrip().startswith("WITH"):
+        body = f"SELECT * FROM ({body})"
     needed: set[str] = set()
     pending = [body, *extra.values()]
     while pending:

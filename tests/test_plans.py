@@ -216,3 +216,26 @@ def test_reminders(spark):
     assert mails["4"]["body"].split("\n")[1] == "SỰ VỤ số 4/202006 đã quá Dealine cam kết hoàn thành 1 ngày."
     assert mails["1"]["subject"].endswith("SỰ VỤ TẠI OPS")
     assert rows(reminders.reminder_errors(actions, contacts, "SỰ VỤ", "2020-06-10").select("no")) == [("9",)]
+
+
+def test_contracts_near_the_counts(spark):
+    """Inside the window but near a count: kept only when the processing time is unusual for the category."""
+    at = lambda h, m=0: dt.datetime(2020, 6, 9, h, m)
+    counts = spark.createDataFrame([(1, "S", at(8)), (1, "S", at(12)), (1, "S", at(19, 30))], "shop_id int, shop_name string, created timestamp")
+    opened = {"start": at(8, 10), "start_usual": at(8, 15), "late_start": at(8, 16), "end": at(19, 15), "early_end": at(19, 14),
+              "before": at(8), "after": at(19, 30), "bike": at(8, 10)}
+    times = spark.createDataFrame([(c, "x", t, None) for c, t in opened.items()],
+                                  "codeno string, customer string, openhour timestamp, closehour timestamp")
+    contracts = spark.createDataFrame([(c, 1, "s", "B" if c == "bike" else "A", 14, t) for c, t in opened.items()],
+                                      "codeno string, shopid int, shopcode string, categorycode string, status int, inittime timestamp")
+    minutes = {c: 30 if c == "start_usual" else 200 for c in opened}
+    paid = spark.createDataFrame([(c, t + dt.timedelta(minutes=minutes[c]), "Cho vay") for c, t in opened.items()],
+                                 "contract_no string, created timestamp, action_name string")
+    categories = spark.createDataFrame([("A", "Điện thoại"), ("B", "Xe máy")], "code string, name string")
+    limits_ = spark.createDataFrame([(n, 5.0, 100.0) for n in ("Điện thoại", "Xe máy")],
+                                    "category_name string, lower_threshold double, upper_threshold double")
+    got = fraud.cash_count_window(counts, contracts, times, paid, categories, limits_, "2020-06-09", "2020-06-09")
+    from loantide.functions import fixed_values as labels
+
+    assert dict(tuple(r) for r in got.select("codeno", "pawn_fraud_group").collect()) == {
+        "start": labels.NEAR_DAY_START, "end": labels.NEAR_DAY_END, "before": labels.BEFORE_FIRST_COUNT, "after": labels.AFTER_LAST_COUNT}
