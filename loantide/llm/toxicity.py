@@ -11,6 +11,8 @@ The model is fitted on a bounded sample of labelled rows; all documents are scor
 
 from __future__ import annotations
 
+import heapq
+import math
 import re
 import uuid
 from collections import Counter
@@ -29,6 +31,8 @@ ORDER, SPAN, DECAY = 4, 7, 0.6
 #: Bounds of the training sample, in documents: taken in order of a hash, so the sample is the same in every run.
 TOXIC_ROWS, CLEAN_ROWS = 1_000, 1_500
 LANDMARKS = 160
+#: Highest word margins that a text's score is made of.
+TOP = 6
 THRESHOLD = 0.7
 CACHE_ENTRIES = 500_000
 LONGEST = 64
@@ -52,8 +56,8 @@ def tokens(text: str | None) -> set[bytes]:
 
 
 def _pieces(word: bytes) -> list[str]:
-    """A word as text; a long one as overlapping pieces that hold all its subsequences."""
-    text = word.decode(errors="replace").lower()
+    """A word as text between marks of its ends; a long one as overlapping pieces that hold all its subsequences."""
+    text = f"^{word.decode(errors='replace').lower()}$"
     if len(text) <= LONGEST:
         return [text]
     return [text[k : k + LONGEST] for k in range(0, len(text) - SPAN + 1, LONGEST - SPAN + 1)]
@@ -149,10 +153,15 @@ class Features:
 
 
 class Model:
-    """Scores of words and texts; without both classes in training, every score is 0."""
+    """Margins of words and scores of texts; without both classes in training, every score is 0.
 
-    def __init__(self, features: Features | None, bias: float = 0.0, slope: float = 1.0, shift: float = 0.0):
-        self.features, self.bias, self.slope, self.shift = features, bias, slope, shift
+    A text's score is a logistic function of the length of its ``TOP`` highest margins, measured from the clean side's edge:
+    one clear insult is enough, and several words that are each doubtful add up.
+    """
+
+    def __init__(self, features: Features | None, bias: float = 0.0):
+        self.features, self.bias = features, bias
+        self.slope, self.shift = 1.0, 0.0
         self._cache: dict[bytes, float] = {}
 
     def margins(self, words: set[bytes]) -> None:
@@ -161,20 +170,34 @@ class Model:
         if len(cache) > CACHE_ENTRIES:
             cache.clear()
         parts = {w: _pieces(w) for w in words.difference(cache)}
-        margin: dict[str, float] = {}
-        for group in _by_length({p for own in parts.values() for p in own}):
-            which, kernel = self.features.of(group)
-            margin.update((group[k], v) for k, v in zip(which.tolist(), kernel[:, 0].tolist(), strict=True))
+        margin = self.of_pieces({p for own in parts.values() for p in own})
         for w, own in parts.items():
             cache[w] = max((margin.get(p, 0.0) for p in own), default=0.0) + self.bias
 
+    def of_pieces(self, pieces: set[str]) -> dict[str, float]:
+        """Weighted kernels of the pieces that share a subsequence with a landmark."""
+        out: dict[str, float] = {}
+        for group in _by_length(pieces):
+            which, kernel = self.features.of(group)
+            out.update((group[k], v) for k, v in zip(which.tolist(), kernel[:, 0].tolist(), strict=True))
+        return out
+
     def scores(self, texts: list[str | None]) -> list[float]:
         if self.features is None:
             return [0.0] * len(texts)
         own = [tokens(t) for t in texts]
         self.margins(set().union(*own))
-        best = np.array([max(map(self._cache.__getitem__, w), default=self.bias) for w in own])
-        return (1 / (1 + np.exp(np.clip(-(self.slope * best + self.shift), -50, 50)))).tolist()
+        best = np.array([_evidence(map(self._cache.__getitem__, words)) for words in own])
+        return _logistic(self.slope * best + self.shift).tolist()
+
+
+def _evidence(margins: Iterable[float]) -> float:
+    """Length of the highest margins above -1, the clean side's edge."""
+    return math.sqrt(sum(max(0.0, m + 1.0) ** 2 for m in heapq.nlargest(TOP, margins)))
+
+
+def _logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(-x, -50, 50)))
 
 
 def _grams(word: str) -> set[str]:
@@ -183,8 +206,8 @@ def _grams(word: str) -> set[str]:
 
 def _disturbed(word: str) -> list[str]:
     """The word with a foreign character inserted at, or put in place of, each inner position."""
-    inner = range(1, len(word))
-    return [*(f"{word[:k]}*{word[k:]}" for k in inner), *(f"{word[:k]}*{word[k + 1:]}" for k in inner if k < len(word) - 1)]
+    inner = range(2, len(word) - 1)  # within the marks of its ends
+    return [*(f"{word[:k]}*{word[k:]}" for k in inner), *(f"{word[:k]}*{word[k + 1:]}" for k in inner if k < len(word) - 2)]
 
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0) -> tuple[np.ndarray, float]:
@@ -203,18 +226,17 @@ def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.
     return w[:-1], float(w[-1])
 
 
-def _sigmoid_fit(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve over margins, classes weighted equally, with smoothed targets."""
+def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of a logistic function, both classes weighted equally, with smoothed targets."""
     n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)
-    x, ab = np.column_stack([margin, np.ones(len(margin))]), np.array([1.0, 0.0])
-    for _ in range(60):
-        p = 1 / (1 + np.exp(np.clip(-(x @ ab), -50, 50)))
-        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2)
-        step = np.linalg.solve(hess, x.T @ (weight * (target - p)) - 1e-4 * (ab - np.array([1.0, 0.0])))
-        ab = ab + np.clip(step, -2, 2)
-    return float(ab[0]), float(ab[1])
+    x, at, pull = np.column_stack([x, np.ones(len(x))]), np.array([1.0, 0.0]), np.array([1e-3, 1e-5])
+    for _ in range(80):
+        p = _logistic(x @ at)
+        bend = (x * (weight * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ x + np.diag(pull)
+        at = at + np.clip(np.linalg.solve(bend, x.T @ (weight * (target - p)) - pull * at), -1, 1)
+    return float(at[0]), float(at[1])
 
 
 def fit(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMARKS) -> Model:
@@ -230,8 +252,9 @@ def fit(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMARKS
     odds = {g: np.log((a + 0.2) / (n1 + 1)) - np.log((df[0][g] + 0.5) / (n0 + 1)) for g, a in df[1].items() if a >= min(2, n1)}
     telling = {g: v * np.log1p(df[1][g]) for g, v in odds.items() if v > 1}
     value = {w: max((telling.get(g, 0.0) for g in _grams(w)), default=0.0) for words in toxic for w in words}
-    cut = 0.5 * float(np.median([max((value[w] for w in words), default=0.0) for words in toxic]))
-    picks = [[w for w in sorted(words) if value[w] > max(cut, 0.0)] for words in toxic]
+    # To begin with, the words of a toxic document that come near its most telling one.
+    top = [max((value[w] for w in words), default=0.0) for words in toxic]
+    picks = [[w for w in sorted(words) if value[w] > 0 and value[w] >= 0.6 * best] for words, best in zip(toxic, top, strict=True)]
     often = Counter(w for words in toxic for w in words if value.get(w, 0.0) > 0)
     chosen = sorted({w for w in often if len(w) >= ORDER}, key=lambda w: (-value[w] * np.log1p(often[w]), w))
     held: Counter = Counter()
@@ -268,8 +291,9 @@ def fit(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMARKS
     root = basis @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ basis.T  # inverse square root: Nyström features
     # The closest clean words decide the margin.
     least = max(0.05, sorted(close.values(), reverse=True)[:12_000][-1]) if close else 0.05
-    _, clean_x = vectors(common, least)
-    clean_x = clean_x[:20_000]
+    clean_names, clean_x = vectors(common, least)
+    clean_names, clean_x = clean_names[:20_000], clean_x[:20_000]
+    usualness = np.sqrt([common[w] for w in clean_names])
     toxic_names, toxic_x = vectors({w for words in toxic for w in words}, least)
     at = {w: k for k, w in enumerate(toxic_names)}
     z0, z1 = clean_x @ root, toxic_x @ root
@@ -287,7 +311,7 @@ def fit(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMARKS
         x = np.vstack([z1[rows], z2, z0, zero])
         y = np.r_[np.ones(len(rows) + len(z2)), -np.ones(len(z0) + 1)]
         heavy = np.array([times[r] for r in rows], float)
-        weight = np.r_[heavy / heavy.sum() * 300, np.full(len(z2), 100 / max(1, len(z2))), np.full(len(z0), 1.0), 300.0]
+        weight = np.r_[heavy / heavy.sum() * 300, np.full(len(z2), 100 / max(1, len(z2))), usualness, 300.0]
         w, bias = _machine(x, y, weight)
         margin = z1 @ w
         best = [max(ks, key=lambda k: margin[k]) for ks in known if ks]
@@ -295,19 +319,17 @@ def fit(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMARKS
         likely = {r for r in {*best, *more} if margin[r] + bias > -0.5}
         chosen_rows = [k for ks in known for k in ks if k in likely] or rows
     model = Model(features.collapsed(root @ w), bias)
-    best = [model_max(model, words) for words in [*toxic, *clean]]
-    y = np.r_[np.ones(len(toxic)), np.zeros(len(clean))]
-    model.slope, model.shift = _sigmoid_fit(np.array(best), y)
-    model._cache.clear()
+    margin = model.of_pieces({w for words in [*toxic, *clean] for w in words})
+    x = [_evidence(margin.get(w, 0.0) + bias for w in words) for words in [*toxic, *clean]]
+    x, y = np.array(x), np.r_[np.ones(len(toxic)), np.zeros(len(clean))]
+    model.slope, model.shift = _curve(x, y)
+    # Where the classes are far apart, the threshold moves half the way to the clean ones, so that one weak insult is enough;
+    # where they overlap, it moves to where all but two clean ones in a thousand stay below it.
+    edge, middle = np.quantile(x[y == 0], 0.998), (math.log(THRESHOLD / (1 - THRESHOLD)) - model.shift) / model.slope
+    model.shift += model.slope * (middle - max(edge, (edge + middle) / 2))
     return model
 
 
-def model_max(model: Model, words: set[str]) -> float:
-    own = {w.encode() for w in words}
-    model.margins(own)
-    return max(map(model._cache.__getitem__, own), default=model.bias)
-
-
 def held_out(doc_id: Column) -> Column:
     """Rows that training never reads: crc32 of the id's text leaves 1 modulo 3. A null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 == 1
