@@ -6,9 +6,9 @@ document if its level is within the shingle's weight there. A slot keeps the fir
 agree in a slot with exactly their weighted Jaccard similarity. Points are made only up to a bound that fills all slots.
 
 Signatures are cut into bands. Documents of a bucket are not paired with each other: each is verified, by the exact overlap of
-the bags, against its best representative, then against the others that its buckets name; what is still in different
-components and shares a bucket is compared in blocks by signature, and likely pairs are verified. So no link is lost that a
-band finds, and a large group of copies costs one verification a document.
+the bags, against its best representative. Buckets whose members are then still in different components are compared in
+blocks, exactly as well. So no link is lost that a band finds, a large group of copies costs one verification a document, and
+no pairs are sent anywhere.
 """
 
 from __future__ import annotations
@@ -24,14 +24,14 @@ from pyspark.sql import functions as F
 from .common import WORD_PATTERN, map_arrow, ship, words_of, written
 from .components import components
 from .substrings import Text, _mixed, _texts
+from .vectors import spanning
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
-#: Signature agreement below which a pair of the threshold's similarity is five standard deviations off.
-LIKELY = SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / SLOTS) ** 0.5
-BLOCK = 1_000
+#: Nodes verified against one copy of their representative, members of a block of a bucket, and columns compared at once.
+SHARE, BLOCK, COLUMNS = 500, 300, 4_096
 
 
 def bag(text: str | None, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -97,8 +97,8 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], slots: int = SLOTS) ->
     return out
 
 
-def _signed(docs: DataFrame) -> DataFrame:
-    """node, bands and mark (one byte a slot) of each distinct text; a task sends a text that it holds often once."""
+def _banded(docs: DataFrame) -> DataFrame:
+    """node and bands of each distinct text with words; a task sends a text that it holds often once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -108,7 +108,7 @@ def _signed(docs: DataFrame) -> DataFrame:
             for row, text in _texts(batch, 1):
                 if nodes[row] in seen:
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < 1_000_000:  # beyond that, copies are only sent more often
                     seen.add(nodes[row])
                 b = bag(text)
                 if len(b[0]):
@@ -126,63 +126,90 @@ def _signed(docs: DataFrame) -> DataFrame:
         bands = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(out), 0)
         for k in range(ROWS):
             bands = _mixed(bands * np.uint64(0xFF51AFD7ED558CCD) + out[:, k::ROWS])
-        mark = (out >> np.uint64(56)).astype(np.uint8)
-        columns = [pa.array(own, pa.int64()), pa.array(bands.view(np.int64).tolist(), pa.list_(pa.int64())), pa.array([m.tobytes() for m in mark], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=["node", "bands", "mark"])
+        columns = [pa.array(own, pa.int64()), pa.array(bands.view(np.int64).tolist(), pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, names=["node", "bands"])
 
-    return map_arrow(docs.select("node", "text"), run, "node long, bands array<long>, mark binary")
+    return map_arrow(docs.select("node", "text"), run, "node long, bands array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose bags reach the threshold."""
-    sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    sides = sides.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+def _verified_stars(best: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (node, rep) of ``best`` whose bags reach the threshold.
+
+    Texts are sent to their representative, whose own text comes first; a representative of many nodes is sent to several
+    shares of them.
+    """
+    shares = best.groupBy("rep").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
+    members = best.join(shares, "rep").select("node", "rep", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("place"))
+    heads = shares.select(F.col("rep").alias("node"), "rep", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("place"))
+    sent = texts.join(members.unionByName(heads), "node").select("rep", "share", "place", "node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, tuple] = {}
+        head, own = None, None
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            good = []
-            for k in range(batch.num_rows):
-                if len(known) > 200:
-                    known.clear()
-                for node, column in ((a[k], 2), (b[k], 3)):
-                    if node not in known:
-                        known[node] = bag(batch.column(column)[k].as_py())
-                good.append(similarity(known[a[k]], known[b[k]]) >= SIMILARITY)
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good))
-
-    return written(map_arrow(sides, run, "a long, b long"), "verified")
-
-
-def _likely_in_blocks(members: DataFrame) -> DataFrame:
-    """Pairs of likely similarity among members of one bucket (bucket, node, component, mark) in different components.
-
-    A bucket is cut into blocks; each pair of its blocks is one piece of work. A pair is looked at in its first common band.
+            rep, place, nodes = (batch.column(k).to_pylist() for k in (0, 2, 3))
+            out = []
+            for row, text in _texts(batch, 4):
+                if place[row] == 0:
+                    head, own = rep[row], bag(text)
+                elif rep[row] == head and similarity(own, bag(text)) >= SIMILARITY:
+                    out.append((nodes[row], head))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+
+    dealt = sent.repartition("rep", "share").sortWithinPartitions("rep", "share", "place")
+    return map_arrow(dealt, run, "a long, b long")
+
+
+def _elements(text: str | None) -> np.ndarray:
+    """A bag as a set: the n-th copy of a shingle is an element of its own, so overlaps of bags are overlaps of sets."""
+    hashes, counts = bag(text)
+    copies = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return _mixed(np.repeat(hashes, counts) + copies.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Similarity of each bag on the left with each on the right, exactly; elements on one side only need no column."""
+    sizes = [np.array([len(x) for x in side], float) for side in (left, right)]
+    flat = [np.concatenate([*side, np.empty(0, np.uint64)]) for side in (left, right)]
+    shared = np.intersect1d(flat[0], flat[1])
+    common = np.zeros((len(left), len(right)))
+    for k in range(0, len(shared), COLUMNS):
+        part, held = shared[k : k + COLUMNS], []
+        for side, values in zip((left, right), flat, strict=True):
+            row = np.repeat(np.arange(len(side)), [len(x) for x in side])
+            at = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            on = part[at] == values
+            matrix = np.zeros((len(side), len(part)), np.float32)
+            matrix[row[on], at[on]] = 1
+            held.append(matrix)
+        common += held[0] @ held[1].T
+    return common / (sizes[0][:, None] + sizes[1][None, :] - common)
+
+
+def _links_in_blocks(members: DataFrame) -> DataFrame:
+    """Links (a, b) among members of one bucket (bucket, node, component, elements) in different components.
+
+    A bucket is cut into blocks; each pair of its blocks is one piece of work, which compares exactly and sends on a spanning
+    forest of the links it finds, never the pairs.
     """
     ship(members.sparkSession)
     sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     both = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component", "mark"
+        "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component", "elements"
     )
 
     def compare(work: pd.DataFrame) -> pd.DataFrame:
         x, y = work["x"].iloc[0], work["y"].iloc[0]
-        left, right = work[work["own"] == x], work[work["own"] == y]
-        marks = [np.frombuffer(b"".join(s["mark"]), np.uint8).reshape(len(s), -1) for s in (left, right)]
-        ids, parts = [s["node"].to_numpy(np.int64) for s in (left, right)], [s["component"].to_numpy(np.int64) for s in (left, right)]
-        out = []
-        for k in range(len(left)):
-            may = (parts[1] != parts[0][k]) & ((ids[1] > ids[0][k]) if x == y else True)
-            at = np.flatnonzero(may)
-            if len(at):
-                at = at[(marks[1][at] == marks[0][k]).mean(1) >= LIKELY]
-                out += [(int(ids[0][k]), int(ids[1][m])) for m in at]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    found = both.groupBy("bucket", "x", "y").applyInPandas(compare, "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        sides = [work[work["own"] == z] for z in (x, y)]
+        sets = [[np.frombuffer(e, "<u8") for e in s["elements"]] for s in sides]
+        ids, parts = [s["node"].to_numpy(np.int64) for s in sides], [s["component"].to_numpy(np.int64) for s in sides]
+        link = (parts[0][:, None] != parts[1][None, :]) & (overlaps(*sets) >= SIMILARITY)
+        to = spanning(link, *ids)
+        out = pd.DataFrame({"a": np.concatenate(ids), "b": np.concatenate(to)})
+        return out[out["a"] != out["b"]]
+
+    return both.groupBy("bucket", "x", "y").applyInPandas(compare, "a long, b long")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -193,38 +220,38 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     keys are. Repeated rows come back as they are; other columns are not read.
     """
     given = docs.select(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node"), F.col(text).alias("text"))
-    signed = written(_signed(given), "signatures")
-    buckets = signed.select("node", F.explode("bands").alias("bucket"))
+    buckets = written(_banded(given), "bands").select("node", F.explode("bands").alias("bucket"))
     named = buckets.groupBy("bucket").agg(F.min("node").alias("rep"), F.max("node").alias("last")).filter("rep < last").select("bucket", "rep")
-    near = written(buckets.join(named, "bucket").groupBy("node", "rep").agg(F.count(F.lit(1)).alias("shared")), "candidates")
+    near = written(buckets.join(named, "bucket"), "candidates")
     # Texts of all nodes that share a bucket with another one.
     nodes = near.select("node").distinct()
-    texts = written(given.groupBy("node").agg(F.first("text").alias("text")).join(nodes, "node", "left_semi"), "texts")
-    best = near.filter("node <> rep").groupBy("node").agg(F.max_by("rep", F.struct("shared", F.col("rep").alias("r"))).alias("rep"))
-    links = _verified(best.select(F.col("node").alias("a"), F.col("rep").alias("b")), texts)
+    texts = written(given.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    shared = near.filter("node <> rep").groupBy("node", "rep").agg(F.count(F.lit(1)).alias("shared"))
+    best = shared.groupBy("node").agg(F.max_by("rep", F.struct("shared", F.col("rep").alias("r"))).alias("rep"))
+    links = written(_verified_stars(written(best, "stars"), texts), "links")
     parts = components(links)
 
     def part_of(df: DataFrame, column: str, name: str) -> DataFrame:
         own = parts.select(F.col("node").alias(column), F.col("component").alias(name))
         return df.join(own, column, "left").withColumn(name, F.coalesce(name, column))
 
-    open_ = part_of(part_of(near.filter("node <> rep"), "node", "pa"), "rep", "pb").filter("pa <> pb")
-    tried = best.select("node", "rep")
-    marks = signed.groupBy("node").agg(F.first("mark").alias("mark"))
-    open_ = open_.join(tried, ["node", "rep"], "left_anti").select("node", "rep")
-    for column, name in (("node", "ma"), ("rep", "mb")):
-        open_ = open_.join(marks.select(F.col("node").alias(column), F.col("mark").alias(name)), column)
-    agree = F.size(F.filter(F.sequence(F.lit(1), F.lit(SLOTS)), lambda k: F.col("ma").substr(k, F.lit(1)) == F.col("mb").substr(k, F.lit(1))))
-    second = written(open_.filter(agree >= LIKELY * SLOTS).select(F.col("node").alias("a"), F.col("rep").alias("b")), "second")
-    if not second.isEmpty():
-        links = links.unionByName(_verified(second, texts))
-        parts = components(links)
-    member = part_of(buckets.join(named.select("bucket"), "bucket", "left_semi").distinct(), "node", "component")
+    member = part_of(near.select("bucket", "node").distinct(), "node", "component")
     split = member.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
-    last = written(_likely_in_blocks(member.join(split, "bucket", "left_semi").join(marks, "node")), "third")
-    if not last.isEmpty():
-        links = links.unionByName(_verified(last, texts))
-        parts = components(links)
+    open_ = written(member.join(split, "bucket", "left_semi"), "open")
+    if not open_.isEmpty():
+        ids = open_.select("node").distinct()
+
+        def as_elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(0, batch.num_rows, 200):
+                    part = batch.slice(k, 200)
+                    sets = pa.array([_elements(t).astype("<u8").tobytes() for t in part.column(1).to_pylist()], pa.binary())
+                    yield pa.RecordBatch.from_arrays([part.column(0), sets], names=["node", "elements"])
+
+        sets = map_arrow(texts.join(ids, "node", "left_semi"), as_elements, "node long, elements binary")
+        more = written(_links_in_blocks(open_.join(sets, "node")), "links")
+        if not more.isEmpty():
+            parts = components(links.unionByName(more))
     worded = F.coalesce(F.rlike("text", F.lit(WORD_PATTERN)), F.lit(False))
     rows = part_of(given.select("id", "node", worded.alias("worded")), "node", "part")
     names = rows.filter("worded").groupBy("part").agg(F.min("id").alias("least"))

@@ -97,7 +97,7 @@ def _units(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x**2).sum(1))[:, None]
 
 
-def _spanning(link: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spanning(link: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Least id that each row and column of a block of links reaches inside the block."""
     far = np.iinfo(np.int64).max
     a, b = left.copy(), right.copy()
@@ -130,7 +130,7 @@ def _compare(which: int, vectors: pd.DataFrame, queries: pd.DataFrame, quantiser
             continue
         # A vector whose own probes miss the query's list learns of the link here.
         missed = link & ~probes[columns][:, quantiser.lists_and_probes(q[rows])[0]].T
-        to_q, to_x = _spanning(link, q_ids[rows], ids[columns])
+        to_q, to_x = spanning(link, q_ids[rows], ids[columns])
         out.append(pd.DataFrame({"node": q_ids[rows], "links": link @ copies[columns], "to": to_q}))
         out.append(pd.DataFrame({"node": ids[columns], "links": q_copies[rows] @ missed, "to": to_x}))
     if not out:
