@@ -64,9 +64,9 @@ def all_samples(spark, sf):
     return union_distinct(audit_sample(spark, sf), car_title_sample(spark, sf))
 
 
-def outbox(kind):
+def outbox(kind, actions):
     return lambda spark, sf: reminders.reminders(
-        V.action_list(spark, sf), V.contacts(spark), kind, AS_OF, P.ACTION_LINK, P.ESCALATE_TO)
+        actions(spark, sf), V.contacts(spark), kind, AS_OF, P.ACTION_LINK, P.ESCALATE_TO)
 
 
 def reminder_errors(spark, sf):
@@ -82,9 +82,9 @@ QUERIES = {
     "audit_sample": audit_sample,
     "car_title_sample": car_title_sample,
     "all_samples": all_samples,
-    "reminders_risk_recommendation": outbox(fv.RISK_RECOMMENDATION),
-    "reminders_audit_recommendation": outbox(fv.AUDIT_RECOMMENDATION),
-    "reminders_audit_issue": outbox(fv.AUDIT_ISSUE),
+    "reminders_risk_recommendation": outbox(fv.RISK_RECOMMENDATION, V.action_list),
+    "reminders_audit_recommendation": outbox(fv.AUDIT_RECOMMENDATION, V.audit_list),
+    "reminders_audit_issue": outbox(fv.AUDIT_ISSUE, V.issue_list),
     "reminder_errors": reminder_errors,
 }
 
@@ -238,14 +238,15 @@ _CARS = _checking("Hậu kiểm thẩm định ĐKOT", """
                    FROM features f LEFT JOIN shops ON shops.code = f.shopcode WHERE category_name = 'Đăng ký Ô tô')
     WHERE rn <= 1""")
 
-_DUE = f"""
+def _due(actions, planned):
+    return f"""
     SELECT *, CASE WHEN status LIKE '%Đang%' AND due >= 0 AND due < 3 THEN 4 WHEN status LIKE '%Đang%' AND due < 0 THEN 3
                    WHEN status LIKE '%Đang%' AND updated <= -6 THEN 2 WHEN status LIKE '%Chưa%' AND planned <= -2 THEN 1 END AS warning_type
     FROM (SELECT *, date_diff('day', DATE '{AS_OF}', deadline) AS due, date_diff('day', DATE '{AS_OF}', update_date) AS updated,
-                 date_diff('day', DATE '{AS_OF}', recommend_date) AS planned FROM action_list)"""
+                 date_diff('day', DATE '{AS_OF}', {planned}) AS planned FROM {actions})"""
 
 
-def _outbox_sql(kind):
+def _outbox_sql(kind, actions="action_list", planned="recommend_date"):
     escalated = ";".join(P.ESCALATE_TO)
     return query(f"""
     SELECT '{kind}' AS kind, no, assignee, warning_type,
@@ -264,7 +265,7 @@ def _outbox_sql(kind):
                    ELSE 'Bạn cần liên hệ với ' || risk_owner || ' cập nhật lại tiến độ thực hiện mới nhất của khuyến nghị này.' END,
                'Chi tiết Khuyến nghị', content, 'Truy cập Link Quản lý Khuyến nghị/Sự vụ sau để cập nhật: ', '{P.ACTION_LINK}',
                '-------------', 'Trân trọng') AS body
-    FROM ({_DUE}) JOIN contacts USING (assignee) WHERE warning_type IS NOT NULL""")
+    FROM ({_due(actions, planned)}) JOIN contacts USING (assignee) WHERE warning_type IS NOT NULL""")
 
 
 SQL = {
@@ -285,9 +286,9 @@ SQL = {
     "car_title_sample": query(_CARS, features=_FEATURES),
     "all_samples": query(f"{_AUDIT} UNION {_CARS}", **_CTES),
     "reminders_risk_recommendation": _outbox_sql("KHUYẾN NGHỊ QTRR"),
-    "reminders_audit_recommendation": _outbox_sql("KHUYẾN NGHỊ KTNB"),
-    "reminders_audit_issue": _outbox_sql("SỰ VỤ"),
+    "reminders_audit_recommendation": _outbox_sql("KHUYẾN NGHỊ KTNB", "audit_list"),
+    "reminders_audit_issue": _outbox_sql("SỰ VỤ", "issue_list", "concluded_date"),
     "reminder_errors": query(f"""
-        SELECT 'KHUYẾN NGHỊ QTRR' AS kind, no, assignee, warning_type FROM ({_DUE})
+        SELECT 'KHUYẾN NGHỊ QTRR' AS kind, no, assignee, warning_type FROM ({_due('action_list', 'recommend_date')})
         WHERE warning_type IS NOT NULL AND assignee NOT IN (SELECT assignee FROM contacts)"""),
 }

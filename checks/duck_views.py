@@ -28,6 +28,19 @@ def flow7_name(bucket: str) -> str:
             f"WHEN 5 THEN '5.121-150 ngày' ELSE '6.151++' END")
 
 
+def _actions(source: str, key: str, waiting: str, planned: str, assignee: str, owner: str, content: str) -> str:
+    """An action list: status and dates around the as-of date from a whole number of each row."""
+    back = lambda days: f"DATE '{P.AS_OF}' - CAST({key} % {days} AS INTEGER)"
+    return f"""
+        SELECT CAST({key} AS VARCHAR) AS no, '/' || (200001 + {key} % 6) AS yearmonth,
+               CASE WHEN {waiting} THEN 'Chưa thực hiện' WHEN {key} % 5 = 0 THEN 'Đã hoàn thành'
+                    WHEN {key} % 5 <> 1 THEN 'Đang thực hiện' END AS status,
+               {back(9)} AS {planned}, {back(40)} AS start_date, CASE WHEN {key} % 17 <> 0 THEN {back(11)} END AS update_date,
+               DATE '{P.AS_OF}' + CAST({key} % 21 - 10 AS INTEGER) AS deadline,
+               {assignee} AS assignee, {owner} AS risk_owner, {content} AS content
+        FROM {source}"""
+
+
 VIEWS: dict[str, str] = {
     "contract_base": f"""
         SELECT o_orderkey AS pawnid, o_custkey AS customerid, 'HDCC/' || o_orderkey AS codeno,
@@ -170,16 +183,11 @@ VIEWS: dict[str, str] = {
                       + P.sql_values(P.FOCUS_PACKAGES)
                       + ") v(package_name, package_code, f, t, package_active_stt, package_focus_level)",
     "contacts": "SELECT * FROM (VALUES " + P.sql_values(P.CONTACTS) + ") t(assignee, contact)",
-    "action_list": f"""
-        SELECT CAST(d.doc_id AS VARCHAR) AS no, '/' || (200001 + d.doc_id % 6) AS yearmonth,
-               CASE WHEN quality = 1 THEN 'Chưa thực hiện' WHEN d.doc_id % 5 = 0 THEN 'Đã hoàn thành'
-                    WHEN d.doc_id % 5 <> 1 THEN 'Đang thực hiện' END AS status,
-               DATE '{P.AS_OF}' - CAST(d.doc_id % 9 AS INTEGER) AS recommend_date,
-               DATE '{P.AS_OF}' - CAST(d.doc_id % 40 AS INTEGER) AS start_date,
-               CASE WHEN d.doc_id % 17 <> 0 THEN DATE '{P.AS_OF}' - CAST(d.doc_id % 11 AS INTEGER) END AS update_date,
-               DATE '{P.AS_OF}' + CAST(d.doc_id % 21 - 10 AS INTEGER) AS deadline,
-               source AS assignee, lang AS risk_owner, text AS content
-        FROM documents d LEFT JOIN labels USING (doc_id)""",
+    "action_list": _actions("documents LEFT JOIN labels USING (doc_id)", "doc_id", "quality = 1", "recommend_date",
+                            "source", "lang", "text"),
+    "audit_list": _actions("conversations", "(conv_id * 100 + turn)", "(conv_id * 100 + turn) % 4 = 1", "recommend_date",
+                           "'src' || (conv_id * 100 + turn) % 7", "role", "text"),
+    "issue_list": _actions("pages", "page_id", "page_id % 3 = 1", "concluded_date", "'src' || page_id % 7", "'ops'", "url"),
 }
 
 

@@ -441,22 +441,41 @@ def contacts(spark: SparkSession) -> DataFrame:
     return local(spark, P.CONTACTS, schemas.CONTACT)
 
 
-def action_list(spark: SparkSession, sf: str) -> DataFrame:
-    """Recommendations or issues: one per document, dates around the as-of date."""
-    key = F.col("doc_id")
-    labels = table(spark, sf, "labels").select("doc_id", "quality")
+def _actions(rows: DataFrame, key, quality, plan_since: str, assignee, risk_owner, content) -> DataFrame:
+    """An action list: status and dates around the as-of date from a whole number of each row."""
     as_of = F.lit(as_date(P.AS_OF))
     day = lambda c: F.date_add(as_of, c.cast("int"))
-    return table(spark, sf, "documents").join(labels, "doc_id", "left").select(
+    return rows.select(
         key.cast("string").alias("no"),
         F.concat(F.lit("/"), (200001 + key % 6).cast("string")).alias("yearmonth"),
-        F.when(F.col("quality") == 1, "Chưa thực hiện").when(key % 5 == 0, "Đã hoàn thành")
+        F.when(quality, "Chưa thực hiện").when(key % 5 == 0, "Đã hoàn thành")
         .when(key % 5 != 1, "Đang thực hiện").alias("status"),
-        day(-(key % 9)).alias("recommend_date"),
+        day(-(key % 9)).alias(plan_since),
         day(-(key % 40)).alias("start_date"),
         F.when(key % 17 != 0, day(-(key % 11))).alias("update_date"),
         day(key % 21 - 10).alias("deadline"),
-        F.col("source").alias("assignee"),
-        F.col("lang").alias("risk_owner"),
-        F.col("text").alias("content"),
+        assignee.alias("assignee"),
+        risk_owner.alias("risk_owner"),
+        content.alias("content"),
     )
+
+
+def action_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Risk recommendations: one per document."""
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    rows = table(spark, sf, "documents").join(labels, "doc_id", "left")
+    return _actions(rows, F.col("doc_id"), F.col("quality") == 1, "recommend_date", F.col("source"), F.col("lang"), F.col("text"))
+
+
+def audit_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Audit recommendations: one per turn of a conversation."""
+    key = F.col("conv_id") * 100 + F.col("turn")
+    assignee = F.concat(F.lit("src"), (key % 7).cast("string"))
+    return _actions(table(spark, sf, "conversations"), key, key % 4 == 1, "recommend_date", assignee, F.col("role"), F.col("text"))
+
+
+def issue_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Issues: one per page; they carry the day they were concluded instead of one of recommendation."""
+    key = F.col("page_id")
+    assignee = F.concat(F.lit("src"), (key % 7).cast("string"))
+    return _actions(table(spark, sf, "pages"), key, key % 3 == 1, "concluded_date", assignee, F.lit("ops"), F.col("url"))

@@ -13,15 +13,21 @@ from ..functions.dates import signed_days_to
 
 PLAN_DAYS, UPDATE_DAYS, DEADLINE_DAYS = 2, 6, 3
 ESCALATED_FROM = 3
+# The day from which a missing plan counts: issues are concluded, everything else is recommended.
+PLAN_SINCE = {fv.AUDIT_ISSUE: "concluded_date"}
 
 
-def warning_type(as_of: dt.date | str) -> Column:
+def plan_since(kind: str) -> str:
+    return PLAN_SINCE.get(kind, "recommend_date")
+
+
+def warning_type(as_of: dt.date | str, planned_from: str = "recommend_date") -> Column:
     """1 no plan, 2 no update, 3 overdue, 4 due soon; a later one overrides."""
     waiting = F.col("status").contains(fv.NOT_STARTED_MARK)
     running = F.col("status").contains(fv.IN_PROGRESS_MARK)
     to_deadline = signed_days_to(F.col("deadline"), as_of)
     return rules.last_match([
-        (waiting & (signed_days_to(F.col("recommend_date"), as_of) <= -PLAN_DAYS), 1),
+        (waiting & (signed_days_to(F.col(planned_from), as_of) <= -PLAN_DAYS), 1),
         (running & (signed_days_to(F.col("update_date"), as_of) <= -UPDATE_DAYS), 2),
         (running & (to_deadline < 0), 3),
         (running & (to_deadline >= 0) & (to_deadline < DEADLINE_DAYS), 4),
@@ -29,10 +35,10 @@ def warning_type(as_of: dt.date | str) -> Column:
 
 
 def due_actions(actions: DataFrame, kind: str, as_of: dt.date | str) -> DataFrame:
-    """Actions that call for a reminder, with the days the message names."""
-    days = {1: "recommend_date", 2: "update_date", 3: "deadline", 4: "deadline"}
+    """Actions of one kind's list that call for a reminder, with the days the message names."""
+    days = {1: plan_since(kind), 2: "update_date", 3: "deadline", 4: "deadline"}
     return (
-        actions.withColumns({"kind": F.lit(kind), "warning_type": warning_type(as_of)})
+        actions.withColumns({"kind": F.lit(kind), "warning_type": warning_type(as_of, plan_since(kind))})
         .where(F.col("warning_type").isNotNull())
         .withColumn("days", rules.first_match(
             [(F.col("warning_type") == k, F.abs(signed_days_to(F.col(c), as_of))) for k, c in days.items()]

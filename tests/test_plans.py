@@ -206,8 +206,11 @@ def test_reminders(spark):
     data = [action("1", "Chưa làm", -2, None, -9), action("2", "Chưa làm", -1, None, -9), action("3", "Đang làm", -9, -6, 5),
             action("4", "Đang làm", -9, -6, -1), action("5", "Đang làm", -9, -6, 0), action("6", "Đang làm", -9, -6, 3),
             action("7", "Đang làm", -9, -5, None), action("8", None, -9, -9, -9), action("9", "Đang làm", -9, -6, 2, "nobody")]
-    actions = spark.createDataFrame(data, kinds)
+    # Issues carry the day they were concluded; recommendations carry the day they were made.
+    actions = spark.createDataFrame(data, kinds.replace("recommend_date", "concluded_date"))
     contacts = spark.createDataFrame([("a", "a@example.org")], schemas.CONTACT)
+    made = reminders.due_actions(spark.createDataFrame(data, kinds), "KHUYẾN NGHỊ QTRR", "2020-06-10")
+    assert rows(made.select("no", "warning_type", "days"))[0] == ("1", 1, 2)
     out = reminders.reminders(actions, contacts, "SỰ VỤ", "2020-06-10", "link", ["boss@example.org"])
     assert rows(out.select("no", "warning_type")) == [("1", 1), ("3", 2), ("4", 3), ("5", 4), ("6", 2)]
     mails = {r["no"]: r for r in out.collect()}
