@@ -46,6 +46,7 @@ VIEWS: dict[str, str] = {
         SELECT o_orderkey AS pawnid, o_custkey AS customerid, 'HDCC/' || o_orderkey AS codeno,
                CAST(o_orderdate AS DATE) AS fromdate,
                CAST(30 * (1 + o_orderkey % 12) AS INTEGER) AS frequency,
+               CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderkey % 28 + 1 AS INTEGER) END AS principalpaymentday,
                CAST((o_orderkey * 37) % 260 - 60 AS INTEGER) AS late_by,
                CASE o_orderpriority {_CASE_CODE} END AS categorycode,
                CASE o_orderpriority {_CASE_NAME} END AS categoryname,

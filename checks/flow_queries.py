@@ -79,28 +79,30 @@ def _moves(ob, cb, where):
         WHERE {where.replace('categoryname', 'o.categoryname').replace('categorycode', 'o.categorycode')}"""
 
 
+def _shares(group):
+    """What moved out of each opening bucket of a group, beside the whole of the bucket, both aggregated by themselves."""
+    keys = f"ob_date, {group}, ob_bucket"
+    return f"""
+    WITH whole AS (SELECT {keys}, sum(currentmoney) AS opened, count(pawnid) AS n_opened FROM moves GROUP BY {keys}),
+    parts AS (SELECT {keys}, cb_date, flow, sum(currentmoney) AS moved, count(pawnid) AS n_moved FROM moves GROUP BY {keys}, cb_date, flow)
+    SELECT parts.*, opened, n_opened, CAST(moved AS DOUBLE) / CAST(opened AS DOUBLE) AS share
+    FROM parts JOIN whole ON whole.ob_date = parts.ob_date AND whole.ob_bucket = parts.ob_bucket
+                         AND whole.{group} IS NOT DISTINCT FROM parts.{group}"""
+
+
 _RATE_BODY = f"""
     SELECT CAST(ob_date AS VARCHAR) AS from_date, CAST(cb_date AS VARCHAR) AS to_date, categoryname, flow,
-           {flow7_name('ob_bucket')} AS ob_bucket_name,
-           round(CAST(max(opened) AS DOUBLE) / 1000000, 6) AS ob_bal,
-           round(CAST(sum(currentmoney) AS DOUBLE) / 1000000, 6) AS transit_bal,
-           round(CAST(sum(currentmoney) AS DOUBLE) / CAST(max(opened) AS DOUBLE), 6) AS flow_rate,
-           max(n_opened) AS ob_pawn, count(pawnid) AS transit_pawn_count
-    FROM (SELECT *, sum(currentmoney) OVER (PARTITION BY ob_date, categoryname, ob_bucket) AS opened,
-                 count(pawnid) OVER (PARTITION BY ob_date, categoryname, ob_bucket) AS n_opened FROM moves)
-    GROUP BY ob_date, cb_date, categoryname, flow, ob_bucket"""
-
-_ROLLED_BODY = """
-    SELECT CAST(ob_date AS VARCHAR) AS ob_date, CAST(cb_date AS VARCHAR) AS cb_date, shopname,
-           CAST(ob_bucket AS BIGINT) AS ob_bucket, flow,
-           CAST(sum(currentmoney) AS DOUBLE) AS balance, CAST(max(opened) AS DOUBLE) AS bucket_bal,
-           max(n_opened) AS bucket_pawn_count, count(pawnid) AS pawn_count,
-           round(CAST(sum(currentmoney) AS DOUBLE) / CAST(max(opened) AS DOUBLE), 6) AS flow_rate_bal,
-           round(count(pawnid) / max(n_opened), 6) AS flow_rate_pawn_count
-    FROM (SELECT *, sum(currentmoney) OVER (PARTITION BY ob_date, shopname, ob_bucket) AS opened,
-                 count(pawnid) OVER (PARTITION BY ob_date, shopname, ob_bucket) AS n_opened FROM moves)
-    WHERE ob_bucket = 0 AND flow = 'Rolled'
-    GROUP BY ob_date, cb_date, shopname, ob_bucket, flow"""
+           {flow7_name('ob_bucket')} AS ob_bucket_name, round(CAST(opened AS DOUBLE) / 1000000, 6) AS ob_bal,
+           round(CAST(moved AS DOUBLE) / 1000000, 6) AS transit_bal, round(share, 6) AS flow_rate, n_opened AS ob_pawn,
+           n_moved AS transit_pawn_count
+    FROM ({_shares('categoryname')})"""
+
+_ROLLED_BODY = f"""
+    SELECT CAST(ob_date AS VARCHAR) AS ob_date, CAST(cb_date AS VARCHAR) AS cb_date, shopname, CAST(ob_bucket AS BIGINT) AS ob_bucket,
+           flow, CAST(moved AS DOUBLE) AS balance, CAST(opened AS DOUBLE) AS bucket_bal, n_opened AS bucket_pawn_count,
+           n_moved AS pawn_count, round(share, 6) AS flow_rate_bal, round(n_moved / n_opened, 6) AS flow_rate_pawn_count
+    FROM ({_shares('shopname')})
+    WHERE ob_bucket = 0 AND flow = 'Rolled'"""
 
 _ALL_PAIRS = " UNION ALL ".join(_moves(ob, cb, TITLE_FILTER) for ob, cb in PAIRS)
 _ALL_PAIRS_CODES = " UNION ALL ".join(_moves(ob, cb, CODE_FILTER) for ob, cb in PAIRS)
@@ -145,7 +147,7 @@ SQL = {
     "flow_detail": query(f"""
         SELECT CAST(ob_date AS VARCHAR) AS ob_date, CAST(cb_date AS VARCHAR) AS cb_date, areaid, categoryname, pawnid,
                contractcode, chipserial, CAST(fromdate AS VARCHAR) AS fromdate,
-               CAST(strftime(fromdate, '%Y%m') AS BIGINT) AS brr_ym, frequency // 30 AS duration,
+               CAST(strftime(fromdate, '%Y%m') AS BIGINT) AS brr_ym, frequency // 30 AS duration, principalpaymentday,
                CASE WHEN papertype LIKE 'KT1' THEN papertype ELSE 'KT3' END AS kt,
                CAST(currentmoney AS DOUBLE) AS currentmoney, shopname, shopcode,
                CASE WHEN packagecode IS NULL THEN 'Vay thường' ELSE packagecode END AS package_type, ob_dpd, cb_dpd,

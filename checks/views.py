@@ -57,6 +57,7 @@ def contract_core(spark: SparkSession, sf: str) -> DataFrame:
         F.to_date("o_orderdate").alias("fromdate"),
         F.col("o_orderdate").alias("opened_ts"),
         (F.lit(30) * (1 + key % 12)).cast("int").alias("frequency"),
+        F.when(key % 13 != 0, key % 28 + 1).cast("int").alias("principalpaymentday"),
         ((key * 37) % 260 - 60).cast("int").alias("offset"),
         _category(1).alias("categorycode"),
         _category(2).alias("categoryname"),

@@ -143,6 +143,7 @@ def flow_detail(opening: DataFrame, closing: DataFrame, shops: DataFrame, ob: dt
         "fromdate",
         yearmonth(F.col("fromdate")).alias("brr_ym"),
         whole_div(F.col("frequency"), 30).alias("duration"),
+        "principalpaymentday",
         rules.paper_class(F.col("papertype"), null_as=fv.PAPER_RENTED).alias("kt"),
         "currentmoney",
         "shopname",

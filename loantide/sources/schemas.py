@@ -28,6 +28,7 @@ SNAPSHOT = T.StructType([
     T.StructField("fromdate", T.DateType()),
     T.StructField("todate", T.DateType()),
     T.StructField("frequency", T.IntegerType()),
+    T.StructField("principalpaymentday", T.IntegerType()),
     T.StructField("chipserial", T.StringType()),
     T.StructField("tuoino", T.IntegerType()),
     T.StructField("status", T.IntegerType()),
