@@ -14,6 +14,7 @@ from ..functions.dates import as_date, day_offset, days_between, yearmonth
 from ..functions.numbers import exact_millions
 from ..functions.text import after_prefix, is_blank
 from ..operators.latest import descending_nulls_last, extreme_rows
+from ..operators.lookups import keep_matching
 from .flows import is_title
 
 CODE_PREFIX = 5
@@ -57,9 +58,13 @@ def alert_base(snapshot: DataFrame, shops: DataFrame, chips: DataFrame, alerts:
     as_of = as_date(as_of)
     title = snapshot.where((F.col("created") == F.lit(as_of)) & is_title())
     _, bucket = bucket_dpd(F.col("tuoino"), "chip6")
+    # Only the day's contracts: their keys cut the histories down before anything of them is aggregated.
+    fitted = latest_chips(keep_matching(chips, title, "pawnid"), as_of)
+    codes = title.select(F.col("contractcode").alias("codeno"))
+    warned = first_and_last_alerts(keep_matching(alerts, codes, "codeno"), as_of)
     joined = (
-        title.join(latest_chips(chips, as_of), "pawnid", "left")
-        .join(first_and_last_alerts(alerts, as_of).withColumnRenamed("codeno", "contractcode"), "contractcode", "left")
+        title.join(fitted, "pawnid", "left")
+        .join(warned.withColumnRenamed("codeno", "contractcode"), "contractcode", "left")
         .withColumn("shorten_code", after_prefix(F.col("contractcode"), CODE_PREFIX))
         .join(write_offs.select(after_prefix(F.col("codeno"), CODE_PREFIX).alias("shorten_code"), "write_off_period"),
               "shorten_code", "left")
