@@ -222,6 +222,16 @@ def _classed(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     return docs.select(*[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)], F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("class"), F.col(text).alias("text"))
 
 
+def _joined_anew(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` with the aggregated ``keys``, joined on the key and a part of it.
+
+    The second column makes Spark deal the keys anew after their aggregation, so that adaptive execution can split the rows
+    of a hot key over many tasks.
+    """
+    part = F.pmod("key", F.lit(1_009)).alias("part")
+    return rows.select("*", part).join(keys.select("*", part), ["key", "part"]).drop("part")
+
+
 def remove_repeats(
     docs: DataFrame, keys: list[str], text: str = "text", window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP
 ) -> DataFrame:
@@ -236,7 +246,7 @@ def remove_repeats(
     places = _key_places(given, window, prefix)
     counts = places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     mark = F.col("place") * 2 + (F.col("n") > group).cast("int")
-    alive = places.join(counts, "key").groupBy("class").agg(F.collect_set(mark).alias("marks"))
+    alive = _joined_anew(places, counts).groupBy("class").agg(F.collect_set(mark).alias("marks"))
     # The same columns on both uses of the rows, so that Spark moves them once and uses the exchange again.
     n = len(keys)
     sent = given.join(alive, "class").select(F.struct(*[f"k{m}" for m in range(n)]).alias("row"), "class", "text", "marks")
@@ -244,7 +254,7 @@ def remove_repeats(
     small = _repeats_in_groups(segments.filter("words IS NOT NULL"), window)
     suffixes = segments.filter("words IS NULL").select("key", "class", "start")
     nodes = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    large = suffixes.join(nodes, "key").select("class", "start", (F.col("start") + window).cast("int").alias("stop"))
+    large = _joined_anew(suffixes, nodes).select("class", "start", (F.col("start") + window).cast("int").alias("stop"))
     spans = small.unionByName(large).groupBy("class").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     rows = given.join(spans, "class", "left").select(*[f"k{m}" for m in range(n)], "text", "spans")
 
