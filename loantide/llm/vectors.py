@@ -1,8 +1,9 @@
 """Near-duplicate vectors by product quantisation.
 
 Coarse inverted lists and subspace codes of the residuals are fitted on a bounded sample; every vector is indexed, and every
-vector is a query. A query probes each list whose border it could cross: lists whose bisector with its own list lies within
-``MARGIN`` standard deviations of how far a link of the greatest length moves along a random direction. Within a list, table
+vector is a query. A query probes each list that a link of the greatest length can reach: its bisector with the query's own list
+is no farther than that length, and its centre no farther than that length plus the distance of the list's farthest vector. Both
+are bounds and no estimates, so no link is lost, however the vectors lie. Of two lists one asks the other. Within a list, table
 look-ups give distances to the coded vectors, and all within the link's length plus the vector's own coding error go on to an
 exact cosine in double precision. Lists are cut into blocks of vectors and queries, so a hot list is many tasks; a task sends
 on link counts and a spanning forest, never the pairs.
@@ -23,8 +24,9 @@ from .common import map_arrow, ship, written
 from .components import components
 
 SIMILARITY = 0.95
-MARGIN = 3.0
 SAMPLE = 20_000
+#: Added to bounds on squared distances; far above the rounding of vectors of length 1.
+SLACK = 1e-6
 MOST_LISTS = 1_024
 SUBSPACES, CODES = 8, 64
 VECTORS_A_BLOCK, QUERIES_A_BLOCK = 2_000, 4_000
@@ -58,15 +60,20 @@ class Quantiser:
         self.parts = np.array_split(np.arange(sample.shape[1]), min(SUBSPACES, sample.shape[1]))
         self.books = [_centres(rest[:, p], CODES, 5) for p in self.parts]
         self.reach = math.sqrt(2 - 2 * similarity)
-        self.margin = MARGIN * self.reach / math.sqrt(sample.shape[1])
-        gaps = np.sqrt(_nearest(self.centres, self.centres)[1])
-        self.gaps = np.maximum(gaps, 1e-9)
+        self.gaps = np.sqrt(_nearest(self.centres, self.centres)[1])
 
-    def lists_and_probes(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Own list of each vector, and for each list whether it has to be probed."""
+    def radii(self, unit: np.ndarray) -> np.ndarray:
+        """Distance of the farthest of these vectors from the centre of each list; a vector between two lists counts in both."""
+        d = _nearest(unit, self.centres)[1]
+        return np.sqrt(np.where(d <= d.min(1)[:, None] + SLACK, d, 0).max(0, initial=0))
+
+    def lists_and_probes(self, unit: np.ndarray, radii: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Own list of each vector, and for each list whether it has to be probed. Of two lists only one asks the other."""
         own, d = _nearest(unit, self.centres)
-        border = (d - d[np.arange(len(d)), own][:, None]) / (2 * self.gaps[own])
-        probes = border <= self.margin
+        probes = d - d[np.arange(len(d)), own][:, None] <= 2 * self.reach * self.gaps[own] + SLACK
+        probes &= d <= (self.reach + radii) ** 2 + SLACK
+        other = np.arange(len(self.centres))
+        probes &= (own[:, None] < other) ^ ((own[:, None] + other) % 2 == 1)
         probes[np.arange(len(d)), own] = True
         return own, probes
 
@@ -93,6 +100,10 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(rows), "<f4").reshape(len(rows), -1).astype(float)
 
 
+def _flat(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype("<f4").reshape(len(column), -1)
+
+
 def _units(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x**2).sum(1))[:, None]
 
@@ -115,7 +126,6 @@ def _compare(which: int, vectors: pd.DataFrame, queries: pd.DataFrame, quantiser
         return pd.DataFrame({"node": [], "links": [], "to": []}).astype("int64")
     x, ids, copies = _units(_matrix(vectors["vector"])), vectors["node"].to_numpy(np.int64), vectors["copies"].to_numpy(np.int64)
     codes = np.frombuffer(b"".join(vectors["codes"]), np.uint8).reshape(len(x), -1)
-    own, probes = quantiser.lists_and_probes(x)
     limit = quantiser.reach + vectors["error"].to_numpy() + 1e-6
     out = []
     for k in range(0, len(queries), 512):
@@ -128,8 +138,8 @@ def _compare(which: int, vectors: pd.DataFrame, queries: pd.DataFrame, quantiser
         link = near[np.ix_(rows, columns)] & (q[rows] @ x[columns].T >= similarity) & (q_ids[rows][:, None] != ids[columns])
         if not link.any():
             continue
-        # A vector whose own probes miss the query's list learns of the link here.
-        missed = link & ~probes[columns][:, quantiser.lists_and_probes(q[rows])[0]].T
+        # Vectors of this list ask each other, but not the lists that ask this one; they learn of those links here.
+        missed = link & (part["q_home"].to_numpy()[rows] != which)[:, None]
         to_q, to_x = spanning(link, q_ids[rows], ids[columns])
         out.append(pd.DataFrame({"node": q_ids[rows], "links": link @ copies[columns], "to": to_q}))
         out.append(pd.DataFrame({"node": ids[columns], "links": q_copies[rows] @ missed, "to": to_x}))
@@ -163,14 +173,24 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     quantiser = Quantiser(sample, max(1, min(MOST_LISTS, int(math.sqrt(n)))), similarity)
     shared = spark.sparkContext.broadcast(quantiser)
 
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most = np.zeros(len(shared.value.centres))
+        for batch in batches:
+            if batch.num_rows:
+                most = np.maximum(most, shared.value.radii(_units(_flat(batch.column(0)).astype(float))))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(most)), pa.int32()), pa.array(most)], names=["list", "radius"])
+
+    farthest = map_arrow(nodes.select("v"), reach, "list int, radius double").groupBy("list").agg(F.max("radius")).collect()
+    radii = spark.sparkContext.broadcast(np.array([r[1] for r in sorted(farthest)], float))
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_quantiser = shared.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype("<f4").reshape(batch.num_rows, -1)
+            flat = _flat(batch.column(0))
             unit = _units(flat.astype(float))
-            own, probes = own_quantiser.lists_and_probes(unit)
+            own, probes = own_quantiser.lists_and_probes(unit, radii.value)
             codes, error = own_quantiser.encode(unit, own)
             columns = [
                 batch.column(1), batch.column(2), pa.array([r.tobytes() for r in flat], pa.binary()), pa.array(own, pa.int32()),
@@ -180,7 +200,7 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
 
     schema = "node long, copies long, vector binary, list int, probes array<int>, codes binary, error double"
     indexed = written(map_arrow(nodes.select("v", "node", "copies"), index, schema), "index")
-    asked = indexed.select("node", "copies", "vector", F.explode("probes").alias("list"))
+    asked = indexed.select("node", "copies", "vector", F.col("list").alias("home"), F.explode("probes").alias("list"))
     # One row a list, so at most MOST_LISTS: how many blocks of vectors and of queries it has.
     sizes = indexed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / VECTORS_A_BLOCK).cast("int").alias("vector_blocks"))
     asks = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERIES_A_BLOCK).cast("int").alias("query_blocks"))
@@ -196,7 +216,7 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     units = ["list", "vb", "qb"]
     found = (
         left.select(*units, "node", "copies", "vector", "codes", "error").groupBy(*units)
-        .cogroup(right.select(*units, "node", "copies", "vector").toDF("q_list", "q_vb", "q_qb", "q_node", "q_copies", "q_vector").groupBy("q_list", "q_vb", "q_qb"))
+        .cogroup(right.select(*units, "node", "copies", "vector", "home").toDF("q_list", "q_vb", "q_qb", "q_node", "q_copies", "q_vector", "q_home").groupBy("q_list", "q_vb", "q_qb"))
         .applyInPandas(compare, "node long, links long, to long")
     )
     found = written(found, "links")

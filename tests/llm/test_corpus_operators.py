@@ -155,6 +155,24 @@ def test_vectors_match_brute_force(spark):
     assert [tuple(r) for r in vectors.link_vectors(df.filter("embedding IS NULL")).collect()] == [(n, 0, n, True)]
 
 
+def test_no_link_between_lists_is_lost(spark):
+    # Variance in few dimensions, as in text embeddings: links move along them, across the borders of many lists.
+    rng = np.random.default_rng(11)
+    concentrated = (rng.normal(size=(6_000, 128)) / np.arange(1, 129)).astype("float32")
+    unit = vectors._units(concentrated.astype(float))
+    link = unit @ unit.T >= vectors.SIMILARITY
+    np.fill_diagonal(link, False)
+    quantiser = vectors.Quantiser(unit, 1_024, vectors.SIMILARITY)
+    own, probes = quantiser.lists_and_probes(unit, quantiser.radii(unit))
+    a, b = np.nonzero(link)
+    assert len(a) > 10_000 and (probes[a, own[b]] | probes[b, own[a]]).all()
+    n = 2_500
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(concentrated[:n])]
+    got = vectors.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    want = roots(range(n), zip(*np.nonzero(link[:n, :n])))
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {k: (link[k, :n].sum(), want[k]) for k in range(n)}
+
+
 def brute_repeats(texts, window):
     words = [(t or "").encode().split() for t in texts]
     count = Counter(tuple(w[k:k + window]) for w in words for k in range(len(w) - window + 1))
