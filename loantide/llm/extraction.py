@@ -23,7 +23,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 
 #: Elements whose content is no text of the page.
 _OPAQUE = {"script", "style", "noscript", "template", "iframe", "svg", "object", "textarea", "title", "head", "canvas", "math", "audio", "video"}
@@ -40,26 +40,39 @@ _HINTS = set(
     "social related recommended recommendations comment comments reply replies respond disqus newsletter subscribe subscription signup login "
     "search widget toolbar copyright disclaimer skip hidden tags byline".split()
 )
+#: First words of class names that tell about the page or its subject, and last words that tell a state: neither names a part.
+_ABOUT = {"has", "with", "without", "no", "not", "is", "category", "cat", "tag", "topic", "term", "type", "format", "status", "author", "layout", "template"}
+_STATES = {"open", "closed", "enabled", "disabled", "on", "off", "active", "visible", "layout", "template"}
+#: Besides containers, elements whose own marks count; their end tags may be missing.
+_MARKED_BLOCKS = _BLOCKS - _CONTAINERS - _VOID | {"span"}
+_ENDED_BY_NEXT = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "th": {"table", "tr"}, "option": {"select"}}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
 
-def _marks(attributes: str) -> tuple[str, bool]:
-    """The generalised class of an element, and whether its attributes mark it as no part of the article."""
-    name, out = "", False
+def _names_other_part(name: str) -> bool:
+    """Whether a class name or id as a whole names a part beside the article: its first or last word does."""
+    words = [w for w in re.split(r"[^a-z]+", name) if w]
+    if not words or len(words) > 1 and (words[0] in _ABOUT or words[-1] in _STATES):
+        return False
+    return words[0] in _HINTS or words[-1] in _HINTS
+
+
+def _marks(attributes: str) -> tuple[str, bool, bool]:
+    """The generalised class of an element, whether its names hint at no part of the article, and whether it surely is none."""
+    name, hinted, out = "", False, False
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            parts = set(re.split(r"[^a-z]+", value))
-            out = out or bool(parts & _HINTS)
+            hinted = hinted or any(map(_names_other_part, value.split()))
             if key == "class" and value.split():
                 name = "." + re.sub(r"\d+", "N", ".".join(sorted(value.split())))
         elif key == "role":
             out = out or value in _ROLES
         elif key == "style":
             out = out or "display:none" in value.replace(" ", "")
-        elif value != "false":
+        elif key in ("hidden", "aria-hidden") and value != "false":
             out = True
-    return name, out
+    return name, hinted, out
 
 
 class Page:
@@ -69,12 +82,16 @@ class Page:
         self.paths: list[str] = [""]
         self.parents: list[int] = [-1]
         self.main: list[bool] = [False]
+        self.tags: list[str] = [""]
+        self.hinted: list[bool] = [False]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters inside links
         self._read(source or "")
+        self._drop_hinted()
 
     def _read(self, source: str) -> None:
         open_: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, container, whether outside the article
         text: list[str] = []
+        spans: list[bool] = []
         link, linked, at = 0, 0, 0
 
         def flush() -> None:
@@ -85,6 +102,23 @@ class Page:
             text.clear()
             linked = 0
 
+        def enter(tag: str, name: str, hinted: bool, outside: bool) -> None:
+            _, parent, without = open_[-1]
+            self.paths.append(f"{self.paths[parent]}/{tag}{name}")
+            self.parents.append(parent)
+            self.main.append(self.main[parent] or tag in _MAIN)
+            self.tags.append(tag)
+            self.hinted.append(hinted)
+            open_.append((tag, len(self.paths) - 1, outside or without))
+
+        def leave(tag: str, up_to: set[str]) -> None:
+            """Closes the marked element ``tag`` if it is open inside the innermost of ``up_to``."""
+            for k in range(len(open_) - 1, 0, -1):
+                if open_[k][0] == tag:
+                    del open_[k:]
+                if k >= len(open_) or open_[k][0] in up_to:
+                    break
+
         while True:
             token = _TOKEN.search(source, at)
             piece = source[at : token.start()] if token else source[at:]
@@ -106,9 +140,33 @@ class Page:
                 continue
             if tag == "a":
                 link = max(0, link - 1) if closing else link + 1
+            if tag == "span":
+                marks = ("", False, False) if closing else _marks(attributes)
+                if closing and spans and spans.pop():
+                    flush()
+                    leave(tag, _CONTAINERS)
+                elif not closing and not attributes.endswith("/"):
+                    spans.append(marks[1] or marks[2])
+                    if spans[-1]:
+                        flush()
+                        enter(tag, *marks)
+                continue
             if tag not in _BLOCKS:
                 continue
             flush()
+            if not closing and tag != "br":
+                # A new block ends an open paragraph.
+                leave("p", _CONTAINERS)
+            if tag in _MARKED_BLOCKS:
+                if closing:
+                    leave(tag, _CONTAINERS)
+                    continue
+                for other in ("dt", "dd") if tag in ("dt", "dd") else (tag,):
+                    leave(other, _ENDED_BY_NEXT.get(tag, _CONTAINERS))
+                marks = _marks(attributes)
+                if (marks[1] or marks[2]) and not attributes.endswith("/"):
+                    enter(tag, *marks)
+                continue
             if tag not in _CONTAINERS:
                 continue
             if closing:
@@ -120,32 +178,45 @@ class Page:
                 continue
             if tag in _VOID or attributes.endswith("/"):
                 continue
-            name, out = _marks(attributes)
-            _, parent, outside = open_[-1]
-            inside = self.main[parent]
-            out = out and tag not in ("html", "body")
-            outside = outside or out or tag in _BOILERPLATE or (tag == "header" and not inside)
-            self.paths.append(f"{self.paths[parent]}/{tag}{name}")
-            self.parents.append(parent)
-            self.main.append(inside or tag in _MAIN)
-            open_.append((tag, len(self.paths) - 1, outside))
+            name, hinted, out = _marks(attributes)
+            whole = tag in ("html", "body")
+            outside = (out and not whole) or tag in _BOILERPLATE or (tag == "header" and not self.main[open_[-1][1]])
+            enter(tag, name, hinted and not whole, outside)
         flush()
 
+    def _sizes(self) -> list[int]:
+        """Characters outside links in each container."""
+        size = [0] * len(self.paths)
+        for container, text, linked in self.blocks:
+            size[container] += len(text) - min(len(text), 2 * linked)
+        for k in range(len(size) - 1, 0, -1):
+            size[self.parents[k]] += size[k]
+        return size
+
+    def _drop_hinted(self) -> None:
+        """Leaves out what is inside hinted elements. An element that is or holds the main element, an article with a fifth of
+        the page's text, or most of that text stays, whatever its names hint at; elements inside it are judged by themselves."""
+        if not any(self.hinted):
+            return
+        size = self._sizes()
+        stays = [tag == "main" or (tag == "article" and n >= 0.2 * size[0] > 0) or 2 * n > size[0] for tag, n in zip(self.tags, size, strict=True)]
+        for k in range(len(stays) - 1, 0, -1):
+            stays[self.parents[k]] |= stays[k]
+        dropped = [False] * len(stays)
+        for k in range(1, len(stays)):
+            dropped[k] = dropped[self.parents[k]] or (self.hinted[k] and not stays[k])
+        self.blocks = [b for b in self.blocks if not dropped[b[0]]]
+
     def best(self) -> int | None:
         """The container for this page's text: an article or main element with most text, else the innermost container that
         holds most of the text outside links."""
-        size = [0] * len(self.paths)
-        for container, text, linked in self.blocks:
-            worth = len(text) - min(len(text), 2 * linked)
-            while container >= 0:
-                size[container] += worth
-                container = self.parents[container]
+        size = self._sizes()
         if not size[0]:
             return None
-        main = [k for k in range(len(size)) if self.paths[k].rpartition("/")[2].split(".")[0] in _MAIN and size[k] >= 0.2 * size[0]]
+        main = [k for k in range(len(size)) if self.tags[k] in _MAIN and size[k] >= 0.2 * size[0]]
         if main:
             return max(main, key=lambda k: (size[k], -k))
-        return max(k for k in range(len(size)) if size[k] >= 0.6 * size[0])
+        return max(k for k in range(len(size)) if size[k] >= 0.6 * size[0] and self.tags[k] not in _MARKED_BLOCKS)
 
     def text(self, path: str | None) -> str:
         """All blocks inside containers on ``path``; without any, those of the page's own best container."""

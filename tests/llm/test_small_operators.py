@@ -184,6 +184,32 @@ def test_pages():
     assert extraction.Page("<div>" * 3_000 + "deep").text(None) == "deep"
 
 
+def test_marks_do_not_discard_the_article():
+    long = ("Text of the article, sentence by sentence. " * 9).strip()
+    part = lambda attributes, tag="div": f"<{tag} {attributes}><p>{long}</p></{tag}>"
+    read = lambda body: extraction.Page(PAGE.format(body=body)).text(None)
+    for names in ("content-sidebar-wrap", "main has-sidebar", "post category-social", "article comments-open", "text-widget", "sidebar", "tag-ads"):
+        for tag in ("div", "article", "main", "section"):
+            assert read(part(f'class="{names}"', tag)) == read(part(f'id="{names.split()[0]}"', tag)) == long
+    assert read(f'<div class="widget"><div class="ad"><p>Buy.</p></div>{part("", "article")}</div><div class="other"><p>{long} {long}</p></div>') == long
+    # One of many posts is no large share of its page, and still none of the parts beside the article.
+    assert read('<div class="posts">' + part('class="post category-social"') * 9 + "</div>") == " ".join([long] * 9)
+    for names in ("ad", "ad-slot", "site-footer", "cookie-banner", "comment-list", "widget_recent", "sidebar-1"):
+        assert read(f'<div class="text">{part("")}<div class="{names}"><p>Other.</p></div></div>') == long
+
+
+def test_marks_of_blocks():
+    long = ("Text of the article, sentence by sentence. " * 9).strip()
+    read = lambda body: extraction.Page(PAGE.format(body=f"<article>{body}</article>")).text(None)
+    for tag in ("p", "li", "h2", "pre", "dd", "span"):
+        assert read(f'<p>{long}</p><{tag} class="notice">Beside.</{tag}><p>After.</p>') == f"{long} After."
+        assert read(f'<p>{long}</p><{tag} hidden>Beside.</{tag}><p>After.</p>') == f"{long} After."
+    assert read(f'<p class="notice">Beside.<p>{long}') == long
+    assert read(f'<ul><li class="ad">Beside.<ul><li>Within</li></ul> too.<li>{long}</ul>') == long
+    assert read(f'<p>{long} <span class="share">Share <span>it</span> now</span> and on.</p>') == f"{long} and on."
+    assert read(f'<p class="alert">{long}</p><p title="a hidden role">After.</p>') == f"{long} After."
+
+
 def test_hosts_vote(spark):
     body = lambda text, side: f'<div class="main-1"><p>{text}</p></div><div class="rail"><p>{side}</p></div>'
     rows = [(k, f"http://Host.example/{k}", PAGE.format(body=body("Article text that is long. " * 5, "short"))) for k in range(5)]
