@@ -2,7 +2,8 @@
 
 Every page's containers are scored by the text they hold, and the page votes for the generalised tag-class path of its best
 one. Votes are counted per host in Spark; each page is then extracted again from the containers on its host's winning path, or
-from its own best one where it has none there.
+from its own best one where it has no text there or shows by an article or main element that its text is elsewhere. Pages
+without a host have no winning path.
 """
 
 from __future__ import annotations
@@ -218,17 +219,26 @@ class Page:
             return max(main, key=lambda k: (size[k], -k))
         return max(k for k in range(len(size)) if size[k] >= 0.6 * size[0] and self.tags[k] not in _MARKED_BLOCKS)
 
-    def text(self, path: str | None) -> str:
-        """All blocks inside containers on ``path``; without any, those of the page's own best container."""
-        wanted = {k for k, p in enumerate(self.paths) if p == path}
-        own = self.best()
-        if not wanted and own is not None:
-            wanted = {own}
+    def _inside(self, wanted: set[int]) -> list[bool]:
+        """For each container whether it is one of ``wanted`` or inside one."""
         inside = [False] * len(self.paths)
         for k in range(len(self.paths)):
             inside[k] = k in wanted or (self.parents[k] >= 0 and inside[self.parents[k]])
-        return " ".join(text for container, text, _ in self.blocks if inside[container])
+        return inside
 
+    def text(self, path: str | None) -> str:
+        """All blocks inside containers on ``path``. Without text there, or if the page's own best container is an article or
+        main element apart from them and holds more text, the blocks of that best container."""
+        own = self.best()
+        inside = self._inside({k for k, p in enumerate(self.paths) if p == path})
+        if own is not None and not inside[own]:
+            size = self._sizes()
+            voted = sum(size[k] for k in range(1, len(size)) if inside[k] and not inside[self.parents[k]])
+            within = self._inside({own})
+            apart = not any(i and w for i, w in zip(inside, within, strict=True))
+            if not any(inside[c] for c, _, _ in self.blocks) or (self.tags[own] in _MAIN and apart and size[own] > voted):
+                inside = within
+        return " ".join(text for container, text, _ in self.blocks if inside[container])
 
 def host_of(url: Column) -> Column:
     """Host of an address in lower case; empty for null and for other text."""
@@ -236,7 +246,7 @@ def host_of(url: Column) -> Column:
 
 
 def votes(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
-    """host, path and the number of pages of the host whose best container is on that path."""
+    """host, path and the number of pages of the host whose best container is on that path; pages without a host don't vote."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,14 +259,14 @@ def votes(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame
                     paths.append(None if best is None else page.paths[best])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(paths, pa.string())], names=["host", "path"])
 
-    rows = map_arrow(pages.select(host_of(F.col(url)).alias("host"), source), run, "host string, path string")
+    rows = map_arrow(pages.select(host_of(F.col(url)).alias("host"), source).filter("host <> ''"), run, "host string, path string")
     return rows.filter("path IS NOT NULL").groupBy("host", "path").count()
 
 
 def extract(pages: DataFrame, keys: list[str], url: str = "url", source: str = "html") -> DataFrame:
     """``keys`` and text: the main text of each page, empty where there is none.
 
-    Null or empty pages have empty text; pages without an address count as one host; pages of one host that are equal come
+    Null or empty pages have empty text; pages without a host are read by themselves; pages of one host that are equal come
     back as often as given; of paths with equal votes the first in alphabetical order wins; other columns are not read. The
     winners are written first, so Spark knows their size and picks the join by it; the pages move only if hosts are many.
     """

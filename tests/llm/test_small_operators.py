@@ -222,3 +222,16 @@ def test_hosts_vote(spark):
     assert (got[6], got[7], got[8]) == ("", "alone", "")
     assert extraction.extract(df, ["page_id"]).count() == 10
     assert extraction.extract(df.limit(0), ["page_id"]).count() == 0
+
+
+def test_pages_that_the_winning_path_misses(spark):
+    long = ("Text of the article, sentence by sentence. " * 9).strip()
+    pages = [("http://a.example/", f'<div class="post"><p>{long}</p></div>')] * 4
+    pages += [("http://a.example/", f'<div class="post"><img></div><div class="story"><p>{long} Other.</p></div>')]
+    pages += [("http://a.example/", f'<div class="post"><p>A teaser.</p></div><article><p>{long} Third.</p></article>')]
+    # Without a host, sites have nothing in common.
+    pages += [(None, f"<div><p>{long}</p></div>")] * 3 + [("/relative", f"<div><p>Teaser.</p></div><section><p>{long} Fourth.</p></section>")]
+    df = spark.createDataFrame([(k, u, PAGE.format(body=b)) for k, (u, b) in enumerate(pages)], "page_id long, url string, html string")
+    got = [r["text"] for r in extraction.extract(df, ["page_id"]).orderBy("page_id").collect()]
+    assert got == [long] * 4 + [f"{long} Other.", f"{long} Third."] + [long] * 3 + [f"{long} Fourth."]
+    assert {r["host"] for r in extraction.votes(df).collect()} == {"a.example"}
