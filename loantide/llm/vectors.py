@@ -6,7 +6,7 @@ is no farther than that length, and its centre no farther than that length plus
 are bounds and no estimates, so no link is lost, however the vectors lie. Of two lists one asks the other. Within a list, table
 look-ups give distances to the coded vectors, and all within the link's length plus the vector's own coding error go on to an
 exact cosine in double precision. Lists are cut into blocks of vectors and queries, so a hot list is many tasks; a task sends
-on link counts and a spanning forest, never the pairs.
+on link counts and a spanning forest, never the pairs. Vectors of different lengths never link, so each length has lists of its own.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ SIMILARITY = 0.95
 SAMPLE = 20_000
 #: Added to bounds on squared distances; far above the rounding of vectors of length 1.
 SLACK = 1e-6
+LEAST_SAMPLE = 256
 MOST_LISTS = 1_024
 SUBSPACES, CODES = 8, 64
 VECTORS_A_BLOCK, QUERIES_A_BLOCK = 2_000, 4_000
@@ -51,7 +53,7 @@ def _centres(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 
 
 class Quantiser:
-    """Coarse centres and code books, with the rule that picks the lists to probe."""
+    """Coarse centres and code books for vectors of one length, with the rule that picks the lists to probe."""
 
     def __init__(self, sample: np.ndarray, lists: int, similarity: float):
         self.centres = _centres(sample, lists)
@@ -104,6 +106,13 @@ def _flat(column: pa.ListArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype("<f4").reshape(len(column), -1)
 
 
+def _by_size(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of each length of the vectors in the first column."""
+    sizes = pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False)
+    for size in np.unique(sizes):
+        yield int(size), batch.take(pa.array(np.flatnonzero(sizes == size)))
+
+
 def _units(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x**2).sum(1))[:, None]
 
@@ -120,18 +129,19 @@ def spanning(link: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.
         a, b = new_a, new_b
 
 
-def _compare(which: int, vectors: pd.DataFrame, queries: pd.DataFrame, quantiser: Quantiser, similarity: float) -> pd.DataFrame:
+def _compare(which: int, vectors: pd.DataFrame, queries: pd.DataFrame, quantiser: Quantiser | None, similarity: float) -> pd.DataFrame:
     """For each vector with links in this block: their number (counting copies) and a node of the same component."""
     if not len(vectors) or not len(queries):
         return pd.DataFrame({"node": [], "links": [], "to": []}).astype("int64")
     x, ids, copies = _units(_matrix(vectors["vector"])), vectors["node"].to_numpy(np.int64), vectors["copies"].to_numpy(np.int64)
-    codes = np.frombuffer(b"".join(vectors["codes"]), np.uint8).reshape(len(x), -1)
-    limit = quantiser.reach + vectors["error"].to_numpy() + 1e-6
+    if quantiser:
+        codes = np.frombuffer(b"".join(vectors["codes"]), np.uint8).reshape(len(x), -1)
+        limit = quantiser.reach + vectors["error"].to_numpy() + 1e-6
     out = []
     for k in range(0, len(queries), 512):
         part = queries.iloc[k : k + 512]
         q, q_ids, q_copies = _units(_matrix(part["q_vector"])), part["q_node"].to_numpy(np.int64), part["q_copies"].to_numpy(np.int64)
-        near = quantiser.distances(q, which, codes) <= limit
+        near = quantiser.distances(q, which, codes) <= limit if quantiser else np.ones((len(q), len(x)), bool)
         rows, columns = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
         if not len(rows):
             continue
@@ -152,71 +162,81 @@ def _compare(which: int, vectors: pd.DataFrame, queries: pd.DataFrame, quantiser
 def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", similarity: float = SIMILARITY) -> DataFrame:
     """``key``, n_links, component_id (least key reachable by links) and kept for every row.
 
-    Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and neither do vectors of
-    another length than the commonest (of equally common, the longest). Equal vectors are one node with a number of copies, so
-    repeated rows link with each other; a row without a key links as node of the other rows with its vector. Other columns
-    are not read. Sample and lists are bounded by ``SAMPLE`` and ``MOST_LISTS``; their broadcast size doesn't grow further.
+    Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and vectors of different lengths
+    don't link. Equal vectors are one node with a number of copies, so repeated rows link with each other; a row without a key
+    links as node of the other rows with its vector. Other columns are not read. Sample and lists are bounded by ``SAMPLE``
+    (over all lengths) and ``MOST_LISTS`` (for each); their broadcast size doesn't grow further. A length with less than
+    ``LEAST_SAMPLE`` vectors in its share of the sample has a single list, all of which is compared.
     """
     spark = vectors.sparkSession
     ship(spark)
     given = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    lengths = given.filter(finite).groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    if lengths is None:
-        return vectors.select(F.col(key), F.lit(0).cast("long").alias("n_links"), F.col(key).cast("long").alias("component_id"), F.lit(True).alias("kept"))
-    good = F.coalesce(finite & (F.size("v") == lengths["n"]), F.lit(False))
+    good = F.coalesce(finite, F.lit(False))
     least = F.coalesce(F.min("id"), F.xxhash64("v"))
-    nodes = written(given.filter(good).groupBy("v").agg(least.alias("node"), F.count(F.lit(1)).alias("copies")), "vectors")
-    n = nodes.count()
-    rows = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("v").collect()
-    sample = _units(np.array([r[0] for r in rows], float))
-    quantiser = Quantiser(sample, max(1, min(MOST_LISTS, int(math.sqrt(n)))), similarity)
-    shared = spark.sparkContext.broadcast(quantiser)
+    grouped = given.filter(good).groupBy("v").agg(least.alias("node"), F.count(F.lit(1)).alias("copies"))
+    nodes = written(grouped.select("*", F.size("v").alias("size")), "vectors")
+    total = nodes.count()
+    # At most SAMPLE / LEAST_SAMPLE lengths have so large a share.
+    share = F.least(F.col("count"), F.floor(F.col("count") * SAMPLE / max(total, 1)))
+    sizes = nodes.groupBy("size").count().withColumn("share", share).filter(F.col("share") >= LEAST_SAMPLE)
+    fitted: dict[int, Quantiser] = {}
+    for size, n, taken in sorted(tuple(r) for r in sizes.collect()):
+        rows = nodes.filter(F.col("size") == size).orderBy(F.xxhash64("node"), "node").limit(taken).select("v").collect()
+        lists = max(1, min(MOST_LISTS, int(math.sqrt(n))))
+        fitted[size] = Quantiser(_units(np.array([r[0] for r in rows], float)), lists, similarity)
+    shared = spark.sparkContext.broadcast(fitted)
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        most = np.zeros(len(shared.value.centres))
+        most = {size: np.zeros(len(q.centres)) for size, q in shared.value.items()}
         for batch in batches:
-            if batch.num_rows:
-                most = np.maximum(most, shared.value.radii(_units(_flat(batch.column(0)).astype(float))))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(most)), pa.int32()), pa.array(most)], names=["list", "radius"])
+            for size, part in _by_size(batch):
+                if size in most:
+                    most[size] = np.maximum(most[size], shared.value[size].radii(_units(_flat(part.column(0)).astype(float))))
+        for size, far in most.items():
+            yield pa.RecordBatch.from_arrays([pa.array([size] * len(far), pa.int32()), pa.array(np.arange(len(far)), pa.int32()), pa.array(far)], names=["size", "list", "radius"])
 
-    farthest = map_arrow(nodes.select("v"), reach, "list int, radius double").groupBy("list").agg(F.max("radius")).collect()
-    radii = spark.sparkContext.broadcast(np.array([r[1] for r in sorted(farthest)], float))
+    farthest = map_arrow(nodes.select("v"), reach, "size int, list int, radius double").groupBy("size", "list").agg(F.max("radius"))
+    ordered = sorted(tuple(r) for r in farthest.collect()) if fitted else []
+    radii = spark.sparkContext.broadcast({size: np.array([r[2] for r in ordered if r[0] == size], float) for size in fitted})
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_quantiser = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            flat = _flat(batch.column(0))
-            unit = _units(flat.astype(float))
-            own, probes = own_quantiser.lists_and_probes(unit, radii.value)
-            codes, error = own_quantiser.encode(unit, own)
-            columns = [
-                batch.column(1), batch.column(2), pa.array([r.tobytes() for r in flat], pa.binary()), pa.array(own, pa.int32()),
-                pa.array([np.flatnonzero(p).tolist() for p in probes], pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "copies", "vector", "list", "probes", "codes", "error"])
-
-    schema = "node long, copies long, vector binary, list int, probes array<int>, codes binary, error double"
+            for size, part in _by_size(batch):
+                flat = _flat(part.column(0))
+                quantiser = shared.value.get(size)
+                if quantiser:
+                    unit = _units(flat.astype(float))
+                    own, probes = quantiser.lists_and_probes(unit, radii.value[size])
+                    codes, error = quantiser.encode(unit, own)
+                else:
+                    own, probes = np.zeros(len(flat), int), np.ones((len(flat), 1), bool)
+                    codes, error = np.zeros((len(flat), 0), np.uint8), np.zeros(len(flat))
+                columns = [
+                    part.column(1), part.column(2), pa.array([size] * len(flat), pa.int32()), pa.array([r.tobytes() for r in flat], pa.binary()), pa.array(own, pa.int32()),
+                    pa.array([np.flatnonzero(p).tolist() for p in probes], pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "copies", "size", "vector", "list", "probes", "codes", "error"])
+
+    schema = "node long, copies long, size int, vector binary, list int, probes array<int>, codes binary, error double"
     indexed = written(map_arrow(nodes.select("v", "node", "copies"), index, schema), "index")
-    asked = indexed.select("node", "copies", "vector", F.col("list").alias("home"), F.explode("probes").alias("list"))
-    # One row a list, so at most MOST_LISTS: how many blocks of vectors and of queries it has.
-    sizes = indexed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / VECTORS_A_BLOCK).cast("int").alias("vector_blocks"))
-    asks = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERIES_A_BLOCK).cast("int").alias("query_blocks"))
-    blocks = F.broadcast(sizes.join(asks, "list"))
+    asked = indexed.select("node", "copies", "size", "vector", F.col("list").alias("home"), F.explode("probes").alias("list"))
+    # One row a length and list: how many blocks of vectors and of queries it has.
+    sizes = indexed.groupBy("size", "list").agg(F.ceil(F.count(F.lit(1)) / VECTORS_A_BLOCK).cast("int").alias("vector_blocks"))
+    asks = asked.groupBy("size", "list").agg(F.ceil(F.count(F.lit(1)) / QUERIES_A_BLOCK).cast("int").alias("query_blocks"))
+    blocks = F.broadcast(sizes.join(asks, ["size", "list"]))
     own_block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = indexed.join(blocks, "list").withColumn("vb", own_block("vector_blocks")).withColumn("qb", every("query_blocks"))
-    right = asked.join(blocks, "list").withColumn("qb", own_block("query_blocks")).withColumn("vb", every("vector_blocks"))
+    left = indexed.join(blocks, ["size", "list"]).withColumn("vb", own_block("vector_blocks")).withColumn("qb", every("query_blocks"))
+    right = asked.join(blocks, ["size", "list"]).withColumn("qb", own_block("query_blocks")).withColumn("vb", every("vector_blocks"))
 
     def compare(unit_of_work, vectors_, queries_):
-        return _compare(int(unit_of_work[0]), vectors_, queries_, shared.value, similarity)
+        return _compare(int(unit_of_work[1]), vectors_, queries_, shared.value.get(int(unit_of_work[0])), similarity)
 
-    units = ["list", "vb", "qb"]
+    units = ["size", "list", "vb", "qb"]
     found = (
         left.select(*units, "node", "copies", "vector", "codes", "error").groupBy(*units)
-        .cogroup(right.select(*units, "node", "copies", "vector", "home").toDF("q_list", "q_vb", "q_qb", "q_node", "q_copies", "q_vector", "q_home").groupBy("q_list", "q_vb", "q_qb"))
+        .cogroup(right.select(*units, "node", "copies", "vector", "home").toDF("q_size", "q_list", "q_vb", "q_qb", "q_node", "q_copies", "q_vector", "q_home").groupBy("q_size", "q_list", "q_vb", "q_qb"))
         .applyInPandas(compare, "node long, links long, to long")
     )
     found = written(found, "links")

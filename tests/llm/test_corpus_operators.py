@@ -173,6 +173,27 @@ def test_no_link_between_lists_is_lost(spark):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {k: (link[k, :n].sum(), want[k]) for k in range(n)}
 
 
+def test_vectors_of_every_length_link(spark):
+    rng = np.random.default_rng(13)
+    sets = [rng.normal(size=(k, 1)) * rng.normal(size=d) + rng.normal(size=(k, d)) * 0.2 for k, d in ((900, 6), (600, 4), (2, 9), (1, 7), (30, 3))]
+    sets[2][1] = sets[2][0]
+    rows = [[float(x) for x in v] for group in sets for v in group.astype("float32")]
+    random.Random(1).shuffle(rows)
+    rows += [None, [], [0.0] * 4]
+    want, links, counts = {}, [], Counter()
+    for d in (6, 4, 9, 7, 3):
+        ids = [k for k, v in enumerate(rows) if v and len(v) == d and any(v)]
+        unit = vectors._units(np.array([rows[k] for k in ids]))
+        found = unit @ unit.T >= vectors.SIMILARITY
+        np.fill_diagonal(found, False)
+        links += [(ids[a], ids[b]) for a, b in zip(*np.nonzero(found))]
+    counts.update(a for a, _ in links)
+    want = roots(range(len(rows)), links)
+    got = vectors.link_vectors(spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<float>")).collect()
+    assert {r["vec_id"]: tuple(r)[1:] for r in got} == {k: (counts[k], c, c == k) for k, c in want.items()}
+    assert sum(counts[k] > 0 for k, v in enumerate(rows) if v and len(v) == 9) == 2
+
+
 def brute_repeats(texts, window):
     words = [(t or "").encode().split() for t in texts]
     count = Counter(tuple(w[k:k + window]) for w in words for k in range(len(w) - window + 1))
