@@ -1,13 +1,11 @@
-"""Repeated passages by prefix-partitioned suffix trees.
-
-A word is repeated text if a window of ``WINDOW`` words that covers it also starts anywhere else. Suffixes are partitioned by
-word prefixes. Of the ``PREFIX``-word runs in each window the one with the least hash is the window's prefix key: equal
-windows share it, at the same place, so all suffixes that can meet at depth ``WINDOW`` fall into one group, and a run of
-neighbouring suffixes travels as one segment of text. Groups whose key stands once hold no repeat and are never sent. Prefixes
-are of variable length: a group of up to ``GROUP`` suffix runs is
-sorted in memory, and the intervals of its suffix array whose common prefix reaches the window, the deep internal nodes of
-its suffix tree, are the repeats; the suffixes of a larger group are divided again by their prefix of ``WINDOW`` words, and
-such a group is one deep node, so Spark only has to count it.
+"""Repeated passages by groups of windows with an equal minimiser.
+
+A word is repeated text if a window of ``WINDOW`` words that covers it also starts anywhere else. No suffix tree is built: at a
+fixed depth the only question is which windows are equal. Of the ``PREFIX``-word runs in each window, wherever they stand in it,
+the one with the least hash (the minimiser) is the window's key: equal windows share it, at the same place, so all windows that
+can be equal fall into one group, and a run of neighbouring windows travels as one segment of text. Groups whose key stands once
+hold no repeat and are never sent. The windows of a group of up to ``GROUP`` runs are sorted in memory, and equal neighbours are
+repeats. Of a larger group, Spark counts a 64-bit hash of each whole window, and those counted more than once are repeats.
 """
 
 from __future__ import annotations
@@ -163,10 +161,7 @@ def _segments(docs: DataFrame, window: int, prefix: int, group: int) -> DataFram
 
 
 def deep_nodes(segments: list[bytes], window: int = WINDOW) -> list[list[int]]:
-    """For each segment the places of its suffixes that lie under a node of depth ``window`` with several leaves.
-
-    The suffixes, cut at that depth, are sorted; neighbours with a common prefix of the whole depth are one node.
-    """
+    """For each segment the places of its windows that also stand elsewhere; windows are sorted and neighbours compared."""
     suffixes: list[tuple[bytes, int, int]] = []
     for s, segment in enumerate(segments):
         ends = [k for k, b in enumerate(segment) if b == 32] if len(segment) < 64 else np.flatnonzero(np.frombuffer(segment, np.uint8) == 32).tolist()
@@ -181,7 +176,7 @@ def deep_nodes(segments: list[bytes], window: int = WINDOW) -> list[list[int]]:
 
 
 def _repeats_in_groups(segments: DataFrame, window: int) -> DataFrame:
-    """class, start, stop: runs of words covered by repeats, from the suffix trees of all small groups."""
+    """class, start, stop: runs of words covered by repeats, from the sorted windows of all small groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, out = None, [], []
