@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,46 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, reduce(lambda a, b: a & b, tests), how).drop(*[f"__key_{key}" for key in keys])
 
 
+#: Level of bins without a finite width; their only cell holds every value.
+_UNBOUNDED = 5_000
+
+
+def _cell(x: Column, level: Column) -> Column:
+    """The cell of a value among those of the width 2^level; it never falls as the value grows."""
+    return F.when(level == _UNBOUNDED, F.lit(0).cast("long")).otherwise(F.floor(x.cast("double") / F.pow(F.lit(2.0), level)))
+
+
+def _global_bin_lookup(fact: DataFrame, bins: DataFrame, value: Column, how: str, low: str, high: str) -> DataFrame:
+    outputs = [c for c in bins.columns if c not in (low, high)]
+    lower, upper = F.col(low).cast("double"), F.col(high).cast("double")
+    width = upper - lower
+    # Edges of many digits may be one double; such a bin is as narrow as doubles near it are apart.
+    width = F.when(width > 0, width).otherwise(F.greatest(F.abs(lower), F.lit(1e-300)) * 2.0**-52)
+    finite = ~F.isnan(width) & (width < float("inf")) & (F.abs(lower) < float("inf")) & (F.abs(upper) < float("inf"))
+    level = F.when(finite, F.ceil(F.log2(width)).cast("int")).otherwise(_UNBOUNDED)
+    levelled = bins.where(F.col(low) < F.col(high)).withColumn("__level", level)
+    levels = levelled.select(F.collect_set("__level")).scalar()
+    cells = F.sequence(_cell(F.col(low), F.col("__level")), _cell(F.col(high), F.col("__level")))
+    lines = levelled.select(
+        F.col("__level").alias("__line_level"), F.explode(cells).alias("__line_cell"),
+        F.col(low).alias("__low"), F.col(high).alias("__high"), *[F.col(c).alias(f"__out{n}") for n, c in enumerate(outputs)],
+    )
+    rows = fact.select("*", value.alias("__value"))
+    if how != "inner":
+        rows = rows.withColumn("__row", F.monotonically_increasing_id())
+    explode = F.explode if how == "inner" else F.explode_outer
+    rows = rows.withColumn("__level", explode(levels)).withColumn("__cell", _cell(F.col("__value"), F.col("__level")))
+    tests = [F.col("__level") == F.col("__line_level"), F.col("__cell") == F.col("__line_cell")]
+    tests += [F.col("__value") >= F.col("__low"), F.col("__value") < F.col("__high")]
+    joined = rows.join(lines, reduce(lambda a, b: a & b, tests), how)
+    if how != "inner":
+        # A row that meets no bin on any level comes back once.
+        hit = F.col("__low").isNotNull()
+        place = F.row_number().over(Window.partitionBy("__row").orderBy(hit.desc()))
+        joined = joined.withColumn("__place", place).where(hit | (F.col("__place") == 1))
+    return joined.select(*[rows[c] for c in fact.columns], *[F.col(f"__out{n}").alias(c) for n, c in enumerate(outputs)])
+
+
 def bin_lookup(
     fact: DataFrame,
     bins: DataFrame,
@@ -54,16 +94,14 @@ def bin_lookup(
     """Join each row to the bins with low <= value < high.
 
     With ``equal`` (fact column -> bin column) the plan is an equi join with the
-    range as residual test. Without it the global bins are gathered into one array
-    by a subquery of the same job, and each row picks its own in place, so there
-    is no nested-loop join.
+    range as residual test. Without it, so is it for global bins, on a coarse key:
+    a bin's level is its width as a power of two, it lies in at most a few cells
+    of that width, and a row meets the one cell of its value on each level that
+    occurs. Bins and rows are both shuffled by it; only the levels, a few thousand
+    at most for any bins, come from a subquery of the same job.
     """
     if not equal:
-        lines = bins.select(F.collect_list(F.struct(*bins.columns))).scalar()
-        fitting = F.filter("__lines", lambda line: (value >= line[low]) & (value < line[high]))
-        explode = F.explode if how == "inner" else F.explode_outer
-        outputs = [F.col(f"__line.{c}").alias(c) for c in bins.columns if c not in (low, high)]
-        return fact.withColumn("__lines", lines).withColumn("__line", explode(fitting)).select(*fact.columns, *outputs)
+        return _global_bin_lookup(fact, bins, value, how, low, high)
     names = {low: "__low", high: "__high"} | {right: f"__key{i}" for i, right in enumerate(equal.values())}
     tests = [F.col(left) == F.col(names[right]) for left, right in equal.items()]
     tests += [value >= F.col("__low"), value < F.col("__high")]

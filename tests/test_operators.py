@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 from collections import defaultdict
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,3 +199,26 @@ def test_costly_column_is_not_copied_into_filters(spark):
     once = sets.with_costly_column(df, "t", F.regexp_replace("s", "!", "")).where(F.col("t").contains("ab") | F.col("t").isNull())
     assert rows(once.select("t")) == [("ab",), (None,)]
     assert once._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+
+
+def test_global_bins_by_cells(spark):
+    inf = float("inf")
+    edges = [(0.0, 0.1), (0.1, 0.3), (-5.0, 1e9), (2.0, 2.0), (4.0, 3.0), (1e15, 1e15 + 0.25), (-inf, 0.0), (1e6, inf), (-1e308, 1e308), (None, 3.0), (0.0, 5e-324)]
+    edges += [(k * 7.5, k * 7.5 + 7.5) for k in range(-300, 300)]
+    values = [0.0, -0.0, 0.1, 0.3, 0.29999999999999999, 7.5, -7.5, 1e15, 1e15 + 0.125, 2.0, 1e307, -inf, inf, float("nan"), None, 3.25, 2_249.999, -2_250.0]
+    bins = spark.createDataFrame([(*e, k) for k, e in enumerate(edges)], "min_value double, max_value double, bin int")
+    df = spark.createDataFrame([(v, k) for k, v in enumerate(values)] * 2, "x double, k int")
+    # Spark takes NaN as larger than any number.
+    want = [(k, b) for k, v in enumerate(values) for b, (lo, hi) in enumerate(edges) if None not in (v, lo, hi) and v >= lo and v < hi]
+    found = lookups.bin_lookup(df, bins, F.col("x"))
+    assert sorted((r.k, r.bin) for r in found.collect()) == sorted(want * 2)
+    lost = [(k, None) for k in range(len(values)) if k not in {w[0] for w in want}]
+    left = lookups.bin_lookup(df, bins, F.col("x"), how="left")
+    assert sorted(((r.k, r.bin) for r in left.collect()), key=repr) == sorted((want + lost) * 2, key=repr)
+    assert lookups.bin_lookup(df, bins.limit(0), F.col("x")).count() == 0
+    assert lookups.bin_lookup(df, bins.limit(0), F.col("x"), how="left").count() == len(values) * 2
+    exact = spark.createDataFrame([(Decimal("12345678901234567890.1"),)], "x decimal(25,1)")
+    near = spark.createDataFrame([(Decimal("12345678901234567890.0"), Decimal("12345678901234567890.2"), 1)], "min_value decimal(25,1), max_value decimal(25,1), bin int")
+    assert [r.bin for r in lookups.bin_lookup(exact, near, F.col("x")).collect()] == [1]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "collect_list" not in plan
