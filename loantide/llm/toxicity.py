@@ -338,7 +338,9 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
     """Fits on at most ``toxic_rows`` and ``clean_rows`` labelled documents outside the held-out part.
 
-    A document with several labels counts as toxic if one says so; null labels are not used.
+    A document with several labels counts as toxic if one says so; null labels are not used. Rows with the same id are one
+    document with the words of all of them, and only its distinct words come to the driver. The bounds are on documents: the
+    distinct words of one very long document have none.
     """
     marked = labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -349,12 +351,15 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [sorted(p for w in tokens(t) for p in _pieces(w)) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.string())), batch.column(1)], names=["words", "toxic"])
-
-    schema = T.StructType([T.StructField("words", T.ArrayType(T.StringType())), T.StructField("toxic", T.LongType())])
-    rows = map_arrow(chosen.select("text", F.col("toxic").cast("long").alias("toxic")), words, schema).collect()
-    return fit([set(r[0]) for r in rows if r[1] == 1], [set(r[0]) for r in rows if r[1] == 0])
+            lists = [sorted({p for w in tokens(t) for p in _pieces(w)}) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.string())), *batch.columns[1:]], names=["words", "doc_id", "toxic"])
+
+    schema = T.StructType([T.StructField("words", T.ArrayType(T.StringType())), chosen.schema["doc_id"], T.StructField("toxic", T.LongType())])
+    found = map_arrow(chosen.select("text", "doc_id", F.col("toxic").cast("long").alias("toxic")), words, schema)
+    # Distinct first, so that an id of many rows is not gathered in one task before its words are few.
+    each = found.select("doc_id", "toxic", F.explode_outer("words").alias("word")).distinct()
+    rows = sorted(each.groupBy("doc_id", "toxic").agg(F.collect_list("word")).collect(), key=lambda r: r[0])
+    return fit([set(r[2]) for r in rows if r[1] == 1], [set(r[2]) for r in rows if r[1] == 0])
 
 
 _MODELS: dict[str, Model] = {}

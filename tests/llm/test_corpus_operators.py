@@ -155,6 +155,18 @@ def test_vectors_match_brute_force(spark):
     assert [tuple(r) for r in vectors.link_vectors(df.filter("embedding IS NULL")).collect()] == [(n, 0, n, True)]
 
 
+def test_training_takes_one_row_a_document(spark, monkeypatch):
+    rows = [(k, f"word{k} same") for k in range(40)] + [(3, f"more{k} same") for k in range(300)] + [(4, None), (6, "")]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(50)], "doc_id long, toxic long")
+    taken = []
+    monkeypatch.setattr(toxicity, "fit", lambda toxic, clean: taken.append((toxic, clean)))
+    toxicity.train(docs, labels)
+    used = {r[0] for r in docs.filter(~toxicity.held_out(F.col("doc_id"))).select("doc_id").distinct().collect()}
+    words = {k: {p for i, t in rows if i == k for w in toxicity.tokens(t) for p in toxicity._pieces(w)} for k in used}
+    assert taken == [tuple([words[k] for k in sorted(used) if k % 2 == n] for n in (1, 0))]
+
+
 def test_no_link_between_lists_is_lost(spark):
     # Variance in few dimensions, as in text embeddings: links move along them, across the borders of many lists.
     rng = np.random.default_rng(11)
