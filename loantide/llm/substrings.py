@@ -227,6 +227,12 @@ def _joined_anew(rows: DataFrame, keys: DataFrame) -> DataFrame:
     return rows.select("*", part).join(keys.select("*", part), ["key", "part"]).drop("part")
 
 
+def _texts_joined(rows: DataFrame, aggregated: DataFrame, how: str) -> DataFrame:
+    """The same for whole texts by class. The part is never null, so both joins of the texts use one exchange."""
+    part = F.col("class").bitwiseAND(F.lit(1_023)).alias("part")
+    return rows.select("*", part).join(aggregated.select("*", part), ["class", "part"], how).drop("part")
+
+
 def remove_repeats(
     docs: DataFrame, keys: list[str], text: str = "text", window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP
 ) -> DataFrame:
@@ -244,14 +250,14 @@ def remove_repeats(
     alive = _joined_anew(places, counts).groupBy("class").agg(F.collect_set(mark).alias("marks"))
     # The same columns on both uses of the rows, so that Spark moves them once and uses the exchange again.
     n = len(keys)
-    sent = given.join(alive, "class").select(F.struct(*[f"k{m}" for m in range(n)]).alias("row"), "class", "text", "marks")
+    sent = _texts_joined(given, alive, "inner").select(F.struct(*[f"k{m}" for m in range(n)]).alias("row"), "class", "text", "marks")
     segments = _segments(sent, window, prefix, group)
     small = _repeats_in_groups(segments.filter("words IS NOT NULL"), window)
     suffixes = segments.filter("words IS NULL").select("key", "class", "start")
     nodes = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     large = _joined_anew(suffixes, nodes).select("class", "start", (F.col("start") + window).cast("int").alias("stop"))
     spans = small.unionByName(large).groupBy("class").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    rows = given.join(spans, "class", "left").select(*[f"k{m}" for m in range(n)], "text", "spans")
+    rows = _texts_joined(given, spans, "left").select(*[f"k{m}" for m in range(n)], "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -155,6 +155,26 @@ def test_vectors_match_brute_force(spark):
     assert [tuple(r) for r in vectors.link_vectors(df.filter("embedding IS NULL")).collect()] == [(n, 0, n, True)]
 
 
+def test_copies_of_one_text_are_split_over_tasks(spark):
+    rng = random.Random(3)
+    words = lambda n: " ".join(f"{rng.getrandbits(40):x}" for _ in range(n))
+    hot = words(7_000)
+    rows = [(k, hot) for k in range(120)] + [(200 + k, words(60)) for k in range(60)]
+    small = {"autoBroadcastJoinThreshold": "-1", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "500KB", "adaptive.advisoryPartitionSizeInBytes": "500KB"}
+    before = {k: spark.conf.get(f"spark.sql.{k}") for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+        found = substrings.remove_repeats(spark.createDataFrame(rows, DOCS).repartition(8), ["doc_id"])
+        got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in found.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+    assert got == {k: (7_000, 7_000) if k < 200 else (60, 0) for k, _ in rows}
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "skew=true" in next(line for line in plan.splitlines() if "LeftOuter" in line)
+
+
 def test_training_takes_one_row_a_document(spark, monkeypatch):
     rows = [(k, f"word{k} same") for k in range(40)] + [(3, f"more{k} same") for k in range(300)] + [(4, None), (6, "")]
     docs = spark.createDataFrame(rows, DOCS)
