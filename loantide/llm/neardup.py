@@ -212,6 +212,14 @@ def _links_in_blocks(members: DataFrame) -> DataFrame:
     return both.groupBy("bucket", "x", "y").applyInPandas(compare, "a long, b long")
 
 
+def _texts_of(given: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and text of the wanted ``nodes``. Joined on a part of the node too, so that the distinct nodes are dealt anew and
+    adaptive execution can split the copies of a hot text; each task then sends on one of them."""
+    part = F.col("node").bitwiseAND(F.lit(1_023)).alias("part")
+    held = given.select("*", part).join(nodes.select("*", part), ["node", "part"], "left_semi")
+    return held.groupBy("node").agg(F.first("text").alias("text"))
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, node (hash of the text), worded, part (one number a class) and class_id (least key in it) for every row.
 
@@ -225,7 +233,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     near = written(buckets.join(named, "bucket"), "candidates")
     # Texts of all nodes that share a bucket with another one.
     nodes = near.select("node").distinct()
-    texts = written(given.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    texts = written(_texts_of(given, nodes), "texts")
     shared = near.filter("node <> rep").groupBy("node", "rep").agg(F.count(F.lit(1)).alias("shared"))
     best = shared.groupBy("node").agg(F.max_by("rep", F.struct("shared", F.col("rep").alias("r"))).alias("rep"))
     links = written(_verified_stars(written(best, "stars"), texts), "links")

@@ -175,6 +175,27 @@ def test_copies_of_one_text_are_split_over_tasks(spark):
     assert "skew=true" in next(line for line in plan.splitlines() if "LeftOuter" in line)
 
 
+def test_texts_of_nodes_are_split_over_tasks(spark):
+    rng = random.Random(4)
+    hot = " ".join(f"{rng.getrandbits(40):x}" for _ in range(7_000))
+    rows = [(k, 5, hot) for k in range(120)] + [(200 + k, k + 10, f"text {k}") for k in range(60)]
+    small = {"autoBroadcastJoinThreshold": "-1", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "500KB", "adaptive.advisoryPartitionSizeInBytes": "500KB"}
+    before = {k: spark.conf.get(f"spark.sql.{k}") for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+        given = spark.createDataFrame(rows, "id long, node long, text string").repartition(8)
+        nodes = spark.createDataFrame([(k % 40,) for k in range(400)], "node long").distinct()
+        found = neardup._texts_of(given, nodes)
+        got = [tuple(r) for r in found.collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+    assert sorted(got) == [(5, hot), *((k, f"text {k - 10}") for k in range(10, 40))]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "skew=true" in next(line for line in plan.splitlines() if "LeftSemi" in line)
+
+
 def test_training_takes_one_row_a_document(spark, monkeypatch):
     rows = [(k, f"word{k} same") for k in range(40)] + [(3, f"more{k} same") for k in range(300)] + [(4, None), (6, "")]
     docs = spark.createDataFrame(rows, DOCS)
