@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import map_arrow
+from .common import kept, map_arrow
 
 CACHE_ENTRIES = 120_000
 WIDEST = 128
@@ -182,16 +182,11 @@ class Encoder:
 #: Fixed value: the pattern that public byte-level vocabularies of this family split by.
 GPT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
-def _encoder(rank_file: bytes, pattern: str) -> Encoder:
+def _key(rank_file: bytes, pattern: str) -> str:
     """One encoder for each worker process and vocabulary."""
-    key = (hashlib.sha256(rank_file).hexdigest(), pattern)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(rank_file, pattern)
-    return _ENCODERS[key]
+    return f"bpe {hashlib.sha256(rank_file + pattern.encode()).hexdigest()}"
 
 
 def blocks_of(sizes: Sequence[int], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
@@ -206,36 +201,44 @@ def blocks_of(sizes: Sequence[int], limit: int = BLOCK_CHARS) -> Iterator[tuple[
         yield start, len(sizes)
 
 
-def encode(df: DataFrame, keys: list[str], text: str, vocabulary: str, pattern: str = GPT_PATTERN) -> DataFrame:
+def encode(df: DataFrame, keys: list[str], text: str, vocabulary: str, pattern: str = GPT_PATTERN, decoded: bool = False) -> DataFrame:
     """``keys`` and ``ids``: the ids of each text as little-endian unsigned 32-bit integers in one binary value.
 
+    With ``decoded`` also the bytes that the ids stand for, as ``decode`` gives them, by the same worker.
+
     ``vocabulary`` is the path of a rank file on the driver; its contents (about 1 MB, whatever the data) are broadcast.
     Null and empty texts give empty ids. Rows are independent, so repeated rows and null keys come back as they are; columns
     other than ``keys`` and ``text`` are not read.
     """
     with open(vocabulary, "rb") as file:
-        shared = df.sparkSession.sparkContext.broadcast(file.read())
+        ranks = file.read()
+    shared, key = df.sparkSession.sparkContext.broadcast(ranks), _key(ranks, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value, pattern)
+        encoder = kept(key, lambda: Encoder(shared.value, pattern))
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(len(keys))), 0).to_pylist()
             for a, b in blocks_of(sizes):  # a block at a time becomes Python objects
                 part = batch.slice(a, b - a)
-                ids = pa.array(encoder.encode([t or "" for t in part.column(len(keys)).to_pylist()]), pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keys)], ids], names=[*keys, "ids"])
+                ids = encoder.encode([t or "" for t in part.column(len(keys)).to_pylist()])
+                made = [pa.array(ids, pa.binary())]
+                if decoded:
+                    made.append(pa.array(map(encoder.decode, ids), pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keys)], *made], names=names)
 
-    schema = T.StructType([*(df.schema[k] for k in keys), T.StructField("ids", T.BinaryType())])
-    return map_arrow(df.select(*keys, text), run, schema)
+    names = [*keys, "ids", *(["decoded"] if decoded else [])]
+    schema = T.StructType([*(df.schema[k] for k in keys), *(T.StructField(x, T.BinaryType()) for x in names[len(keys) :])])
+    return map_arrow(df.select(*keys, text), run, schema, key)
 
 
 def decode(df: DataFrame, keys: list[str], vocabulary: str, ids: str = "ids") -> DataFrame:
     """``keys``, the ids and ``decoded``: the bytes that the ids stand for. Null ids give no bytes."""
     with open(vocabulary, "rb") as file:
-        shared = df.sparkSession.sparkContext.broadcast(file.read())
+        ranks = file.read()
+    shared, key = df.sparkSession.sparkContext.broadcast(ranks), _key(ranks, GPT_PATTERN)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value, GPT_PATTERN)
+        encoder = kept(key, lambda: Encoder(shared.value, GPT_PATTERN))
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(len(keys))), 0).to_pylist()
             for a, b in blocks_of(sizes):
@@ -244,4 +247,4 @@ def decode(df: DataFrame, keys: list[str], vocabulary: str, ids: str = "ids") ->
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*keys, ids, "decoded"])
 
     schema = T.StructType([*(df.schema[k] for k in keys), T.StructField(ids, T.BinaryType()), T.StructField("decoded", T.BinaryType())])
-    return map_arrow(df.select(*keys, ids), run, schema)
+    return map_arrow(df.select(*keys, ids), run, schema, key)

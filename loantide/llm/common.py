@@ -13,6 +13,21 @@ from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_KEPT: dict[str, object] = {}
+
+
+def kept(key: str, make: Callable[[], object]) -> object:
+    """What a reused Python worker holds between tasks: one value, that of the operator it last worked for."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release(key: str | None) -> None:
+    """Drops what the worker holds, but for ``key``."""
+    for other in [k for k in _KEPT if k != key]:
+        del _KEPT[other]
 
 
 def ship(spark: SparkSession) -> None:
@@ -30,10 +45,15 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``mapInArrow`` on workers that have this subpackage."""
+def map_arrow(df: DataFrame, run: Callable, schema, holds: str | None = None) -> DataFrame:
+    """``mapInArrow`` on workers that have this subpackage and hold nothing of other operators (``holds``: the own key)."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def alone(batches):
+        release(holds)
+        yield from run(batches)
+
+    return df.mapInArrow(alone, schema)
 
 
 def shared_folder(spark: SparkSession) -> str:

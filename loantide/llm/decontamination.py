@@ -19,14 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD_PATTERN, map_arrow, words_of, written
+from .common import WORD_PATTERN, kept, map_arrow, words_of, written
 
 WINDOW = 13
 #: Characters of items in one automaton: about 13 trie nodes a character, so some 150 MB at most in a worker.
 BLOCK_CHARS = 300_000
 
 _WORD = re.compile(WORD_PATTERN)
-_AUTOMATA: dict[str, object] = {}
 
 _SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 _FOUND = [
@@ -89,10 +88,7 @@ def _scanned(df: DataFrame, keys: list[str], text: str, items: list, window: int
     found = [f.name for f in _FOUND]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if token not in _AUTOMATA:
-            _AUTOMATA.clear()
-            _AUTOMATA[token] = build_automaton(shared.value, window)
-        automaton = _AUTOMATA[token]
+        automaton = kept(token, lambda: build_automaton(shared.value, window))
         n = len(keys)
         for batch in batches:
             out: list[list] = [[], [], [], []]
@@ -109,7 +105,7 @@ def _scanned(df: DataFrame, keys: list[str], text: str, items: list, window: int
             yield pa.RecordBatch.from_arrays([*batch.columns[: n + 1], *arrays], names=[*keys, text, *found])
 
     schema = T.StructType([*(df.schema[k] for k in [*keys, text]), *_FOUND])
-    return map_arrow(df.select(*keys, text, *([] if first else found)), run, schema)
+    return map_arrow(df.select(*keys, text, *([] if first else found)), run, schema, token)
 
 
 def contamination(

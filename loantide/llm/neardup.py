@@ -13,7 +13,7 @@ no pairs are sent anywhere.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,7 +31,9 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
 #: Nodes verified against one copy of their representative, members of a block of a bucket, and columns compared at once.
-SHARE, BLOCK, COLUMNS = 500, 300, 4_096
+SHARE, BLOCK, COLUMNS = 32, 300, 4_096
+#: Bags that get signatures at once: by documents, since each needs some 1,450 points however short it is, and by shingles.
+BAGS, SHINGLES = 256, 100_000
 
 
 def bag(text: str | None, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -97,39 +99,37 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], slots: int = SLOTS) ->
     return out
 
 
-def _banded(docs: DataFrame) -> DataFrame:
-    """node and bands of each distinct text with words; a task sends a text that it holds often once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            nodes = batch.column(0).to_pylist()
-            bags, own, held = [], [], 0
-            for row, text in _texts(batch, 1):
-                if nodes[row] in seen:
-                    continue
-                if len(seen) < 1_000_000:  # beyond that, copies are only sent more often
-                    seen.add(nodes[row])
-                b = bag(text)
-                if len(b[0]):
-                    bags.append(b)
-                    own.append(nodes[row])
-                    held += len(b[0])
-                if held > 100_000:
-                    yield rows(own, bags)
-                    bags, own, held = [], [], 0
-            if bags:
-                yield rows(own, bags)
-
-    def rows(own, bags) -> pa.RecordBatch:
-        out = signatures(bags)
-        bands = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(out), 0)
-        for k in range(ROWS):
-            bands = _mixed(bands * np.uint64(0xFF51AFD7ED558CCD) + out[:, k::ROWS])
-        columns = [pa.array(own, pa.int64()), pa.array(bands.view(np.int64).tolist(), pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, names=["node", "bands"])
-
-    return map_arrow(docs.select("node", "text"), run, "node long, bands array<long>")
+def banded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node and bands of each distinct text with words (columns node, text); a text met often is sent once."""
+    seen: set[int] = set()
+    for batch in batches:
+        nodes = batch.column(0).to_pylist()
+        bags, own, held = [], [], 0
+        for row, text in _texts(batch, 1):
+            if nodes[row] in seen:
+                continue
+            if len(seen) < 1_000_000:  # beyond that, copies are only sent more often
+                seen.add(nodes[row])
+            b = bag(text)
+            if len(b[0]):
+                bags.append(b)
+                own.append(nodes[row])
+                held += len(b[0])
+            if len(bags) >= BAGS or held > SHINGLES:
+                yield _band_rows(own, bags)
+                bags, own, held = [], [], 0
+        if bags:
+            yield _band_rows(own, bags)
+
+
+def _band_rows(own: list[int], bags: list) -> pa.RecordBatch:
+    out = signatures(bags)
+    bands = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(out), 0)
+    for k in range(ROWS):
+        bands = _mixed(bands * np.uint64(0xFF51AFD7ED558CCD) + out[:, k::ROWS])
+    offsets = pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32))
+    lists = pa.ListArray.from_arrays(offsets, pa.array(bands.view(np.int64).ravel()))
+    return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), lists], names=["node", "bands"])
 
 
 def _verified_stars(best: DataFrame, texts: DataFrame) -> DataFrame:
@@ -228,7 +228,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     keys are. Repeated rows come back as they are; other columns are not read.
     """
     given = docs.select(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node"), F.col(text).alias("text"))
-    buckets = written(_banded(given), "bands").select("node", F.explode("bands").alias("bucket"))
+    buckets = written(map_arrow(given.select("node", "text"), banded, "node long, bands array<long>"), "bands").select("node", F.explode("bands").alias("bucket"))
     named = buckets.groupBy("bucket").agg(F.min("node").alias("rep"), F.max("node").alias("last")).filter("rep < last").select("bucket", "rep")
     near = written(buckets.join(named, "bucket"), "candidates")
     # Texts of all nodes that share a bucket with another one.

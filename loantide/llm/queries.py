@@ -67,7 +67,7 @@ def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 def bpe_digest(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Every text encoded, and its ids decoded again."""
-    coded = bpe.decode(bpe.encode(docs, ["doc_id"], "text", vocabulary), ["doc_id"], vocabulary)
+    coded = bpe.encode(docs, ["doc_id"], "text", vocabulary, decoded=True)
     return coded.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow
+from .common import kept, map_arrow
 
 ORDER, SPAN, DECAY = 4, 7, 0.6
 #: Bounds of the training sample, in documents: taken in order of a hash, so the sample is the same in every run.
@@ -34,7 +34,7 @@ LANDMARKS = 160
 #: Highest word margins that a text's score is made of.
 TOP = 6
 THRESHOLD = 0.7
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 200_000
 LONGEST = 64
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -162,11 +162,9 @@ class Model:
     def __init__(self, features: Features | None, bias: float = 0.0):
         self.features, self.bias = features, bias
         self.slope, self.shift = 1.0, 0.0
-        self._cache: dict[bytes, float] = {}
 
-    def margins(self, words: set[bytes]) -> None:
+    def margins(self, words: set[bytes], cache: dict[bytes, float]) -> None:
         """Puts the margins of new words into the cache; a word without shared subsequence has the bias."""
-        cache = self._cache
         if len(cache) > CACHE_ENTRIES:
             cache.clear()
         parts = {w: _pieces(w) for w in words.difference(cache)}
@@ -182,12 +180,13 @@ class Model:
             out.update((group[k], v) for k, v in zip(which.tolist(), kernel[:, 0].tolist(), strict=True))
         return out
 
-    def scores(self, texts: list[str | None]) -> list[float]:
+    def scores(self, texts: list[str | None], cache: dict[bytes, float] | None = None) -> list[float]:
+        cache = {} if cache is None else cache
         if self.features is None:
             return [0.0] * len(texts)
         own = [tokens(t) for t in texts]
-        self.margins(set().union(*own))
-        best = np.array([_evidence(map(self._cache.__getitem__, words)) for words in own])
+        self.margins(set().union(*own), cache)
+        best = np.array([_evidence(map(cache.__getitem__, words)) for words in own])
         return _logistic(self.slope * best + self.shift).tolist()
 
 
@@ -362,9 +361,6 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     return fit([set(r[2]) for r in rows if r[1] == 1], [set(r[2]) for r in rows if r[1] == 0])
 
 
-_MODELS: dict[str, Model] = {}
-
-
 def score(docs: DataFrame, keys: list[str], model: Model, text: str = "text", name: str = "score") -> DataFrame:
     """``keys``, ``text`` and the score of each text, 0 to 1. Only the text is an input of it.
 
@@ -374,15 +370,12 @@ def score(docs: DataFrame, keys: list[str], model: Model, text: str = "text", na
     shared, token = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if token not in _MODELS:
-            _MODELS.clear()
-            _MODELS[token] = shared.value
-        own = _MODELS[token]
+        cache = kept(token, dict)
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
-                values = pa.array(own.scores(part.column(len(keys)).to_pylist()), pa.float64())
+                values = pa.array(shared.value.scores(part.column(len(keys)).to_pylist(), cache), pa.float64())
                 yield pa.RecordBatch.from_arrays([*part.columns, values], names=[*keys, text, name])
 
     schema = T.StructType([*(docs.schema[k] for k in [*keys, text]), T.StructField(name, T.DoubleType())])
-    return map_arrow(docs.select(*keys, text), run, schema)
+    return map_arrow(docs.select(*keys, text), run, schema, token)

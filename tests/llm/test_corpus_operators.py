@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -340,3 +341,16 @@ def test_stages_on_odd_rows(spark):
     assert left.columns == plain and Counter(r["text"] for r in left.collect()) == Counter(["", "", "x", None, "", "alone here with five words"])
     assert corpus_pipeline.without_benchmark(spark, docs, SMALL).count() == 6
     assert corpus_pipeline.clean_speech(spark, docs, SMALL).count() == 6
+
+
+def test_memory_of_signatures_is_bounded_by_documents():
+    """10,000 texts of three words: signatures are made for a few hundred documents at a time, however short they are."""
+    import tracemalloc
+
+    texts = pa.array([f"a{k} b{k} c{k}" for k in range(10_000)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_000), pa.int64()), texts], names=["node", "text"])
+    tracemalloc.start()
+    n = sum(out.num_rows for out in neardup.banded([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 10_000 and peak < 200_000_000
