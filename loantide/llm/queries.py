@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, extraction, licenses, neardup, sharding, substrings, toxicity, vectors
+from . import bpe, chat, decontamination, divergence, extraction, licenses, neardup, pieces, sharding, substrings, toxicity, vectors
 from .common import map_arrow
 
 #: Fixed rows that the chat query adds to its table.
@@ -29,6 +29,12 @@ def rank_file() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def model_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_chat(spark: SparkSession, sf: str) -> DataFrame:
     """Digests of every conversation as read back from its formatted text."""
     given = table(spark, sf, "conversations").select(
@@ -115,6 +121,18 @@ def op10_substrings(spark: SparkSession, sf: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(line, 256).alias("kept_sha256"))
 
 
+def op12_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    coded = pieces.encode(table(spark, sf, "documents"), ["doc_id"], "text", model_file(), decoded=True)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_license": op2_license,
@@ -126,6 +144,8 @@ QUERIES = {
     "op8_neardup": op8_neardup,
     "op9_vectors": op9_vectors,
     "op10_substrings": op10_substrings,
+    "op12_pieces": op12_pieces,
+    "op13_divergence": op13_divergence,
 }
 
 
@@ -219,6 +239,28 @@ n AS (SELECT a AS r, count(*) AS n_links FROM l GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c USING (r) LEFT JOIN n USING (r)"""
 
 
+_DIVERGENCE_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), {ALPHABETS}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.DOCUMENTS}),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(n, 0) AS n, coalesce(v, 0) AS v FROM (SELECT DISTINCT lang, source FROM d)
+      LEFT JOIN (SELECT lang, source, sum(c)::HUGEINT AS n FROM c GROUP BY ALL) USING (lang, source)
+      LEFT JOIN (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY ALL) USING (lang)),
+p AS (SELECT g.lang, g.source, kept.term, 1 + {divergence.SCALE}::HUGEINT * (coalesce(c, 0) + 1) // (n + v) AS p, coalesce(c, 0) AS c
+      FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, 1 + {divergence.SCALE}::HUGEINT * (sum(c) + 1) // (any_value(n) + any_value(v)) AS q
+      FROM c JOIN (SELECT lang, sum(n)::HUGEINT AS n, any_value(v) AS v FROM g GROUP BY lang) USING (lang) GROUP BY lang, term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+          UNION ALL SELECT a.lang, a.source, b.source, 0 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source WHERE a.v = 0),
+told AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM told),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM ranked)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= {divergence.TOP}"""
+
+
 def _sharding_sql() -> str:
     slots = ",".join(map(str, sharding.fill_table(SHARDS)))
     return f"""
@@ -234,4 +276,5 @@ SQL = {
     "op7_sharding": _sharding_sql(),
     "op9_vectors": _VECTORS_SQL,
     "op10_substrings": _SUBSTRINGS_SQL,
+    "op13_divergence": _DIVERGENCE_SQL,
 }
