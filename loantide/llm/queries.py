@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, divergence, extraction, licenses, neardup, pieces, sharding, substrings, toxicity, vectors
+from . import bpe, chat, decontamination, divergence, extraction, licenses, neardup, pieces, repair, sharding, substrings, toxicity, vectors
 from .common import map_arrow
 
 #: Fixed rows that the chat query adds to its table.
@@ -121,6 +121,50 @@ def op10_substrings(spark: SparkSession, sf: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(line, 256).alias("kept_sha256"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """The conversations table with planted faults, by a checksum of conversation and turn; nulls are one space in texts."""
+    said = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    case = F.crc32(F.concat(said[0], F.lit(":"), said[1])) % 20
+    text = F.when(case == 1, "").when(case == 2, F.regexp_replace(said[3], "[.!?]", "")).otherwise(said[3])
+    copies = F.when(case == 0, 0).when(case == 3, 2).otherwise(1)
+    rows = turns.select("conv_id", "turn", F.when(case == 4, "user").otherwise(said[2]).alias("role"), text.alias("text"), copies.alias("copies"))
+    return rows.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "copy")
+
+
+def op11_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults, cheapest edits and a digest of the repaired turns of every conversation after the damage."""
+    given = table(spark, sf, "conversations")
+    found = repair.repair(damaged(given))
+    line = F.concat("role", F.lit(":"), "text").alias("line")
+    left = found.turns.filter("edit <> 'D'").select("key", "block", "seq", line)
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One hash a conversation, taken as its lines come by."""
+        key, whole = None, None
+        for batch in batches:
+            done = []
+            for own, said in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if own != key:
+                    if whole:
+                        done.append((key, whole.hexdigest()))
+                    key, whole = own, hashlib.sha256(said.encode())
+                else:
+                    whole.update(b"\n" + said.encode())
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done, strict=True)], names=["key", "repaired_sha256"])
+        if whole:
+            yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([whole.hexdigest()])], names=["key", "repaired_sha256"])
+
+    sorted_ = left.repartition("key").sortWithinPartitions("key", "block", "seq").select("key", "line")
+    hashed = map_arrow(sorted_, digests, "key string, repaired_sha256 string")
+    each = given.select(F.col("conv_id"), repair.conversation_key(F.col("conv_id")).alias("key")).distinct()
+    sums = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return each.join(found.conversations, "key", "left").join(hashed, "key", "left").select(
+        "conv_id", *sums, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("repaired_sha256"),
+    )
+
+
 def op12_pieces(spark: SparkSession, sf: str) -> DataFrame:
     coded = pieces.encode(table(spark, sf, "documents"), ["doc_id"], "text", model_file(), decoded=True)
     return coded.select(
@@ -144,6 +188,7 @@ QUERIES = {
     "op8_neardup": op8_neardup,
     "op9_vectors": op9_vectors,
     "op10_substrings": op10_substrings,
+    "op11_repair": op11_repair,
     "op12_pieces": op12_pieces,
     "op13_divergence": op13_divergence,
 }
@@ -239,6 +284,46 @@ n AS (SELECT a AS r, count(*) AS n_links FROM l GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c USING (r) LEFT JOIN n USING (r)"""
 
 
+def _repair_sql() -> str:
+    table_ = []
+    for value in range(256):  # of the checksum
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table_.append(str(value))
+    return rf"""
+WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce('=' || conv_id::VARCHAR, '') AS key,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+        lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 20 AS h
+    FROM conversations, (SELECT [{", ".join(table_)}]::BIGINT[] AS tab)),
+x AS (SELECT key, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END)
+      FROM o WHERE h <> 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY key, role, text ORDER BY p) > 1 AS again
+      FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, text) AS p FROM x)),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate'
+                     WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault, left(role, 1) AS kind,
+             lag(left(role, 1)) OVER (PARTITION BY key ORDER BY p) AS before FROM r),
+go(q, k, n) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+names(k, name) AS (VALUES ('u', 'user'), ('a', 'assistant')),
+ins(q, n, edits, cost, said) AS (SELECT q, q, '', 0, '' FROM (SELECT DISTINCT q FROM go)
+    UNION ALL SELECT ins.q, go.n, edits || 'I', cost + 2, said || name || ':' || chr(10) FROM ins JOIN go ON go.q = ins.n JOIN names USING (k) WHERE cost < 6),
+dp(key, p, q, best) AS (SELECT DISTINCT key, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': '', 'said': ''}} FROM f
+    UNION ALL SELECT dp.key, f.p, coalesce(go.n, ins.n), min({{'cost': best.cost + ins.cost + CASE e WHEN 'D' THEN 3 ELSE CASE e WHEN 'R' THEN 2 ELSE 0 END + (fault = 'truncated')::INT END,
+              'audit': best.audit || edits || e, 'said': best.said || ins.said || CASE e WHEN 'D' THEN '' WHEN 'K' THEN role || ':' || text || chr(10) ELSE name || ':' || text || chr(10) END}})
+    FROM dp JOIN f ON f.key = dp.key AND f.p = dp.p + 1 JOIN ins ON ins.q = dp.q CROSS JOIN (VALUES ('D'), ('K'), ('R')) v(e)
+    LEFT JOIN go ON go.q = ins.n AND ((e = 'K' AND go.k = kind) OR (e = 'R' AND go.k <> 's')) LEFT JOIN names ON names.k = go.k
+    WHERE e = 'D' OR (go.n IS NOT NULL AND fault NOT IN ('blank', 'duplicate')) GROUP BY dp.key, f.p, coalesce(go.n, ins.n)),
+fin AS (SELECT key, min({{'cost': best.cost + ins.cost, 'audit': best.audit || edits, 'said': best.said || ins.said}}) AS best
+        FROM dp JOIN (SELECT key, max(p) AS p FROM f GROUP BY key) USING (key, p) JOIN ins USING (q) WHERE n IN (0, 3) GROUP BY key),
+s AS (SELECT key, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+             count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (before IS NOT NULL AND before || kind NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY key)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit,
+       sha256(coalesce(left(best.said, -1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, key FROM o) LEFT JOIN s USING (key) LEFT JOIN fin USING (key)"""
+
+
 _DIVERGENCE_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
                   regexp_extract_all(translate(coalesce(text, ''), {ALPHABETS}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -276,5 +361,6 @@ SQL = {
     "op7_sharding": _sharding_sql(),
     "op9_vectors": _VECTORS_SQL,
     "op10_substrings": _SUBSTRINGS_SQL,
+    "op11_repair": _repair_sql(),
     "op13_divergence": _DIVERGENCE_SQL,
 }

@@ -5,9 +5,10 @@ import struct
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from loantide.llm import divergence, pieces
+from loantide.llm import divergence, pieces, repair
 from loantide.llm.queries import model_file
 
 DOCS = "doc_id long, text string, lang string, source string"
@@ -102,8 +103,8 @@ def test_audit_matches_brute_force(spark, monkeypatch):
     want = brute_audit(rows)
     assert {r[0] for r in want} >= {"", "en", "de", "xx"} and len([r for r in want if r[0] == "xx"]) == 2
     assert sorted(tuple(r) for r in divergence.audit(df).collect()) == want
-    # Many blocks, many chunks, small steps, few counts held, few terms told.
-    for name, value in {"BLOCK": 4, "CHUNK": 2, "PAIRS": 8, "HELD": 20}.items():
+    # Many blocks, many chunks, few terms told.
+    for name, value in {"BLOCK": 4, "CHUNK": 2}.items():
         monkeypatch.setattr(divergence, name, value)
     assert sorted(tuple(r) for r in divergence.audit(df, top=2).collect()) == brute_audit(rows, top=2)
     assert divergence.audit(df.limit(0)).count() == 0
@@ -121,5 +122,135 @@ def test_equal_pairs_of_nodes_are_priced_once():
     assert len(set(same.roots.tolist())) == 1
 
 
+def test_small_steps_and_flushes_change_nothing(monkeypatch):
+    rng = np.random.default_rng(13)
+    counts = rng.poisson(0.3, (7, 37)) * rng.integers(1, 4, (7, 37))
+    sizes = [(int(c.sum()), 37) for c in counts]
+    left, right = np.triu_indices(7, 1)
+    there, back = divergence.divergences(counts, sizes, left, right)
+    p = [divergence.shares(c, *s) for c, s in zip(counts, sizes)]
+    assert there.tolist() == [int(divergence.prices(p[i], p[j]).sum()) for i, j in zip(left, right)]
+    assert back.tolist() == [int(divergence.prices(p[j], p[i]).sum()) for i, j in zip(left, right)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 30, "source": ["s"] * 30, "text": [f"a b{chr(97 + k % 26)} a" for k in range(30)]})
+    whole = pa.Table.from_batches(divergence._counted([batch]))
+    monkeypatch.setattr(divergence, "PAIRS", 8)
+    monkeypatch.setattr(divergence, "HELD", 5)
+    assert all((x == y).all() for x, y in zip(divergence.divergences(counts, sizes, left, right), (there, back)))
+    parts = pa.Table.from_batches(divergence._counted([batch])).group_by("term").aggregate([("count", "sum"), ("docs", "sum")])
+    key = lambda t: sorted(map(tuple, (r.values() for r in t.to_pylist())))
+    assert key(parts.select(["term", "count_sum", "docs_sum"])) == key(whole.select(["term", "count", "docs"]))
+
+
 def test_shares_are_exact_beyond_long():
     assert divergence.shares(np.array([10**17]), 3 * 10**17, 7).tolist() == [1 + 10**9 * (10**17 + 1) // (3 * 10**17 + 7)]
+
+
+def brute_repair(codes, entry=repair.START, goals=repair.ENDS):
+    """The least (cost, audit) over all edits, each position of each kind tried."""
+    follows = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    best = None
+
+    def go(at, state, cost, audit, inserted):
+        nonlocal best
+        if best and cost > best[0]:
+            return
+        if at == len(codes) and state in goals and (best is None or (cost, audit) < best[:2]):
+            best = (cost, audit, state)
+        for kind in "ua":
+            if inserted < 4 and kind in follows[state]:
+                go(at, follows[state][kind], cost + 2, audit + "I", inserted + 1)
+        if at < len(codes):
+            go(at + 1, state, cost + 3, audit + "D", 0)
+            if codes[at] != "-":
+                late = codes[at].isupper()
+                if codes[at].lower() in follows[state]:
+                    go(at + 1, follows[state][codes[at].lower()], cost + late, audit + "K", 0)
+                for kind in "ua":
+                    if kind in follows[state]:
+                        go(at + 1, follows[state][kind], cost + 2 + late, audit + "R", 0)
+
+    go(0, entry, 0, "", 0)
+    return best
+
+
+def test_search_matches_brute_force():
+    random.seed(11)
+    every = ["".join(random.choices("-suaxSUAX", k=random.randint(0, 4))) for _ in range(120)] + ["", "s", "-", "ss", "uu", "aa", "us", "SuA"]
+    for codes in every:
+        assert repair.search(codes, repair.START) == brute_repair(codes), codes
+        for entry, goal, cost, audit in repair.ways_through(codes, whole=False):
+            assert (cost, audit, goal) == brute_repair(codes, entry, (goal,)), (codes, entry, goal)
+    assert {w[:2] for w in repair.ways_through("u", False)} == {(0, 0), (0, 2), (0, 3), (1, 1), (1, 2), (1, 3), (2, 2), (2, 3), (3, 2), (3, 3)}
+    long = "".join(random.choices("-suaxSUAX", k=20_000))  # time and stack stay linear in the turns
+    assert repair.search(long, repair.START)[1].count("D") >= long.count("-")
+
+
+def plain_repair(rows):
+    """By conversation: faults, gaps, edits and repaired turns, from all its rows at once."""
+    out, by_conv = {}, defaultdict(list)
+    for conv, turn, role, text in rows:
+        by_conv[conv].append((turn is not None, turn or 0, turn, " " if role is None else role, " " if text is None else text))
+    for conv, own in by_conv.items():
+        own.sort(key=lambda r: (*r[:2], r[3].encode(), r[4].encode()))
+        turns = {r[2] for r in own} - {None}
+        faults, seen, codes = Counter(), set(), ""
+        for r in own:
+            solid = r[4].strip(" \t\n\x0b\x0c\r")
+            fault = "blank" if not solid else "duplicate" if r[3:] in seen else "truncated" if solid[-1] not in ".!?" else None
+            seen.add(r[3:])
+            faults[fault] += 1
+            kind = r[3][:1] if r[3][:1] in ("s", "u", "a") else "x"
+            codes += "-" if fault in ("blank", "duplicate") else kind.upper() if fault else kind
+        illegal = sum(a[3][:1] + b[3][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:]))
+        cost, audit, _ = repair.search(codes, repair.START)
+        lines = []
+        for edit, at, role in repair.edits_of(codes, repair.START, audit):
+            if edit != "D":
+                lines.append(f"{role or own[at][3]}:{own[at][4] if at is not None else ''}")
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        out[conv] = (gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, lines)
+    return out
+
+
+def conversations(n):
+    random.seed(111)
+    texts = ["Yes.", "yes", "", " \n", "No! ", "a? b", "é.", "…", None, "x" * 5_000 + "."]
+    roles = ["user", "assistant", "system", "tool", "", None, "User", "ä"]
+    rows = []
+    for conv in range(n):
+        for turn in range(random.randint(1, 9)):
+            if random.random() < 0.9:
+                role = random.choice(roles) if random.random() < 0.3 else ("user", "assistant")[turn % 2]
+                rows.append((conv if conv % 11 else None, turn if random.random() < 0.9 else None, role, f"{turn}." if random.random() < 0.6 else random.choice(texts)))
+    rows += [r for r in rows if random.random() < 0.1]
+    return rows
+
+
+def test_repair_of_frames(spark):
+    rows = conversations(60)
+    rows += [(1_000, k, ("user", "assistant")[k % 2], f"{k}.") for k in range(700)]  # longer than a block
+    rows += [(1_001, 5, "user", "the same.")] * 600
+    df = spark.createDataFrame([(*r, "taken") for r in rows], "conv_id long, turn long, role string, text string, key string").repartition(4)
+    want = plain_repair(rows)
+    for size in (repair.BLOCK, 4):
+        found = repair.repair(df, size=size)
+        got = {r["key"]: r for r in found.conversations.collect()}
+        lines = defaultdict(list)
+        for r in found.turns.filter("edit <> 'D'").orderBy("key", "block", "seq").collect():
+            lines[r["key"]].append(f"{r['role']}:{r['text']}")
+        assert len(got) == len(want)
+        for conv, (*sums, audit, repaired) in want.items():
+            key = "" if conv is None else f"={conv}"
+            row = got[key]
+            assert [row[c] for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")] == sums, (conv, size)
+            assert row["audit"] == audit and lines[key] == repaired, (conv, size)
+    none = repair.repair(df.limit(0))
+    assert none.conversations.count() == 0 and none.turns.count() == 0
+
+
+def test_blocks_know_when_they_are_whole():
+    keys = ["a"] * 3 + ["b"] * 2 + ["c"] * 9 + ["d"] * 4 + ["e"]
+    for step in (1, 2, 5, 100):
+        batches = [pa.RecordBatch.from_pydict({"key": keys[k:k + step]}) for k in range(0, len(keys), step)]
+        got = [(b.column("key").to_pylist(), b.column("alone")[0].as_py()) for b in repair._blocks(iter(batches), 3, 4)]
+        assert got == [(["a"] * 3, False), (["b"] * 2, True), (["c"] * 4, False), (["c"] * 4, False), (["c"], False), (["d"] * 4, True), (["e"], False)]
