@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.dates import as_date
 from ..functions.text import blank_to_null
+from . import versions
 from .schemas import CHECKING_LOG
 
 
@@ -44,6 +45,11 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
+def read_output(spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = "parquet") -> DataFrame:
+    """What ``writers.write_overwrite`` last wrote whole."""
+    return versions.read_current(spark, path, schema, fmt)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
@@ -106,6 +112,11 @@ def read_typed_sheet(
     return typed.select(*[f"`{c}`" for c in columns]) if columns else typed
 
 
+def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All runs of a log, each as its last whole writing left it; an empty frame where there is none yet."""
+    return versions.read_current(spark, path, schema).select(*schema.fieldNames())
+
+
 def read_checking_log(spark: SparkSession, path: str) -> DataFrame:
     """The log earlier runs wrote, with the declared types; partition folders alone would turn day texts into dates."""
-    return spark.read.schema(CHECKING_LOG).parquet(path).select(*CHECKING_LOG.fieldNames())
+    return read_log(spark, path, CHECKING_LOG)

@@ -10,37 +10,42 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, display_date
 from ..operators.sets import reindex
+from . import versions
 
 LOG_KEYS = ["extrac_date", "risk_type"]
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace a whole output; readers see the old files until the job commits."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).save(path)
+    """Replace a whole output. Readers (``readers.read_output``) see the old rows until all new ones are written and recorded;
+    a job that fails before that leaves the output as it was (see ``versions``)."""
+    versions.publish(df, path, fmt)
 
 
-def write_table(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").saveAsTable(name)
+def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Replace a table by name.
+
+    The rows become a new version of an output below ``path`` (the warehouse folder by default), and the name a view of that
+    version, which is one change in the catalogue. Until then the name shows the old rows, also if the job fails; the new
+    rows may have other columns.
+    """
+    spark = df.sparkSession
+    path = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}"
+    folder = versions.publish(df, path)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
 
 
 def append_log(df: DataFrame, path: str, columns: list[str], run_id: str, keys: list[str] | None = None) -> None:
     """Add one run to the log, its columns aligned by name.
 
-    ``run_id`` names the product and its day. Every run has a folder of its own, partitioned by run date and risk type:
+    ``run_id`` names the product and its day. Every run is a part of its own, partitioned by run date and risk type:
     another product of the same day and type stays, and repeating a run replaces exactly what it wrote before, also where it
-    now finds less or nothing.
+    now finds less or nothing. A run that fails, at first or when repeated, changes nothing for the readers
+    (``readers.read_log``).
     """
     if not re.fullmatch(r"[\w.-]+", run_id):
         raise ValueError(f"a run id consists of letters, digits, _, . and -: {run_id!r}")
     keys = keys or LOG_KEYS
-    (
-        reindex(df, columns)
-        .hint("rebalance", *keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*keys)
-        .parquet(f"{path}/run_id={run_id}")
-    )
+    versions.publish(reindex(df, columns).hint("rebalance", *keys), path, partition_by=keys, part=run_id)
 
 
 def append_rows(df: DataFrame, path: str, columns: list[str]) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from loantide.functions import fixed_values as fv
-from loantide.sources import readers, schemas, writers
+from loantide.sources import readers, schemas, versions, writers
 
 
 def log_rows(spark, day, risk, codes):
@@ -46,11 +46,62 @@ def test_plain_append_aligns_columns_by_name(spark, folder):
     assert rows(readers.read_parquet(spark, path)) == [(1, "x"), (2, None), (3, "z")]
 
 
-def test_overwrite_replaces(spark, folder):
-    path = f"{folder}/t"
+def failing(df, when):
+    """``df`` with a row that fails the job: before anything is written (a shuffle first), or while other tasks have written."""
+    broken = df.withColumn("id", F.when(F.col("id") == df.count() - 1, F.raise_error(F.lit("broken row")).cast("long")).otherwise(F.col("id")))
+    return broken.orderBy("id") if when == "before" else broken
+
+
+@pytest.mark.parametrize("when", ["before", "during"])
+def test_failed_overwrites_leave_the_old_rows(spark, folder, when):
+    path, name = f"{folder}/t", f"t_{uuid.uuid4().hex}"
+    new = spark.range(0, 1_000, 1, 8)
     writers.write_overwrite(spark.range(5), path)
-    writers.write_overwrite(spark.range(2), path)
-    assert readers.read_parquet(spark, path).count() == 2
+    writers.write_table(spark.range(5), name, f"{folder}/table")
+    held = readers.read_output(spark, path)
+    for write in (lambda: writers.write_overwrite(failing(new, when), path), lambda: writers.write_table(failing(new, when), name, f"{folder}/table")):
+        with pytest.raises(Exception, match="broken row"):
+            write()
+    assert readers.read_output(spark, path).count() == 5 and spark.table(name).count() == 5
+    writers.write_overwrite(new, path)
+    writers.write_table(new.withColumn("more", F.lit("x")), name, f"{folder}/table")
+    assert readers.read_output(spark, path).count() == 1_000 and spark.table(name).columns == ["id", "more"]
+    assert held.count() == 5  # a reader that began on the version before keeps it
+    spark.sql(f"DROP VIEW {name}")
+
+
+@pytest.mark.parametrize("when", ["before", "during"])
+def test_failed_runs_leave_the_log_as_it_was(spark, folder, when):
+    path, schema = f"{folder}/log", spark.createDataFrame([], "id long, day string, kind string").schema
+    rows_of = lambda n: spark.range(0, n, 1, 8).select("id", F.lit("d1").alias("day"), F.lit("k").alias("kind"))
+    add = lambda df, run: writers.append_log(df, path, ["id", "day", "kind"], run, ["day", "kind"])
+    assert readers.read_log(spark, path, schema).count() == 0
+    add(rows_of(3), "a")
+    for run in ("a", "b"):  # a repeated run, and one that never ended
+        with pytest.raises(Exception, match="broken row"):
+            add(failing(rows_of(800), when), run)
+    assert rows(readers.read_log(spark, path, schema)) == [(k, "d1", "k") for k in range(3)]
+    add(rows_of(2), "b")
+    add(rows_of(0), "a")
+    assert rows(readers.read_log(spark, path, schema)) == [(0, "d1", "k"), (1, "d1", "k")]
+
+
+def test_versions_are_kept_and_dropped(spark, folder):
+    path = f"{folder}/t"
+    with pytest.raises(FileNotFoundError):
+        versions.read_current(spark, path)
+    for k in range(1, 6):
+        versions.publish(spark.range(k), path, part="xy"[k % 2])
+    assert versions.read_current(spark, path).count() == 4 + 5
+    versions.publish(versions.read_current(spark, path).limit(7), path, part="x")  # from the output to itself
+    assert versions.drop_old(spark, path, keep=1) == 4 and versions.drop_old(spark, path, keep=1) == 0
+    assert versions.read_current(spark, path).count() == 5 + 7
+    # Two jobs wrote the same number: one of them is current, whichever way the records are listed.
+    record = versions._records(spark, path).where("part = 'y'").orderBy(F.desc("version")).first()
+    folder = f"versions/{versions.COLUMN}=zz"
+    spark.range(9).write.parquet(f"{path}/{folder}")
+    spark.createDataFrame([("y", record["version"], folder)], versions.RECORD).coalesce(1).write.mode("append").json(f"{path}/_commits")
+    assert versions.read_current(spark, path).count() == 9 + 7
 
 
 def test_snapshot_days_are_partitions(spark, folder):
