@@ -1,8 +1,10 @@
 """Risk score-card: categorical and numeric lines per field, looked up and summed.
 
-The cards are laid out by Spark as one row per category that holds the lines of
-its fields, so scoring is one join on the category and a projection. How that
-join runs is left to the measured size of the cards.
+A contract is asked field by field: it becomes one short row a field, all of them
+meet the lines of both cards in one equi join on field, category, package and
+place (the cell of a bin, or a listed value), and the scores are summed up again
+by contract. So a row meets only lines near its value, however many a card has,
+and how the join runs is left to the measured size of the cards.
 """
 
 from __future__ import annotations
@@ -10,12 +12,13 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions.numbers import millions
 from ..functions.text import blank_to_null
-from ..operators.sets import with_costly_column
+from ..operators.lookups import bin_cells, bin_level, cell_of
 
 NUMERIC_FIELDS = fv.GLOBAL_NUMERIC_FIELDS + fv.CATEGORY_NUMERIC_FIELDS
 FIELDS = fv.CATEGORICAL_FIELDS + NUMERIC_FIELDS
@@ -24,11 +27,6 @@ TERM_RANGE = "package_time_range"
 VALUE_OF = {"cus_score": "customer_score", "package_money_range": "net_disbur"}
 
 
-def _gathered(field: str, line: Column) -> Column:
-    """The lines of one field in a group, as an array column named after it."""
-    return F.collect_list(F.when(F.col("field_check") == field, line)).alias(f"{field}_lines")
-
-
 def numeric_lines(card: DataFrame) -> DataFrame:
     """(field_check, categoryname, low, high, package, score), open ends filled."""
     field, package = F.col("field_check"), F.coalesce("package_name", F.lit(fv.ORDINARY_LOAN))
@@ -48,58 +46,69 @@ def categorical_lines(card: DataFrame) -> DataFrame:
     return card.groupBy("field_check", category, "value").agg(F.max(F.col("risk_score").cast("double")).alias("score"))
 
 
-def _apart(lines: Column, field: str) -> Column:
-    """The lines of a field; two that cover the same value fail the job, since a contract would be counted twice."""
-    spans = F.array_sort(F.transform(
-        F.filter(lines, lambda x: x["low"].isNotNull() & x["high"].isNotNull()),
-        lambda x: F.struct(x["package"], x["low"], x["high"]),
-    ))
-    pairs = F.zip_with(spans, F.slice(spans, 2, F.greatest(F.size(spans), F.lit(1))), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    clash = F.exists(pairs, lambda p: p["x"]["package"].eqNullSafe(p["y"]["package"]) & (p["x"]["high"] > p["y"]["low"]))
-    return F.when(F.coalesce(clash, F.lit(False)), F.raise_error(F.lit(f"overlapping bins in {field}")).cast(LINES)).otherwise(lines)
-
+def _apart(bins: DataFrame) -> DataFrame:
+    """Bins as they are; two of a field, category and package that cover the same value fail the job, since a contract would be
+    counted twice."""
+    following = F.lead("low").over(W.partitionBy("field_check", "categoryname", "package").orderBy("low", "high"))
+    clash = F.raise_error(F.concat(F.lit("overlapping bins in "), F.col("field_check"))).cast("double")
+    return bins.withColumn("high", F.when(F.col("high") > following, clash).otherwise(F.col("high")))
 
-LINES = "array<struct<low:double,high:double,package:string,score:double>>"
 
+def card_lines(categorical: DataFrame, numeric: DataFrame) -> tuple[DataFrame, Column]:
+    """All lines of both cards by the place where a contract meets them, and the levels of the bins of each field.
 
-def card_table(categorical: DataFrame, numeric: DataFrame) -> DataFrame:
-    """One row per category of the numeric card with the lines of every field."""
-    values, bins = categorical_lines(categorical), numeric_lines(numeric)
-    line, span = F.struct("value", "score"), F.struct("low", "high", "package", "score")
-    own = bins.where(F.col("categoryname") != fv.ALL_CATEGORIES).groupBy(F.col("categoryname").alias("category_name")).agg(
-        *[_gathered(f, span) for f in fv.CATEGORY_NUMERIC_FIELDS]
+    (line_field, line_scope, line_package, line_place, low, high, score): a line is in the scope of one category or, as the
+    empty text, of all. The place of a bin is each cell that it touches on its level, that of a listed value the value itself.
+    """
+    bins = numeric_lines(numeric).where(F.col("low") < F.col("high"))
+    everywhere = F.col("categoryname") == fv.ALL_CATEGORIES
+    own, shared = F.col("field_check").isin(fv.CATEGORY_NUMERIC_FIELDS), F.col("field_check").isin(fv.GLOBAL_NUMERIC_FIELDS)
+    bins = _apart(bins.where((own & ~everywhere) | (shared & everywhere))).withColumn("level", bin_level(F.col("low"), F.col("high")))
+    cells = F.explode(bin_cells(F.col("low"), F.col("high"), F.col("level"))).alias("cell")
+    spans = bins.select(
+        "field_check", F.when(shared, "").otherwise(F.col("categoryname")).alias("scope"), F.coalesce("package", F.lit("")).alias("package"),
+        "level", "low", "high", "score", cells,
+    )
+    values = categorical_lines(categorical).where(F.col("field_check").isin(fv.CATEGORICAL_FIELDS)).select(
+        "field_check", F.when(F.col("field_check") == TERM_RANGE, F.col("categoryname")).otherwise("").alias("scope"), F.lit("").alias("package"),
+        _listed(F.col("value")).alias("place"), *[F.lit(None).cast("double").alias(c) for c in ("low", "high")], "score",
     )
-    terms = values.where(F.col("field_check") == TERM_RANGE).groupBy(F.col("categoryname").alias("category_name")).agg(_gathered(TERM_RANGE, line))
-    shared = bins.where(F.col("categoryname") == fv.ALL_CATEGORIES).agg(*[_gathered(f, span) for f in fv.GLOBAL_NUMERIC_FIELDS])
-    everywhere = values.agg(*[_gathered(f, line) for f in fv.CATEGORICAL_FIELDS if f != TERM_RANGE])
-    table = own.join(terms, "category_name", "left")
-    # What holds for all categories is one row of a subquery of the same job.
-    for whole in (shared, everywhere):
-        packed = whole.select(F.struct(*whole.columns)).scalar()
-        table = table.withColumn("__packed", packed).withColumns({c: F.col("__packed")[c] for c in whole.columns}).drop("__packed")
-    return table.select(
-        "category_name",
-        *[f"{f}_lines" for f in fv.CATEGORICAL_FIELDS],
-        *[_apart(F.col(f"{f}_lines"), f).alias(f"{f}_lines") for f in NUMERIC_FIELDS],
+    lines = spans.withColumn("place", _binned(F.col("level"), F.col("cell"))).select(*values.columns).unionByName(values)
+    levels = bins.groupBy("field_check").agg(F.collect_set("level").alias("levels")).select(
+        F.map_from_entries(F.collect_list(F.struct("field_check", "levels")))
     )
+    return lines.withColumnsRenamed({"field_check": "line_field", **{c: f"line_{c}" for c in ("scope", "package", "place")}}), levels.scalar()
+
 
+def _listed(value: Column) -> Column:
+    """The place of a listed value. A blank line of the card is one too: it scores contracts without a value."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit("blank"))
 
-def _hit(field: str) -> Column:
-    """The line of the field that the contract falls on, or null."""
-    value = VALUE_OF.get(field, field)
-    if field in fv.CATEGORICAL_FIELDS:
-        # Null-safe: a blank line of the card scores contracts without a value.
-        test = f"l.value <=> {value}"
-    else:
-        test = f"{value} >= l.low AND {value} < l.high"
-        if field == "processing_minute":
-            test += " AND l.package = package_name"
-    return F.expr(f"get(filter({field}_lines, l -> {test}), 0)").alias(field)
+
+def _binned(level: Column, cell: Column) -> Column:
+    return F.concat(level.cast("string"), F.lit(":"), cell.cast("string"))
+
+
+def _field_rows(rows: DataFrame, key: str) -> DataFrame:
+    """One row a field of each contract, and one that carries its facts: key, facts, field, scope, package, value, listed."""
+    category, facts = F.col("category_name"), F.struct(*rows.columns)
+    nothing = F.when(F.lit(False), facts)
+
+    def one(field: str) -> Column:
+        value, listed = F.col(VALUE_OF.get(field, field)), field in fv.CATEGORICAL_FIELDS
+        scope = category if field == TERM_RANGE or field in fv.CATEGORY_NUMERIC_FIELDS else F.lit("")
+        package = F.col("package_name") if field == "processing_minute" else F.lit("")
+        parts = [scope, package, F.lit(None).cast("double") if listed else value.cast("double"), _listed(value) if listed else F.lit(None).cast("string")]
+        return F.struct(nothing.alias("facts"), F.lit(field).alias("field"), *[c.alias(n) for c, n in zip(parts, ("scope", "package", "value", "listed"))])
+
+    blank = [F.lit(None).cast(t).alias(n) for n, t in (("field", "string"), ("scope", "string"), ("package", "string"), ("value", "double"), ("listed", "string"))]
+    carrier = F.struct(facts.alias("facts"), *blank)
+    return rows.select(F.col(key).alias("key"), F.explode(F.array(carrier, *[one(f) for f in FIELDS])).alias("r")).select("key", "r.*")
 
 
 def scorecard(features: DataFrame, categorical: DataFrame, numeric: DataFrame, focus_packages: DataFrame,
-              mean_score: Column | None = None) -> DataFrame:
-    """Score contracts other than car titles and cars.
+              mean_score: Column | None = None, key: str = "pawnid") -> DataFrame:
+    """Score contracts other than car titles and cars; ``key`` is a column that is unique to a contract.
 
     A contract outside every bin of a numeric field is left out; an unlisted
     categorical value scores 0. A missing customer score takes the mean of the
@@ -118,16 +127,24 @@ def scorecard(features: DataFrame, categorical: DataFrame, numeric: DataFrame, f
         "nums_day_in_month": F.coalesce("nums_day_in_month", F.dayofmonth("extract_date")),
     })
     facts = rows.columns
-    rows = rows.join(card_table(categorical, numeric), "category_name")
-    rows = with_costly_column(rows, "hits", F.struct(*[_hit(f) for f in FIELDS]))
-    rows = rows.where(reduce(lambda a, b: a & b, [F.col(f"hits.{f}").isNotNull() for f in NUMERIC_FIELDS]))
+    lines, levels = card_lines(categorical, numeric)
+    asked = _field_rows(rows, key).withColumn("level", F.explode_outer(levels[F.col("field")]))
+    asked = asked.withColumn("place", F.coalesce("listed", _binned(F.col("level"), cell_of(F.col("value"), F.col("level")))))
+    meets = [F.col(f"line_{c}") == F.col(c) for c in ("field", "scope", "package", "place")]
+    meets.append(F.col("low").isNull() | ((F.col("value") >= F.col("low")) & (F.col("value") < F.col("high"))))
+    # The rows of a contract meet again where they were made, before the shuffle.
+    scored = asked.join(lines, reduce(lambda a, b: a & b, meets), "left").groupBy("key").agg(
+        F.first("facts", ignorenulls=True).alias("facts"), F.count("low").alias("bins"),
+        *[F.max(F.when(F.col("field") == f, F.col("score"))).alias(f"{f}_score") for f in FIELDS],
+    )
+    rows = scored.where(F.col("bins") == len(NUMERIC_FIELDS)).select("facts.*", *[f"{f}_score" for f in FIELDS])
     # Focus packages are attached to motorbike titles only.
     packages = focus_packages.drop("package_name")
     titled = F.when(name == fv.BIKE_TITLE, blank_to_null(F.col("packagecode")))
-    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"hits.{f}.score"), F.lit(0.0)) for f in FIELDS])
+    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"{f}_score"), F.lit(0.0)) for f in FIELDS])
     return rows.join(packages, titled == F.col("package_code"), "left").select(
         *facts,
-        *[F.col(f"hits.{f}.score").alias(f"{f}_risk_score") for f in FIELDS],
+        *[F.col(f"{f}_score").alias(f"{f}_risk_score") for f in FIELDS],
         *packages.columns,
         total.alias("total_score"),
     )

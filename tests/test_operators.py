@@ -222,3 +222,63 @@ def test_global_bins_by_cells(spark):
     assert [r.bin for r in lookups.bin_lookup(exact, near, F.col("x")).collect()] == [1]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "collect_list" not in plan
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """Joins of two shuffled sides, of which partitions over a few kilobytes count as skewed."""
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield
+    for name in changed:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_membership_splits_a_hot_key(spark, shuffled_joins, hot):
+    """Two thirds of the rows on one key, or without any: the join is split where the key list alone would keep it in one task."""
+    key = F.when(F.col("id") % 3 == 0, F.col("id") % 1_000).otherwise(F.lit(hot).cast("long")).alias("k")
+    fact = spark.range(0, 120_000, 1, 8).select(key, F.md5(F.col("id").cast("string")).alias("v"))
+    other = spark.range(0, 2_000, 2, 4).select(F.col("id").alias("k"), F.lit("x").alias("v")).unionByName(spark.range(5_000).select(F.lit(7).cast("long").alias("k"), F.lit("y").alias("v")))
+    whole = [r[0] for r in fact.select("k").collect()]
+    listed = {*range(0, 2_000, 2), 7}
+    for join, want in ((lookups.keep_matching, sum(k in listed for k in whole)), (lookups.drop_matching, sum(k not in listed for k in whole))):
+        found = join(fact, other, "k")
+        assert found.columns == ["k", "v"]
+        assert found.select(F.count("v")).first()[0] == want
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        kind = "LeftSemi" if join is lookups.keep_matching else "LeftAnti"
+        if hot or kind == "LeftAnti":  # rows without a key never come to a semi join
+            assert f"{kind}" in plan and "skew=true" in plan, plan
+
+
+def test_rows_meet_only_bins_near_them(spark):
+    """200,000 bins of one key: a row meets the few bins of its cell, not those of its key."""
+    bins = spark.range(200_000).select(F.lit("k").alias("flag"), F.col("id").cast("double").alias("low"), (F.col("id") + 1).cast("double").alias("high"))
+    level = lookups.bin_level(F.col("low"), F.col("high"))
+    lines = bins.withColumn("level", level).withColumn("cell", F.explode(lookups.bin_cells(F.col("low"), F.col("high"), F.col("level"))))
+    assert lines.select(F.collect_set("level")).first()[0] == [0] and lines.count() == 400_000
+    df = spark.range(100).select(F.lit("k").alias("flag"), (F.col("id") * 1_999.5).alias("v"))
+    met = df.withColumn("cell", lookups.cell_of(F.col("v"), F.lit(0))).join(lines, ["flag", "cell"])
+    assert met.count() == 199  # two bins touch a cell; the first cell has one
+    found = lookups.bin_lookup(df, bins, F.col("v"), {"flag": "flag"}, low="low", high="high")
+    assert found.count() == 100 and found.columns == ["flag", "v"]
+    hints = lookups.bin_lookup(df.hint("merge"), bins, F.col("v"), {"flag": "flag"}, low="low", high="high")._jdf.queryExecution().executedPlan().toString()
+    assert "__cell" in hints.split("SortMergeJoin")[1].split("]")[0]
+
+
+def test_bins_by_key_match_brute_force(spark):
+    rng = random.Random(8)
+    edges = [(g, a, a + rng.choice([0.5, 3.0, 40.0])) for g in ("a", "b", None) for a in (rng.uniform(-50, 50) for _ in range(40))]
+    bins = spark.createDataFrame([(*e, k) for k, e in enumerate(edges)], "g string, min_value double, max_value double, bin int")
+    values = [(rng.choice(["a", "b", "c", None]), rng.uniform(-60, 60), k) for k in range(150)]
+    df = spark.createDataFrame(values, "g string, x double, k int")
+    want = [(k, b) for g, x, k in values for b, (h, lo, hi) in enumerate(edges) if g is not None and g == h and lo <= x < hi]
+    assert sorted((r.k, r.bin) for r in lookups.bin_lookup(df, bins, F.col("x"), {"g": "g"}).collect()) == sorted(want)
+    left = lookups.bin_lookup(df, bins, F.col("x"), {"g": "g"}, how="left")
+    lost = [(k, None) for *_, k in values if k not in {w[0] for w in want}]
+    assert sorted(((r.k, r.bin) for r in left.collect()), key=repr) == sorted(want + lost, key=repr)

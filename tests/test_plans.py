@@ -180,6 +180,17 @@ def test_scorecard_with_a_large_card(spark):
     assert got == {0: 0.0, 1: 5.0, 2: float(100_000 % 7), 3: float(199_999 % 7)}
 
 
+def test_scorecard_plan(spark):
+    """One join meets both cards, on places; no lines are gathered, and a card that is no small one is shuffled."""
+    scored = scorecard.scorecard(features(spark), *cards(spark), no_packages(spark), F.lit(1.0))
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(struct(low" not in plan and plan.count("line_place") >= 2 and "filter(" not in plan
+    blank = spark.createDataFrame([("All", "papertype", None, 3.0)], schemas.CATEGORICAL_CARD)
+    categorical, numeric = cards(spark)
+    got = scorecard.scorecard(features(spark, cases=[{"papertype": None}, {"package_name": None}]), categorical.unionByName(blank), numeric, no_packages(spark)).collect()
+    assert [(r["pawnid"], r["papertype_risk_score"]) for r in got] == [(0, 3.0)]
+
+
 def test_audit_quotas():
     assert audit.QUOTAS == {"title": 26, "other": 14}
 
