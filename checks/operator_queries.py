@@ -22,7 +22,7 @@ def previous_contracts(spark, sf):
     """Previous contract of every contract: code and status, days since it closed."""
     c = V.contract_core(spark, sf).select("pawnid", "customerid", "codeno", "status", "fromdate", "closedate")
     rows = latest.previous_row(c, ["customerid"], ["fromdate", "pawnid"], ["codeno", "status", "closedate"], "previous",
-                               slice_by=latest.dated_slice("fromdate", "pawnid"))
+                               slice_by=latest.dated_slices("fromdate", "pawnid"))
     before = F.col("previous")
     return rows.select(
         "pawnid", "customerid", before["codeno"].alias("previous_codeno"), before["status"].alias("previous_status"),

@@ -45,8 +45,8 @@ def _value_counts(df: DataFrame, group: list[str], value: str) -> DataFrame:
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 SUMMARY = ["count", "mean", "std", "min", *QUARTILES, "max"]
-# Buckets per doubling of the value when a quantile is searched for.
-BUCKETS_PER_OCTAVE = 256
+# Buckets per doubling of the value when a quantile is searched for, parts that a bucket is cut into, and how often.
+BUCKETS_PER_OCTAVE, PARTS, REFINEMENTS = 256, 65_536, 2
 
 
 def whole_number_summary(value: Column, freq: Column) -> dict[str, Column]:
@@ -70,37 +70,60 @@ def whole_number_summary(value: Column, freq: Column) -> dict[str, Column]:
 
 
 def _bucket(value: Column) -> Column:
-    """A number that never falls as the value grows; close values share one."""
-    return F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * BUCKETS_PER_OCTAVE)
+    """A number that never falls as the value grows; values that differ by less than a 256th of a doubling share one or two."""
+    size = F.when(value == 0, F.lit(0)).otherwise(F.log2(F.abs(value)) + 1_100)
+    return F.floor(F.signum(value) * size * BUCKETS_PER_OCTAVE)
+
+
+def _holding(cells: DataFrame, ranks: dict[str, Column]) -> DataFrame:
+    """The cells (__g, __cell, __c and __before, the number of values before the first cell) that hold a wanted rank.
+
+    The cells of one bucket of one group are ordered in a task: a few thousand at first, ``PARTS`` of a part at most.
+    """
+    in_order = W.partitionBy("__g", "__b").orderBy("__cell").rowsBetween(W.unboundedPreceding, 0)
+    to = F.col("__before") + F.sum("__c").over(in_order)
+    placed = cells.withColumn("__to", to)
+    wanted = reduce(lambda a, b: a | b, [_holds(end(rank)) for rank in ranks.values() for end in (F.floor, F.ceil)])
+    return placed.where(wanted).withColumn("__before", F.col("__to") - F.col("__c")).drop("__to")
+
+
+def _holds(rank: Column) -> Column:
+    return (rank >= F.col("__to") - F.col("__c")) & (rank < F.col("__to"))
 
 
 def quantiles(counts: DataFrame, group: list[str], points: dict[str, float], value: str = "__v", freq: str = "__n") -> DataFrame:
     """Exact quantiles with linear interpolation, from one row per (group, value) with its frequency.
 
-    The values are counted into buckets first. Only the buckets that hold a wanted rank are ordered by value, each by itself,
-    so no task sorts or keeps the values of a whole group.
+    The values are counted into buckets by their size. A bucket that holds a wanted rank is cut into parts between its own
+    least and greatest value, and the part that holds the rank once more; only the values of that last part are ordered. A
+    bucket spans a 256th of a doubling, in which there are 2^45 doubles at most, so a last part has some ten thousand
+    different values, and no task sorts or keeps those of a bucket or group, however close they lie together.
     """
     from .lookups import null_safe_join
 
     # As a struct the group is never null, and an empty list of group columns is one group.
     keyed = counts.select(F.struct(F.lit(0), *group).alias("__g"), *group, F.col(value).alias("__v"), F.col(freq).alias("__n"))
-    keyed = keyed.withColumn("__b", _bucket(F.col("__v")))
-    cells = keyed.groupBy("__g", "__b").agg(F.sum("__n").alias("__c"))
-    in_order = W.partitionBy("__g").orderBy("__b")
-    cells = cells.select(
-        "__g", "__b", "__c",
-        F.sum("__c").over(in_order.rowsBetween(W.unboundedPreceding, 0)).alias("__to"),
-        F.sum("__c").over(W.partitionBy("__g")).alias("__total"),
-    )
+    keyed = keyed.withColumns({"__b": F.lit(0).cast("long"), "__cell": _bucket(F.col("__v"))})
     ranks = {name: p * (F.col("__total") - 1) for name, p in points.items()}
-    holds = lambda rank: (rank >= F.col("__to") - F.col("__c")) & (rank < F.col("__to"))
-    wanted = reduce(lambda a, b: a | b, [holds(end(rank)) for rank in ranks.values() for end in (F.floor, F.ceil)])
-    picked = cells.where(wanted).select("__g", "__b", (F.col("__to") - F.col("__c")).alias("__before"), "__total")
-    values = null_safe_join(keyed, picked, ["__g", "__b"], "inner")
-    upto = F.sum("__n").over(W.partitionBy("__g", "__b").orderBy("__v").rowsBetween(W.unboundedPreceding, 0))
+    sizes = [F.sum("__n").alias("__c"), F.min("__v").alias("__low"), F.max("__v").alias("__high")]
+    cells = keyed.groupBy("__g", "__b", "__cell").agg(*sizes).withColumns({
+        "__total": F.sum("__c").over(W.partitionBy("__g")), "__before": F.lit(0).cast("long"),
+    })
+    picked = _holding(cells, ranks)
+    for _ in range(REFINEMENTS):
+        # A part is named by its bucket's first value rank, which is one of its own in the group, and its place in it.
+        inside = null_safe_join(keyed.drop("__b"), picked.drop("__b", "__c"), ["__g", "__cell"], "inner")
+        width = F.col("__high") / 2 - F.col("__low") / 2
+        place = F.when(width > 0, (F.col("__v") / 2 - F.col("__low") / 2) / width * (PARTS - 1)).otherwise(F.lit(0.0))
+        keyed = inside.select("__g", *group, "__v", "__n", "__total", F.col("__before").alias("__b"), F.floor(place).alias("__part"))
+        cells = keyed.groupBy("__g", "__b", "__total", F.col("__part").alias("__cell")).agg(*sizes).withColumn("__before", F.col("__b"))
+        picked = _holding(cells, ranks).withColumn("__cell", F.struct("__b", "__cell"))
+        keyed = keyed.select("__g", *group, "__v", "__n", "__b", F.struct("__b", F.col("__part").alias("__cell")).alias("__cell"))
+    values = null_safe_join(keyed.drop("__b"), picked.select("__g", "__cell", "__before", "__total"), ["__g", "__cell"], "inner")
+    upto = F.sum("__n").over(W.partitionBy("__g", "__cell").orderBy("__v").rowsBetween(W.unboundedPreceding, 0))
     values = values.withColumn("__to", F.col("__before") + upto).withColumn("__c", F.col("__n"))
     ends = [
-        F.max(F.when(holds(end(rank)), F.col("__v"))).alias(f"{name}_{side}")
+        F.max(F.when(_holds(end(rank)), F.col("__v"))).alias(f"{name}_{side}")
         for name, rank in ranks.items() for side, end in (("low", F.floor), ("high", F.ceil))
     ]
     found = values.groupBy("__g", *group, "__total").agg(*ends)
@@ -114,18 +137,24 @@ def quantiles(counts: DataFrame, group: list[str], points: dict[str, float], val
 
 
 def describe(df: DataFrame, group: list[str], value: str) -> DataFrame:
-    """Distribution summary per group; a group without any value has no row."""
+    """Distribution summary per group; a group without any value has no row.
+
+    All of it comes from one counting of equal values: the spread is summed around the mean, which keeps its digits.
+    """
     from .lookups import null_safe_join
 
-    counts = _value_counts(df, group, value)
-    moments = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("__v")).groupBy(*group).agg(
-        F.count("__v").alias("count"), F.avg("__v").alias("mean"), F.stddev_samp("__v").alias("std"),
-        F.min("__v").alias("min"), F.max("__v").alias("max"),
-    )
-    points = quantiles(counts, group, QUARTILES)
     if not group:
         raise ValueError("give group columns; a constant one for the whole table")
-    return null_safe_join(moments, points, group).select(*group, *SUMMARY)
+    counts = _value_counts(df, group, value)
+    n, v = F.col("__n"), F.col("__v")
+    sums = counts.groupBy(*group).agg(F.sum(n).alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    around = null_safe_join(counts, sums.select(*group, "count", "mean"), group, "inner")
+    off = F.col("__v") - F.col("mean")
+    # The second sum would be 0 with an exact mean; it takes out what rounding left.
+    spread = F.sum(off * off * n) - F.sum(off * n) * F.sum(off * n) / F.first("count")
+    spreads = around.groupBy(*group).agg(F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), F.first("count") - 1)).alias("std"))
+    points = quantiles(counts, group, QUARTILES)
+    return null_safe_join(null_safe_join(sums, spreads, group), points, group).select(*group, *SUMMARY)
 
 
 def outlier_fence(df: DataFrame, group: list[str], value: str, reach: float = 1.5) -> DataFrame:

@@ -2,8 +2,9 @@
 
 First/latest rows are aggregates rather than ranked windows: each map task sorts
 its own rows by key and sends one candidate per key, so a key holding a third of
-all rows sends one row per task through the shuffle. Previous-row access slices long groups, so no
-task has to hold or sort the whole history of one key.
+all rows sends one row per task through the shuffle. Previous-row access slices long groups and carries
+the last rows on by levels, so no task has to hold or sort the whole history of one key, nor all of its
+slices.
 """
 
 from __future__ import annotations
@@ -48,44 +49,66 @@ def dated_slice(date: str, unique_id: str, block: int = ID_BLOCK) -> Column:
     return F.struct(F.col(date), F.floor(F.col(unique_id) / block))
 
 
+def dated_slices(date: str, unique_id: str, block: int = ID_BLOCK) -> list[Column]:
+    """Slices for rows ordered by (date, id), finest first: a day and a block of ids, a day and a block of such blocks, a day.
+
+    However ids are spread, a key has at most ``block`` rows in the first, ``block`` of the first in a second, and for ids up to
+    2^63 some ten million of the second in a day.
+    """
+    blocks = F.call_function("div", F.col(unique_id), F.lit(block).cast("long"))
+    wider = F.call_function("div", blocks, F.lit(block).cast("long"))
+    return [F.struct(F.col(date), blocks), F.struct(F.col(date), wider), F.struct(F.col(date))]
+
+
+def _carried(tails: DataFrame, slices: list[str]) -> DataFrame:
+    """(__key, finest slice, __carried): what the last row before each slice carries on, for slices that have one.
+
+    A parallel prefix: inside a coarser slice the tail before is that of the slice before; the first slice of a coarser one
+    takes what is carried over to that, found in the same way from the tails of coarser slices.
+    """
+    own, *coarser = slices
+    last = lambda *within: F.lag("__tail").over(W.partitionBy("__key", *within).orderBy(own))
+    if not coarser:
+        return tails.select("__key", own, last().alias("__carried")).where(F.col("__carried").isNotNull())
+    inside = tails.select("__key", own, coarser[0], last(coarser[0]).alias("__before"))
+    tops = tails.groupBy("__key", *coarser).agg(F.max_by("__tail", own).alias("__tail"))
+    carried = F.coalesce("__before", "__carried").alias("__carried")
+    return inside.join(_carried(tops, coarser), ["__key", coarser[0]], "left").select("__key", own, carried).where(F.col("__carried").isNotNull())
+
+
 def previous_row(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     payload: list[str],
     output: str,
-    slice_by: Column | None = None,
+    slice_by: Column | list[Column] | None = None,
     tails_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add struct ``output`` holding ``payload`` of the preceding row of the key.
 
-    ``order`` must be unique inside a key. ``slice_by`` is a non-decreasing
-    function of the order (see ``dated_slice``): rows are ranked
-    inside (key, slice), and only the last row of each slice is carried over to
-    the next slice of that key. Without it this is a plain lag. Rows whose key
-    is null form one group, as in a window. ``tails_of`` names a leaner frame
-    with the same rows to take the last rows from.
+    ``order`` must be unique inside a key. ``slice_by`` is a non-decreasing function of the order, or several of them from fine
+    to coarse, each a function of the one before (see ``dated_slices``): rows are ranked inside (key, slice), and only the last
+    row of each slice is carried on, from slice to slice within the next coarser one. So no task orders more than the rows of
+    a slice, or the slices of a coarser one. Without it this is a plain lag. Rows whose key is null form one group, as in a
+    window. ``tails_of`` names a leaner frame with the same rows to take the last rows from.
     """
     packed = F.struct(*payload)
     if slice_by is None:
         return df.withColumn(output, F.lag(packed).over(W.partitionBy(*keys).orderBy(*order)))
+    levels = slice_by if isinstance(slice_by, list) else [slice_by]
+    slices = [f"__slice{k}" for k in range(len(levels))]
 
     # As a struct the key is never null, so window, aggregate and join share one partitioning.
     def sliced(frame: DataFrame) -> DataFrame:
-        return frame.withColumns({"__key": F.struct(*keys), "__slice": slice_by})
-
-    ranked = sliced(df).withColumn("__previous", F.lag(packed).over(W.partitionBy("__key", "__slice").orderBy(*order)))
-    carried = (
-        sliced(df if tails_of is None else tails_of)
-        .groupBy("__key", "__slice")
-        .agg(F.max_by(packed, F.struct(*order)).alias("__tail"))
-        .select("__key", "__slice", F.lag("__tail").over(W.partitionBy("__key").orderBy("__slice")).alias("__carried"))
-        .where(F.col("__carried").isNotNull())
-    )
+        return frame.withColumns({"__key": F.struct(*keys), **dict(zip(slices, levels))})
+
+    ranked = sliced(df).withColumn("__previous", F.lag(packed).over(W.partitionBy("__key", slices[0]).orderBy(*order)))
+    tails = sliced(df if tails_of is None else tails_of).groupBy("__key", *slices).agg(F.max_by(packed, F.struct(*order)).alias("__tail"))
     return (
-        ranked.join(carried, ["__key", "__slice"], "left")
+        ranked.join(_carried(tails, slices), ["__key", slices[0]], "left")
         .withColumn(output, F.coalesce("__previous", "__carried"))
-        .drop("__key", "__slice", "__previous", "__carried")
+        .drop("__key", *slices, "__previous", "__carried")
     )
 
 
@@ -101,7 +124,7 @@ def previous_since(
     order: list[str],
     payload: list[str],
     output: str,
-    slice_by: Column | None = None,
+    slice_by: Column | list[Column] | None = None,
     tails_of: DataFrame | None = None,
 ) -> DataFrame:
     """``previous_row`` for ``rows`` that continue an ``older`` history.

@@ -11,7 +11,7 @@ from ..functions import fixed_values as fv
 from ..functions import rules
 from ..functions.dates import as_date, days_between, minute_boundaries, yearmonth_of_text
 from ..functions.numbers import net_amount, ratio
-from ..operators.latest import dated_slice, last_value_per_key, previous_since
+from ..operators.latest import dated_slices, last_value_per_key, previous_since
 from ..operators.lookups import keep_matching
 from .fraud import first_disbursements
 
@@ -70,7 +70,7 @@ def with_previous_contracts(contracts: DataFrame, first: dt.date | str, last: dt
     low, high = F.lit(as_date(first)), F.lit(as_date(last))
     rows = contracts.where(F.col("fromdate").between(low, high))
     older = contracts.where(F.col("fromdate") < low)
-    order, part = ["fromdate", "pawnid"], dated_slice("fromdate", "pawnid")
+    order, part = ["fromdate", "pawnid"], dated_slices("fromdate", "pawnid")
     in_category = previous_since(rows, older, ["customerid", "categorycode"], order, ["codeno", "closedate"],
                                  "previous_in_category", slice_by=part)
     return previous_since(in_category, older, ["customerid"], order, ["status", "closedate"], "previous_any",

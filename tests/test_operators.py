@@ -29,11 +29,12 @@ def brute_previous(data):
     return out
 
 
-@pytest.mark.parametrize("slices", ["none", "month", "day and block"])
+@pytest.mark.parametrize("slices", ["none", "month", "day and block", "levels"])
 def test_previous_row_matches_brute_force(spark, slices):
     data = history()
     df = spark.createDataFrame(data, "k string, d date, id long, code string")
-    by = {"none": None, "month": F.date_trunc("MONTH", "d"), "day and block": latest.dated_slice("d", "id", 40)}[slices]
+    by = {"none": None, "month": F.date_trunc("MONTH", "d"), "day and block": latest.dated_slice("d", "id", 40),
+          "levels": latest.dated_slices("d", "id", 4)}[slices]
     got = latest.previous_row(df, ["k"], ["d", "id"], ["code"], "p", by).select("id", "p.code")
     assert dict(tuple(r) for r in got.collect()) == brute_previous(data)
 
@@ -282,3 +283,92 @@ def test_bins_by_key_match_brute_force(spark):
     left = lookups.bin_lookup(df, bins, F.col("x"), {"g": "g"}, how="left")
     lost = [(k, None) for *_, k in values if k not in {w[0] for w in want}]
     assert sorted(((r.k, r.bin) for r in left.collect()), key=repr) == sorted(want + lost, key=repr)
+
+
+def test_quantiles_of_close_values(spark):
+    """A million different values within a millionth of each other: what a task orders stays small, the quartiles are exact."""
+    n = 1_000_000
+    df = spark.range(0, n, 1, 8).select(F.lit("a").alias("k"), (F.lit(1e6) + F.col("id") * 1e-6).alias("v"))
+    df = df.unionByName(spark.range(3).select(F.lit("b").alias("k"), F.lit(5.0).alias("v")))
+    got = {r["k"]: r for r in aggregates.describe(df, ["k"], "v").collect()}
+    want = {r["k"]: r for r in df.groupBy("k").agg(F.percentile("v", F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])).alias("p"),
+                                                   F.stddev_samp("v").alias("s"), F.avg("v").alias("m")).collect()}
+    for k in "ab":
+        assert [got[k][c] for c in ("p25", "p50", "p75")] == want[k]["p"]
+        assert got[k]["std"] == pytest.approx(want[k]["s"], rel=1e-6) and got[k]["mean"] == pytest.approx(want[k]["m"], rel=1e-12)
+    # The window over values is the last one, over the parts of parts that hold a rank.
+    counts = aggregates._value_counts(df, ["k"], "v")
+    keyed = counts.select(aggregates._bucket(F.col("__v")).alias("b"))
+    assert keyed.groupBy("b").count().agg(F.max("count")).first()[0] == n  # all of them in one bucket
+    plan = aggregates.quantiles(counts, ["k"], {"m": 0.5})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") >= 4
+    metrics = order_sizes(aggregates.quantiles(counts, ["k"], {"m": 0.5}))
+    assert max(metrics) < 100_000
+
+
+def order_sizes(df):
+    """Rows that came into each sort of the plan as it ran."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        if name == "Window":
+            found.append(rows_of(node.children().apply(0)))
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+        return None
+
+    def rows_of(node):
+        while True:
+            name = node.nodeName()
+            if name.startswith("AdaptiveSparkPlan"):
+                node = node.executedPlan()
+            elif "QueryStage" in name:
+                node = node.plan()
+            elif node.metrics().contains("numOutputRows"):
+                return node.metrics().apply("numOutputRows").value()
+            elif node.metrics().contains("shuffleRecordsWritten"):
+                return node.metrics().apply("shuffleRecordsWritten").value()
+            elif node.children().size() == 0:
+                return 0
+            else:
+                node = node.children().apply(0)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_quantiles_at_all_scales(spark):
+    rng = random.Random(9)
+    np = pytest.importorskip("numpy")
+    groups = {"tiny": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-320, -300) for _ in range(300)], "zero": [0.0, -0.0, 5e-324, -5e-324, 1e-300],
+              "wide": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 307) for _ in range(500)], "one": [3.5], "big": [1.7e308, -1.7e308, 1.0, 2.0]}
+    df = spark.createDataFrame([(k, v) for k, own in groups.items() for v in own], "k string, v double")
+    got = {r["k"]: r for r in aggregates.quantiles(aggregates._value_counts(df, ["k"], "v"), ["k"], {"a": 0.25, "b": 0.5, "c": 0.9}).collect()}
+    for k, own in groups.items():
+        for name, p in (("a", 0.25), ("b", 0.5), ("c", 0.9)):
+            assert got[k][name] == pytest.approx(float(np.quantile(own, p)), rel=1e-9, abs=0), (k, name)
+
+
+def test_previous_row_of_a_hot_key_in_slices_of_one_row(spark):
+    """Sparse ids, a slice for nearly every row: the carry goes by levels, so no window takes the key as a whole."""
+    n = 200_000
+    sparse = (F.col("id") * 3_000_017).alias("id")
+    df = spark.range(0, n, 1, 8).select(F.lit("hot").alias("k"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("d"), sparse)
+    got = latest.previous_row(df, ["k"], ["d", "id"], ["id"], "p", latest.dated_slices("d", "id", 1_000_000))
+    plain = latest.previous_row(df, ["k"], ["d", "id"], ["id"], "p")
+    assert got.select("id", "p.id").exceptAll(plain.select("id", "p.id")).count() == 0 and got.count() == n
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 4 and sum(line.count("__slice") > 0 for line in windows) == 4
+    # The top window holds the days; the one below it the blocks of a day, each of a million blocks of a million ids.
+    levels = latest.dated_slices("d", "id", 1_000_000)
+    sizes = df.select(*[level.alias(f"s{k}") for k, level in enumerate(levels)])
+    assert sizes.select("s0").distinct().count() == n and sizes.select("s2").distinct().count() == 3
+    small = latest.previous_row(df.limit(3_000), ["k"], ["d", "id"], ["id"], "p", latest.dated_slices("d", "id", 1_000))
+    assert small.where("p IS NULL").count() == 1
