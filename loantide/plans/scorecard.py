@@ -30,10 +30,9 @@ VALUE_OF = {"cus_score": "customer_score", "package_money_range": "net_disbur"}
 def numeric_lines(card: DataFrame) -> DataFrame:
     """(field_check, categoryname, low, high, package, score), open ends filled."""
     field, package = F.col("field_check"), F.coalesce("package_name", F.lit(fv.ORDINARY_LOAN))
-    low, high = F.col("min_value"), F.col("max_value")
-    for name, (floor, ceiling) in fv.OPEN_BIN_ENDS.items():
-        low = F.when((field == name) & low.isNull(), F.lit(floor)).otherwise(low)
-        high = F.when((field == name) & high.isNull(), F.lit(ceiling)).otherwise(high)
+    # One branch a field; each end stands once in the expression, since copies of it would double with every field.
+    ends = [reduce(lambda made, f: made.when(field == f, F.lit(fv.OPEN_BIN_ENDS[f][side])), fv.OPEN_BIN_ENDS, F) for side in (0, 1)]
+    low, high = [F.coalesce(F.col(name), end) for name, end in zip(("min_value", "max_value"), ends)]
     return card.select(
         "field_check", "categoryname", low.cast("double").alias("low"), high.cast("double").alias("high"),
         F.when(field == "processing_minute", package).alias("package"), F.col("risk_score").cast("double").alias("score"),
@@ -90,20 +89,26 @@ def _binned(level: Column, cell: Column) -> Column:
 
 
 def _field_rows(rows: DataFrame, key: str) -> DataFrame:
-    """One row a field of each contract, and one that carries its facts: key, facts, field, scope, package, value, listed."""
-    category, facts = F.col("category_name"), F.struct(*rows.columns)
-    nothing = F.when(F.lit(False), facts)
-
-    def one(field: str) -> Column:
-        value, listed = F.col(VALUE_OF.get(field, field)), field in fv.CATEGORICAL_FIELDS
-        scope = category if field == TERM_RANGE or field in fv.CATEGORY_NUMERIC_FIELDS else F.lit("")
-        package = F.col("package_name") if field == "processing_minute" else F.lit("")
-        parts = [scope, package, F.lit(None).cast("double") if listed else value.cast("double"), _listed(value) if listed else F.lit(None).cast("string")]
-        return F.struct(nothing.alias("facts"), F.lit(field).alias("field"), *[c.alias(n) for c, n in zip(parts, ("scope", "package", "value", "listed"))])
-
-    blank = [F.lit(None).cast(t).alias(n) for n, t in (("field", "string"), ("scope", "string"), ("package", "string"), ("value", "double"), ("listed", "string"))]
-    carrier = F.struct(facts.alias("facts"), *blank)
-    return rows.select(F.col(key).alias("key"), F.explode(F.array(carrier, *[one(f) for f in FIELDS])).alias("r")).select("key", "r.*")
+    """One row a field of each contract, and one that carries its facts: key, facts, field, scope, package, value, listed.
+
+    The fields come from a literal and fetch their values by number, which keeps the generated code short.
+    """
+    numeric = F.array(*[F.col(VALUE_OF.get(f, f)).cast("double") for f in NUMERIC_FIELDS])
+    listed = F.array(*[_listed(F.col(f)) for f in fv.CATEGORICAL_FIELDS])
+    kinds = [F.struct(F.lit(None).cast("string").alias("field"), F.lit(-1).alias("bin"), F.lit(-1).alias("list"), F.lit(False).alias("own"))]
+    for f in FIELDS:
+        bin_no, list_no = (names.index(f) if f in names else -1 for names in (NUMERIC_FIELDS, fv.CATEGORICAL_FIELDS))
+        own = f == TERM_RANGE or f in fv.CATEGORY_NUMERIC_FIELDS
+        kinds.append(F.struct(F.lit(f).alias("field"), F.lit(bin_no).alias("bin"), F.lit(list_no).alias("list"), F.lit(own).alias("own")))
+    each = rows.select(
+        F.col(key).alias("key"), F.struct(*rows.columns).alias("facts"), numeric.alias("values"), listed.alias("texts"), "category_name", "package_name"
+    ).withColumn("f", F.explode(F.array(*kinds)))
+    package = F.when(F.col("f.field") == "processing_minute", F.col("package_name")).otherwise(F.lit(""))
+    return each.select(
+        "key", F.when(F.col("f.field").isNull(), F.col("facts")).alias("facts"), F.col("f.field").alias("field"),
+        F.when(F.col("f.own"), F.col("category_name")).otherwise("").alias("scope"), package.alias("package"),
+        F.get("values", F.col("f.bin")).alias("value"), F.get("texts", F.col("f.list")).alias("listed"),
+    )
 
 
 def scorecard(features: DataFrame, categorical: DataFrame, numeric: DataFrame, focus_packages: DataFrame,

@@ -253,3 +253,12 @@ def test_contracts_near_the_counts(spark):
 
     assert dict(tuple(r) for r in got.select("codeno", "pawn_fraud_group").collect()) == {
         "start": labels.NEAR_DAY_START, "end": labels.NEAR_DAY_END, "before": labels.BEFORE_FIRST_COUNT, "after": labels.AFTER_LAST_COUNT}
+
+
+def test_card_lines_stay_short(spark):
+    """Each open end stands once in the expression of a line; copies of it once doubled with every field, too long to compile."""
+    lines = scorecard.numeric_lines(cards(spark)[1])
+    assert len(lines._jdf.queryExecution().optimizedPlan().toString()) < 4_000
+    open_ends = [("Điện thoại", f, None, None, None, 1.0) for f in ("ltv_index", "cus_score", "num_created_pawn")]
+    got = scorecard.numeric_lines(spark.createDataFrame(open_ends, schemas.NUMERIC_CARD)).select("field_check", "low", "high")
+    assert sorted(map(tuple, got.collect())) == [("cus_score", None, 1000.0), ("ltv_index", 0.0, 2.0), ("num_created_pawn", None, None)]
