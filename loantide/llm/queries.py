@@ -112,7 +112,7 @@ def op8_neardup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return vectors.link_vectors(table(spark, sf, "embeddings"))
+    return vectors.link_vectors(table(spark, sf, "embeddings"), exact=False)
 
 
 def op10_substrings(spark: SparkSession, sf: str) -> DataFrame:

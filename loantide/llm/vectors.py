@@ -1,35 +1,41 @@
 """Near-duplicate vectors by product quantisation.
 
 Coarse inverted lists and subspace codes of the residuals are fitted on a bounded sample; every vector is indexed, and every
-vector is a query. A query probes each list that a link of the greatest length can reach: its bisector with the query's own list
-is no farther than that length, and its centre no farther than that length plus the distance of the list's farthest vector. Both
-are bounds and no estimates, so no link is lost, however the vectors lie. Of two lists one asks the other. Within a list, table
-look-ups give distances to the coded vectors, and all within the link's length plus the vector's own coding error go on to an
-exact cosine in double precision. Lists are cut into blocks of vectors and queries, so a hot list is many tasks; a task sends
-on link counts and a spanning forest, never the pairs. Vectors of different lengths never link, so each length has lists of its own.
+vector is a query. A query probes its nearest lists; of two lists one asks the other. How many lists are enough is measured: a
+bounded number of queries is compared with all vectors, and each link found tells the rank of the list in which it would have
+been met; the probes are the least number that meets nearly all of them. With ``exact`` a query probes instead each list that a
+link of the greatest length can reach, by bounds and no estimates (its bisector with the query's own list, and its radius), so
+no link is lost, at the price of many more probes. Within a list, table look-ups give distances to the coded vectors, and all
+within the link's length plus the vector's own coding error go on to an exact cosine in double precision. Lists are cut into
+blocks of vectors and queries, so a hot list is many tasks; a task sends on link counts and a spanning forest, never the pairs.
+Vectors of different lengths never link, so each length has lists of its own.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import map_arrow, ship, written
 from .components import components
 
 SIMILARITY = 0.95
-SAMPLE = 20_000
+#: Rows that quantisers are fitted on: over all lengths, and of one length at least, if it has as many.
+SAMPLE, LEAST_SAMPLE = 20_000, 512
+#: Queries that recall is measured with (ids divisible by 100, in order of a hash), the recall aimed at, the fewest probes.
+MEASURED, RECALL, PROBES = 1_000, 0.999, 16
 #: Added to bounds on squared distances; far above the rounding of vectors of length 1.
 SLACK = 1e-6
-LEAST_SAMPLE = 256
-MOST_LISTS = 1_024
+#: Vectors of the sample for each list.
+A_LIST = 4
 SUBSPACES, CODES = 8, 64
 VECTORS_A_BLOCK, QUERIES_A_BLOCK = 2_000, 4_000
 
@@ -69,15 +75,37 @@ class Quantiser:
         d = _nearest(unit, self.centres)[1]
         return np.sqrt(np.where(d <= d.min(1)[:, None] + SLACK, d, 0).max(0, initial=0))
 
-    def lists_and_probes(self, unit: np.ndarray, radii: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Own list of each vector, and for each list whether it has to be probed. Of two lists only one asks the other."""
-        own, d = _nearest(unit, self.centres)
-        probes = d - d[np.arange(len(d)), own][:, None] <= 2 * self.reach * self.gaps[own] + SLACK
-        probes &= d <= (self.reach + radii) ** 2 + SLACK
+    def _asks(self, own: np.ndarray) -> np.ndarray:
+        """Which lists vectors of these lists may ask; of two lists only one asks the other."""
         other = np.arange(len(self.centres))
-        probes &= (own[:, None] < other) ^ ((own[:, None] + other) % 2 == 1)
-        probes[np.arange(len(d)), own] = True
-        return own, probes
+        return (own[:, None] < other) ^ ((own[:, None] + other) % 2 == 1)
+
+    def lists_and_probes(self, unit: np.ndarray, radii: np.ndarray | None, probes: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Own list of each vector, and for each list whether it has to be probed: all in reach by ``radii``, or the nearest ``probes``."""
+        own, d = _nearest(unit, self.centres)
+        rows = np.arange(len(d))
+        if radii is None:
+            asked = np.zeros(d.shape, bool)
+            nearest = np.argpartition(d, min(probes, d.shape[1]) - 1, axis=1)[:, :probes]
+            asked[rows[:, None], nearest] = True
+        else:
+            asked = d - d[rows, own][:, None] <= 2 * self.reach * self.gaps[own] + SLACK
+            asked &= d <= (self.reach + radii) ** 2 + SLACK
+        asked &= self._asks(own)
+        asked[rows, own] = True
+        return own, asked
+
+    def ranks(self, queries: np.ndarray, unit: np.ndarray, similarity: float) -> np.ndarray:
+        """For each link of a query with one of the vectors: the rank of the one's list among those nearest to the other, which asks."""
+        at, to = np.nonzero(queries @ unit.T >= similarity)
+        if not len(at):
+            return np.empty(0, np.int64)
+        (own, d), (home, e) = _nearest(queries, self.centres), _nearest(unit[np.unique(to)], self.centres)
+        to = np.searchsorted(np.unique(to), to)
+        asks = self._asks(own)[at, home[to]]
+        there = (d[at] < d[at, home[to]][:, None]).sum(1)
+        back = (e[to] < e[to, own[at]][:, None]).sum(1)
+        return np.where(own[at] == home[to], 0, np.where(asks, there, back))
 
     def encode(self, unit: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of the residuals and the length of what they leave out."""
@@ -98,8 +126,7 @@ class Quantiser:
 
 
 def _matrix(column) -> np.ndarray:
-    rows = list(column)
-    return np.frombuffer(b"".join(rows), "<f4").reshape(len(rows), -1).astype(float)
+    return np.frombuffer(b"".join(column.to_pylist()), "<f4").reshape(len(column), -1).astype(float)
 
 
 def _flat(column: pa.ListArray) -> np.ndarray:
@@ -129,18 +156,22 @@ def spanning(link: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.
         a, b = new_a, new_b
 
 
-def _compare(which: int, vectors: pd.DataFrame, queries: pd.DataFrame, quantiser: Quantiser | None, similarity: float) -> pd.DataFrame:
+_NONE = pa.table({c: pa.array([], pa.int64()) for c in ("node", "links", "to")})
+
+
+def _compare(which: int, vectors: pa.Table, queries: pa.Table, quantiser: Quantiser | None, similarity: float) -> pa.Table:
     """For each vector with links in this block: their number (counting copies) and a node of the same component."""
     if not len(vectors) or not len(queries):
-        return pd.DataFrame({"node": [], "links": [], "to": []}).astype("int64")
-    x, ids, copies = _units(_matrix(vectors["vector"])), vectors["node"].to_numpy(np.int64), vectors["copies"].to_numpy(np.int64)
+        return _NONE
+    numbers = lambda table, name: table.column(name).to_numpy()
+    x, ids, copies = _units(_matrix(vectors.column("vector"))), numbers(vectors, "node"), numbers(vectors, "copies")
     if quantiser:
-        codes = np.frombuffer(b"".join(vectors["codes"]), np.uint8).reshape(len(x), -1)
-        limit = quantiser.reach + vectors["error"].to_numpy() + 1e-6
+        codes = np.frombuffer(b"".join(vectors.column("codes").to_pylist()), np.uint8).reshape(len(x), -1)
+        limit = quantiser.reach + numbers(vectors, "error") + 1e-6
     out = []
     for k in range(0, len(queries), 512):
-        part = queries.iloc[k : k + 512]
-        q, q_ids, q_copies = _units(_matrix(part["q_vector"])), part["q_node"].to_numpy(np.int64), part["q_copies"].to_numpy(np.int64)
+        part = queries.slice(k, 512)
+        q, q_ids, q_copies = _units(_matrix(part.column("q_vector"))), numbers(part, "q_node"), numbers(part, "q_copies")
         near = quantiser.distances(q, which, codes) <= limit if quantiser else np.ones((len(q), len(x)), bool)
         rows, columns = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
         if not len(rows):
@@ -149,24 +180,92 @@ def _compare(which: int, vectors: pd.DataFrame, queries: pd.DataFrame, quantiser
         if not link.any():
             continue
         # Vectors of this list ask each other, but not the lists that ask this one; they learn of those links here.
-        missed = link & (part["q_home"].to_numpy()[rows] != which)[:, None]
+        missed = link & (numbers(part, "q_home")[rows] != which)[:, None]
         to_q, to_x = spanning(link, q_ids[rows], ids[columns])
-        out.append(pd.DataFrame({"node": q_ids[rows], "links": link @ copies[columns], "to": to_q}))
-        out.append(pd.DataFrame({"node": ids[columns], "links": q_copies[rows] @ missed, "to": to_x}))
+        out.append((q_ids[rows], link @ copies[columns], to_q))
+        out.append((ids[columns], q_copies[rows] @ missed, to_x))
     if not out:
-        return pd.DataFrame({"node": [], "links": [], "to": []}).astype("int64")
-    found = pd.concat(out)
-    return found[(found["links"] > 0) | (found["to"] != found["node"])].astype("int64")
+        return _NONE
+    node, links, to = (np.concatenate(c).astype(np.int64) for c in zip(*out, strict=True))
+    told = (links > 0) | (to != node)
+    return pa.table({"node": node[told], "links": links[told], "to": to[told]})
 
 
-def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", similarity: float = SIMILARITY) -> DataFrame:
+def _fit(nodes: DataFrame, similarity: float) -> dict[int, Quantiser]:
+    """A quantiser for each length with more vectors than its sample has at least.
+
+    The sample is the rows of least hash of each length: its share of ``SAMPLE``, or ``LEAST_SAMPLE``. Lists are the square root
+    of the vectors, as far as the sample has ``A_LIST`` for each.
+    """
+    counts = {r[0]: r[1] for r in nodes.groupBy("size").count().filter(F.col("count") > LEAST_SAMPLE).collect()}
+    total = sum(counts.values())
+    taken = {size: max(LEAST_SAMPLE, min(n, n * SAMPLE // total)) for size, n in counts.items()}
+    if not taken:
+        return {}
+    order = Window.partitionBy("size").orderBy(F.xxhash64("node"), "node")
+    wanted = F.element_at(F.create_map(*[F.lit(x) for pair in taken.items() for x in pair]), F.col("size"))
+    rows = nodes.filter(F.col("size").isin(list(taken))).withColumn("rank", F.row_number().over(order))
+    rows = rows.filter(F.col("rank") <= SAMPLE).filter(F.col("rank") <= wanted).select("v").toArrow()
+    fitted = {}
+    for size, part in _by_size(rows.combine_chunks().to_batches()[0]):
+        sample = _units(_flat(part.column(0)).astype(float))
+        fitted[size] = Quantiser(sample, max(1, min(int(math.sqrt(counts[size])), len(sample) // A_LIST)), similarity)
+    return fitted
+
+
+def measure(nodes: DataFrame, fitted: dict[int, Quantiser], similarity: float) -> dict[int, np.ndarray]:
+    """For each length how many links of the measured queries are met at each rank of list; all vectors are compared with them."""
+    spark = nodes.sparkSession
+    asked = nodes.filter((F.col("node") % 100 == 0) & F.col("size").isin(list(fitted))).orderBy(F.xxhash64("node"), "node").limit(MEASURED)
+    table = asked.select("v", "node").toArrow()
+    queries = {}
+    for batch in table.combine_chunks().to_batches():
+        for size, part in _by_size(batch):
+            queries[size] = (_units(_flat(part.column(0)).astype(float)), part.column(1).to_numpy())
+    shared, held = spark.sparkContext.broadcast(fitted), spark.sparkContext.broadcast(queries)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        for batch in batches:
+            for size, part in _by_size(batch):
+                if size in held.value:
+                    for k in range(0, part.num_rows, 4_096):
+                        rows = part.slice(k, 4_096)
+                        unit, ids = _units(_flat(rows.column(0)).astype(float)), rows.column(1).to_numpy()
+                        ranks = shared.value[size].ranks(held.value[size][0], unit, similarity)
+                        found.update((size, r) for r in ranks.tolist())
+                        found[size, 0] -= int(np.isin(held.value[size][1], ids).sum())  # itself
+        columns = [pa.array([k[c] for k in found], pa.int32()) for c in (0, 1)] + [pa.array(found.values(), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["size", "rank", "links"])
+
+    met = map_arrow(nodes.select("v", "node"), run, "size int, rank int, links long").groupBy("size", "rank").agg(F.sum("links")).collect()
+    out = {size: np.zeros(len(q.centres), np.int64) for size, q in fitted.items()}
+    for size, rank, links in met:
+        out[size][rank] = links
+    return out
+
+
+def probes_for(met: np.ndarray) -> tuple[int, float]:
+    """The least number of probes, ``PROBES`` at least, that meets ``RECALL`` of the measured links, and the share that it meets."""
+    total = met.sum()
+    if not total:
+        return PROBES, 1.0
+    share = np.cumsum(met) / total
+    probes = max(PROBES, int(np.searchsorted(share, RECALL)) + 1)
+    return probes, float(share[min(probes, len(share)) - 1])
+
+
+def link_vectors(
+    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", similarity: float = SIMILARITY, exact: bool = True
+) -> DataFrame:
     """``key``, n_links, component_id (least key reachable by links) and kept for every row.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and vectors of different lengths
     don't link. Equal vectors are one node with a number of copies, so repeated rows link with each other; a row without a key
-    links as node of the other rows with its vector. Other columns are not read. Sample and lists are bounded by ``SAMPLE``
-    (over all lengths) and ``MOST_LISTS`` (for each); their broadcast size doesn't grow further. A length with less than
-    ``LEAST_SAMPLE`` vectors in its share of the sample has a single list, all of which is compared.
+    links as node of the other rows with its vector. Other columns are not read. The sample is bounded by ``SAMPLE``, or
+    ``LEAST_SAMPLE`` a length where that is more; lengths are taken to be few. Lengths with fewer vectors than that have one list.
+    Every vector is indexed and asks. ``exact`` loses no link; without it as many lists are probed as ``measure`` and
+    ``probes_for`` find enough for all but a thousandth of the links.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -176,15 +275,7 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     least = F.coalesce(F.min("id"), F.xxhash64("v"))
     grouped = given.filter(good).groupBy("v").agg(least.alias("node"), F.count(F.lit(1)).alias("copies"))
     nodes = written(grouped.select("*", F.size("v").alias("size")), "vectors")
-    total = nodes.count()
-    # At most SAMPLE / LEAST_SAMPLE lengths have so large a share.
-    share = F.least(F.col("count"), F.floor(F.col("count") * SAMPLE / max(total, 1)))
-    sizes = nodes.groupBy("size").count().withColumn("share", share).filter(F.col("share") >= LEAST_SAMPLE)
-    fitted: dict[int, Quantiser] = {}
-    for size, n, taken in sorted(tuple(r) for r in sizes.collect()):
-        rows = nodes.filter(F.col("size") == size).orderBy(F.xxhash64("node"), "node").limit(taken).select("v").collect()
-        lists = max(1, min(MOST_LISTS, int(math.sqrt(n))))
-        fitted[size] = Quantiser(_units(np.array([r[0] for r in rows], float)), lists, similarity)
+    fitted = _fit(nodes, similarity)
     shared = spark.sparkContext.broadcast(fitted)
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,9 +287,14 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
         for size, far in most.items():
             yield pa.RecordBatch.from_arrays([pa.array([size] * len(far), pa.int32()), pa.array(np.arange(len(far)), pa.int32()), pa.array(far)], names=["size", "list", "radius"])
 
-    farthest = map_arrow(nodes.select("v"), reach, "size int, list int, radius double").groupBy("size", "list").agg(F.max("radius"))
-    ordered = sorted(tuple(r) for r in farthest.collect()) if fitted else []
-    radii = spark.sparkContext.broadcast({size: np.array([r[2] for r in ordered if r[0] == size], float) for size in fitted})
+    rule: dict[int, tuple] = {}
+    if fitted and exact:
+        farthest = map_arrow(nodes.select("v"), reach, "size int, list int, radius double").groupBy("size", "list").agg(F.max("radius"))
+        ordered = sorted(tuple(r) for r in farthest.collect())
+        rule = {size: (np.array([r[2] for r in ordered if r[0] == size], float), 0) for size in fitted}
+    elif fitted:
+        rule = {size: (None, probes_for(met)[0]) for size, met in measure(nodes, fitted, similarity).items()}
+    rules = spark.sparkContext.broadcast(rule)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +303,7 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
                 quantiser = shared.value.get(size)
                 if quantiser:
                     unit = _units(flat.astype(float))
-                    own, probes = quantiser.lists_and_probes(unit, radii.value[size])
+                    own, probes = quantiser.lists_and_probes(unit, *rules.value[size])
                     codes, error = quantiser.encode(unit, own)
                 else:
                     own, probes = np.zeros(len(flat), int), np.ones((len(flat), 1), bool)
@@ -230,14 +326,17 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     left = indexed.join(blocks, ["size", "list"]).withColumn("vb", own_block("vector_blocks")).withColumn("qb", every("query_blocks"))
     right = asked.join(blocks, ["size", "list"]).withColumn("qb", own_block("query_blocks")).withColumn("vb", every("vector_blocks"))
 
-    def compare(unit_of_work, vectors_, queries_):
-        return _compare(int(unit_of_work[1]), vectors_, queries_, shared.value.get(int(unit_of_work[0])), similarity)
+    def compare(vectors_: pa.Table, queries_: pa.Table) -> pa.Table:
+        if not len(vectors_) or not len(queries_):
+            return _NONE
+        size, which = (vectors_.column(c)[0].as_py() for c in ("size", "list"))
+        return _compare(which, vectors_, queries_, shared.value.get(size), similarity)
 
     units = ["size", "list", "vb", "qb"]
     found = (
         left.select(*units, "node", "copies", "vector", "codes", "error").groupBy(*units)
         .cogroup(right.select(*units, "node", "copies", "vector", "home").toDF("q_size", "q_list", "q_vb", "q_qb", "q_node", "q_copies", "q_vector", "q_home").groupBy("q_size", "q_list", "q_vb", "q_qb"))
-        .applyInPandas(compare, "node long, links long, to long")
+        .applyInArrow(compare, "node long, links long, to long")
     )
     found = written(found, "links")
     joined = components(found.select(F.col("node").alias("a"), F.col("to").alias("b")))

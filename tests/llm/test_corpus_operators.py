@@ -354,3 +354,56 @@ def test_memory_of_signatures_is_bounded_by_documents():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n == 10_000 and peak < 200_000_000
+
+
+@pytest.mark.parametrize("spread", ["even", "concentrated"])
+def test_measured_probes_reach_the_recall(spark, spread):
+    """Recall of the query's way against brute force over all rows, with links across the borders of lists."""
+    rng = np.random.default_rng(17)
+    base = rng.normal(size=(4_000, 48)) / (np.arange(1, 49) if spread == "concentrated" else 1)
+    near = base[:1_200] + rng.normal(size=(1_200, 48)) * np.abs(base[:1_200]).mean(1)[:, None] * 0.25
+    rows = np.vstack([base, near]).astype("float32")
+    unit = vectors._units(rows.astype(float))
+    link = unit @ unit.T >= vectors.SIMILARITY
+    np.fill_diagonal(link, False)
+    assert link.sum() > 1_000
+    df = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(rows)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r["n_links"] for r in vectors.link_vectors(df, exact=False).collect()}
+    assert all(got[k] <= link[k].sum() for k in got)
+    assert sum(got.values()) >= 0.97 * link.sum()
+
+
+def test_measured_ranks_tell_who_meets_whom():
+    rng = np.random.default_rng(19)
+    unit = vectors._units(rng.normal(size=(700, 5)))
+    quantiser = vectors.Quantiser(unit, 26, vectors.SIMILARITY)
+    ranks = quantiser.ranks(unit[:90], unit, vectors.SIMILARITY)
+    link = unit[:90] @ unit.T >= vectors.SIMILARITY
+    assert len(ranks) == link.sum()
+    for probes in (1, 3, 8, 26):
+        own, asked = quantiser.lists_and_probes(unit, None, probes)
+        a, b = np.nonzero(link)
+        met = asked[a, own[b]] | asked[b, own[a]]
+        assert met.sum() == (ranks < probes).sum()
+    assert vectors.probes_for(np.zeros(5, int)) == (vectors.PROBES, 1.0)
+    assert vectors.probes_for(np.array([990] + [0] * 29 + [10])) == (31, 1.0)
+
+
+def test_many_lengths(spark):
+    """A hundred lengths, each with a few vectors that link, and two with lists of their own."""
+    rng = np.random.default_rng(23)
+    rows = [[float(x) for x in np.tile(rng.normal(size=d + 2), 1)] for d in range(100) for _ in range(2)]
+    rows = [v for v in rows for _ in (0, 1)]
+    rows += [[float(x) for x in v] for v in rng.normal(size=(700, 3)).astype("float32")] + [[float(x) for x in v] for v in rng.normal(size=(600, 2)).astype("float32")]
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: tuple(r)[1:] for r in vectors.link_vectors(df).collect()}
+    count, links = Counter(), []
+    for d in {len(v) for v in rows}:
+        ids = [k for k, v in enumerate(rows) if len(v) == d]
+        unit = vectors._units(np.array([rows[k] for k in ids], "float32").astype(float))
+        found = unit @ unit.T >= vectors.SIMILARITY
+        np.fill_diagonal(found, False)
+        links += [(ids[a], ids[b]) for a, b in zip(*np.nonzero(found))]
+    count.update(a for a, _ in links)
+    want = roots(range(len(rows)), links)
+    assert got == {k: (count[k], want[k], want[k] == k) for k in range(len(rows))}
