@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -64,24 +67,70 @@ def run_sql(spark: SparkSession, query: str, tables: dict[str, DataFrame] | None
     return spark.sql(query, args=parameters, **(tables or {}))
 
 
-def _csv_rows(spark: SparkSession, path: str, columns: list[str], skip_rows: int) -> DataFrame:
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """file, number and record of every row of staged sheets, blank rows counted, from files that are read in splits.
+
+    A line break ends a record where the quotes before it are even in number. Each split counts its quotes and the breaks that
+    would end a record after an even and after an odd number of earlier quotes; a running sum over the splits of a file, a row
+    each, tells which count holds, and with it the numbers of a split's records. A record that reaches over splits is put
+    together by its number. A file whose quotes are odd in number is an error.
+    """
+    source = spark.read.option("lineSep", "\n").text(path)
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line")]
+    # Breaks may also be \r\n or \r; each piece of a line keeps its own.
+    pieces = F.regexp_extract_all(F.concat("value", F.lit("\n")), F.lit("[^\r\n]*(?:\r\n|\r|\n)"), 0)
+    lines = source.select("value", *place).select("file", "split", "line", F.posexplode(pieces).alias("piece", "text"))
+    own, quoted = W.partitionBy("file", "split").orderBy("line", "piece"), F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit("")))
+    lines = lines.withColumn("quotes", quoted).withColumn("upto", F.sum("quotes").over(own.rowsBetween(W.unboundedPreceding, 0)))
+    splits = lines.groupBy("file", "split").agg(
+        F.sum("quotes").alias("quotes"), F.count_if(F.col("upto") % 2 == 0).alias("even"), F.count_if(F.col("upto") % 2 == 1).alias("odd")
+    )
+    before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    open_, whole = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2, F.sum("quotes").over(W.partitionBy("file"))
+    unclosed = F.raise_error(F.concat(F.lit("a quote is never closed in "), F.col("file"))).cast("long")
+    splits = splits.select("file", "split", F.when(whole % 2 == 1, unclosed).otherwise(open_).alias("open"), "even", "odd")
+    ended = F.when(F.col("open") == 0, F.col("even")).otherwise(F.col("odd"))
+    splits = splits.select("file", "split", "open", F.coalesce(F.sum(ended).over(before), F.lit(0)).alias("first"))
+    ends = ((F.col("upto") + F.col("open")) % 2 == 0).cast("long")
+    numbered = lines.join(splits, ["file", "split"]).withColumn(
+        "number", F.col("first") + F.coalesce(F.sum(ends).over(own.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    )
+    parts = F.array_sort(F.collect_list(F.struct("split", "line", "piece", "text")))
+    joined = numbered.groupBy("file", "number").agg(F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("record"))
+    record = F.regexp_replace(F.regexp_replace("record", "(?:\r\n|\r|\n)\\z", ""), "^\ufeff", "")
+    return joined.select("file", "number", record.alias("record"))
+
+
+def _cell_at(reference: str) -> tuple[int, int]:
+    """Row and column, from 1, of a cell such as B7."""
+    letters, row = re.fullmatch(r"([A-Z]+)([1-9][0-9]*)", reference).groups()
+    return int(row), reduce(lambda n, letter: n * 26 + ord(letter) - 64, letters, 0)
+
+
+def _csv_rows(spark: SparkSession, path: str, columns: list[str], skip_rows: int, start: str | None = None, end: str | None = None) -> DataFrame:
     """The cells below the header as text, one column for each name in ``columns``.
 
     The header is the last of the ``skip_rows`` rows of each file, blank rows counted; its names say which column is which,
-    and a name that a file lacks is an error. Without a header (``skip_rows`` 0) columns go by position. Every staged file
-    is parsed by one task as a whole, since records may hold line breaks; files are independent of each other.
+    and a name that a file lacks is an error. Without a header (``skip_rows`` 0) columns go by position. ``start`` and ``end``
+    are the corners of a rectangle instead, as in B1 and C60: the header stands in its first row, and cells outside count
+    neither as names nor as values. Files are independent of each other, and a large one is read by many tasks.
     """
-    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    # Records: a line break outside quotes ends one. Quotes before it are even in number.
-    record = r'([^"\r\n]*+(?:"[^"]*+"[^"\r\n]*+)*+)(?:\r\n|\n|\r|\z)'
-    records = F.regexp_extract_all(F.regexp_replace("value", "^\ufeff", ""), F.lit(record), 1)
+    last, left, right = None, 1, None
+    if start:
+        skip_rows, left = _cell_at(start)
+    if end:
+        last, right = _cell_at(end)
     cell = r',((?:"[^"]*+")++|[^,]*+)'
     plain = lambda c: F.when(c.startswith('"'), F.regexp_replace(F.regexp_replace(c, '^"|"$', ""), '""', '"')).otherwise(c)
-    cells = lambda r: F.transform(F.regexp_extract_all(F.concat(F.lit(","), r), F.lit(cell), 1), plain)
-    split = files.select("file", cells(F.get(records, F.lit(skip_rows - 1))).alias("names"), F.explode(F.slice(records, skip_rows + 1, F.size(records))).alias("record"))
-    rows = split.where(F.col("record") != "").select("file", "names", cells(F.col("record")).alias("cells"))
+    cells = F.transform(F.regexp_extract_all(F.concat(F.lit(","), F.col("record")), F.lit(cell), 1), plain)
+    width = F.size("cells") if right is None else F.lit(right)
+    records = _records(spark, path).select("file", "number", "record", cells.alias("cells"))
+    records = records.withColumn("cells", F.slice("cells", left, F.greatest(width - (left - 1), F.lit(0))))
+    rows = records.where((F.col("record") != "") & (F.col("number") >= skip_rows) & (F.lit(True) if last is None else F.col("number") < last))
     if not skip_rows:
         return rows.select([F.coalesce(F.get("cells", F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(columns)])
+    headers = records.where(F.col("number") == skip_rows - 1).select("file", F.col("cells").alias("names"))
+    rows = rows.select("file", "cells").join(headers, "file")
 
     def named(name: str) -> Column:
         at = F.array_position(F.transform("names", F.trim), name)
@@ -91,9 +140,14 @@ def _csv_rows(spark: SparkSession, path: str, columns: list[str], skip_rows: int
     return rows.select([named(c).alias(c) for c in columns])
 
 
-def read_text_sheet(spark: SparkSession, path: str, columns: list[str], skip_rows: int = 1) -> DataFrame:
-    """A staged sheet with every cell as text, header and title rows skipped; blanks stay blanks."""
-    return _csv_rows(spark, path, columns, skip_rows).na.fill("")
+def read_text_sheet(
+    spark: SparkSession, path: str, columns: list[str], skip_rows: int = 1, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """A staged sheet with every cell as text, header and title rows skipped; blanks stay blanks.
+
+    ``start`` and ``end`` give a rectangle with the header in its first row instead of ``skip_rows``.
+    """
+    return _csv_rows(spark, path, columns, skip_rows, start, end).na.fill("")
 
 
 def read_typed_sheet(
@@ -102,12 +156,15 @@ def read_typed_sheet(
     schema: StructType,
     skip_rows: int = 1,
     columns: list[str] | None = None,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
     """A staged sheet with declared types: blank cells and cells that do not parse are null.
 
-    ``skip_rows`` is the number of rows up to and including the header, ``columns`` an optional subset.
+    ``skip_rows`` is the number of rows up to and including the header, ``columns`` an optional subset; ``start`` and ``end``
+    give a rectangle with the header in its first row instead.
     """
-    rows = _csv_rows(spark, path, schema.fieldNames(), skip_rows)
+    rows = _csv_rows(spark, path, schema.fieldNames(), skip_rows, start, end)
     typed = rows.select([blank_to_null(F.trim(F.col(f"`{f.name}`"))).try_cast(f.dataType).alias(f.name) for f in schema])
     return typed.select(*[f"`{c}`" for c in columns]) if columns else typed
 

@@ -175,6 +175,59 @@ def test_sheets_of_several_files(spark, folder):
         readers.read_text_sheet(spark, folder, ["shop", "area"], skip_rows=3).collect()
 
 
+@pytest.mark.parametrize("split", [32, 100, 1_000_000])
+def test_sheets_in_splits(spark, folder, split):
+    """A file read in many splits gives the rows of the file read as one: quoted breaks of any kind may reach over splits."""
+    import csv
+    import random
+
+    rng = random.Random(split)
+    cells = ["plain", "", 'say ""x""', "a,b", "two\nlines", "two\r\nlines", "old\rline", "\n\n\n", "é" * 40, '"', "x" * 90]
+    want = [("\ufeffk", "v", "w")] + [(str(k), rng.choice(cells), rng.choice(cells)) for k in range(120)]
+    with open(f"{folder}/a.csv", "w", encoding="utf-8", newline="") as out:
+        writer = csv.writer(out, lineterminator="\r\n")
+        writer.writerows(want)
+        out.write("\r\n\r\n121,last,without end")
+    with open(f"{folder}/b.csv", "w", encoding="utf-8", newline="") as out:
+        csv.writer(out, lineterminator="\n").writerows([("w", "v", "k"), ("z", 'y\n"', "b1")])
+    settings = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "0"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        assert (spark.read.text(f"{folder}/a.csv").rdd.getNumPartitions() > 20) == (split < 1_000)
+        got = rows(readers.read_text_sheet(spark, folder, ["k", "v", "w"]))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert got == sorted([*want[1:], ("121", "last", "without end"), ("b1", 'y\n"', "z")], key=repr)
+
+
+def test_an_open_quote_is_an_error(spark, folder):
+    with open(f"{folder}/a.csv", "w", encoding="utf-8") as out:
+        out.write('k,v\n1,"never closed\n2,x\n')
+    with pytest.raises(Exception, match="never closed"):
+        readers.read_text_sheet(spark, folder, ["k", "v"]).collect()
+
+
+def test_rectangles(spark, folder):
+    """As a sheet's range: left column, right column, first and last row; the header stands in the first row."""
+    path = f"{folder}/sheet.csv"
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("no,mail,name,name\n1,a@x,A,other\n2,b@x,B,other\n\n4,d@x,D,other\n5,e@x,E,other\n")
+    read = lambda start, end, columns=("name", "mail"): rows(readers.read_text_sheet(spark, path, list(columns), start=start, end=end))
+    assert read("B1", "C5") == [("A", "a@x"), ("B", "b@x"), ("D", "d@x")]  # the blank row counts
+    assert read("B1", None) == [("A", "a@x"), ("B", "b@x"), ("D", "d@x"), ("E", "e@x")]
+    assert read("D1", "D3", ["name"]) == [("other",), ("other",)]
+    with pytest.raises(Exception, match="no column mail"):
+        read("C1", "D9")
+    with pytest.raises(Exception, match="no column no"):
+        read("B1", "C60", ["no"])
+    assert read("B3", "C5", ["b@x"]) == [("d@x",)] and read("A1", "B1", ["no"]) == []
+    typed = readers.read_typed_sheet(spark, path, spark.createDataFrame([], "no int, mail string").schema, start="A1", end="B3")
+    assert rows(typed) == [(1, "a@x"), (2, "b@x")]
+    assert [readers._cell_at(x) for x in ("A1", "Z9", "AA10", "BC60")] == [(1, 1), (9, 26), (10, 27), (60, 55)]
+
+
 def test_header_row_only(spark, folder):
     path = f"{folder}/sheet.csv"
     with open(path, "w", encoding="utf-8") as out:
