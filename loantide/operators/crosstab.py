@@ -74,7 +74,60 @@ def crosstab_long(
     return cells.select(*[k.alias(c) for k, c in zip(keys, index)], col_key.alias("col_key"), *measures)
 
 
-def crosstab_wide(long: DataFrame, index: list[str], col_keys: list[str], measure: str = "n") -> DataFrame:
-    """Spread ``col_key`` over columns; empty cells are 0."""
+#: Measures whose state of a cell is one number that merges with those of other cells.
+_MERGED = {"count": (F.count, F.sum), "sum": (F.sum, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
+
+
+def crosstab_measures(
+    df: DataFrame, index: list[str], columns: list[str], measures: dict[str, tuple[str, str]], margins: bool = True
+) -> DataFrame:
+    """One row per non-empty cell with any measures, and totals of them.
+
+    ``measures`` maps an output name to (count, sum, mean, min, max or nunique, column); nulls of the column count in none.
+    Cells are aggregated once into states that can be merged: a number, the parts of a mean, or the distinct values of a cell,
+    a row each. The totals merge the states of cells, so the mean of a total is that of its rows, a value in several cells
+    counts once in their total, and the rows are neither scanned again nor multiplied. Keys and totals are laid out as in
+    ``crosstab_long``.
+    """
+    kinds = {kind for kind, _ in measures.values()}
+    if not measures or not kinds <= {*_MERGED, "mean", "nunique"}:
+        raise ValueError(f"measures are count, sum, mean, min, max and nunique: {sorted(kinds)}")
+    rows = [f"__i{k}" for k in range(len(index))]
+    given = df.dropna(subset=[*index, *columns]).select(
+        *[key_text([c], margins).alias(r) for c, r in zip(index, rows)], key_text(columns, margins).alias("col_key"),
+        *[F.col(column).alias(f"__m{n}") for n, (_, column) in enumerate(measures.values())],
+    )
+    keys = [*rows, "col_key"]
+    sets = [keys, rows, ["col_key"], []] if margins else [keys]
+    totals = [F.grouping(rows[0]).cast("int").alias("__row_total"), F.grouping("col_key").cast("int").alias("__col_total")]
+    states, merges, distinct = [], [], {}
+    for n, (name, (kind, _)) in enumerate(measures.items()):
+        value = F.col(f"__m{n}")
+        if kind in _MERGED:
+            first, again = _MERGED[kind]
+            states.append(first(value).alias(f"__s{n}"))
+            merges.append(again(f"__s{n}").alias(name))
+        elif kind == "mean":
+            states += [F.sum(value).alias(f"__s{n}"), F.count(value).alias(f"__c{n}")]
+            merges.append(F.try_divide(F.sum(f"__s{n}"), F.sum(f"__c{n}")).alias(name))
+        else:
+            distinct[name] = given.select(*keys, value.alias("__v")).distinct()
+    # At least the keys of all cells, so that a cell of nulls has its row in every part.
+    cells = given.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *states)
+    merged = cells.groupingSets(sets, *keys).agg(*totals, F.sum("__rows").alias("__rows"), *merges)
+    for name, values in distinct.items():
+        counted = values.groupingSets(sets, *keys).agg(*totals, F.count_distinct("__v").alias(name))
+        on = [merged[c].eqNullSafe(counted[c]) for c in (*keys, "__row_total", "__col_total")]
+        merged = merged.join(counted, on, "left").select(*[merged[c] for c in merged.columns], counted[name])
+    row_total, col_total = F.col("__row_total") == 1, F.col("__col_total") == 1
+    out = [F.when(row_total, F.lit(ALL if k == 0 else "")).otherwise(F.col(r)).alias(c) for k, (r, c) in enumerate(zip(rows, index))]
+    # The grand total of no rows is no cell.
+    return merged.where("__rows > 0").select(*out, F.when(col_total, F.lit(ALL)).otherwise(F.col("col_key")).alias("col_key"), *measures)
+
+
+def crosstab_wide(long: DataFrame, index: list[str], col_keys: list[str], measure: str = "n", fill: float | None = 0) -> DataFrame:
+    """Spread ``col_key`` over columns; empty cells are ``fill``."""
     wide = long.groupBy(*index).pivot("col_key", col_keys).agg(F.first(measure))
-    return wide.select(*index, *[F.coalesce(F.col(f"`{k}`"), F.lit(0)).alias(k) for k in col_keys])
+    if fill is None:
+        return wide.select(*index, *[F.col(f"`{k}`") for k in col_keys])
+    return wide.select(*index, *[F.coalesce(F.col(f"`{k}`"), F.lit(fill)).alias(k) for k in col_keys])

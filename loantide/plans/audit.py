@@ -17,8 +17,9 @@ QUOTAS = {
 }
 
 
-def audit_sample(scored: DataFrame, quotas: dict[str, int] = QUOTAS, per: list[str] | None = None) -> DataFrame:
-    """The riskiest motorbike titles and other contracts, up to the quota of each group."""
+def audit_sample(scored: DataFrame, quotas: dict[str, int] | DataFrame = QUOTAS, per: list[str] | None = None) -> DataFrame:
+    """The riskiest motorbike titles and other contracts, up to the quota of each group; a table of quotas has columns
+    ``stratum`` (title or other) and ``quota``."""
     group = rules.flag(F.col("category_name") == fv.BIKE_TITLE, TITLES, OTHERS)
     return quota_sample(scored, group, quotas, F.desc("total_score"), F.col("pawnid"), per=per)
 

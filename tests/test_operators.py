@@ -372,3 +372,56 @@ def test_previous_row_of_a_hot_key_in_slices_of_one_row(spark):
     assert sizes.select("s0").distinct().count() == n and sizes.select("s2").distinct().count() == 3
     small = latest.previous_row(df.limit(3_000), ["k"], ["d", "id"], ["id"], "p", latest.dated_slices("d", "id", 1_000))
     assert small.where("p IS NULL").count() == 1
+
+
+def test_quotas_from_a_table(spark):
+    df = spark.range(0, 4_000, 1, 8).select("id", F.when(F.col("id") % 3 > 0, "big").when(F.col("id") % 9 == 0, "none").when(F.col("id") % 2 == 0, "small").alias("g"),
+                                            (F.col("id") % 10).alias("score"))
+    quotas = spark.createDataFrame([("big", 7), ("small", 2), ("small", 3), ("absent", 50), ("zero", 0), (None, 9)], "stratum string, quota int")
+    got = sampling.quota_sample(df, F.col("g"), quotas, F.desc("score"), F.col("id"))
+    picked = defaultdict(list)
+    for r in got.collect():
+        picked[r["stratum"]].append((r["sample_rank"], r["id"]))
+    data = [(r["g"], -r["score"], r["id"]) for r in df.collect()]
+    want = {g: [i for h, _, i in sorted(d for d in data if d[0] == g)][:n] for g, n in (("big", 7), ("small", 3))}
+    assert {g: [i for _, i in sorted(own)] for g, own in picked.items()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan and ", 50" in plan  # the bound of the table cuts before the shuffle
+    per = sampling.quota_sample(df, F.col("g"), quotas, F.desc("score"), F.col("id"), per=["score"])
+    assert per.groupBy("stratum", "score").count().agg(F.max("count")).first()[0] == 7
+    assert sampling.quota_sample(df, F.col("g"), quotas.limit(0), F.col("id")).count() == 0
+    assert sampling.quota_sample(df, F.col("g"), {}, F.col("id")).count() == 0
+
+
+def test_margins_of_any_measure(spark):
+    rng = random.Random(10)
+    data = [(rng.choice(["a", "b|", "All", None]), rng.choice([1, 2]), rng.choice(["x", "y", None]), rng.choice([1.0, 2.0, 2.5, None]), rng.choice(["p", "q", "r", None])) for _ in range(300)]
+    data += [("a", 3, "x", None, None)]
+    df = spark.createDataFrame(data, "i string, j int, c string, v double, w string")
+    asked = {"n": ("count", "v"), "total": ("sum", "v"), "mean": ("mean", "v"), "least": ("min", "v"), "most": ("max", "w"), "kinds": ("nunique", "w"), "values": ("nunique", "v")}
+
+    def brute(rows):
+        v, w = [r[3] for r in rows if r[3] is not None], [r[4] for r in rows if r[4] is not None]
+        return (len(v), sum(v) if v else None, sum(v) / len(v) if v else None, min(v, default=None), max(w, default=None), len(set(w)), len(set(v)))
+
+    whole = [r for r in data if None not in r[:3]]
+    text = lambda x: "\\All" if x == "All" else str(x)
+    want = {("All", "", "All"): brute(whole)}
+    for r in whole:
+        i, j, c = text(r[0]), str(r[1]), text(r[2])
+        want[i, j, c] = brute([s for s in whole if s[:3] == r[:3]])
+        want[i, j, "All"] = brute([s for s in whole if s[:2] == r[:2]])
+        want["All", "", c] = brute([s for s in whole if s[2] == r[2]])
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in crosstab.crosstab_measures(df, ["i", "j"], ["c"], asked).collect()}
+    assert got.keys() == want.keys()
+    for key, own in want.items():
+        assert got[key] == pytest.approx(own) if None not in own else got[key][-2:] == own[-2:], key
+    cells = crosstab.crosstab_measures(df, ["i", "j"], ["c"], asked, margins=False)
+    assert cells.count() == len({r[:3] for r in whole})
+    assert crosstab.crosstab_measures(df.limit(0), ["i"], ["c"], {"n": ("count", "v")}).count() == 0
+    wide = crosstab.crosstab_wide(crosstab.crosstab_measures(df, ["i"], ["c"], {"m": ("mean", "v")}), ["i"], ["x", "y", "All"], "m", fill=None)
+    assert wide.columns == ["i", "x", "y", "All"] and wide.count() == 4
+    plan = crosstab.crosstab_measures(df, ["i"], ["c"], {"n": ("count", "v"), "m": ("mean", "v")})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.index("partial") if "partial" in plan else plan.count("Aggregate [") == 2  # cells first
+    with pytest.raises(ValueError):
+        crosstab.crosstab_measures(df, ["i"], ["c"], {"m": ("median", "v")})
