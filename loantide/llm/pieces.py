@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from .bpe import blocks_of
 from .common import kept, map_arrow
 
+#: Cuts in each of the two halves of the cache.
 CACHE_ENTRIES = 300_000
 #: Longest line whose agenda is a list.
 SHORT = 48
@@ -226,6 +227,7 @@ class Encoder:
     def __init__(self, model: bytes, check: bool = True):
         self.pieces = Pieces(model)
         self._cache: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._library = None
         if check:
             import sentencepiece
@@ -234,21 +236,22 @@ class Encoder:
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian signed 32-bit integers."""
-        pieces = self.pieces
+        pieces, cache, old = self.pieces, self._cache, self._old
         cuts = [pieces.cuts(t) for t in texts]
-        wanted = set().union(*cuts)
-        new = list(wanted.difference(self._cache))
-        if len(self._cache) + len(new) > CACHE_ENTRIES:  # what this block uses stays
-            self._cache = {cut: self._cache[cut] for cut in wanted.intersection(self._cache)}
+        missing = set().union(*cuts).difference(cache)
+        again = missing.intersection(old)
+        new = list(missing.difference(again))
         found = [pieces.encode(x) for x in new]
         if self._library:
             for cut, own, want in zip(new, found, self._library.encode(new, num_threads=1), strict=True):
                 if own != want and cut:  # an empty cut is a mark alone, which the library never gets to see
                     raise ValueError(f"the library encodes {cut!r} in another way")
-        cache = self._cache
-        for cut, own in zip(new, found, strict=True):
-            cache[cut] = array("i", own).tobytes()
-        return [b"".join(map(cache.__getitem__, own)) for own in cuts]
+        cache.update((cut, old[cut]) for cut in again)
+        cache.update((cut, array("i", own).tobytes()) for cut, own in zip(new, found, strict=True))
+        out = [b"".join(map(cache.__getitem__, own)) for own in cuts]
+        if len(cache) > CACHE_ENTRIES:  # the older half goes; what of the newer one is used again comes back
+            self._old, self._cache = cache, {}
+        return out
 
     def decode(self, ids: bytes) -> str:
         return self.pieces.decode(np.frombuffer(ids, "<i4").tolist())
