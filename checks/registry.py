@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import alert_queries, compliance_queries, flow_queries, operator_queries, rule_queries
+from . import alert_queries, compliance_queries, flow_queries, operator_queries, rule_queries, storage_queries
 from .portable import portable
 
-MODULES = [flow_queries, alert_queries, rule_queries, compliance_queries, operator_queries]
+MODULES = [flow_queries, alert_queries, rule_queries, compliance_queries, operator_queries, storage_queries]
 
 
 def _as_portable(fn):
