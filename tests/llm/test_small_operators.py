@@ -235,3 +235,38 @@ def test_pages_that_the_winning_path_misses(spark):
     got = [r["text"] for r in extraction.extract(df, ["page_id"]).orderBy("page_id").collect()]
     assert got == [long] * 4 + [f"{long} Other.", f"{long} Third."] + [long] * 3 + [f"{long} Fourth."]
     assert {r["host"] for r in extraction.votes(df).collect()} == {"a.example"}
+
+
+def test_lanes_and_windows_of_the_automaton():
+    """Any number of lanes gives the places that a plain search of all windows gives, short items and nested ones included."""
+    random.seed(41)
+    word = lambda: random.choice("abcd")
+    items = [(str(k), " ".join(word() for _ in range(random.choice([1, 2, 3, 5, 9])))) for k in range(12)] + [("x", "a a a a a"), ("x", None), (None, "b b b b"), ("y", "a a")]
+    automaton = decontamination.Automaton(items, window=4)
+    texts = [" ".join(random.choice([word(), "unknown"]) if random.random() < 0.2 else word() for _ in range(random.randint(0, 60))) for _ in range(40)] + [None, "", "a"]
+    windows = [(i, w[k:k + 4]) for i, t in items for w in [words_of(t)] for k in range(max(1, len(w) - 3) if w else 0)]
+    for lanes in (1, 2, 7, 500):
+        for text, (n, hits, spans, ids) in zip(texts, decontamination.scan_texts(automaton, texts, lanes)):
+            words, marked, found = words_of(text), set(), set()
+            for item, window in windows:
+                for p in range(len(words) - len(window) + 1):
+                    if words[p:p + len(window)] == window:
+                        marked |= set(range(p, p + len(window)))
+                        found |= {item} - {None}
+            assert (n, {p for a, b in hits for p in range(a, b)}, ids) == (len(words), marked, sorted(found))
+            assert all(b < c for (_, b), (c, _) in zip(hits, hits[1:]))
+            assert [words_of(text[a:b]) for a, b in spans] == [words[a:b] for a, b in hits]
+    assert decontamination.scan_texts(decontamination.Automaton([]), ["a b"]) == [(2, [], [], [])]
+
+
+def test_five_megabytes_of_items_are_one_scan(spark):
+    random.seed(43)
+    words = [f"w{k:x}" for k in range(60_000)]
+    items = [(k, " ".join(random.choices(words, k=450))) for k in range(1_900)]
+    assert sum(len(t) for _, t in items) > 4_900_000
+    docs = [(k, " ".join(random.choices(words, k=30))) for k in range(30)]
+    docs += [(100 + k, f"{' '.join(random.choices(words, k=20))} {' '.join(items[k * 37][1].split()[100:100 + k])} end") for k in range(10, 20)]
+    found = decontamination.contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"), ["doc_id"])
+    got = {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in found.withColumn("n_hit", decontamination.n_hit()).collect()}
+    assert got == {k: (0, []) for k in range(30)} | {100 + k: (k, [str(k * 37)]) if k >= 13 else (0, []) for k in range(10, 20)}
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
