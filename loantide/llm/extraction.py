@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 
 from .common import map_arrow, written
 
+#: Paths of a host besides the first that win too: by the share of its pages that vote for them (so there are a few), and their number.
+LEAST_SHARE, LEAST_PAGES = 0.2, 3
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>",
@@ -37,10 +40,18 @@ _BOILERPLATE = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset",
 _MAIN = {"article", "main"}
 _HINTS = set(
     "ad ads advert advertisement adverts advertising sponsor sponsored promo promotion banner nav navbar navigation menu footer sidebar side "
-    "aside masthead topbar breadcrumb breadcrumbs pagination pager cookie cookies consent notice alert popup modal overlay share sharing "
-    "social related recommended recommendations comment comments reply replies respond disqus newsletter subscribe subscription signup login "
+    "aside masthead topbar header breadcrumb breadcrumbs pagination pager cookie cookies consent notice alert popup modal overlay share sharing "
+    "social related recommended recommendations comment comments reply replies respond disqus talkback feedback discussion discussions newsletter subscribe subscription signup login "
     "search widget toolbar copyright disclaimer skip hidden tags byline".split()
 )
+#: Beginnings and ends of words that are run together, such as commentlist, adsbygoogle, siteheader; and words that only look like one.
+_STEMS = ("comment", "advert", "adsby", "adsense", "adslot", "adunit", "adbox", "adbanner", "adcontainer", "sponsor", "breadcrumb", "newsletter", "cookie", "navbar", "navmenu", "topnav")
+_TAILS = ("header", "footer", "sidebar", "navbar", "menu", "comments", "commentlist", "breadcrumbs", "banner")
+_NO_PART = {"commentary", "commentaries", "subheader"}
+#: Words before header or footer, and header itself, that make it a part of the article.
+_ARTICLE = {"article", "entry", "post", "story", "content", "section", "chapter", "figure"}
+#: Names that are a part beside the article, but a section of many articles too.
+_SECTIONS = {"discussion", "feedback"}
 #: First words of class names that tell about the page or its subject, and last words that tell a state: neither names a part.
 _ABOUT = {"has", "with", "without", "no", "not", "is", "category", "cat", "tag", "topic", "term", "type", "format", "status", "author", "layout", "template"}
 _STATES = {"open", "closed", "enabled", "disabled", "on", "off", "active", "visible", "layout", "template"}
@@ -50,21 +61,30 @@ _ENDED_BY_NEXT = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "th":
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
 
-def _names_other_part(name: str) -> bool:
+def _hints(word: str) -> bool:
+    """Whether a word names a part beside the article, by itself or run together with others."""
+    if word in _HINTS or word in _NO_PART:
+        return word in _HINTS
+    return word.startswith(_STEMS) or (word.endswith(_TAILS) and not word.startswith(tuple(_ARTICLE)))
+
+
+def _names_other_part(name: str, tag: str) -> bool:
     """Whether a class name or id as a whole names a part beside the article: its first or last word does."""
     words = [w for w in re.split(r"[^a-z]+", name) if w]
     if not words or len(words) > 1 and (words[0] in _ABOUT or words[-1] in _STATES):
         return False
-    return words[0] in _HINTS or words[-1] in _HINTS
+    if (words[-1] in ("header", "footer") and _ARTICLE.intersection(words)) or (tag == "section" and words[-1] in _SECTIONS):
+        return False
+    return _hints(words[0]) or _hints(words[-1])
 
 
-def _marks(attributes: str) -> tuple[str, bool, bool]:
+def _marks(attributes: str, tag: str) -> tuple[str, bool, bool]:
     """The generalised class of an element, whether its names hint at no part of the article, and whether it surely is none."""
     name, hinted, out = "", False, False
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            hinted = hinted or any(map(_names_other_part, value.split()))
+            hinted = hinted or any(_names_other_part(x, tag) for x in value.split())
             if key == "class" and value.split():
                 name = "." + re.sub(r"\d+", "N", ".".join(sorted(value.split())))
         elif key == "role":
@@ -142,7 +162,7 @@ class Page:
             if tag == "a":
                 link = max(0, link - 1) if closing else link + 1
             if tag == "span":
-                marks = ("", False, False) if closing else _marks(attributes)
+                marks = ("", False, False) if closing else _marks(attributes, tag)
                 if closing and spans and spans.pop():
                     flush()
                     leave(tag, _CONTAINERS)
@@ -164,7 +184,7 @@ class Page:
                     continue
                 for other in ("dt", "dd") if tag in ("dt", "dd") else (tag,):
                     leave(other, _ENDED_BY_NEXT.get(tag, _CONTAINERS))
-                marks = _marks(attributes)
+                marks = _marks(attributes, tag)
                 if (marks[1] or marks[2]) and not attributes.endswith("/"):
                     enter(tag, *marks)
                 continue
@@ -179,7 +199,7 @@ class Page:
                 continue
             if tag in _VOID or attributes.endswith("/"):
                 continue
-            name, hinted, out = _marks(attributes)
+            name, hinted, out = _marks(attributes, tag)
             whole = tag in ("html", "body")
             outside = (out and not whole) or tag in _BOILERPLATE or (tag == "header" and not self.main[open_[-1][1]])
             enter(tag, name, hinted and not whole, outside)
@@ -226,11 +246,26 @@ class Page:
             inside[k] = k in wanted or (self.parents[k] >= 0 and inside[self.parents[k]])
         return inside
 
-    def text(self, path: str | None) -> str:
-        """All blocks inside containers on ``path``. Without text there, or if the page's own best container is an article or
-        main element apart from them and holds more text, the blocks of that best container."""
+    def _on(self, paths: list[str]) -> list[bool]:
+        """For each container whether it is on, or inside one on, the winning path that this page follows.
+
+        That is the path with most votes among those with text here, or another that lies apart from it and holds more: a host of
+        several templates has several, and a teaser on one of them is not the article.
+        """
+        size, chosen, held = self._sizes(), [False] * len(self.paths), -1
+        for path in paths:
+            inside = self._inside({k for k, p in enumerate(self.paths) if p == path})
+            here = sum(size[k] for k in range(1, len(size)) if inside[k] and not inside[self.parents[k]])
+            apart = not any(a and b for a, b in zip(inside, chosen, strict=True))
+            if any(inside[c] for c, _, _ in self.blocks) and apart and here > held:
+                chosen, held = inside, here
+        return chosen
+
+    def text(self, paths: list[str] | str | None) -> str:
+        """All blocks inside the containers on the winning path. Without text there, or if the page's own best container is an
+        article or main element apart from them and holds more text, the blocks of that best container."""
         own = self.best()
-        inside = self._inside({k for k, p in enumerate(self.paths) if p == path})
+        inside = self._on([paths] if isinstance(paths, str) else paths or [])
         if own is not None and not inside[own]:
             size = self._sizes()
             voted = sum(size[k] for k in range(1, len(size)) if inside[k] and not inside[self.parents[k]])
@@ -240,6 +275,7 @@ class Page:
                 inside = within
         return " ".join(text for container, text, _ in self.blocks if inside[container])
 
+
 def host_of(url: Column) -> Column:
     """Host of an address in lower case; empty for null and for other text."""
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^@/?#]*@)?([^/:?#]*)", 1), F.lit(""))
@@ -270,8 +306,12 @@ def extract(pages: DataFrame, keys: list[str], url: str = "url", source: str = "
     back as often as given; of paths with equal votes the first in alphabetical order wins; other columns are not read. The
     winners are written first, so Spark knows their size and picks the join by it; the pages move only if hosts are many.
     """
-    ranked = votes(pages, url, source)
-    winners = ranked.groupBy("host").agg(F.min_by("path", F.struct((-F.col("count")).alias("n"), F.col("path").alias("p"))).alias("path"))
+    ranked = written(votes(pages, url, source), "host-votes")
+    place = F.struct((-F.col("count")).alias("n"), F.col("path").alias("p"))
+    hosts = ranked.groupBy("host").agg(F.sum("count").alias("pages"), F.min(place).alias("top"))
+    several = (F.col("count") >= LEAST_PAGES) & (F.col("count") >= F.col("pages") * LEAST_SHARE)
+    winning = ranked.join(hosts, "host").filter(several | (F.col("path") == F.col("top.p")))
+    winners = winning.groupBy("host").agg(F.sort_array(F.collect_list(place))["p"].alias("path"))
     given = pages.select(*[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)], host_of(F.col(url)).alias("host"), F.col(source).alias("html"))
     rows = given.join(written(winners, "host-paths"), "host", "left").drop("host")
     n = len(keys)

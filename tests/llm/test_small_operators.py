@@ -270,3 +270,70 @@ def test_five_megabytes_of_items_are_one_scan(spark):
     got = {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in found.withColumn("n_hit", decontamination.n_hit()).collect()}
     assert got == {k: (0, []) for k in range(30)} | {100 + k: (k, [str(k * 37)]) if k >= 13 else (0, []) for k in range(10, 20)}
     assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_run_together_names_of_other_parts():
+    long = ("Text of the article, sentence by sentence. " * 9).strip()
+    for names in ("discussion", "commentlist", "advertorial", "adsbygoogle", "header", "siteheader", "page-header", "reader-feedback", "topNav", "user_comments", "commentsection"):
+        for tag in ("div", "ol" if "comment" in names else "div"):
+            other = f'<{tag} class="{names}"><li>Other words here.</li></{tag}>' if tag == "ol" else f'<{tag} class="{names}"><p>Other words here.</p></{tag}>'
+            inside = f"<article><p>{long}</p>{other}<p>After.</p></article>"
+            assert extraction.Page(PAGE.format(body=inside)).text(None) == f"{long} After.", names
+            assert extraction.Page(f"<html><body>{other}<p>{long}</p><p>After.</p></body></html>").text(None) == f"{long} After.", names
+    for names in ("article-header", "entry-header", "post-footer", "commentary", "subheader", "content-header", "storyheader"):
+        assert extraction.Page(PAGE.format(body=f'<article><div class="{names}"><p>Kept.</p></div><p>{long}</p></article>')).text(None) == f"Kept. {long}", names
+    paper = f'<article><p>{long}</p><section class="discussion"><h2>Discussion</h2><p>Kept.</p></section></article>'
+    assert extraction.Page(PAGE.format(body=paper)).text(None) == f"{long} Discussion Kept."
+
+
+def test_hosts_of_several_templates(spark):
+    long = ("Text of the article, sentence by sentence. " * 5).strip()
+    news = [f'<div class="lead"><p>{long} {k}</p></div>' for k in range(5)]
+    blog = [f'<div class="lead"><p>A teaser.</p></div><div class="entry"><p>{long} {long} {k}</p></div>' for k in range(4)]
+    df = spark.createDataFrame([(k, "http://a.example/", PAGE.format(body=b)) for k, b in enumerate(news + blog)], "page_id long, url string, html string")
+    got = [r["text"] for r in extraction.extract(df, ["page_id"]).orderBy("page_id").collect()]
+    assert got == [f"{long} {k}" for k in range(5)] + [f"{long} {long} {k}" for k in range(4)]
+
+
+def test_ties_of_votes(spark):
+    """Two paths with as many votes: the first in alphabetical order wins, whatever the order of the rows."""
+    long = ("Text of the article, sentence by sentence. " * 5).strip()
+    one = f'<div class="a"><p>{long} one</p></div><div class="b"><p>Short.</p></div>'
+    two = f'<div class="a"><p>Brief.</p></div><div class="b"><p>{long} two</p></div>'
+    for order in ([one, two], [two, one]):
+        df = spark.createDataFrame([(k, "http://a.example/", PAGE.format(body=b)) for k, b in enumerate(order)], "page_id long, url string, html string")
+        got = {r["text"] for r in extraction.extract(df, ["page_id"]).collect()}
+        assert got == {f"{long} one", "Brief."}
+
+
+def generated_page(rng, host):
+    """A page and its article, written apart from any reading of it: parts around and inside the article, by host's template."""
+    sentence = lambda n: " ".join("".join(rng.choices("abcdeé", k=rng.randint(2, 8))) for _ in range(n)) + "."
+    beside = ["<nav><a href=/>{}</a></nav>", '<div class="cookie-banner">{}</div>', '<div class="adsbygoogle">{}</div>', "<footer>{}</footer>", '<ul class="menu"><li>{}</ul>',
+              '<div id="comments"><p>{}</p></div>', "<script>var x = '<p>{}</p>'</script>", "<aside><p>{}</p></aside>", '<div class="site-header">{}</div>', "<form><p>{}</p><input></form>",
+              "<!-- {} -->", '<p class="notice">{}</p>', "<style>{}</style>", '<ol class="commentlist"><li>{}</ol>']
+    other = lambda: rng.choice(beside).format(sentence(rng.randint(1, 6)))
+    blocks, pieces = [], []
+    for _ in range(rng.randint(4, 12)):
+        text = sentence(rng.randint(12, 40))
+        blocks.append(text)
+        cut = text.split(" ")
+        if rng.random() < 0.5:
+            k = rng.randrange(len(cut))
+            cut[k] = f"<b>{cut[k]}</b>"
+        raw = rng.choice([" ", "\n  ", "\t"]).join(cut).replace("é", rng.choice(["é", "&eacute;", "&#233;"]))
+        pieces.append(rng.choice(["<p>{}</p>", "<p>{}", "<h2>{}</h2>", "<blockquote>{}</blockquote>", "<ul><li>{}</li></ul>", "<pre>{}</pre>"]).format(raw))
+        if rng.random() < 0.3:
+            pieces.append(other())
+    shells = ["<article>{}</article>", '<main class="m">{}</main>', '<div class="story-7">{}</div>', '<div id="x" class="page-text"><section>{}</section></div>']
+    body = "".join(other() for _ in range(rng.randint(0, 4))) + shells[host % 4].format("".join(pieces)) + "".join(other() for _ in range(rng.randint(0, 4)))
+    return f"<!DOCTYPE html><html><head><title>{sentence(3)}</title></head><body>{body}</body></html>", " ".join(blocks)
+
+
+def test_generated_pages(spark):
+    rng = random.Random(44)
+    made = [(k, k % 8, *generated_page(rng, k % 8)) for k in range(240)]
+    df = spark.createDataFrame([(k, f"https://h{h}.example/{k}", html) for k, h, html, _ in made], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extraction.extract(df, ["page_id"]).collect()}
+    wrong = [k for k, _, _, want in made if got[k] != want]
+    assert not wrong, (len(wrong), made[wrong[0]][2], got[wrong[0]], made[wrong[0]][3])
