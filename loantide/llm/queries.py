@@ -204,7 +204,7 @@ SELECT conv_id::BIGINT AS conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum((CASE role {heads} END) + length(text) + {len(chat.END)}
+       sum((CASE role {heads} ELSE length(url_encode(role)) + {len("### @: ")} END) + length(text) + {len(chat.END)}
            + len(regexp_extract_all(text, '### (?:{"|".join(chat.ROLES.values())}|@[A-Za-z0-9_.~%/-]*): |</turn>')))::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id"""
 
