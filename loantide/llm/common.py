@@ -78,6 +78,36 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Parts that a side with one row a key is dealt into again.
+DEALS = 1_024
+
+
+def joined_anew(rows: DataFrame, few: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``few``, which an aggregate left with one row for each key (never null).
+
+    Such rows are dealt by the key already, and Spark would take them as they are. A number made from the key as second join
+    column makes it deal them anew, so that adaptive execution finds two shuffles and can split the rows of a hot key.
+    """
+    deal = F.pmod(F.xxhash64(key), F.lit(DEALS)).alias("deal")
+    return rows.select("*", deal).join(few.select("*", deal), [key, "deal"], how).drop("deal")
+
+
+def text_ids(docs: DataFrame, text: Column, name: str) -> DataFrame:
+    """``docs`` with a long number for each text: equal texts have the same, and unlike ones different numbers.
+
+    The number is a 64-bit hash. A second, independent hash tells where texts share the first, and all of those but one get
+    another number, so only texts that agree in 128 bits are taken for one. Such cases are few (some hundreds in 10^11 texts).
+    """
+    number, second = F.xxhash64(text), F.xxhash64(F.lit("second"), text)
+    pairs = docs.select(number.alias("clash"), second.alias("second"))
+    ends = pairs.groupBy("clash").agg(F.min("second").alias("least"), F.max("second").alias("most"))
+    clashes = written(ends.filter("least < most").select("clash", "least"), "clashes")
+    if clashes.isEmpty():
+        return docs.withColumn(name, number)
+    other = F.when(second != F.col("least"), F.xxhash64(F.lit("clash"), number, second)).otherwise(number)
+    return docs.join(clashes, number == clashes["clash"], "left").withColumn(name, F.coalesce(other, number)).drop("clash", "least")
+
+
 #: A-Z to a-z; every other ASCII byte but 0-9 and a-z to a space. Bytes from 0x80 belong to words.
 _WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)

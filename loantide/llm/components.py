@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import joined_anew, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,4 +35,4 @@ def components(edges: DataFrame) -> DataFrame:
         found = found.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
     found = written(found, "roots")
     names = found.groupBy("root").agg(F.min("node").alias("component"))
-    return found.join(names, "root").select("node", "component")
+    return joined_anew(found, names, "root").select("node", "component")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, map_arrow, ship, words_of, written
+from .common import WORD_PATTERN, joined_anew, map_arrow, ship, text_ids, words_of, written
 from .components import components
 from .substrings import Text, _mixed, _texts
 from .vectors import spanning
@@ -139,7 +139,7 @@ def _verified_stars(best: DataFrame, texts: DataFrame) -> DataFrame:
     shares of them.
     """
     shares = best.groupBy("rep").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
-    members = best.join(shares, "rep").select("node", "rep", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("place"))
+    members = joined_anew(best, shares, "rep").select("node", "rep", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("place"))
     heads = shares.select(F.col("rep").alias("node"), "rep", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("place"))
     sent = texts.join(members.unionByName(heads), "node").select("rep", "share", "place", "node", "text")
 
@@ -194,7 +194,7 @@ def _links_in_blocks(members: DataFrame) -> DataFrame:
     """
     ship(members.sparkSession)
     sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = joined_anew(members, sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     both = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component", "elements"
     )
@@ -213,24 +213,27 @@ def _links_in_blocks(members: DataFrame) -> DataFrame:
 
 
 def _texts_of(given: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and text of the wanted ``nodes``. Joined on a part of the node too, so that the distinct nodes are dealt anew and
-    adaptive execution can split the copies of a hot text; each task then sends on one of them."""
-    part = F.col("node").bitwiseAND(F.lit(1_023)).alias("part")
-    held = given.select("*", part).join(nodes.select("*", part), ["node", "part"], "left_semi")
+    """node and text of the wanted ``nodes``; the copies of a hot text are split over tasks, and each sends on one of them."""
+    held = joined_anew(given, nodes, "node", "left_semi")
     return held.groupBy("node").agg(F.first("text").alias("text"))
 
 
+def numbered(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with node, the number of its text; null counts as empty."""
+    return text_ids(docs, F.coalesce(F.col(text), F.lit("")), "node")
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, node (hash of the text), worded, part (one number a class) and class_id (least key in it) for every row.
+    """``key``, node (number of the text), worded, part (one number a class) and class_id (least key in it) for every row.
 
     Equal texts are one node, and links of nodes make classes. Rows that aren't worded (null, empty, or no words) link with
     nothing: class_id is their own key. Rows with a null key belong to the class of their text; class_id is null if all its
     keys are. Repeated rows come back as they are; other columns are not read.
     """
-    given = docs.select(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node"), F.col(text).alias("text"))
+    given = numbered(docs.select(F.col(key).alias("id"), F.col(text).alias("text")))
     buckets = written(map_arrow(given.select("node", "text"), banded, "node long, bands array<long>"), "bands").select("node", F.explode("bands").alias("bucket"))
     named = buckets.groupBy("bucket").agg(F.min("node").alias("rep"), F.max("node").alias("last")).filter("rep < last").select("bucket", "rep")
-    near = written(buckets.join(named, "bucket"), "candidates")
+    near = written(joined_anew(buckets, named, "bucket"), "candidates")
     # Texts of all nodes that share a bucket with another one.
     nodes = near.select("node").distinct()
     texts = written(_texts_of(given, nodes), "texts")
@@ -245,7 +248,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     member = part_of(near.select("bucket", "node").distinct(), "node", "component")
     split = member.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
-    open_ = written(member.join(split, "bucket", "left_semi"), "open")
+    open_ = written(joined_anew(member, split, "bucket", "left_semi"), "open")
     if not open_.isEmpty():
         ids = open_.select("node").distinct()
 
@@ -263,5 +266,5 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     worded = F.coalesce(F.rlike("text", F.lit(WORD_PATTERN)), F.lit(False))
     rows = part_of(given.select("id", "node", worded.alias("worded")), "node", "part")
     names = rows.filter("worded").groupBy("part").agg(F.min("id").alias("least"))
-    found = rows.join(names, "part", "left")
+    found = joined_anew(rows, names, "part", "left")
     return found.select(F.col("id").alias(key), "node", "worded", "part", F.when(F.col("worded"), F.col("least")).otherwise(F.col("id")).alias("class_id"))

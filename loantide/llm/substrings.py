@@ -5,11 +5,12 @@ fixed depth the only question is which windows are equal. Of the ``PREFIX``-word
 the one with the least hash (the minimiser) is the window's key: equal windows share it, at the same place, so all windows that
 can be equal fall into one group, and a run of neighbouring windows travels as one segment of text. Groups whose key stands once
 hold no repeat and are never sent. The windows of a group of up to ``GROUP`` runs are sorted in memory, and equal neighbours are
-repeats. Of a larger group, Spark counts a 64-bit hash of each whole window, and those counted more than once are repeats.
+repeats. Of a larger group, Spark counts a 128-bit digest of each whole window, and those counted more than once are repeats.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import blocks_of
-from .common import map_arrow
+from .common import joined_anew, map_arrow, text_ids
 
 WINDOW = 35
 PREFIX = 12
@@ -117,14 +118,14 @@ def _key_places(docs: DataFrame, window: int, prefix: int) -> DataFrame:
 
 
 def _segments(docs: DataFrame, window: int, prefix: int, group: int) -> DataFrame:
-    """Runs of suffixes that can be repeats. Of a small group: its key and the text of the run. Of a large one: no text, and
-    the hash of the suffix's whole window as key."""
+    """Runs of suffixes that can be repeats. Of a small group: its key and the text of the run. Of a large one: no text, but a
+    128-bit digest of the suffix's whole window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, int] = {}
         for batch in batches:
             classes, alive = batch.column(1).to_pylist(), batch.column(3)
-            out: list[tuple[int, int, int, bytes | None]] = []
+            out: list[tuple[int | None, int, int, bytes | None, bytes | None]] = []
             for row, text in _texts(batch, 2):
                 seen[classes[row]] = seen.get(classes[row], 0) + 1
                 if seen[classes[row]] > 2:
@@ -139,14 +140,14 @@ def _segments(docs: DataFrame, window: int, prefix: int, group: int) -> DataFram
                 state[marked >> 1] = 1 + (marked & 1)
                 big = np.flatnonzero(state[places] == 2)
                 if len(big):
-                    whole = words.hashes(window)[big].view(np.int64)
-                    out += [(k, classes[row], f, None) for k, f in zip(whole.tolist(), big.tolist(), strict=True)]
+                    digest = lambda f: hashlib.md5(words.words(f, f + window), usedforsecurity=False).digest()  # noqa: B023, E731
+                    out += [(None, classes[row], f, None, digest(f)) for f in big.tolist()]
                 small = np.flatnonzero(state[places] == 1)
                 if len(small):
                     cut = np.flatnonzero((np.diff(small) > 1) | (np.diff(places[small]) != 0)) + 1
                     for part in np.split(small, cut):
                         a, b = int(part[0]), int(part[-1]) + window
-                        out.append((int(hashes[places[a]].view(np.int64)), classes[row], a, words.words(a, b)))
+                        out.append((int(hashes[places[a]].view(np.int64)), classes[row], a, words.words(a, b), None))
                 if len(out) > 20_000:
                     yield rows(out)
                     out = []
@@ -154,10 +155,11 @@ def _segments(docs: DataFrame, window: int, prefix: int, group: int) -> DataFram
                 yield rows(out)
 
     def rows(out) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["key", "class", "start", "words"])
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "class", "start", "words", "digest"])
 
-    return map_arrow(docs, run, "key long, class long, start int, words binary")
+    return map_arrow(docs, run, "key long, class long, start int, words binary, digest binary")
 
 
 def deep_nodes(segments: list[bytes], window: int = WINDOW) -> list[list[int]]:
@@ -214,21 +216,12 @@ def _repeats_in_groups(segments: DataFrame, window: int) -> DataFrame:
 
 
 def _classed(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    return docs.select(*[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)], F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("class"), F.col(text).alias("text"))
-
-
-def _joined_anew(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """``rows`` with the aggregated ``keys``, joined on the key and a part of it.
-
-    The second column makes Spark deal the keys anew after their aggregation, so that adaptive execution can split the rows
-    of a hot key over many tasks.
-    """
-    part = F.pmod("key", F.lit(1_009)).alias("part")
-    return rows.select("*", part).join(keys.select("*", part), ["key", "part"]).drop("part")
+    given = docs.select(*[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)], F.col(text).alias("text"))
+    return text_ids(given, F.coalesce(F.col("text"), F.lit("")), "class").select(*[f"k{n}" for n in range(len(keys))], "class", "text")
 
 
 def _texts_joined(rows: DataFrame, aggregated: DataFrame, how: str) -> DataFrame:
-    """The same for whole texts by class. The part is never null, so both joins of the texts use one exchange."""
+    """As ``joined_anew`` for whole texts by class, so a hot text is split; both joins of the texts use one exchange."""
     part = F.col("class").bitwiseAND(F.lit(1_023)).alias("part")
     return rows.select("*", part).join(aggregated.select("*", part), ["class", "part"], how).drop("part")
 
@@ -247,15 +240,15 @@ def remove_repeats(
     places = _key_places(given, window, prefix)
     counts = places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     mark = F.col("place") * 2 + (F.col("n") > group).cast("int")
-    alive = _joined_anew(places, counts).groupBy("class").agg(F.collect_set(mark).alias("marks"))
+    alive = joined_anew(places, counts, "key").groupBy("class").agg(F.collect_set(mark).alias("marks"))
     # The same columns on both uses of the rows, so that Spark moves them once and uses the exchange again.
     n = len(keys)
     sent = _texts_joined(given, alive, "inner").select(F.struct(*[f"k{m}" for m in range(n)]).alias("row"), "class", "text", "marks")
     segments = _segments(sent, window, prefix, group)
     small = _repeats_in_groups(segments.filter("words IS NOT NULL"), window)
-    suffixes = segments.filter("words IS NULL").select("key", "class", "start")
-    nodes = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    large = _joined_anew(suffixes, nodes).select("class", "start", (F.col("start") + window).cast("int").alias("stop"))
+    suffixes = segments.filter("words IS NULL").select("digest", "class", "start")
+    nodes = suffixes.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
+    large = joined_anew(suffixes, nodes, "digest").select("class", "start", (F.col("start") + window).cast("int").alias("stop"))
     spans = small.unionByName(large).groupBy("class").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     rows = _texts_joined(given, spans, "left").select(*[f"k{m}" for m in range(n)], "text", "spans")
 

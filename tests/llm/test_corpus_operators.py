@@ -407,3 +407,24 @@ def test_many_lengths(spark):
     count.update(a for a, _ in links)
     want = roots(range(len(rows)), links)
     assert got == {k: (count[k], want[k], want[k] == k) for k in range(len(rows))}
+
+
+def test_texts_that_share_a_hash_get_numbers_of_their_own(spark, monkeypatch):
+    """With a hash of few values in place of the 64-bit one: unlike texts still have unlike numbers."""
+    from loantide.llm import common
+
+    texts = [f"text {k % 60}" for k in range(200)] + ["", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(3)
+    plain = common.text_ids(docs, F.col("text"), "n").collect()
+    assert len({(r["text"], r["n"]) for r in plain}) == len({r["n"] for r in plain}) == 61
+    whole = F.xxhash64
+    monkeypatch.setattr(common.F, "xxhash64", lambda *c: whole(*c) % 20 if len(c) == 1 else whole(*c))
+    got = common.text_ids(docs, F.col("text"), "n")
+    assert got.columns == ["doc_id", "text", "n"]
+    # One of the texts of a value keeps it; the second hash tells, so at most a text a value would be left as it is.
+    rows = got.collect()
+    assert len(rows) == len(texts) and len({r["n"] for r in rows if 0 <= r["n"] < 20}) <= 20
+    by_number = defaultdict(set)
+    for r in rows:
+        by_number[r["n"]].add(r["text"])
+    assert all(len(own) == 1 for own in by_number.values()) and len(by_number) == 61
