@@ -34,8 +34,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")
     chosen = found.filter("worded").groupBy("part").agg(F.min(order).alias("first"))
     chosen = chosen.select(F.col("first.doc_id").alias("id"), F.col("first.node").alias("chosen"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select(*COLUMNS, F.xxhash64(text).alias("node"), F.rlike(text, F.lit(WORD_PATTERN)).alias("worded"))
+    worded = F.coalesce(F.rlike("text", F.lit(WORD_PATTERN)), F.lit(False)).alias("worded")
+    keyed = neardup.numbered(docs).select(*COLUMNS, "node", worded)
     same = keyed["doc_id"].eqNullSafe(chosen["id"]) & (keyed["node"] == chosen["chosen"])
     kept = keyed.filter("worded").join(chosen, same, "left_semi")
     # Repeated rows of one id and text: the first stays; Spark cuts each part to its first row before the shuffle.
@@ -45,21 +45,23 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated passages from the texts; every document stays, those without any unchanged."""
+    """Removes repeated passages from the texts; every document stays, those without any unchanged, null texts too."""
     left = substrings.remove_repeats(docs, ["doc_id", "lang", "source", "n_chars"])
     length = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("kept").cast("long"))
     return left.select("doc_id", F.col("kept").alias("text"), "lang", "source", length.alias("n_chars"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of which at least a twentieth of the words are in benchmark windows."""
+    """Drops documents of which at least a twentieth of the words are in benchmark windows. Null and empty texts, having none,
+    stay, and so do all where the benchmark is empty."""
     found = decontamination.contamination(docs, queries.table(spark, sf_dir, "benchmark"), ["doc_id", "lang", "source", "n_chars"])
     hit = decontamination.n_hit()
     return found.filter((hit == 0) | (20 * hit < F.col("n_words"))).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the bytes they decode to."""
+    """doc_id, n_tokens and the digests of the ids and of the bytes they decode to. Null and empty texts have no ids; an empty
+    table gives no rows."""
     return queries.bpe_digest(docs, queries.rank_file())
 
 
