@@ -30,7 +30,9 @@ from .common import kept, map_arrow
 ORDER, SPAN, DECAY = 4, 7, 0.6
 #: Bounds of the training sample, in documents: taken in order of a hash, so the sample is the same in every run.
 TOXIC_ROWS, CLEAN_ROWS = 1_000, 1_500
-LANDMARKS = 160
+#: Parameters of the fit on that sample: landmarks; words for each telling run among them; clean words that the machine learns
+#: from, those closest to a landmark; and the commonest words of toxic documents that are learned with foreign characters too.
+LANDMARKS, WORDS_A_RUN, CLEAN_WORDS, DISTURBED = 160, 4, 12_000, 60
 #: Highest word margins that a text's score is made of.
 TOP = 6
 THRESHOLD = 0.7
@@ -260,7 +262,7 @@ def fit(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMARKS
     positive = []
     for w in chosen:  # a few words for each telling run, so that all kinds of insult have landmarks
         best = max(_grams(w), key=lambda g: (telling.get(g, 0.0), g))
-        if held[best] < 4 and len(positive) < landmarks * 3 // 4:
+        if held[best] < WORDS_A_RUN and len(positive) < landmarks * 3 // 4:
             held[best] += 1
             positive.append(w)
     if not positive:
@@ -289,9 +291,8 @@ def fit(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMARKS
     values, basis = np.linalg.eigh((gram + gram.T) / 2)
     root = basis @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ basis.T  # inverse square root: Nyström features
     # The closest clean words decide the margin.
-    least = max(0.05, sorted(close.values(), reverse=True)[:12_000][-1]) if close else 0.05
-    clean_names, clean_x = vectors(common, least)
-    clean_names, clean_x = clean_names[:20_000], clean_x[:20_000]
+    least = max(0.05, sorted(close.values(), reverse=True)[:CLEAN_WORDS][-1]) if close else 0.05
+    clean_names, clean_x = vectors(common, least)  # with all that are as close as the last of them
     usualness = np.sqrt([common[w] for w in clean_names])
     toxic_names, toxic_x = vectors({w for words in toxic for w in words}, least)
     at = {w: k for k, w in enumerate(toxic_names)}
@@ -305,7 +306,7 @@ def fit(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMARKS
         if not rows:
             return Model(None)
         times = Counter(chosen_rows)
-        usual = [toxic_names[r] for r, _ in times.most_common(60)]
+        usual = [toxic_names[r] for r, _ in times.most_common(DISTURBED)]
         z2 = vectors({d for word in usual for d in _disturbed(word)})[1] @ root
         x = np.vstack([z1[rows], z2, z0, zero])
         y = np.r_[np.ones(len(rows) + len(z2)), -np.ones(len(z0) + 1)]

@@ -428,3 +428,52 @@ def test_texts_that_share_a_hash_get_numbers_of_their_own(spark, monkeypatch):
     for r in rows:
         by_number[r["n"]].add(r["text"])
     assert all(len(own) == 1 for own in by_number.values()) and len(by_number) == 61
+
+
+def plain_subsequences(word):
+    """Weight of every subsequence of ORDER characters within SPAN places, by plain enumeration."""
+    from itertools import combinations
+
+    sums = Counter()
+    for places in combinations(range(len(word)), toxicity.ORDER):
+        width = places[-1] - places[0] + 1
+        if width <= toxicity.SPAN:
+            sums["".join(word[p] for p in places)] += toxicity.DECAY**width
+    return sums
+
+
+def plain_kernel(a, b):
+    x, y = plain_subsequences(a), plain_subsequences(b)
+    dot = lambda u, v: sum(w * v[s] for s, w in u.items())
+    return dot(x, y) / np.sqrt(dot(x, x) * dot(y, y)) if x and y else 0.0
+
+
+def test_kernel_matches_plain_enumeration():
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcé*", k=rng.randint(4, 14))) for _ in range(60)] + ["^idiot$", "^id*iot$", "^idxiot$", "aaaaaaa", "abcdefgh"]
+    landmarks = words[::5] + ["^idiot$"]
+    features = toxicity.Features(landmarks)
+    for group in toxicity._by_length(words):
+        which, kernel = features.of(group)
+        found = dict(zip(which.tolist(), kernel))
+        for k, word in enumerate(group):
+            want = [plain_kernel(word, mark) for mark in landmarks]
+            assert np.allclose(found.get(k, np.zeros(len(landmarks))), want, atol=1e-9), word
+    assert plain_kernel("^idiot$", "^id*iot$") > 0.3  # an inserted character leaves most of the kernel
+
+
+def test_nystroem_features_give_the_kernel_back():
+    """Inner products of the features of landmarks are their kernels, and collapsed weights are the machine on features."""
+    words = sorted({"".join(random.Random(k).choices("abcd", k=8)) for k in range(12)})
+    features = toxicity.Features(words)
+    which, gram = features.of(words)
+    assert which.tolist() == list(range(len(words)))
+    values, basis = np.linalg.eigh((gram + gram.T) / 2)
+    root = basis @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ basis.T
+    z = gram @ root
+    assert np.allclose(z @ z.T, gram, atol=0.02)
+    w = np.linspace(-1, 1, len(words))
+    other = ["abcdabcd", "dcbadcba", "aabbccdd"]
+    at, kernel = features.of(other)
+    once, collapsed = features.collapsed(root @ w).of(other)
+    assert at.tolist() == once.tolist() and np.allclose(kernel @ root @ w, collapsed[:, 0])
