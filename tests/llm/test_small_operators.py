@@ -337,3 +337,26 @@ def test_generated_pages(spark):
     got = {r["page_id"]: r["text"] for r in extraction.extract(df, ["page_id"]).collect()}
     wrong = [k for k, _, _, want in made if got[k] != want]
     assert not wrong, (len(wrong), made[wrong[0]][2], got[wrong[0]], made[wrong[0]][3])
+
+
+def test_a_text_of_very_many_findings(spark):
+    """100,000 findings of one text, in pieces: counts and places as a plain search gives them."""
+    n = 100_000
+    df = spark.createDataFrame([(1, "cc by x " * n), (2, "all rights reserved " * 700 + "cc by")], DOCS)
+    got = {r["doc_id"]: r for r in licenses.scan(df, ["doc_id"]).collect()}
+    assert [f["start"] for f in got[1]["base"]] == list(range(0, 3 * n, 3)) and {f["stop"] - f["start"] for f in got[1]["base"]} == {2}
+    assert got[1]["n_words"] == 3 * n and len(got[1]["findings"]) >= n
+    _, found, kept = brute_findings("all rights reserved " * 700 + "cc by")
+    assert sorted((f["start"], f["stop"], f["priority"], f["rule"], f["label"]) for f in got[2]["findings"]) == kept
+    assert len(got[2]["base"]) == 701
+
+
+def test_pieces_of_findings_change_nothing(spark, monkeypatch):
+    random.seed(45)
+    pieces = ["MIT License", "cc by", "all rights reserved", "GPL-2.0 or later", "the GNU General Public License v3", "word", "Apache License Version 2.0"]
+    texts = [" ".join(random.choices(pieces, k=random.randint(0, 30))) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    whole = [tuple(r) for r in licenses.scan(df, ["doc_id"]).orderBy("doc_id").collect()]
+    for size in (1, 3):
+        monkeypatch.setattr(licenses, "PIECE", size)
+        assert [tuple(r) for r in licenses.scan(df, ["doc_id"]).orderBy("doc_id").collect()] == whole
