@@ -477,3 +477,40 @@ def test_nystroem_features_give_the_kernel_back():
     at, kernel = features.of(other)
     once, collapsed = features.collapsed(root @ w).of(other)
     assert at.tolist() == once.tolist() and np.allclose(kernel @ root @ w, collapsed[:, 0])
+
+
+def test_recall_of_bands_on_the_documents():
+    """Documents with an id divisible by 100 against all: every pair of at least 0.8 shares a band; many near copies lie below."""
+    import pyarrow.parquet as pq
+
+    path = "/root/testdata/sf0.1/documents.parquet"
+    try:
+        table = pq.read_table(path, columns=["doc_id", "text"])
+    except FileNotFoundError:
+        pytest.skip("no test data")
+    ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
+    bags = [neardup.bag(t) for t in texts]
+    asked = [k for k, i in enumerate(ids) if i % 100 == 0 and len(bags[k][0])]
+    wanted = np.unique(np.concatenate([bags[k][0] for k in asked]))
+    near = defaultdict(list)  # documents by the shingles of the queries
+    for k, (hashes, counts) in enumerate(bags):
+        on = np.isin(hashes, wanted)
+        for h, c in zip(hashes[on].tolist(), counts[on].tolist()):
+            near[h].append((k, c))
+    sizes = [int(b[1].sum()) for b in bags]
+    pairs = {}
+    for q in asked:
+        common = Counter()
+        for h, c in zip(bags[q][0].tolist(), bags[q][1].tolist()):
+            for k, other in near[h]:
+                common[k] += min(c, other)
+        pairs |= {(q, k): n / (sizes[q] + sizes[k] - n) for k, n in common.items() if k != q and texts[k] != texts[q]}
+    alike = [p for p, s in pairs.items() if s >= neardup.SIMILARITY]
+    below = [p for p, s in pairs.items() if 0.6 <= s < neardup.SIMILARITY]
+    assert len(alike) >= 3 and len(below) >= 10 * len(alike)
+    nodes = sorted({k for p in alike for k in p})
+    held = {}
+    for k in range(0, len(nodes), 200):
+        part = neardup._band_rows(nodes[k : k + 200], [bags[n] for n in nodes[k : k + 200]])
+        held |= {n: set(b) for n, b in zip(part.column("node").to_pylist(), part.column("bands").to_pylist())}
+    assert all(held[a] & held[b] for a, b in alike)
