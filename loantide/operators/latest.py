@@ -50,14 +50,14 @@ def dated_slice(date: str, unique_id: str, block: int = ID_BLOCK) -> Column:
 
 
 def dated_slices(date: str, unique_id: str, block: int = ID_BLOCK) -> list[Column]:
-    """Slices for rows ordered by (date, id), finest first: a day and a block of ids, a day and a block of such blocks, a day.
+    """Slices for rows ordered by (date, id), finest first: a day and a block of ids, a day and a block of such blocks.
 
-    However ids are spread, a key has at most ``block`` rows in the first, ``block`` of the first in a second, and for ids up to
-    2^63 some ten million of the second in a day.
+    However sparse the ids are, a key has at most ``block`` rows in the first and ``block`` of the first in a second; of those it
+    has one a day, as long as ids lie within ``block`` squared (10^12) of each other.
     """
     blocks = F.call_function("div", F.col(unique_id), F.lit(block).cast("long"))
     wider = F.call_function("div", blocks, F.lit(block).cast("long"))
-    return [F.struct(F.col(date), blocks), F.struct(F.col(date), wider), F.struct(F.col(date))]
+    return [F.struct(F.col(date), blocks), F.struct(F.col(date), wider)]
 
 
 def _carried(tails: DataFrame, slices: list[str]) -> DataFrame:
