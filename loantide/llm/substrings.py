@@ -117,15 +117,20 @@ def _key_places(docs: DataFrame, window: int, prefix: int) -> DataFrame:
     return map_arrow(docs.select("class", "text"), run, "key long, class long, place int")
 
 
+_PLACES = pa.list_(pa.struct([("class", pa.int64()), ("start", pa.int32())]))
+
+
 def _segments(docs: DataFrame, window: int, prefix: int, group: int) -> DataFrame:
-    """Runs of suffixes that can be repeats. Of a small group: its key and the text of the run. Of a large one: no text, but a
-    128-bit digest of the suffix's whole window."""
+    """Runs of suffixes that can be repeats. Of a small group: its key and the text of the run. Of a large one: a 128-bit digest
+    of a whole window and the places where a task met it, so that a common passage is a few rows a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, int] = {}
         for batch in batches:
             classes, alive = batch.column(1).to_pylist(), batch.column(3)
-            out: list[tuple[int | None, int, int, bytes | None, bytes | None]] = []
+            out: list[tuple[int, int, int, bytes]] = []
+            met: dict[bytes, list[tuple[int, int]]] = {}
+            held = 0
             for row, text in _texts(batch, 2):
                 seen[classes[row]] = seen.get(classes[row], 0) + 1
                 if seen[classes[row]] > 2:
@@ -138,28 +143,36 @@ def _segments(docs: DataFrame, window: int, prefix: int, group: int) -> DataFram
                 places, hashes = words.keys(window, prefix)
                 state = np.zeros(words.n, np.int8)
                 state[marked >> 1] = 1 + (marked & 1)
-                big = np.flatnonzero(state[places] == 2)
-                if len(big):
-                    digest = lambda f: hashlib.md5(words.words(f, f + window), usedforsecurity=False).digest()  # noqa: B023, E731
-                    out += [(None, classes[row], f, None, digest(f)) for f in big.tolist()]
+                big = np.flatnonzero(state[places] == 2).tolist()
+                for first in big:
+                    digest = hashlib.md5(words.words(first, first + window), usedforsecurity=False).digest()
+                    met.setdefault(digest, []).append((classes[row], first))
                 small = np.flatnonzero(state[places] == 1)
                 if len(small):
                     cut = np.flatnonzero((np.diff(small) > 1) | (np.diff(places[small]) != 0)) + 1
                     for part in np.split(small, cut):
                         a, b = int(part[0]), int(part[-1]) + window
-                        out.append((int(hashes[places[a]].view(np.int64)), classes[row], a, words.words(a, b), None))
-                if len(out) > 20_000:
-                    yield rows(out)
-                    out = []
-            if out:
-                yield rows(out)
-
-    def rows(out) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-        columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names=["key", "class", "start", "words", "digest"])
-
-    return map_arrow(docs, run, "key long, class long, start int, words binary, digest binary")
+                        out.append((int(hashes[places[a]].view(np.int64)), classes[row], a, words.words(a, b)))
+                held += len(big)
+                if len(out) > 20_000 or held > 100_000:
+                    yield rows(out, met)
+                    out, met, held = [], {}, 0
+            if out or met:
+                yield rows(out, met)
+
+    def rows(out, met) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        none, n = [None] * len(met), len(out)
+        columns = [pa.array([*(o[c] for o in out), *none], kind) for c, kind in enumerate(kinds)]
+        flat = [place for places in met.values() for place in places]
+        places = pa.StructArray.from_arrays([pa.array([p[c] for p in flat], kinds[c + 1]) for c in (0, 1)], names=["class", "start"])
+        ends = np.cumsum([0, *(len(p) for p in met.values())], dtype=np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), places) if met else pa.array([], _PLACES)
+        columns += [pa.array([*[None] * n, *met], pa.binary()), pa.concat_arrays([pa.nulls(n, _PLACES), lists.cast(_PLACES)])]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "class", "start", "words", "digest", "places"])
+
+    schema = "key long, class long, start int, words binary, digest binary, places array<struct<class: bigint, start: int>>"
+    return map_arrow(docs, run, schema)
 
 
 def deep_nodes(segments: list[bytes], window: int = WINDOW) -> list[list[int]]:
@@ -246,9 +259,10 @@ def remove_repeats(
     sent = _texts_joined(given, alive, "inner").select(F.struct(*[f"k{m}" for m in range(n)]).alias("row"), "class", "text", "marks")
     segments = _segments(sent, window, prefix, group)
     small = _repeats_in_groups(segments.filter("words IS NOT NULL"), window)
-    suffixes = segments.filter("words IS NULL").select("digest", "class", "start")
-    nodes = suffixes.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    large = joined_anew(suffixes, nodes, "digest").select("class", "start", (F.col("start") + window).cast("int").alias("stop"))
+    suffixes = segments.filter("words IS NULL").select("digest", "places")
+    nodes = suffixes.groupBy("digest").agg(F.sum(F.size("places")).alias("n")).filter("n > 1").select("digest")
+    large = joined_anew(suffixes, nodes, "digest").select(F.explode("places").alias("at"))
+    large = large.select("at.class", "at.start", (F.col("at.start") + window).cast("int").alias("stop"))
     spans = small.unionByName(large).groupBy("class").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     rows = _texts_joined(given, spans, "left").select(*[f"k{m}" for m in range(n)], "text", "spans")
 
