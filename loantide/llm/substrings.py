@@ -246,9 +246,9 @@ def remove_repeats(
     sent = _texts_joined(given, alive, "inner").select(F.struct(*[f"k{m}" for m in range(n)]).alias("row"), "class", "text", "marks")
     segments = _segments(sent, window, prefix, group)
     small = _repeats_in_groups(segments.filter("words IS NOT NULL"), window)
-    suffixes = segments.filter("words IS NULL").select("digest", "class", "start")
-    nodes = suffixes.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    large = joined_anew(suffixes, nodes, "digest").select("class", "start", (F.col("start") + window).cast("int").alias("stop"))
+    suffixes = segments.filter("words IS NULL").select(F.col("digest").alias("key"), "class", "start")
+    nodes = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    large = joined_anew(suffixes, nodes, "key").select("class", "start", (F.col("start") + window).cast("int").alias("stop"))
     spans = small.unionByName(large).groupBy("class").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     rows = _texts_joined(given, spans, "left").select(*[f"k{m}" for m in range(n)], "text", "spans")
 
