@@ -30,7 +30,7 @@ from .bpe import blocks_of
 from .common import kept, map_arrow
 
 #: Cuts in each of the two halves of the cache.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 450_000
 #: Longest line whose agenda is a list.
 SHORT = 48
 MARK = "▁"
