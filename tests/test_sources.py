@@ -202,6 +202,24 @@ def test_sheets_in_splits(spark, folder, split):
     assert got == sorted([*want[1:], ("121", "last", "without end"), ("b1", 'y\n"', "z")], key=repr)
 
 
+def test_lines_of_sheets_stay_where_they_are_read(spark, folder):
+    """Texts of very many quoted breaks: only headers are shuffled, and records that reach over splits."""
+    said = spark.range(40).select("id", F.concat(F.col("id"), F.repeat(F.lit('",\n"'), 5_000)).alias("said"))
+    said.repartition(4).write.option("header", True).option("quoteAll", True).option("escape", '"').csv(f"{folder}/many")
+    sheet = readers.read_text_sheet(spark, f"{folder}/many", ["said", "id"])
+    assert {(int(r.id), len(r.said)) for r in sheet.collect()} == {(k, len(str(k)) + 20_000) for k in range(40)}
+
+    def moved(node):
+        """Bytes that the shuffles of an executed plan wrote."""
+        name = node.getClass().getSimpleName()
+        below = [node.executedPlan()] if name == "AdaptiveSparkPlanExec" else [node.plan()] if name.endswith("QueryStageExec") else []
+        below += [node.children().apply(k) for k in range(node.children().size())]
+        own = node.metrics().apply("dataSize").value() if name == "ShuffleExchangeExec" else 0
+        return own + sum(moved(n) for n in below)
+
+    assert moved(sheet._jdf.queryExecution().executedPlan()) < 20_000  # of 1,200,000 bytes
+
+
 def test_an_open_quote_is_an_error(spark, folder):
     with open(f"{folder}/a.csv", "w", encoding="utf-8") as out:
         out.write('k,v\n1,"never closed\n2,x\n')
