@@ -81,6 +81,10 @@ def bin_cells(low: Column, high: Column, level: Column) -> Column:
     return F.sequence(cell_of(low, level), cell_of(high, level))
 
 
+#: Rows that few bins become when each part of the rows gets bins of its own.
+DEALT_BINS = 65_536
+
+
 def bin_lookup(
     fact: DataFrame,
     bins: DataFrame,
@@ -95,25 +99,30 @@ def bin_lookup(
     The plan is an equi join on the keys and a coarse place, with the range as residual test: a bin's level is its width as a
     power of two, it lies in at most a few cells of that width, and a row meets the one cell of its value on each level that
     occurs. So a row meets only bins near its value, however many a key has. Bins and rows are both shuffled, unless one side is
-    small; only the levels, a few thousand at most for any bins, come from a subquery of the same job.
+    small; only the levels, a few thousand at most for any bins, come from a subquery of the same job. Few bins have few cells,
+    and all rows would go to as many tasks: rows are dealt into parts by turns, and each part has its copy of the bins. The more
+    bins there are the fewer parts, up to ``DEALT_BINS`` rows in all; from there on bins are not copied.
     """
     equal = equal or {}
     keys = list(equal.values())
     outputs = [c for c in bins.columns if c not in (low, high, *keys)]
     levelled = bins.where(F.col(low) < F.col(high)).withColumn("__level", bin_level(F.col(low), F.col(high)))
-    levels = levelled.select(F.collect_set("__level")).scalar()
-    lines = levelled.select(
-        F.col("__level").alias("__line_level"), F.explode(bin_cells(F.col(low), F.col(high), F.col("__level"))).alias("__line_cell"),
+    parts = F.greatest(F.lit(1), F.least(F.lit(DEALS), F.floor(F.lit(DEALT_BINS) / F.greatest(F.count("__level"), F.lit(1))).cast("int")))
+    measured = levelled.select(F.struct(F.collect_set("__level").alias("levels"), parts.alias("parts"))).scalar()
+    dealt = levelled.withColumn("__line_part", F.explode(F.sequence(F.lit(0), measured["parts"] - 1)))
+    lines = dealt.select(
+        "__line_part", F.col("__level").alias("__line_level"), F.explode(bin_cells(F.col(low), F.col(high), F.col("__level"))).alias("__line_cell"),
         F.col(low).alias("__low"), F.col(high).alias("__high"), *[F.col(c).alias(f"__key{n}") for n, c in enumerate(keys)],
         *[F.col(c).alias(f"__out{n}") for n, c in enumerate(outputs)],
     )
-    rows = fact.select("*", value.alias("__value"))
+    part = F.pmod(F.monotonically_increasing_id(), measured["parts"]).cast("int")
+    rows = fact.select("*", value.alias("__value"), part.alias("__part"))
     if how != "inner":
         rows = rows.withColumn("__row", F.monotonically_increasing_id())
     explode = F.explode if how == "inner" else F.explode_outer
-    rows = rows.withColumn("__level", explode(levels)).withColumn("__cell", cell_of(F.col("__value"), F.col("__level")))
+    rows = rows.withColumn("__level", explode(measured["levels"])).withColumn("__cell", cell_of(F.col("__value"), F.col("__level")))
     tests = [rows[left] == lines[f"__key{n}"] for n, left in enumerate(equal)]
-    tests += [F.col("__level") == F.col("__line_level"), F.col("__cell") == F.col("__line_cell")]
+    tests += [F.col("__part") == F.col("__line_part"), F.col("__level") == F.col("__line_level"), F.col("__cell") == F.col("__line_cell")]
     tests += [F.col("__value") >= F.col("__low"), F.col("__value") < F.col("__high")]
     joined = rows.join(lines, reduce(lambda a, b: a & b, tests), how)
     if how != "inner":

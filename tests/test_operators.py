@@ -425,3 +425,22 @@ def test_margins_of_any_measure(spark):
     assert plan.index("Expand") < plan.index("partial") if "partial" in plan else plan.count("Aggregate [") == 2  # cells first
     with pytest.raises(ValueError):
         crosstab.crosstab_measures(df, ["i"], ["c"], {"m": ("median", "v")})
+
+
+def test_few_bins_meet_rows_in_many_tasks(spark):
+    """Rows of one value and a single bin: without a broadcast or any help of adaptive execution, no task gets them all."""
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        bins = spark.createDataFrame([("k", 0.0, 10.0, "low")], "flag string, min_value double, max_value double, name string")
+        df = spark.range(0, 20_000, 1, 4).select("id", F.lit("k").alias("g"), F.lit(3.5).alias("x"))
+        for equal in (None, {"g": "flag"}):
+            found = lookups.bin_lookup(df, bins, F.col("x"), equal)
+            tasks = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+            assert sum(tasks) == 20_000 and max(tasks) < 10_000, tasks
+        left = lookups.bin_lookup(df, bins, F.col("x") + F.when(F.col("id") < 5, 10.0).otherwise(0.0), how="left")
+        assert {(r.name, r["count"]) for r in left.groupBy("name").count().collect()} == {("low", 19_995), (None, 5)}
+    finally:
+        for name in changed:
+            spark.conf.unset(name)
