@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import blocks_of
-from .common import joined_anew, map_arrow, text_ids
+from .common import joined_anew, map_arrow, text_ids, written
 
 WINDOW = 35
 PREFIX = 12
@@ -138,16 +138,17 @@ def _segments(docs: DataFrame, window: int, prefix: int, group: int) -> DataFram
                 places, hashes = words.keys(window, prefix)
                 state = np.zeros(words.n, np.int8)
                 state[marked >> 1] = 1 + (marked & 1)
+                own, line = classes[row], words.line
                 big = np.flatnonzero(state[places] == 2)
                 if len(big):
-                    digest = lambda f: hashlib.md5(words.words(f, f + window), usedforsecurity=False).digest()  # noqa: B023, E731
-                    out += [(None, classes[row], f, None, digest(f)) for f in big.tolist()]
+                    bounds = zip(big.tolist(), words.starts[big].tolist(), words.ends[big + (window - 1)].tolist(), strict=True)
+                    out += [(None, own, f, None, hashlib.md5(line[a:b], usedforsecurity=False).digest()) for f, a, b in bounds]
                 small = np.flatnonzero(state[places] == 1)
                 if len(small):
                     cut = np.flatnonzero((np.diff(small) > 1) | (np.diff(places[small]) != 0)) + 1
-                    for part in np.split(small, cut):
-                        a, b = int(part[0]), int(part[-1]) + window
-                        out.append((int(hashes[places[a]].view(np.int64)), classes[row], a, words.words(a, b), None))
+                    first, last = small[np.concatenate([[0], cut])], small[np.concatenate([cut - 1, [-1]])]
+                    columns = hashes[places[first]].view(np.int64), first, words.starts[first], words.ends[last + (window - 1)]
+                    out += [(k, own, f, line[a:b], None) for k, f, a, b in zip(*(c.tolist() for c in columns), strict=True)]
                 if len(out) > 20_000:
                     yield rows(out)
                     out = []
@@ -163,18 +164,40 @@ def _segments(docs: DataFrame, window: int, prefix: int, group: int) -> DataFram
 
 
 def deep_nodes(segments: list[bytes], window: int = WINDOW) -> list[list[int]]:
-    """For each segment the places of its windows that also stand elsewhere; windows are sorted and neighbours compared."""
-    suffixes: list[tuple[bytes, int, int]] = []
+    """For each segment the places of its windows that also stand elsewhere; windows are sorted and neighbours compared.
+
+    All windows of a segment that occurs twice are repeats; it is sorted once, and not at all where no others are in the group.
+    """
+    copies: dict[bytes, list[int]] = {}
     for s, segment in enumerate(segments):
+        copies.setdefault(segment, []).append(s)
+    found: list[list[int]] = [[] for _ in segments]
+    single = False
+    for segment, own in copies.items():
+        if len(own) > 1:
+            for s in own:
+                found[s] = list(range(segment.count(b" ") + 2 - window))
+        else:
+            single = True
+    if not single:
+        return found
+    suffixes: list[bytes] = []
+    places: list[tuple[int, int]] = []
+    for segment, own in copies.items():
         ends = [k for k, b in enumerate(segment) if b == 32] if len(segment) < 64 else np.flatnonzero(np.frombuffer(segment, np.uint8) == 32).tolist()
         starts, ends = [0, *(e + 1 for e in ends)], [*ends, len(segment)]
-        suffixes += [(segment[starts[k] : ends[k + window - 1]], s, k) for k in range(len(starts) - window + 1)]
-    suffixes.sort()
-    found: list[list[int]] = [[] for _ in segments]
-    for k, (text, s, place) in enumerate(suffixes):
-        if (k and suffixes[k - 1][0] == text) or (k + 1 < len(suffixes) and suffixes[k + 1][0] == text):
+        n = len(starts) - window + 1
+        suffixes += [segment[a:b] for a, b in zip(starts[: max(n, 0)], ends[window - 1 :], strict=True)]
+        places += [(own[0] if len(own) == 1 else -1, k) for k in range(n)]
+    order = sorted(range(len(suffixes)), key=suffixes.__getitem__)
+    last = False
+    for k, at in enumerate(order):
+        again = k + 1 < len(order) and suffixes[order[k + 1]] == suffixes[at]
+        s, place = places[at]
+        if (last or again) and s >= 0:
             found[s].append(place)
-    return [sorted(places) for places in found]
+        last = again
+    return [sorted(own) for own in found]
 
 
 def _repeats_in_groups(segments: DataFrame, window: int) -> DataFrame:
@@ -237,7 +260,8 @@ def remove_repeats(
     on the input. Rows of equal text are one class: a task sends them on at most twice.
     """
     given = _classed(docs, keys, text)
-    places = _key_places(given, window, prefix)
+    # Written, as they are counted and then joined with their counts; else each use would read and hash all texts again.
+    places = written(_key_places(given, window, prefix), "key-places")
     counts = places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     mark = F.col("place") * 2 + (F.col("n") > group).cast("int")
     alive = joined_anew(places, counts, "key").groupBy("class").agg(F.collect_set(mark).alias("marks"))

@@ -275,6 +275,25 @@ def test_repeats_match_brute_force(spark, group):
     assert substrings.remove_repeats(df.limit(0), ["doc_id"]).count() == 0
 
 
+def test_texts_are_hashed_once_for_their_keys(spark):
+    """Counting the keys and joining them with the counts both read one written table, not the texts again."""
+    df = spark.createDataFrame([(k, " ".join(map(str, range(k, k + 60)))) for k in range(8)], DOCS)
+    found = substrings.remove_repeats(df, ["doc_id"])
+    assert len(found.collect()) == 8
+    assert not [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInArrow" in line and "place#" in line]
+
+
+def test_windows_of_equal_segments(spark):
+    """Copies of a segment are not sorted again; results are those of all pairs."""
+    rng = random.Random(3)
+    for _ in range(300):
+        made = [b" ".join(rng.choice([b"a", b"b", b"cc"]) for _ in range(rng.randint(2, 30))) for _ in range(rng.randint(1, 4))]
+        made += [rng.choice(made) for _ in range(rng.randint(0, 3))]
+        runs = {(s, k): tuple(m.split()[k : k + 3]) for s, m in enumerate(made) for k in range(len(m.split()) - 2)}
+        met = Counter(runs.values())
+        assert substrings.deep_nodes(made, 3) == [[k for (t, k), run in runs.items() if t == s and met[run] > 1] for s in range(len(made))]
+
+
 def test_repeated_rows_and_null_keys_in_repeats(spark):
     text = " ".join(f"w{k}" for k in range(40))
     rows = substrings.remove_repeats(spark.createDataFrame([(1, text), (1, text), (None, "x"), (None, None)], DOCS), ["doc_id"]).collect()
