@@ -194,7 +194,9 @@ def _records(spark: SparkSession, path: str, low: int, high: int | None) -> tupl
     splits = _splits(lines)
     parts = F.array_sort(F.collect_list(F.struct("split", "text")))
     glue = lambda pieces: pieces.groupBy("file", "number").agg(F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text"))
-    record = F.regexp_replace(F.regexp_replace("text", "(?:\r\n|\r|\n)\\z", ""), "^\ufeff", "").alias("record")
+    text, mark = F.col("text"), F.col("text").startswith("\ufeff").cast("int")
+    ended = F.when(text.endswith("\r\n"), 2).when(text.endswith("\n") | text.endswith("\r"), 1).otherwise(0)
+    record = text.substr(mark + 1, F.length(text) - mark - ended).alias("record")
     across = splits.where((F.col("open") == 1) | (F.col("odd") == 1))
     rows = _pieces(lines, splits, low, high, whole=True).select("file", "number", "text").unionByName(glue(_pieces(lines, across, low, high, whole=False)))
     headers = glue(_pieces(lines, splits, low - 1, low))
@@ -221,7 +223,9 @@ def _csv_rows(spark: SparkSession, path: str, columns: list[str], skip_rows: int
     if end:
         last, right = _cell_at(end)
     cell = r',((?:"[^"]*+")++|[^,]*+)'
-    plain = lambda c: F.when(c.startswith('"'), F.regexp_replace(F.regexp_replace(c, '^"|"$', ""), '""', '"')).otherwise(c)
+    # A cell that starts with a quote ends with one: quotes of a record are even in number.
+    unquoted = lambda c: F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    plain = lambda c: F.when(c.startswith('"'), unquoted(c)).otherwise(c)
     cells = F.transform(F.regexp_extract_all(F.concat(F.lit(","), F.col("record")), F.lit(cell), 1), plain)
     width = F.size("cells") if right is None else F.lit(right)
     cut = F.slice("cells", left, F.greatest(width - (left - 1), F.lit(0)))
